@@ -212,9 +212,14 @@ def add_class(df: DataFrame, p: Lookup) -> DataFrame:
     return _stage(df, human_score=F.when(c("_raw").isNotNull(), score))
 
 
-def _visible(df: DataFrame, kept: list[str], detail: bool) -> list[str]:
-    extra = ["account_days", *FEATURES, *SCORES] if detail else []
-    return [*kept, *extra, "human_score", "likely_is"]
+def _sealed(df: DataFrame, kept: list[str], results: list[str]) -> DataFrame:
+    """Hand out the results through ``inline``, which filters on them do not cross.
+
+    Without it a later ``human_score > x`` would be pushed below every stage, each alias replaced by its
+    definition: a predicate of many thousand nodes. Filters on the kept columns still reach the scan.
+    """
+    row = F.struct(*[F.col(name) for name in results])
+    return df.select(*kept, F.inline(F.array(row)).alias(*results))
 
 
 def score_accounts(df: DataFrame, as_of, config: Config = DEFAULT_CONFIG, detail: bool = False) -> DataFrame:
@@ -225,7 +230,8 @@ def score_accounts(df: DataFrame, as_of, config: Config = DEFAULT_CONFIG, detail
     kept = [name for name in df.columns if name not in ("human_score", "likely_is")]
     p = _from_dict(config)
     scored = add_class(add_person_score(add_rule_scores(add_features(df, as_of)), p), p)
-    return scored.select(*_visible(df, kept, detail))
+    extra = ["account_days", *FEATURES, *SCORES] if detail else []
+    return _sealed(scored, kept, [*extra, "human_score", "likely_is"])
 
 
 def sweep_configs(df: DataFrame, as_of, configs: dict[str, Config]) -> DataFrame:
@@ -240,4 +246,5 @@ def sweep_configs(df: DataFrame, as_of, configs: dict[str, Config]) -> DataFrame
     repeated = base.withColumn("_entry", F.explode(F.array(*entries)))
     repeated = repeated.withColumns({"config_name": F.col("_entry.name"), "_cfg": F.col("_entry.cfg")})
     p = _from_struct("_cfg")
-    return add_class(add_person_score(repeated, p), p).select(*kept, "config_name", "human_score", "likely_is")
+    scored = add_class(add_person_score(repeated, p), p)
+    return _sealed(scored, [*kept, "config_name"], ["human_score", "likely_is"])

@@ -1,37 +1,30 @@
-"""Explicit schemas of the relational tables and of the nested records that arrive in files."""
+"""Explicit schemas (DDL text) of the relational tables and of the nested records that arrive in files."""
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
-
-def _struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
-
-
-USER_PROFILES = _struct(
+USER_PROFILES = (
     "twitter_id string not null, handle string not null, name string, bio string, created_at string,"
     " follower_count bigint, location string, updated_at timestamp_ntz, got_by_keywords array<string>,"
     " can_dm boolean, category string, human_score double, likely_is string, platform string"
 )
-USER_STATS = _struct(
+USER_STATS = (
     "twitter_id string not null, followers bigint, following bigint, statuses bigint, favorites bigint,"
     " listed bigint, media bigint, verified boolean, blue_verified boolean, default_profile boolean,"
     " default_image boolean, sensitive boolean, can_dm boolean, updated_at timestamp_ntz"
 )
-USER_KEYWORDS = _struct(
+USER_KEYWORDS = (
     "twitter_id string not null, keyword string not null, search_id string, added_at timestamp_ntz"
 )
-API_SEARCH_USAGE = _struct(
+API_SEARCH_USAGE = (
     "id string, ids_hash string, keyword string not null, items bigint, retries bigint, next_page string,"
     " page bigint, new_profiles bigint, query_at timestamp_ntz, platform string"
 )
-PROFILES_TO_SCORE = _struct("twitter_id string not null, handle string, added_at timestamp_ntz")
-PROFILE_SCORES = _struct(
+PROFILES_TO_SCORE = ("twitter_id string not null, handle string, added_at timestamp_ntz")
+PROFILE_SCORES = (
     "twitter_id string not null, scored_by string not null, label boolean, reason string,"
     " scored_at timestamp_ntz, audience string"
 )
-KEYWORD_STATS = _struct(
+KEYWORD_STATS = (
     "keyword string not null, semantic_tags array<string>, profiles_found bigint, avg_human_score decimal(4,3),"
     " label_rate decimal(4,3), still_valid boolean, pages_searched bigint, high_quality_count bigint,"
     " low_quality_count bigint, first_search_at timestamp_ntz, last_search_at timestamp_ntz,"
@@ -70,14 +63,14 @@ RAW_USER_DDL = (
     "professional:struct<professional_type:string,"
     "category:array<struct<id:int,name:string,icon_name:string>>>>"
 )
-SEARCH_PAGE = _struct(f"data array<{RAW_USER_DDL}>, cursor string")
-SEARCH_PAGE_WITH_REQUEST = _struct(
+SEARCH_PAGE = (f"data array<{RAW_USER_DDL}>, cursor string")
+SEARCH_PAGE_WITH_REQUEST = (
     f"keyword string, page bigint, query_at timestamp, platform string, data array<{RAW_USER_DDL}>, cursor string"
 )
 
 LABEL_ITEMS_DDL = "array<struct<handle:string,label:boolean,reason:string>>"
-BATCH_PROFILE = _struct("handle string, name string, bio string, category string, followers bigint")
-AUDIENCE = _struct(
+BATCH_PROFILE = ("handle string, name string, bio string, category string, followers bigint")
+AUDIENCE = (
     "targetProfile string, sector string, highSignals array<string>, lowSignals array<string>,"
     " domainContext string, nullSignals array<string>, notes string"
 )
