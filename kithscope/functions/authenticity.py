@@ -48,6 +48,19 @@ def _ladder(steps: list[tuple[Column, Column]], rest: Column) -> Column:
     return out.otherwise(rest)
 
 
+def _sealed(df: DataFrame, results: list[str]) -> DataFrame:
+    """Hand out computed columns through ``inline``, which works as a seam in the plan.
+
+    Filters on the results do not cross it: a later ``human_score > x`` would otherwise be pushed below
+    every stage, each alias replaced by its definition, and grow to many thousand nodes. It also ends the
+    code-generation span, which keeps each generated method short enough for the JIT compiler (a single
+    span over all stages runs about ten times slower, interpreted). Filters on other columns pass through.
+    """
+    kept = [name for name in df.columns if name not in results]
+    row = F.struct(*[F.col(name) for name in results])
+    return df.select(*kept, F.inline(F.array(row)).alias(*results))
+
+
 def add_features(df: DataFrame, as_of) -> DataFrame:
     """The derived inputs of all class scores, one row in, one row out (no shuffle)."""
     c = F.col
@@ -212,14 +225,16 @@ def add_class(df: DataFrame, p: Lookup) -> DataFrame:
     return _stage(df, human_score=F.when(c("_raw").isNotNull(), score))
 
 
-def _sealed(df: DataFrame, kept: list[str], results: list[str]) -> DataFrame:
-    """Hand out the results through ``inline``, which filters on them do not cross.
+def _scored(df: DataFrame, p: Lookup) -> DataFrame:
+    """Person score, class and final score on top of rule scores."""
+    df = _sealed(add_person_score(df, p), ["_base", "person_score"])
+    return _sealed(add_class(df, p), ["human_score", "likely_is"])
 
-    Without it a later ``human_score > x`` would be pushed below every stage, each alias replaced by its
-    definition: a predicate of many thousand nodes. Filters on the kept columns still reach the scan.
-    """
-    row = F.struct(*[F.col(name) for name in results])
-    return df.select(*kept, F.inline(F.array(row)).alias(*results))
+
+def _based(df: DataFrame, as_of) -> DataFrame:
+    """Everything that does not depend on the config."""
+    df = _sealed(add_features(df.drop("human_score", "likely_is"), as_of), ["account_days", *FEATURES])
+    return _sealed(add_rule_scores(df), ["bot_score", "creator_score", "entity_score"])
 
 
 def score_accounts(df: DataFrame, as_of, config: Config = DEFAULT_CONFIG, detail: bool = False) -> DataFrame:
@@ -228,10 +243,8 @@ def score_accounts(df: DataFrame, as_of, config: Config = DEFAULT_CONFIG, detail
     ``detail=True`` also keeps every feature, the four class scores and the penalty.
     """
     kept = [name for name in df.columns if name not in ("human_score", "likely_is")]
-    p = _from_dict(config)
-    scored = add_class(add_person_score(add_rule_scores(add_features(df, as_of)), p), p)
     extra = ["account_days", *FEATURES, *SCORES] if detail else []
-    return _sealed(scored, kept, [*extra, "human_score", "likely_is"])
+    return _scored(_based(df, as_of), _from_dict(config)).select(*kept, *extra, "human_score", "likely_is")
 
 
 def sweep_configs(df: DataFrame, as_of, configs: dict[str, Config]) -> DataFrame:
@@ -242,9 +255,6 @@ def sweep_configs(df: DataFrame, as_of, configs: dict[str, Config]) -> DataFrame
     """
     kept = [name for name in df.columns if name not in ("human_score", "likely_is")]
     entries = [F.struct(F.lit(name).alias("name"), config_column(cfg).alias("cfg")) for name, cfg in configs.items()]
-    base = add_rule_scores(add_features(df, as_of))
-    repeated = base.withColumn("_entry", F.explode(F.array(*entries)))
+    repeated = _based(df, as_of).withColumn("_entry", F.explode(F.array(*entries)))
     repeated = repeated.withColumns({"config_name": F.col("_entry.name"), "_cfg": F.col("_entry.cfg")})
-    p = _from_struct("_cfg")
-    scored = add_class(add_person_score(repeated, p), p)
-    return _sealed(scored, [*kept, "config_name"], ["human_score", "likely_is"])
+    return _scored(repeated, _from_struct("_cfg")).select(*kept, "config_name", "human_score", "likely_is")
