@@ -63,3 +63,7 @@ def unit_hash(*parts: Column) -> Column:
     """Deterministic number in [0, 1) from the first 32 bits of an md5."""
     digest = F.md5(F.concat_ws("|", *[p.cast("string") for p in parts]))
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
+
+
+def row_count() -> Column:
+    return F.count(F.lit(1))
