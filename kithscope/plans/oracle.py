@@ -202,4 +202,7 @@ def oracle(sql: str, **extra: str) -> str:
 
     visit(sql)
     head = ",\n".join(f"{name} as materialized ({known[name]})" for name in needed)
-    return f"with {head}\n{sql}" if needed else sql
+    if not needed:
+        return sql
+    body = f"select * from ({sql}) wrapped" if sql.lstrip().startswith("with ") else sql
+    return f"with {head}\n{body}"
