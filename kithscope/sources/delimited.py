@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kithscope.functions.text import csv_cell, label_word, trim_all
+from kithscope.functions.text import label_word, trim_all
 from kithscope.schemas import AUDIENCE
 
 LEAD_COLUMNS = ["username", "bio", "followers", "score", "tags", "rationale"]
@@ -16,6 +16,11 @@ def _read_csv(spark: SparkSession, path: str, ddl: str) -> DataFrame:
     return reader.option("enforceSchema", True).option("mode", "PERMISSIVE").csv(path)
 
 
+def _unquoted(name: str) -> Column:
+    """Free text without a stray quote at either end; missing text is empty."""
+    return trim_all(F.regexp_replace(trim_all(F.coalesce(F.col(name), F.lit(""))), '^"|"$', ""))
+
+
 def read_leads(spark: SparkSession, path: str) -> DataFrame:
     """Lead list with doubled-quote escaping. Rows need five cells; a bad number counts as 0."""
     raw = _read_csv(spark, path, "username string, bio string, followers string, score string, tags string, rationale string")
@@ -23,11 +28,11 @@ def read_leads(spark: SparkSession, path: str) -> DataFrame:
     score = F.regexp_extract(trim_all(F.col("score")), r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?", 0)
     return raw.filter(F.col("tags").isNotNull()).select(
         trim_all(F.col("username")).alias("username"),
-        trim_all(F.coalesce("bio", F.lit(""))).alias("bio"),
+        _unquoted("bio").alias("bio"),
         F.coalesce(followers.try_cast("bigint"), F.lit(0)).alias("followers"),
         F.coalesce(score.try_cast("double"), F.lit(0.0)).alias("score"),
         trim_all(F.col("tags")).alias("tags"),
-        F.coalesce(trim_all(F.col("rationale")), F.lit("")).alias("rationale"),
+        _unquoted("rationale").alias("rationale"),
     )
 
 
@@ -49,13 +54,6 @@ def read_progress(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def progress_lines(df: DataFrame) -> DataFrame:
-    """Hand labels as text lines; the reason is always quoted."""
-    reason = F.replace(F.coalesce("reason", F.lit("")), F.lit('"'), F.lit('""'))
-    cells = [F.col("handle"), label_word(F.col("label")), F.concat(F.lit('"'), reason, F.lit('"')), F.coalesce("class", F.lit(""))]
-    return df.select(F.concat_ws(",", *cells).alias("value"))
-
-
 def write_progress(df: DataFrame, path: str) -> None:
     """CSV parts, each with its header, readable by :func:`read_progress`."""
     out = df.select("handle", label_word(F.col("label")).alias("label"), F.coalesce("reason", F.lit("")).alias("reason"),
@@ -73,8 +71,3 @@ def write_lines(df: DataFrame, path: str, header: list[str]) -> None:
     """Rows as CSV parts in the order of the DataFrame's range partitions, a header in every part."""
     df.toDF(*header).write.mode("errorifexists").option("header", True).option("quote", '"').option("escape", '"').csv(path)
 
-
-__all__ = [
-    "LEAD_COLUMNS", "csv_cell", "progress_lines", "read_audience", "read_handles", "read_leads",
-    "read_progress", "write_lines", "write_progress",
-]
