@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kithscope.functions import bands, text
 from kithscope.functions.authenticity import FEATURES, SCORES, score_accounts, sweep_configs
 from kithscope.functions.numbers import count_if, r6
-from kithscope.functions.scoring_config import DEFAULT_CONFIG, merge_config
+from kithscope.functions.scoring_config import DEFAULT_CONFIG, config_from_json, merge_config
 from kithscope.functions.times import age_in_days, parse_created_at, platform_text
 from kithscope.operators import accounts, rescore
 from kithscope.plans.catalog import Catalog
@@ -501,3 +503,14 @@ def _(w):
     return swept.groupBy("config_name", "likely_is").agg(
         F.count(F.lit(1)).alias("n"), r6(F.avg("human_score")).alias("mean_score")
     )
+
+
+@catalog.query(
+    "x2_config_plugin",
+    "select twitter_id, score4 as human_score, cls as likely_is from strict",
+    strict=scoring_sql("user_stats", STRICT_SQL),
+)
+def _(w):
+    """The strict config as the JSON text a caller would bring."""
+    config = config_from_json(json.dumps(STRICT))
+    return score_accounts(w.user_stats, w.as_of, config).select("twitter_id", "human_score", "likely_is")

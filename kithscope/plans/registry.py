@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kithscope.plans import account_queries, evaluation_queries, relation_queries, state_queries
+from kithscope.plans import account_queries, evaluation_queries, label_queries, relation_queries, state_queries, stream_queries
 from kithscope.plans.catalog import Build
 from kithscope.plans.workspace import Workspace
 
-CATALOGS = [account_queries.catalog, relation_queries.catalog, evaluation_queries.catalog, state_queries.catalog]
+CATALOGS = [account_queries.catalog, relation_queries.catalog, evaluation_queries.catalog, state_queries.catalog, label_queries.catalog, stream_queries.catalog]
 
 
 def _bind(build: Build) -> Callable[[SparkSession, str], DataFrame]:
