@@ -1,22 +1,21 @@
-"""Authenticity score and account class as staged Column expressions.
+"""Authenticity score and account class as staged SQL expressions.
 
-Every stage is one projection that only reads the stage before it. Catalyst keeps such stages apart
-when an expensive expression is read more than once, so no logarithm or exponential is computed twice,
-and the whole computation stays inside one code-generated span without any Python worker.
+Every stage is one projection that only reads the stage before it, so no logarithm or exponential is
+computed twice, and everything runs inside generated code without any Python worker. The formulas are
+written as expression text: one parse per column costs the driver far less than one call per operator.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kithscope.functions.numbers import bell, clamp, falling, rising, round4, sigmoid
 from kithscope.functions.scoring_config import DEFAULT_CONFIG, Config, config_column
 from kithscope.functions.times import age_in_days
 
-Lookup = Callable[[str, str], Column]
+Lookup = Callable[[str, str], str]
 
 COUNTS = ["followers", "following", "statuses", "favorites", "listed", "media"]
 FLAGS = ["blue_verified", "default_profile", "default_image", "sensitive"]
@@ -29,23 +28,55 @@ FEATURES = [
 SCORES = ["bot_score", "creator_score", "entity_score", "person_score", "penalty"]
 
 
-def _from_dict(config: Config) -> Lookup:
-    return lambda group, name: F.lit(float(config[group][name]))
+def number(value: float) -> str:
+    """A double literal; a bare 0.1 would be a decimal."""
+    return f"{float(value)!r}D"
 
 
-def _from_struct(column: str) -> Lookup:
-    return lambda group, name: F.col(column)[group][name]
+def sigmoid(x: str) -> str:
+    return f"(1D / (1D + exp(-({x}))))"
+
+
+def rising(x: str, midpoint: float, steepness: float) -> str:
+    """Logistic step from 0 to 1 around the midpoint."""
+    return sigmoid(f"({x} - {number(midpoint)}) * {number(steepness)}")
+
+
+def falling(x: str, midpoint: float, steepness: float) -> str:
+    return f"(1D - {rising(x, midpoint, steepness)})"
+
+
+def bell(x: str, peak: float, width: float) -> str:
+    z = f"(({x} - {number(peak)}) / {number(width)})"
+    return f"exp(-({z} * {z}))"
 
 
-def _stage(df: DataFrame, **columns: Column) -> DataFrame:
-    return df.withColumns(columns)
+def ladder(steps: list[tuple[str, str]], rest: str) -> str:
+    return f"(case {' '.join(f'when {test} then {value}' for test, value in steps)} else {rest} end)"
+
+
+def declining(x: str, knots: list[tuple[float, float]], tail: float, floor: float) -> str:
+    """Piecewise linear curve through (x, y) knots: flat before the first, falling by a tenth per
+    ``tail`` after the last and never below ``floor``."""
+    steps = [(f"{x} <= {number(knots[0][0])}", number(knots[0][1]))]
+    for (x0, y0), (x1, y1) in zip(knots, knots[1:]):
+        slope = f"({number(round(y0 - y1, 10))} * ({x} - {number(x0)})) / {number(x1 - x0)}"
+        steps.append((f"{x} <= {number(x1)}", f"{number(y0)} - {slope}"))
+    x0, y0 = knots[-1]
+    rest = f"greatest({number(floor)}, {number(y0)} - (0.1D * ({x} - {number(x0)})) / {number(tail)})"
+    return ladder(steps, rest)
+
+
+def _stage(df: DataFrame, **columns: str) -> DataFrame:
+    return df.selectExpr("*", *[f"{text} as {name}" for name, text in columns.items()])
+
+
+def _from_dict(config: Config) -> Lookup:
+    return lambda group, name: number(config[group][name])
 
 
-def _ladder(steps: list[tuple[Column, Column]], rest: Column) -> Column:
-    out = F.when(steps[0][0], steps[0][1])
-    for condition, value in steps[1:]:
-        out = out.when(condition, value)
-    return out.otherwise(rest)
+def _from_struct(column: str) -> Lookup:
+    return lambda group, name: f"{column}.{group}.{name}"
 
 
 def _sealed(df: DataFrame, results: list[str]) -> DataFrame:
@@ -57,172 +88,127 @@ def _sealed(df: DataFrame, results: list[str]) -> DataFrame:
     span over all stages runs about ten times slower, interpreted). Filters on other columns pass through.
     """
     kept = [name for name in df.columns if name not in results]
-    row = F.struct(*[F.col(name) for name in results])
-    return df.select(*kept, F.inline(F.array(row)).alias(*results))
+    row = f"inline(array(struct({', '.join(results)}))) as ({', '.join(results)})"
+    return df.selectExpr(*kept, row)
 
 
 def add_features(df: DataFrame, as_of) -> DataFrame:
     """The derived inputs of all class scores, one row in, one row out (no shuffle)."""
-    c = F.col
-    df = _stage(df, account_days=age_in_days(c("created_at"), as_of))
+    df = df.withColumn("account_days", age_in_days(F.col("created_at"), as_of))
     df = _stage(
         df,
-        ratio=clamp(F.log10((c("followers") + 1) / (c("following") + 1)), -2.0, 3.0),
-        engagement=F.least(F.lit(1.0), c("favorites") / (c("statuses") + 1)),
-        list_presence=F.tanh(c("listed") / F.lit(50.0)),
-        media_share=F.least(F.lit(1.0), c("media") / (c("statuses") + 1)),
-        age_curve=F.lit(1.0) - F.exp(-c("account_days") / F.lit(365.0)),
-        activity=c("statuses") / (c("account_days") + 1),
-        customised=(F.lit(2.0) - c("default_profile").cast("double") - c("default_image").cast("double")) / 2,
-        safety=F.lit(1.0) - F.lit(0.3) * c("sensitive").cast("double"),
-        verified=c("blue_verified").cast("double"),
+        ratio="greatest(-2D, least(3D, log10((followers + 1) / (following + 1))))",
+        engagement="least(1D, favorites / (statuses + 1))",
+        list_presence="tanh(listed / 50D)",
+        media_share="least(1D, media / (statuses + 1))",
+        age_curve="1D - exp(-account_days / 365D)",
+        activity="statuses / (account_days + 1)",
+        customised="(2D - cast(default_profile as double) - cast(default_image as double)) / 2D",
+        safety="1D - 0.3D * cast(sensitive as double)",
+        verified="cast(blue_verified as double)",
     )
-    return _stage(df, ratio_norm=(c("ratio") + 2) / F.lit(5.0))
+    return _stage(df, ratio_norm="(ratio + 2D) / 5D")
 
 
 def add_rule_scores(df: DataFrame) -> DataFrame:
     """Bot, creator and entity likelihood; their coefficients are fixed, not configurable."""
-    c = F.col
-    bot = (
-        F.lit(-3.0)
-        + 3 * rising(c("activity"), 50, 0.1)
-        + 2 * falling(c("engagement"), 0.1, 5)
-        + 1.5 * falling(c("ratio"), -1.5, 5)
-        + 1.5 * (1 - c("customised"))
-        + falling(c("age_curve"), 0.1, 10)
-    )
-    creator = (
-        F.lit(-2.5)
-        + 1.5 * rising(c("ratio"), 1, 1)
-        + 1.2 * c("media_share")
-        + 0.8 * c("list_presence")
-        + 0.5 * c("verified")
-        + 0.8 * rising(c("followers"), 10000, 0.0003)
-    )
-    entity = (
-        F.lit(-2.5)
-        + 1.2 * rising(c("ratio"), 1.7, 1)
-        + 0.8 * (1 - c("engagement"))
-        + 0.6 * c("media_share")
-        + 0.5 * c("verified")
-        + 0.8 * bell(c("activity"), 3, 5)
-    )
-    return _stage(df, bot_score=sigmoid(bot), creator_score=sigmoid(creator), entity_score=sigmoid(entity))
+    bot = [
+        "-3D", f"3D * {rising('activity', 50, 0.1)}", f"2D * {falling('engagement', 0.1, 5)}",
+        f"1.5D * {falling('ratio', -1.5, 5)}", "1.5D * (1D - customised)", falling("age_curve", 0.1, 10),
+    ]
+    creator = [
+        "-2.5D", f"1.5D * {rising('ratio', 1, 1)}", "1.2D * media_share", "0.8D * list_presence", "0.5D * verified",
+        f"0.8D * {rising('followers', 10000, 0.0003)}",
+    ]
+    entity = [
+        "-2.5D", f"1.2D * {rising('ratio', 1.7, 1)}", "0.8D * (1D - engagement)", "0.6D * media_share",
+        "0.5D * verified", f"0.8D * {bell('activity', 3, 5)}",
+    ]
+    sums = {"bot_score": bot, "creator_score": creator, "entity_score": entity}
+    return _stage(df, **{name: sigmoid(" + ".join(terms)) for name, terms in sums.items()})
 
 
-def _activity_signal(p: Lookup) -> Column:
-    a = F.col("activity")
+def _activity_signal(p: Lookup) -> str:
     low, start = p("activityThresholds", "low"), p("activityThresholds", "veryLow")
-    return _ladder(
+    upto = lambda name: f"activity <= {p('activityThresholds', name)}"
+    return ladder(
         [
-            (a < start, F.lit(0.5)),
-            (a < low, F.lit(0.5) + F.lit(0.4) * (a - start) / (low - start)),
-            (a <= p("activityThresholds", "optimalMax"), F.lit(0.9) + F.lit(0.1) * bell(a, 1, 0.5)),
-            (a <= p("activityThresholds", "highMax"), F.lit(0.75)),
-            (a <= p("activityThresholds", "veryHighMax"), F.lit(0.45)),
+            (f"activity < {start}", "0.5D"),
+            (f"activity < {low}", f"0.5D + (0.4D * (activity - {start})) / ({low} - {start})"),
+            (upto("optimalMax"), f"0.9D + 0.1D * {bell('activity', 1, 0.5)}"),
+            (upto("highMax"), "0.75D"),
+            (upto("veryHighMax"), "0.45D"),
         ],
-        F.lit(0.2),
+        "0.2D",
     )
 
 
-def _declining(x: Column, knots: list[tuple[float, float]], tail_slope: float, floor: float) -> Column:
-    """Piecewise linear curve through (x, y) knots, flat before the first and floored after the last."""
-    steps = [(x <= F.lit(float(knots[0][0])), F.lit(knots[0][1]))]
-    for (x0, y0), (x1, y1) in zip(knots, knots[1:]):
-        drop = F.lit(round(y0 - y1, 10))
-        steps.append((x <= F.lit(float(x1)), F.lit(y0) - drop * (x - x0) / F.lit(float(x1 - x0))))
-    last_x, last_y = knots[-1]
-    tail = F.lit(last_y) - F.lit(0.1) * (x - last_x) / F.lit(tail_slope)
-    return _ladder(steps, F.greatest(F.lit(floor), tail))
-
-
 def add_person_score(df: DataFrame, p: Lookup) -> DataFrame:
     """Weighted sum of nine signals plus a bonus for verified accounts, at most 1."""
-    c = F.col
-    df = _stage(
-        df,
-        _balanced=bell(c("ratio_norm"), 0.4, 0.25),
-        _normal_activity=_activity_signal(p),
-        _established=F.least(F.lit(1.0), F.log10(c("followers") + F.lit(1.0)) / 3),
-        _moderate_following=_declining(c("following"), [(500, 1.0), (1500, 0.85), (3000, 0.6)], 2000.0, 0.3),
-        _engaged=F.least(F.lit(1.0), F.sqrt(c("engagement") * 2)),
-        _reasonable_volume=_declining(c("statuses"), [(5000, 1.0), (10000, 0.8), (20000, 0.5)], 10000.0, 0.3),
-        _age=F.lit(1.0) - F.exp(-c("account_days") / F.lit(500.0)),
-    )
     signals = {
-        "custom": "customised", "engaged": "_engaged", "age": "_age", "safe": "safety", "balanced": "_balanced",
-        "normalActivity": "_normal_activity", "established": "_established",
-        "moderateFollowing": "_moderate_following", "reasonableVolume": "_reasonable_volume",
-    }
-    weighted = [p("personWeights", weight) * c(signal) for weight, signal in signals.items()]
-    total = weighted[0]
-    for term in weighted[1:]:
-        total = total + term
-    df = _stage(df, _base=total)
-    bonus = c("verified") * F.lit(0.08) * rising(c("_base"), 0.7, 10)
-    return _stage(df, person_score=F.least(F.lit(1.0), c("_base") + bonus))
-
-
-def penalty_factor(p: Lookup) -> Column:
+        "custom": "customised",
+        "engaged": "least(1D, sqrt(engagement * 2D))",
+        "age": "1D - exp(-account_days / 500D)",
+        "safe": "safety",
+        "balanced": bell("ratio_norm", 0.4, 0.25),
+        "normalActivity": _activity_signal(p),
+        "established": "least(1D, log10(followers + 1D) / 3D)",
+        "moderateFollowing": declining("following", [(500, 1.0), (1500, 0.85), (3000, 0.6)], 2000, 0.3),
+        "reasonableVolume": declining("statuses", [(5000, 1.0), (10000, 0.8), (20000, 0.5)], 10000, 0.3),
+    }
+    df = _stage(df, _base=" + ".join(f"{p('personWeights', weight)} * ({text})" for weight, text in signals.items()))
+    return _stage(df, person_score=f"least(1D, _base + verified * 0.08D * {rising('_base', 0.7, 10)})")
+
+
+def penalty_factor(p: Lookup) -> str:
     """Product of eight independent warning signs; inside one sign only the stronger case counts."""
-    c, limit, factor = F.col, lambda n: p("penaltyThresholds", n), lambda n: p("penalties", n)
-    one = F.lit(1.0)
-    followers, statuses, activity = c("followers"), c("statuses"), c("activity")
+
+    def sign(*cases: tuple[str, str]) -> str:
+        return ladder([(test, p("penalties", factor)) for test, factor in cases], "1D")
+
+    t = lambda name: p("penaltyThresholds", name)
     signs = [
-        _ladder(
-            [(followers < limit("veryFewFollowers"), factor("veryFewFollowers")),
-             (followers < limit("fewFollowers"), factor("fewFollowers"))], one),
-        _ladder(
-            [(statuses == 0, factor("zeroStatuses")),
-             (statuses < limit("veryFewStatuses"), factor("veryFewStatuses"))], one),
-        _ladder(
-            [(c("account_days") < limit("veryNewDays"), factor("veryNewAccount")),
-             (c("account_days") < limit("newDays"), factor("newAccount"))], one),
-        _ladder([((c("following") > limit("massFollowing")) & (followers < 100), factor("spamPattern"))], one),
-        _ladder(
-            [(activity > limit("hyperactiveTweets"), factor("hyperactive")),
-             (activity > limit("highActivityTweets"), factor("highActivity"))], one),
-        _ladder(
-            [((statuses > limit("hugeStatuses")) & (followers < statuses / 10), factor("highVolumeNoFollowers"))],
-            one),
-        _ladder([(c("customised") < 0.5, factor("defaultProfile"))], one),
-        _ladder(
-            [((c("engagement") < limit("lowEngagementRate"))
-              & (activity > limit("highActivityForLowEngagement")), factor("lowEngagementHighActivity"))], one),
-    ]
-    product = signs[0]
-    for sign in signs[1:]:
-        product = product * sign
-    return product
+        sign((f"followers < {t('veryFewFollowers')}", "veryFewFollowers"), (f"followers < {t('fewFollowers')}", "fewFollowers")),
+        sign(("statuses = 0", "zeroStatuses"), (f"statuses < {t('veryFewStatuses')}", "veryFewStatuses")),
+        sign((f"account_days < {t('veryNewDays')}", "veryNewAccount"), (f"account_days < {t('newDays')}", "newAccount")),
+        sign((f"following > {t('massFollowing')} and followers < 100", "spamPattern")),
+        sign((f"activity > {t('hyperactiveTweets')}", "hyperactive"), (f"activity > {t('highActivityTweets')}", "highActivity")),
+        sign((f"statuses > {t('hugeStatuses')} and followers < statuses / 10", "highVolumeNoFollowers")),
+        sign(("customised < 0.5D", "defaultProfile")),
+        sign(
+            (
+                f"engagement < {t('lowEngagementRate')} and activity > {t('highActivityForLowEngagement')}",
+                "lowEngagementHighActivity",
+            )
+        ),
+    ]
+    return " * ".join(signs)
 
 
 def add_class(df: DataFrame, p: Lookup) -> DataFrame:
     """Class by strict priority, then the strongest class; a bad date gives null instead of a class."""
-    c = F.col
-    bot, entity, creator, person = c("bot_score"), c("entity_score"), c("creator_score"), c("person_score")
     cut = lambda name: p("classificationThresholds", name)
-    choice = _ladder(
+    choice = ladder(
         [
-            (bot > cut("bot"), F.lit("Bot")),
-            ((entity > cut("entity")) & (bot < 0.5), F.lit("Entity")),
-            ((creator > cut("creator")) & (entity < 0.5) & (bot < 0.5), F.lit("Creator")),
-            (person > cut("human"), F.lit("Human")),
-            ((person >= creator) & (person >= entity) & (person >= bot), F.lit("Human")),
-            ((creator >= entity) & (creator >= bot), F.lit("Creator")),
+            ("account_days is null", "null"),
+            (f"bot_score > {cut('bot')}", "'Bot'"),
+            (f"entity_score > {cut('entity')} and bot_score < 0.5D", "'Entity'"),
+            (f"creator_score > {cut('creator')} and entity_score < 0.5D and bot_score < 0.5D", "'Creator'"),
+            (f"person_score > {cut('human')}", "'Human'"),
+            ("person_score >= greatest(creator_score, entity_score, bot_score)", "'Human'"),
+            ("creator_score >= greatest(entity_score, bot_score)", "'Creator'"),
         ],
-        F.lit("Other"),
+        "'Other'",
     )
-    df = _stage(df, likely_is=F.when(c("account_days").isNotNull(), choice), penalty=penalty_factor(p))
+    df = _stage(df, likely_is=choice, penalty=penalty_factor(p))
     raw = (
-        F.when(c("likely_is") == "Bot", 1 - bot)
-        .when(c("likely_is") == "Entity", 1 - entity)
-        .when(c("likely_is") == "Creator", creator)
-        .when(c("likely_is") == "Human", person)
-        .when(c("likely_is") == "Other", F.lit(0.5))
+        "case likely_is when 'Bot' then 1D - bot_score when 'Entity' then 1D - entity_score when 'Creator' then creator_score"
+        " when 'Human' then person_score when 'Other' then 0.5D end"
     )
     df = _stage(df, _raw=raw)
-    score = round4(clamp(c("_raw") * c("penalty"), 0.0, 1.0))
-    return _stage(df, human_score=F.when(c("_raw").isNotNull(), score))
+    # Half up to four decimals, the stored precision of a score.
+    score = "floor(greatest(0D, least(1D, _raw * penalty)) * 10000D + 0.5D) / 10000D"
+    return _stage(df, human_score=f"case when _raw is not null then {score} end")
 
 
 def _scored(df: DataFrame, p: Lookup) -> DataFrame:
@@ -256,5 +242,5 @@ def sweep_configs(df: DataFrame, as_of, configs: dict[str, Config]) -> DataFrame
     kept = [name for name in df.columns if name not in ("human_score", "likely_is")]
     entries = [F.struct(F.lit(name).alias("name"), config_column(cfg).alias("cfg")) for name, cfg in configs.items()]
     repeated = _based(df, as_of).withColumn("_entry", F.explode(F.array(*entries)))
-    repeated = repeated.withColumns({"config_name": F.col("_entry.name"), "_cfg": F.col("_entry.cfg")})
+    repeated = repeated.selectExpr("*", "_entry.name as config_name", "_entry.cfg as _cfg")
     return _scored(repeated, _from_struct("_cfg")).select(*kept, "config_name", "human_score", "likely_is")

@@ -10,29 +10,6 @@ def sigmoid(x: Column) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-x))
 
 
-def clamp(x: Column, low: float, high: float) -> Column:
-    return F.greatest(F.lit(low), F.least(F.lit(high), x))
-
-
-def rising(x: Column, midpoint: float, steepness: float) -> Column:
-    """Logistic step from 0 to 1 around ``midpoint``."""
-    return sigmoid((x - F.lit(midpoint)) * F.lit(steepness))
-
-
-def falling(x: Column, midpoint: float, steepness: float) -> Column:
-    return F.lit(1.0) - rising(x, midpoint, steepness)
-
-
-def bell(x: Column, peak: float, width: float) -> Column:
-    z = (x - F.lit(peak)) / F.lit(width)
-    return F.exp(-(z * z))
-
-
-def round4(x: Column) -> Column:
-    """Round half up to four decimals, the stored precision of every score."""
-    return F.floor(x * 10000 + F.lit(0.5)) / F.lit(10000.0)
-
-
 def r6(x: Column) -> Column:
     return F.round(x, 6)
 

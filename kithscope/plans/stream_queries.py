@@ -10,6 +10,7 @@ from kithscope.functions.numbers import row_count
 from kithscope.plans.account_queries import raw_users
 from kithscope.plans.catalog import Catalog
 from kithscope.plans.workspace import Workspace
+from kithscope.schemas import GIVEN_TABLES
 from kithscope.session import scratch_path
 from kithscope.streaming import ingest, windows
 
@@ -18,8 +19,7 @@ catalog = Catalog()
 
 def event_stream(w: Workspace) -> DataFrame:
     """The events file as a stream of keyword hits."""
-    schema = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
-    rows = w.spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(w.sf_dir)
+    rows = w.spark.readStream.schema(GIVEN_TABLES["events"]).option("pathGlobFilter", "events.parquet").parquet(w.sf_dir)
     return rows.select(
         F.col("user_id").cast("string").alias("twitter_id"), F.col("event_type").alias("keyword"),
         F.col("ts").cast("timestamp").alias("seen_at"), F.col("event_id").alias("seq"),

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from kithscope.functions.authenticity import score_accounts
 from kithscope.functions.bands import QUEUE_GATE
+from kithscope.schemas import GIVEN_TABLES
 
 AS_OF = "2001-07-15 00:00:00"
 CURATED = "@customers"
@@ -25,7 +26,7 @@ class Workspace:
         self.as_of = as_of
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self.spark.read.schema(GIVEN_TABLES[name]).parquet(f"{self.sf_dir}/{name}.parquet")
 
     @cached_property
     def user_stats(self) -> DataFrame:
@@ -45,33 +46,23 @@ class Workspace:
                 F.sum("q").cast("bigint").alias("quantity"),
             )
         )
-        k, lines = F.col("c_custkey"), F.coalesce(F.col("lines"), F.lit(0))
-        balance = F.col("c_acctbal") + 1000
-        mass = k % 20 == 3
-        mixed = (k * 7919) % 7001
-        return (
-            self.raw("customer")
-            .join(per_customer, k == F.col("o_custkey"), "left")
-            .select(
-                k.cast("string").alias("twitter_id"),
-                F.when(mass, k % 120)
-                .when(k % 25 == 4, F.floor(balance * 200))
-                .otherwise(F.floor(balance * (1 + k % 17) / 10))
-                .cast("bigint")
-                .alias("followers"),
-                F.when(mass, 4000 + mixed).when(k % 25 == 4, k % 300).otherwise(mixed).alias("following"),
-                F.when(mass, lines * 20000).otherwise(lines * ((k * 31) % 400)).alias("statuses"),
-                F.when(mass, F.lit(0).cast("bigint"))
-                .otherwise(F.coalesce(F.col("quantity"), F.lit(0)) * (k % 5))
-                .alias("favorites"),
-                (k % 120).alias("listed"),
-                (lines * (k % 7)).alias("media"),
-                (k % 6 == 0).alias("blue_verified"),
-                ((k % 11 == 0) | mass).alias("default_profile"),
-                ((k % 22 == 0) | (k % 40 == 3)).alias("default_image"),
-                (k % 13 == 0).alias("sensitive"),
-                F.when(k % 8 == 5, F.col("last_at")).otherwise(F.col("first_at")).alias("created_at"),
-            )
+        joined = self.raw("customer").join(per_customer, F.col("c_custkey") == F.col("o_custkey"), "left")
+        return joined.selectExpr(
+            "*", "c_custkey % 20 = 3 as mass", "(c_custkey * 7919) % 7001 as mixed", "coalesce(lines, 0) as n_lines"
+        ).selectExpr(
+            "cast(c_custkey as string) as twitter_id",
+            "case when mass then c_custkey % 120 when c_custkey % 25 = 4 then floor((c_acctbal + 1000) * 200)"
+            " else floor((c_acctbal + 1000) * (1 + c_custkey % 17) / 10) end as followers",
+            "case when mass then 4000 + mixed when c_custkey % 25 = 4 then c_custkey % 300 else mixed end as following",
+            "case when mass then n_lines * 20000 else n_lines * ((c_custkey * 31) % 400) end as statuses",
+            "case when mass then 0 else coalesce(quantity, 0) * (c_custkey % 5) end as favorites",
+            "c_custkey % 120 as listed",
+            "n_lines * (c_custkey % 7) as media",
+            "c_custkey % 6 = 0 as blue_verified",
+            "c_custkey % 11 = 0 or mass as default_profile",
+            "c_custkey % 22 = 0 or c_custkey % 40 = 3 as default_image",
+            "c_custkey % 13 = 0 as sensitive",
+            "case when c_custkey % 8 = 5 then last_at else first_at end as created_at",
         )
 
     @cached_property
