@@ -2,22 +2,26 @@
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed pattern: characters removed from free text (backslash, quotes, comma, controls).
-STRIPPED_CHARS = "[\\\\\"',\\x00-\\x1F\\x7F]"
-# Fixed pattern: white space cut at both ends, which includes U+00A0 and U+FEFF.
-EDGE_SPACE = "^[\\s\\x0B\\u00A0\\u1680\\u2000-\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000\\uFEFF]+|[\\s\\x0B\\u00A0\\u1680\\u2000-\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000\\uFEFF]+$"
+# Fixed set: characters removed from free text (backslash, quotes, comma, controls 0-31 and 127).
+STRIPPED_CHARS = "\\\"'," + "".join(map(chr, range(32))) + chr(127)
+# Fixed set: white space cut at both ends, which includes U+00A0 and U+FEFF.
+EDGE_CHARS = "\t\n\x0b\x0c\r \u00a0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000\ufeff"
+
+LATIN_LETTERS = string.ascii_letters
 
 
 def trim_all(text: Column) -> Column:
-    return F.regexp_replace(text, EDGE_SPACE, "")
+    return F.btrim(text, F.lit(EDGE_CHARS))
 
 
 def normalize_text(text: Column) -> Column:
     """Drop separators, quotes and control characters; words across a newline join."""
-    return trim_all(F.regexp_replace(text, STRIPPED_CHARS, ""))
+    return trim_all(F.translate(text, STRIPPED_CHARS, ""))
 
 
 def non_empty(text: Column) -> Column:
@@ -92,5 +96,5 @@ def strip_code_fence(text: Column) -> Column:
 
 def latin_share(text: Column) -> Column:
     """Share of basic Latin letters among all characters; 0 for missing or empty text."""
-    letters = F.length(F.regexp_replace(text, "[^A-Za-z]", "")).cast("double")
-    return F.when(non_empty(text), letters / F.length(text)).otherwise(F.lit(0.0))
+    others = F.length(F.translate(text, LATIN_LETTERS, ""))
+    return F.when(non_empty(text), F.lit(1.0) - others / F.length(text)).otherwise(F.lit(0.0))

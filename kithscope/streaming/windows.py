@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,20 +31,20 @@ def first_seen_stream(hits: DataFrame, ttl_ms: int | None = None) -> DataFrame:
         if state.hasTimedOut:
             state.remove()
             return
-        best = None
+        known, best = state.exists, None
         for frame in frames:
-            if state.exists:
+            if known:
                 continue
-            row = frame.sort_values(["seen_at", "seq"]).iloc[0]
-            if best is None or (row["seen_at"], row["seq"]) < (best["seen_at"], best["seq"]):
-                best = row
+            at, seq = frame["seen_at"].to_numpy(), frame["seq"].to_numpy()
+            row = np.lexsort((seq, at))[0]
+            found = (at[row], seq[row], frame["keyword"].iat[row])
+            best = found if best is None or found < best else best
         if ttl_ms is not None:
             state.setTimeoutDuration(ttl_ms)
         if best is not None:
             state.update((True,))
-            yield pd.DataFrame(
-                {"twitter_id": [key[0]], "keyword": [best["keyword"]], "seen_at": [best["seen_at"]], "seq": [best["seq"]]}
-            )
+            first = {"twitter_id": key[0], "keyword": best[2], "seen_at": best[0], "seq": best[1]}
+            yield pd.DataFrame([first])
 
     timeout = GroupStateTimeout.NoTimeout if ttl_ms is None else GroupStateTimeout.ProcessingTimeTimeout
     return hits.select("twitter_id", "keyword", "seen_at", "seq").groupBy("twitter_id").applyInPandasWithState(
