@@ -33,13 +33,10 @@ def run_to_table(w: Workspace, writer: DataStreamWriter, label: str, schema: str
     return w.spark.read.schema(schema).parquet(path)
 
 
-HIT = "twitter_id string, keyword string, seen_at timestamp, seq bigint"
-
-
 @catalog.query("t2_drop_repeats", "select distinct cast(user_id as varchar) as twitter_id, event_type as keyword from events")
 def _(w):
     unique = windows.drop_repeats(event_stream(w), "seen_at", "60 days")
-    stored = run_to_table(w, unique.writeStream, "repeats", HIT)
+    stored = run_to_table(w, unique.writeStream, "repeats", windows.HIT)
     return stored.select("twitter_id", "keyword")
 
 
@@ -49,7 +46,7 @@ def _(w):
     row_number() over (partition by user_id order by ts, event_id) as seen from events) t where seen=1 group by 1, 2""",
 )
 def _(w):
-    seen = run_to_table(w, windows.first_seen_stream(event_stream(w)).writeStream.outputMode("append"), "first", HIT)
+    seen = run_to_table(w, windows.first_seen_stream(event_stream(w)).writeStream.outputMode("append"), "first", windows.HIT)
     day = F.date_trunc("day", "seen_at").cast("timestamp_ntz")
     return seen.groupBy("keyword", day.alias("d")).agg(row_count().alias("new_profiles"))
 

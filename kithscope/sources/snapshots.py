@@ -21,8 +21,9 @@ MANIFEST = "bucket int, version int, tag string"
 
 
 class SnapshotTable:
-    def __init__(self, spark: SparkSession, root: str, schema: str, keys: list[str], buckets: int = 64):
-        self.spark, self.root, self.schema, self.keys, self.buckets = spark, root.rstrip("/"), schema, keys, buckets
+    def __init__(self, spark: SparkSession, root: str, schema: str, keys: list[str], buckets: int = 64, slots: int = 8):
+        self.spark, self.root, self.schema, self.keys = spark, root.rstrip("/"), schema, keys
+        self.buckets, self.slots = buckets, slots
 
     def _with_bucket(self, df: DataFrame) -> DataFrame:
         # The first key alone places a row, so tables that share it keep their rows in equal buckets.
@@ -70,7 +71,10 @@ class SnapshotTable:
         version = current + 1
         stored = self._read({b: held[b] for b in touched if b in held})
         merged = self._with_bucket(resolve(stored, incoming))
-        shuffled = merged.repartition("bucket", *self.keys)
+        # A bucket may be large, so its rows go to a fixed number of slots by full key: tasks stay even
+        # under a hot first key, and a bucket never gets more files than it has slots.
+        slot = F.pmod(F.xxhash64(*self.keys, F.lit("slot")), F.lit(self.slots))
+        shuffled = merged.repartition(F.col("bucket"), slot)
         shuffled.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.root}/data/v={version}")
         entries = self.spark.createDataFrame([(b, version, tag) for b in touched], MANIFEST)
         entries.coalesce(1).write.mode("append").json(f"{self.root}/manifest")
