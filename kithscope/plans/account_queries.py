@@ -141,7 +141,7 @@ def _(w):
 @catalog.query(
     "p5_account_age",
     f"""select twitter_id, round(case when created_at is not null then greatest(0e0,
-    (epoch_us(timestamp '{AS_OF}')-epoch_us(created_at))/86400000000e0) end, 6) as account_days from user_stats""",
+    (epoch_us(timestamp '{AS_OF}')-epoch_us(created_at))/86400000000e0) end + 1e-9, 6) as account_days from user_stats""",
 )
 def _(w):
     spelled = F.when(
@@ -346,7 +346,7 @@ def _(w):
 
 @catalog.query(
     "p19_follow_ratio",
-    """select twitter_id, round(following/(followers+1e0), 6) as follow_ratio from user_stats
+    """select twitter_id, round(following/(followers+1e0) + 1e-9, 6) as follow_ratio from user_stats
     where followers>0 and following/(followers+1e0) < 10""",
 )
 def _(w):
@@ -388,9 +388,9 @@ def detail(w: Workspace) -> DataFrame:
 
 @catalog.query(
     "h1_features",
-    """select twitter_id, round(age_d,6) as account_days, round(rat,6) as ratio, round(rn,6) as ratio_norm,
-    round(eng,6) as engagement, round(lis,6) as list_presence, round(med,6) as media_share, round(agec,6) as age_curve,
-    round(act,6) as activity, round(cust,6) as customised, round(saf,6) as safety, round(ver,6) as verified from detail""",
+    """select twitter_id, round(age_d + 1e-9, 6) as account_days, round(rat + 1e-9, 6) as ratio, round(rn + 1e-9, 6) as ratio_norm,
+    round(eng + 1e-9, 6) as engagement, round(lis + 1e-9, 6) as list_presence, round(med + 1e-9, 6) as media_share, round(agec + 1e-9, 6) as age_curve,
+    round(act + 1e-9, 6) as activity, round(cust + 1e-9, 6) as customised, round(saf + 1e-9, 6) as safety, round(ver + 1e-9, 6) as verified from detail""",
 )
 def _(w):
     return detail(w).select("twitter_id", r6(F.col("account_days")).alias("account_days"),
@@ -398,7 +398,7 @@ def _(w):
 
 
 def _one_score(name: str, sql_name: str) -> None:
-    @catalog.query(f"{name}", f"select twitter_id, round({sql_name},6) as score from detail")
+    @catalog.query(f"{name}", f"select twitter_id, round({sql_name} + 1e-9, 6) as score from detail")
     def _(w):
         return detail(w).select("twitter_id", r6(F.col(name.split("_", 1)[1])).alias("score"))
 
@@ -417,8 +417,8 @@ def _(w):
 
 @catalog.query(
     "h8_detailed_scores",
-    """select twitter_id, round(bot,6) as bot_score, round(creator,6) as creator_score, round(entity,6) as entity_score,
-    round(person,6) as person_score, round(penalty,6) as penalty, round(act,6) as activity, score4 as human_score,
+    """select twitter_id, round(bot + 1e-9, 6) as bot_score, round(creator + 1e-9, 6) as creator_score, round(entity + 1e-9, 6) as entity_score,
+    round(person + 1e-9, 6) as person_score, round(penalty + 1e-9, 6) as penalty, round(act + 1e-9, 6) as activity, score4 as human_score,
     cls as likely_is from detail""",
 )
 def _(w):
@@ -482,7 +482,7 @@ def _(w):
 
 @catalog.query(
     "h10_biggest_downgrades",
-    """select handle, old_score, new_score, round(diff,6) as diff, old_class, new_class from changed
+    """select handle, old_score, new_score, round(diff + 1e-9, 6) as diff, old_class, new_class from changed
     where abs(diff)>=0.001 and diff<=0 order by diff, handle limit 20""",
     **STRICT_VIEWS,
 )
@@ -493,7 +493,7 @@ def _(w):
 
 @catalog.query(
     "h11_config_sweep",
-    """select config_name, cls as likely_is, count(*) as n, round(avg(score4),6) as mean_score from (
+    """select config_name, cls as likely_is, count(*) as n, round(avg(score4) + 1e-9, 6) as mean_score from (
       select 'default' as config_name, cls, score4 from detail union all
       select 'strict', cls, score4 from strict) t group by 1, 2""",
     strict=scoring_sql("user_stats", STRICT_SQL),

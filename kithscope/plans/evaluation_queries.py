@@ -54,7 +54,7 @@ def _(w):
 @catalog.query(
     "a7_final_scores",
     """select twitter_id, handle, human_score, likely_is, avg_llm, llm_count, keywords, is_curated, has_llm,
-    round(final_score, 6) as final_score from finals""",
+    round(final_score + 1e-9, 6) as final_score from finals""",
 )
 def _(w):
     out = rounded(finals(w), "final_score").withColumn("keywords", F.array_join("keywords", "; "))
@@ -114,7 +114,7 @@ def _(w):
 @catalog.query(
     "w1_rolling_mean",
     """select scored_by, twitter_id, scored_at, round(avg(llm) over (partition by scored_by order by scored_at, twitter_id
-    rows between 49 preceding and current row), 6) as rolling_mean from numbered_labels""",
+    rows between 49 preceding and current row) + 1e-9, 6) as rolling_mean from numbered_labels""",
 )
 def _(w):
     labels = w.profile_scores.select("scored_by", "twitter_id", "scored_at", label_to_number(F.col("label")).alias("llm"))
@@ -133,7 +133,7 @@ def _(w):
 
 @catalog.query(
     "w3_top_share",
-    """select twitter_id, round(final_score, 6) as final_score, round(share, 6) as top_share from (
+    """select twitter_id, round(final_score + 1e-9, 6) as final_score, round(share + 1e-9, 6) as top_share from (
     select *, cume_dist() over (order by final_score desc) * 100 as share from finals where has_llm) t where is_curated""",
 )
 def _(w):
@@ -143,7 +143,7 @@ def _(w):
 @catalog.query(
     "w4_seed_ranks",
     """select count(*) filter (where rk<=50) as in_top_50, count(*) filter (where rk<=100) as in_top_100,
-    round(avg(rk), 6) as mean_rank from (select twitter_id, rank() over (order by 0.3e0*has+0.7e0*llm desc) as rk from num
+    round(avg(rk) + 1e-9, 6) as mean_rank from (select twitter_id, rank() over (order by 0.3e0*has+0.7e0*llm desc) as rk from num
     where scored_by='model-a') t where twitter_id in (select twitter_id from user_keywords where keyword='@customers')""",
     num=NUM,
 )
@@ -161,8 +161,8 @@ def _(w):
 
 @catalog.query(
     "w5_empirical_cdf",
-    """select distinct is_curated, round(final_score, 6) as final_score, round(cume_dist() over (partition by is_curated
-    order by final_score), 6) as cdf from finals where has_llm""",
+    """select distinct is_curated, round(final_score + 1e-9, 6) as final_score, round(cume_dist() over (partition by is_curated
+    order by final_score) + 1e-9, 6) as cdf from finals where has_llm""",
 )
 def _(w):
     scored = marked(w).filter(F.col("has_llm"))
@@ -192,7 +192,7 @@ def _(w):
 
 @catalog.query(
     "k2_largest_gaps",
-    """select twitter_id, scored_by, has as human_score, llm, round(abs(has-llm), 6) as gap from num
+    """select twitter_id, scored_by, has as human_score, llm, round(abs(has-llm) + 1e-9, 6) as gap from num
     order by abs(has-llm) desc, twitter_id, scored_by limit 10""",
     num=NUM,
 )
@@ -206,12 +206,12 @@ def _(w):
 @catalog.query(
     "a11_overview",
     """select 'profiles' as name, cast(count(*) as double) as value from profiles union all
-    select 'mean_human_score', round(avg(human_score), 6) from profiles union all
+    select 'mean_human_score', round(avg(human_score) + 1e-9, 6) from profiles union all
     select 'pending', cast(count(*) as double) from queue union all
     select 'with_stats', cast(count(*) as double) from user_stats union all
-    select 'mean_followers', round(avg(followers), 6) from user_stats union all
-    select 'mean_following', round(avg(following), 6) from user_stats union all
-    select 'mean_statuses', round(avg(statuses), 6) from user_stats""",
+    select 'mean_followers', round(avg(followers) + 1e-9, 6) from user_stats union all
+    select 'mean_following', round(avg(following) + 1e-9, 6) from user_stats union all
+    select 'mean_statuses', round(avg(statuses) + 1e-9, 6) from user_stats""",
 )
 def _(w):
     return rounded(label_stats.overview(w.profiles, w.queue, w.user_stats), "value")
@@ -219,12 +219,12 @@ def _(w):
 
 FIVE = """quantile_cont({0}, 0e0) as minimum, quantile_cont({0}, 0.25) as q1, quantile_cont({0}, 0.5) as median,
  quantile_cont({0}, 0.75) as q3, quantile_cont({0}, 1e0) as maximum"""
-FIVE6 = """round(minimum, 6) as minimum, round(q1, 6) as q1, round(median, 6) as median, round(q3, 6) as q3, round(maximum, 6) as maximum"""
+FIVE6 = """round(minimum + 1e-9, 6) as minimum, round(q1 + 1e-9, 6) as q1, round(median + 1e-9, 6) as median, round(q3 + 1e-9, 6) as q3, round(maximum + 1e-9, 6) as maximum"""
 
 
 @catalog.query(
     "a12_describe",
-    f"""select "count", round(mean, 6) as mean, round(std, 6) as std, {FIVE6} from (select count(human_score) as "count",
+    f"""select "count", round(mean + 1e-9, 6) as mean, round(std + 1e-9, 6) as std, {FIVE6} from (select count(human_score) as "count",
     avg(human_score) as mean, stddev_samp(human_score) as std, {FIVE.format('human_score')} from scores) t""",
 )
 def _(w):
@@ -233,10 +233,10 @@ def _(w):
 
 @catalog.query(
     "a13_model_stats",
-    f"""select scored_by, count(*) as n, round(avg(llm), 6) as mean, median(llm) as median, round(stddev_samp(llm), 6) as std,
-    min(llm) as minimum, max(llm) as maximum, round(avg(has), 6) as mean_has, count(*) filter (where llm>=0.7) as high,
+    f"""select scored_by, count(*) as n, round(avg(llm) + 1e-9, 6) as mean, median(llm) as median, round(stddev_samp(llm) + 1e-9, 6) as std,
+    min(llm) as minimum, max(llm) as maximum, round(avg(has) + 1e-9, 6) as mean_has, count(*) filter (where llm>=0.7) as high,
     count(*) filter (where llm>=0.4 and llm<0.7) as medium, count(*) filter (where llm<0.4) as low,
-    round({CORR.format('llm', 'has')}, 6) as correlation from num group by 1""",
+    round({CORR.format('llm', 'has')} + 1e-9, 6) as correlation from num group by 1""",
     num=NUM,
 )
 def _(w):
@@ -249,8 +249,8 @@ PAIRS = """select a.scored_by as model_a, b.scored_by as model_b, a.llm as llm_a
 
 @catalog.query(
     "a14_model_agreement",
-    f"""select model_a, model_b, count(*) as overlap, round({CORR.format('llm_a', 'llm_b')}, 6) as correlation,
-    round(avg(abs(llm_a-llm_b)), 6) as mean_difference from pairs group by 1, 2""",
+    f"""select model_a, model_b, count(*) as overlap, round({CORR.format('llm_a', 'llm_b')} + 1e-9, 6) as correlation,
+    round(avg(abs(llm_a-llm_b)) + 1e-9, 6) as mean_difference from pairs group by 1, 2""",
     pairs=PAIRS,
 )
 def _(w):
@@ -259,7 +259,7 @@ def _(w):
 
 @catalog.query(
     "a14_correlation_matrix",
-    f"""with c as (select model_a, model_b, round({CORR.format('llm_a', 'llm_b')}, 6) as correlation from pairs group by 1, 2)
+    f"""with c as (select model_a, model_b, round({CORR.format('llm_a', 'llm_b')} + 1e-9, 6) as correlation from pairs group by 1, 2)
     select * from c union all select model_b, model_a, correlation from c
     union all select distinct scored_by, scored_by, 1e0 from numbered_labels""",
     pairs=PAIRS,
@@ -296,8 +296,8 @@ def _(w):
     "a17_keyword_means",
     """with m as (select keyword, avg(llm) as mean, count(*) as n from user_keywords join numbered_labels using (twitter_id)
       where scored_by='model-a' group by 1 having count(*) >= 5)
-    select 'best' as side, keyword, round(mean, 6) as mean, n from (select * from m order by mean desc, keyword limit 5) a
-    union all select 'worst', keyword, round(mean, 6), n from (select * from m order by mean, keyword limit 5) b""",
+    select 'best' as side, keyword, round(mean + 1e-9, 6) as mean, n from (select * from m order by mean desc, keyword limit 5) a
+    union all select 'worst', keyword, round(mean + 1e-9, 6), n from (select * from m order by mean, keyword limit 5) b""",
 )
 def _(w):
     own = w.profile_scores.filter(F.col("scored_by") == "model-a").withColumn("llm", label_to_number(F.col("label")))
@@ -349,7 +349,7 @@ def _(w):
 
 @catalog.query(
     "a22_global_correlation",
-    f"""select round(c, 6) as correlation, case when c>0.7 then 'strong' when c>0.4 then 'moderate' when c is not null then 'weak' end
+    f"""select round(c + 1e-9, 6) as correlation, case when c>0.7 then 'strong' when c>0.4 then 'moderate' when c is not null then 'weak' end
     as strength from (select {CORR.format('has', 'llm')} as c from num) t""",
     num=NUM,
 )
@@ -360,7 +360,7 @@ def _(w):
 @catalog.query(
     "a23_label_mix",
     """select case when label is null then 'null' when label then 'true' else 'false' end as label, count(*) as n,
-    round(100e0*count(*)/(select count(*) from profile_scores), 6) as percent from profile_scores group by 1""",
+    round(100e0*count(*)/(select count(*) from profile_scores) + 1e-9, 6) as percent from profile_scores group by 1""",
 )
 def _(w):
     return rounded(label_stats.label_mix(w.profile_scores), "percent")
@@ -382,9 +382,9 @@ RANKS = """select count(*) as n, avg(share) as mean_top_share, median(share) as
 
 @catalog.query(
     "e1_curated_report",
-    """select is_curated, n, round(mean, 6) as mean, round(median, 6) as median, round(std, 6) as std,
-    round(minimum, 6) as minimum, round(maximum, 6) as maximum, above_high, above_medium, below_medium,
-    round(fnr_high, 6) as fnr_high, round(fnr_medium, 6) as fnr_medium from report""",
+    """select is_curated, n, round(mean + 1e-9, 6) as mean, round(median + 1e-9, 6) as median, round(std + 1e-9, 6) as std,
+    round(minimum + 1e-9, 6) as minimum, round(maximum + 1e-9, 6) as maximum, above_high, above_medium, below_medium,
+    round(fnr_high + 1e-9, 6) as fnr_high, round(fnr_medium + 1e-9, 6) as fnr_medium from report""",
     report=REPORT,
 )
 def _(w):
@@ -404,7 +404,7 @@ def _(w):
 
 @catalog.query(
     "e2_rank_report",
-    """select n, round(mean_top_share, 6) as mean_top_share, round(median_top_share, 6) as median_top_share, in_top_10, in_top_25,
+    """select n, round(mean_top_share + 1e-9, 6) as mean_top_share, round(median_top_share + 1e-9, 6) as median_top_share, in_top_10, in_top_25,
     in_top_50 from ranks""",
     ranks=RANKS,
 )
@@ -414,7 +414,7 @@ def _(w):
 
 @catalog.query(
     "e3_false_negatives",
-    """select twitter_id, handle, round(final_score, 6) as final_score, human_score, avg_llm,
+    """select twitter_id, handle, round(final_score + 1e-9, 6) as final_score, human_score, avg_llm,
     replace(substring(case when bio is null or bio='' then 'No bio' else bio end, 1, 50), chr(10), ' ') as bio_preview
     from finals where is_curated and has_llm and final_score < 0.6""",
 )
@@ -426,7 +426,7 @@ def _(w):
 
 @catalog.query(
     "e3_top_performers",
-    """select twitter_id, handle, round(final_score, 6) as final_score from (select * from finals where is_curated and has_llm
+    """select twitter_id, handle, round(final_score + 1e-9, 6) as final_score from (select * from finals where is_curated and has_llm
     order by final_score desc, twitter_id limit 10) t""",
 )
 def _(w):
@@ -449,7 +449,7 @@ def _(w):
 
 @catalog.query(
     "e5_validate_model",
-    f"""select count(*) as seeds, round(avg(x), 6) as mean, min(x) as minimum, round({CORR.format('x', 'y')}, 6) as correlation,
+    f"""select count(*) as seeds, round(avg(x) + 1e-9, 6) as mean, min(x) as minimum, round({CORR.format('x', 'y')} + 1e-9, 6) as correlation,
     avg(x)>0.75 and min(x)>0.5 as scores_pass, coalesce({CORR.format('x', 'y')}>0.85, false) as correlation_pass from (
     select a.llm as x, case when a.llm is not null then b.llm end as y from
     (select * from numbered_labels where scored_by='model-a') a

@@ -281,7 +281,7 @@ def _(w):
 
 @catalog.query(
     "m3_latin_share",
-    "select doc_id, round(case when text<>'' then length(regexp_replace(text, '[^A-Za-z]', '', 'g'))*1e0/length(text) else 0e0 end, 6) as latin from documents",
+    "select doc_id, round(case when text<>'' then length(regexp_replace(text, '[^A-Za-z]', '', 'g'))*1e0/length(text) else 0e0 end + 1e-9, 6) as latin from documents",
 )
 def _(w):
     return w.raw("documents").select("doc_id", r6(latin_share(F.col("text"))).alias("latin"))
@@ -299,7 +299,7 @@ def _(w):
 
 @catalog.query(
     "m5_feedback_rows",
-    """select handle, round(activity, 6) as activity, round(bio_quality, 6) as bio_quality, round(cos_sim, 5) as cos_sim, scored_by, label
+    """select handle, round(activity + 1e-9, 6) as activity, round(bio_quality + 1e-9, 6) as bio_quality, round(cos_sim, 5) as cos_sim, scored_by, label
     from worthy join profile_scores using (twitter_id) where probability>=0.33 and label is not null""",
     **WORTH_VIEWS,
 )
@@ -321,7 +321,7 @@ def _(w):
 
 @catalog.query(
     "m6_worth_rate",
-    """select day, round(sum(w) over r / sum(n) over r, 6) as worth_rate from (select cast(created_at as date) as day, count(*) as n,
+    """select day, round(sum(w) over r / sum(n) over r + 1e-9, 6) as worth_rate from (select cast(created_at as date) as day, count(*) as n,
     count(*) filter (where score4 > 0.65) as w from detail where created_at is not null group by 1) t
     window r as (order by day range between interval 6 days preceding and current row)""",
 )
@@ -337,7 +337,7 @@ def _(w):
       from finals where final_score is not null),
     g as (select 'curated' as group_name, worth from f where is_curated union all select 'hand_picked', worth from f where hand_picked
       union all select 'platform:' || platform, worth from f union all select 'all', worth from f)
-    select group_name, count(*) as n, count(*) filter (where worth) as found, round(count(*) filter (where worth)*1e0/count(*), 6) as rate
+    select group_name, count(*) as n, count(*) filter (where worth) as found, round(count(*) filter (where worth)*1e0/count(*) + 1e-9, 6) as rate
     from g group by 1""",
 )
 def _(w):
@@ -381,7 +381,7 @@ def _(w):
 
 @catalog.query(
     "m11_other_blends",
-    """select twitter_id, round(human_score*avg_llm, 6) as product, round(case when human_score>=0.55 then avg_llm else human_score*avg_llm end, 6) as gated
+    """select twitter_id, round(human_score*avg_llm + 1e-9, 6) as product, round(case when human_score>=0.55 then avg_llm else human_score*avg_llm end + 1e-9, 6) as gated
     from finals where has_llm""",
 )
 def _(w):

@@ -157,8 +157,8 @@ def _(w):
 
 # --- keyword statistics ------------------------------------------------------------------------------
 
-STATS_SQL = """select s.keyword, coalesce(f.n, 0) as profiles_found, round(coalesce(f.mean, 0e0), 6) as avg_human_score,
-  round(case when l.rated > 0 then l.liked*1e0/l.rated else 0e0 end, 6) as label_rate, p.has_more as still_valid,
+STATS_SQL = """select s.keyword, coalesce(f.n, 0) as profiles_found, round(coalesce(f.mean, 0e0) + 1e-9, 6) as avg_human_score,
+  round(case when l.rated > 0 then l.liked*1e0/l.rated else 0e0 end + 1e-9, 6) as label_rate, p.has_more as still_valid,
   s.pages_searched, s.pages_count, coalesce(f.high, 0) as high_quality_count, coalesce(f.low, 0) as low_quality_count,
   s.first_search_at, s.last_search_at from
   (select keyword, max(page) as pages_searched, count(*) as pages_count, min(query_at) as first_search_at,
@@ -231,7 +231,7 @@ def _(w):
 @catalog.query(
     "a10_effectiveness",
     """select keyword, count(*) as searches, cast(sum(new_profiles) as bigint) as total_new,
-    round(avg(new_profiles), 6) as avg_per_search from searches group by 1""",
+    round(avg(new_profiles) + 1e-9, 6) as avg_per_search from searches group by 1""",
 )
 def _(w):
     return keywords.effectiveness(w.searches).withColumn("avg_per_search", r6(F.col("avg_per_search")))
@@ -240,7 +240,7 @@ def _(w):
 @catalog.query(
     "a10_recent_effectiveness",
     """select keyword, count(*) as searches, cast(sum(new_profiles) as bigint) as total_new,
-    round(avg(new_profiles), 6) as avg_per_search from searches
+    round(avg(new_profiles) + 1e-9, 6) as avg_per_search from searches
     where query_at > timestamp '2024-01-20 00:00:00' - interval 7 days group by 1""",
 )
 def _(w):
@@ -249,7 +249,7 @@ def _(w):
 
 
 ROLLUP = """select keyword, platform, likely_is, cast(grouping(keyword)*4+grouping(platform)*2+grouping(likely_is) as bigint) as grain,
- count(*) as accounts, round(avg(human_score), 6) as mean_score from user_keywords join profiles using (twitter_id)
+ count(*) as accounts, round(avg(human_score) + 1e-9, 6) as mean_score from user_keywords join profiles using (twitter_id)
  group by rollup (keyword, platform, likely_is)"""
 
 
@@ -276,7 +276,7 @@ def _(w):
 
 @catalog.query(
     "a25_new_by_platform",
-    f"select keyword, platform, round(avg(new_profiles), 6) as mean_new from (select *, {PLATFORM} from searches) s group by 1, 2",
+    f"select keyword, platform, round(avg(new_profiles) + 1e-9, 6) as mean_new from (select *, {PLATFORM} from searches) s group by 1, 2",
 )
 def _(w):
     return keywords.new_by_platform(with_platform(w.searches)).withColumn("mean_new", r6(F.col("mean_new")))
@@ -324,7 +324,7 @@ def _(w):
 
 @catalog.query(
     "m7_keyword_health",
-    f"""select s.keyword, s.pages_count, s.profiles_found, round(coalesce(e.a, 0e0), 6) as avg_per_search,
+    f"""select s.keyword, s.pages_count, s.profiles_found, round(coalesce(e.a, 0e0) + 1e-9, 6) as avg_per_search,
     coalesce(e.a, 0e0) < 2 as exhausted from ({STATS_SQL}) s left join (select keyword, avg(new_profiles) as a from searches
     where query_at > timestamp '2024-01-20 00:00:00' - interval 7 days group by 1) e using (keyword)""",
 )

@@ -61,7 +61,7 @@ def _(w):
 
 @catalog.query(
     "k7_general_sample",
-    """select twitter_id, round(final_score, 6) as final_score from (select * from finals where has_llm and not is_curated
+    """select twitter_id, round(final_score + 1e-9, 6) as final_score from (select * from finals where has_llm and not is_curated
     order by md5(twitter_id || '|42'), twitter_id limit 1000) t""",
 )
 def _(w):
@@ -487,7 +487,7 @@ def _(w):
 @catalog.query(
     "q2_new_profile_counts",
     """select count(*) as total, count(*) filter (where new_profiles=0) as zero, count(*) filter (where new_profiles>0) as positive,
-    count(*) filter (where new_profiles<0 or new_profiles>items) as out_of_range, round(avg(new_profiles), 6) as mean,
+    count(*) filter (where new_profiles<0 or new_profiles>items) as out_of_range, round(avg(new_profiles) + 1e-9, 6) as mean,
     max(new_profiles) as maximum from searches""",
 )
 def _(w):
@@ -502,7 +502,7 @@ def _(w):
 @catalog.query(
     "q4_queue_scores",
     """select count(*) as queued, count(*) filter (where human_score<=0.65) as below_gate, min(human_score) as minimum,
-    max(human_score) as maximum, round(avg(human_score), 6) as mean from scores where human_score > 0.65 or likely_is='Creator'""",
+    max(human_score) as maximum, round(avg(human_score) + 1e-9, 6) as mean from scores where human_score > 0.65 or likely_is='Creator'""",
 )
 def _(w):
     loose = w.scores.filter((F.col("human_score") > 0.65) | (F.col("likely_is") == "Creator")).select("twitter_id")
@@ -551,7 +551,7 @@ def checked_leads(w: Workspace) -> DataFrame:
 
 @catalog.query(
     "q7_validate_leads",
-    "select wanted_handle, twitter_id, db_followers, round(db_score, 6) as db_score, status from checked",
+    "select wanted_handle, twitter_id, db_followers, round(db_score + 1e-9, 6) as db_score, status from checked",
     checked=CHECKED,
 )
 def _(w):
