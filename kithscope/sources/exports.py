@@ -46,11 +46,6 @@ def label_rows(labels: DataFrame) -> DataFrame:
     return labels.select("handle", "bio", label_word(F.col("label")).alias("label"), "reason")
 
 
-def csv_lines(df: DataFrame) -> DataFrame:
-    """Rows as CSV text, cells quoted only where needed."""
-    return df.select(F.concat_ws(",", *[csv_cell(F.coalesce(F.col(c).cast("string"), F.lit(""))) for c in df.columns]).alias("value"))
-
-
 def write_ranked(df: DataFrame, path: str, header: list[str], by: str) -> None:
     """Range-sorted parts, highest score first; the part order is the global order."""
     ordered = df.repartitionByRange(F.col(by).desc()).sortWithinPartitions(F.col(by).desc(), "handle")

@@ -9,7 +9,6 @@ import importlib  # noqa: E402
 
 from compare import compare, duck  # noqa: E402
 
-from kithscope.plans.workspace import Workspace  # noqa: E402
 from kithscope.session import local_session  # noqa: E402
 
 
