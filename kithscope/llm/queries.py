@@ -8,9 +8,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kithscope.llm.frames import documents
+from kithscope.llm.op6_decontaminate import find_benchmark
+from kithscope.llm.op8_line_dedup import dedup_lines
 from kithscope.llm.op9_quality_votes import quality_votes
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_benchmark(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(documents(spark, sf_dir)).select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_votes(documents(spark, sf_dir)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.round("quality", 6).alias("quality")
@@ -18,6 +36,24 @@ def op9_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op6_decontaminate": op6_decontaminate,
+    "op8_line_dedup": op8_line_dedup,
     "op9_quality_votes": op9_quality_votes,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op8_line_dedup": r"""
+with lines as (
+    select doc_id, generate_subscripts(parts, 1) as i, unnest(parts) as line
+    from (select doc_id, string_split(coalesce(text, ''), chr(10)) as parts from documents)
+), keyed as (
+    select *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as k
+    from lines
+), repeated as (
+    select k, max(doc_id) as keeper from keyed where length(k) >= 20 group by k having count(distinct doc_id) >= 3
+)
+select l.doc_id, count(*) as n_lines, count(*) filter (keeper is not null and keeper <> l.doc_id) as n_dropped,
+    sha256(coalesce(string_agg(line, chr(10) order by i) filter (keeper is null or keeper = l.doc_id), '')) as kept_sha256
+from keyed l left join repeated r on r.k = l.k
+group by l.doc_id
+""",
+}
