@@ -8,11 +8,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kithscope.llm.frames import documents
+from kithscope.llm.op2_packing import pack
 from kithscope.llm.op6_decontaminate import find_benchmark
 from kithscope.llm.op8_line_dedup import dedup_lines
 from kithscope.llm.op9_quality_votes import quality_votes
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    import public_tokenizers as tokens
+
+    pieces = pack(docs, tokens.path("byte_bpe_50k.json"), ranks_path=tokens.path("byte_bpe_50k.tiktoken"), pattern=tokens.PATTERN, capacity=2048)
+    return pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+
+
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(documents(spark, sf_dir))
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_benchmark(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return found.select(
@@ -36,6 +48,7 @@ def op9_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_packing": op2_packing,
     "op6_decontaminate": op6_decontaminate,
     "op8_line_dedup": op8_line_dedup,
     "op9_quality_votes": op9_quality_votes,
