@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from kithscope.llm.frames import documents
 from kithscope.llm.op2_packing import pack
 from kithscope.llm.op6_decontaminate import find_benchmark
+from kithscope.llm.op7_near_duplicates import near_duplicates
 from kithscope.llm.op8_line_dedup import dedup_lines
 from kithscope.llm.op9_quality_votes import quality_votes
 
@@ -37,6 +38,10 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(documents(spark, sf_dir), threshold=0.8, shingle_words=5).select("doc_id", "class_id")
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(documents(spark, sf_dir)).select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
@@ -50,6 +55,7 @@ def op9_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op6_decontaminate": op6_decontaminate,
+    "op7_near_duplicates": op7_near_duplicates,
     "op8_line_dedup": op8_line_dedup,
     "op9_quality_votes": op9_quality_votes,
 }
