@@ -123,7 +123,7 @@ class VoteModel(NamedTuple):
         for kind, start in self.prior.items():
             total = F.lit(start)
             for rule, (good, bad) in self.weights[kind].items():
-                total = total + F.when(F.col(rule) == 1, F.lit(good)).when(F.col(rule) == -1, F.lit(bad)).otherwise(F.lit(0.0))
+                total = total + F.col(rule) * ((good - bad) / 2) + F.abs(rule) * ((good + bad) / 2)
             junk = junk + F.exp(total)
         return 1 / (1 + junk)
 
@@ -166,7 +166,8 @@ def learn(counts: DataFrame) -> VoteModel:
 
 def judged(counts: DataFrame, model: VoteModel, min_words: int, max_repeat_percent: int, threshold: float) -> DataFrame:
     """``counts`` with votes, ``base_failed``, posterior ``quality`` and ``kept``."""
-    counts = counts.withColumns(rules())
+    # The seam (inline of one struct) keeps the rules from being written out anew in every place that looks at a vote.
+    counts = counts.select("*", F.inline(F.array(F.struct(*(c.alias(n) for n, c in rules().items())))))
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))
     counts = counts.withColumn("quality", model.quality()).withColumn("base_failed", failed)
     return counts.withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= threshold))
