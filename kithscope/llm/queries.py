@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kithscope.llm.frames import documents
+from kithscope.llm.op10_substring_dedup import dedup_substrings
 from kithscope.llm.op2_packing import pack
 from kithscope.llm.op6_decontaminate import find_benchmark
 from kithscope.llm.op7_near_duplicates import near_duplicates
@@ -52,12 +53,17 @@ def op9_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_substrings(documents(spark, sf_dir), length=20).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op6_decontaminate": op6_decontaminate,
     "op7_near_duplicates": op7_near_duplicates,
     "op8_line_dedup": op8_line_dedup,
     "op9_quality_votes": op9_quality_votes,
+    "op10_substring_dedup": op10_substring_dedup,
 }
 SQL: dict[str, str] = {
     "op8_line_dedup": r"""
