@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from kithscope.llm.frames import documents
 from kithscope.llm.op10_substring_dedup import dedup_substrings
 from kithscope.llm.op2_packing import pack
+from kithscope.llm.op5_toxicity_chain import toxicity_chain
 from kithscope.llm.op6_decontaminate import find_benchmark
 from kithscope.llm.op7_near_duplicates import near_duplicates
 from kithscope.llm.op8_line_dedup import dedup_lines
@@ -27,6 +28,12 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(documents(spark, sf_dir))
 
 
+def op5_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").withColumn("junk", 1 - F.col("quality"))
+    scored = toxicity_chain(documents(spark, sf_dir), labels, ["junk", "toxic"])
+    return scored.select("doc_id", F.round("p_junk", 4).alias("p_junk"), F.round("p_toxic", 4).alias("p_toxic"), (F.col("p_toxic") >= 0.5).alias("toxic"))
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_benchmark(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return found.select(
@@ -59,6 +66,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
+    "op5_toxicity_chain": op5_toxicity_chain,
     "op6_decontaminate": op6_decontaminate,
     "op7_near_duplicates": op7_near_duplicates,
     "op8_line_dedup": op8_line_dedup,
