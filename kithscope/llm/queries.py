@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from kithscope.llm.frames import documents
 from kithscope.llm.op10_substring_dedup import dedup_substrings
+from kithscope.llm.op1_sharding import shard_documents
 from kithscope.llm.op2_packing import pack
 from kithscope.llm.op5_toxicity_chain import toxicity_chain
 from kithscope.llm.op6_decontaminate import find_benchmark
@@ -17,6 +18,15 @@ from kithscope.llm.op8_line_dedup import dedup_lines
 from kithscope.llm.op9_quality_votes import quality_votes
 
 
+#: Small, so that the small tables split too.
+SHARD_BYTES = 1 << 20
+
+
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sharded = shard_documents(documents(spark, sf_dir), max_bytes=SHARD_BYTES)
+    return sharded.select(F.col("row.doc_id").alias("doc_id"), "n_bytes", "shard", "depth", "shard_bytes", "shard_rows")
+
+
 def packed(docs: DataFrame) -> DataFrame:
     import public_tokenizers as tokens
 
@@ -65,6 +75,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_sharding": op1_sharding,
     "op2_packing": op2_packing,
     "op5_toxicity_chain": op5_toxicity_chain,
     "op6_decontaminate": op6_decontaminate,
@@ -74,6 +85,21 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_substring_dedup": op10_substring_dedup,
 }
 SQL: dict[str, str] = {
+    "op1_sharding": f"""
+with d as (
+    select doc_id, coalesce(strlen(text), 0) as n_bytes,
+        lpad(bin(cast('0x' || substr(md5(coalesce(cast(doc_id as varchar), chr(0))), 1, 15) as bigint)), 60, '0') as bits
+    from documents
+), sizes as (
+    select substr(bits, 1, k) as shard, k, sum(n_bytes) as shard_bytes, count(*) as shard_rows
+    from d, range(0, 61) t(k) group by all
+), depths as (
+    select doc_id, bits, n_bytes, min(k) as depth
+    from d join sizes on shard = substr(bits, 1, k) and (shard_bytes <= {SHARD_BYTES} or shard_rows = 1) group by all
+)
+select doc_id, n_bytes, shard, cast(depth as int) as depth, cast(shard_bytes as bigint) as shard_bytes, shard_rows
+from depths join sizes on shard = substr(bits, 1, k) and k = depth
+""",
     "op8_line_dedup": r"""
 with lines as (
     select doc_id, generate_subscripts(parts, 1) as i, unnest(parts) as line
