@@ -11,6 +11,7 @@ from kithscope.llm.frames import documents
 from kithscope.llm.op10_substring_dedup import dedup_substrings
 from kithscope.llm.op1_sharding import shard_documents
 from kithscope.llm.op2_packing import pack
+from kithscope.llm.op4_url_trust import LINK_HOST, judge_urls
 from kithscope.llm.op5_toxicity_chain import toxicity_chain
 from kithscope.llm.op6_decontaminate import find_benchmark
 from kithscope.llm.op7_near_duplicates import near_duplicates
@@ -38,6 +39,68 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(documents(spark, sf_dir))
 
 
+URL_RULES = [
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+]
+URL_ROUNDS = 10
+
+
+def op4_url_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = judge_urls(spark.read.parquet(f"{sf_dir}/pages.parquet"), URL_RULES, damping=0.85, rounds=URL_ROUNDS)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+def _url_sql() -> str:
+    """The same ranks, one common table per round."""
+    rules = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in URL_RULES)
+    link = LINK_HOST.replace("'", "''")
+    lower = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+    rounds = "".join(
+        f""", r{k + 1} as (
+    select kind, host, sum(rank) as rank from (
+        select kind, host, 0.15 * share as rank from seeds
+        union all select e.kind, e.dst, 0.85 * e.share * r.rank from edges e join r{k} r on r.kind = e.kind and r.host = e.src
+    ) group by kind, host
+)"""
+        for k in range(URL_ROUNDS)
+    )
+    return f"""
+with rules(verdict, rule_host, rule_path) as (values {rules}),
+rest as (
+    select page_id, html, case when strpos(url, '://') > 0 then substr(url, strpos(url, '://') + 3) else '' end as rest from pages
+), named as (
+    select page_id, html, translate(regexp_extract(coalesce(rest, ''), '^[^/?#]*'), {lower}) as host,
+        regexp_extract(coalesce(rest, ''), '^[^/?#]*([^?#]*)', 1) as path
+    from rest
+), judged as (
+    select n.*, rule_host || rule_path as rule, verdict,
+        row_number() over (partition by page_id order by length(rule_host || rule_path) desc nulls last, rule_host || rule_path) as place
+    from named n left join rules on (host = rule_host or suffix(host, '.' || rule_host)) and starts_with(path, rule_path)
+), firsts as (select * from judged where place = 1),
+hosts as (select host, count(*) as n, count(*) filter (verdict = 'allow') as n_allow, count(*) filter (verdict = 'block') as n_block from firsts group by host),
+seeds as (
+    select 'trust' as kind, host, 1.0::double / count(*) over () as share from hosts where host <> '' and 2 * n_allow > n
+    union all select 'distrust', host, 1.0::double / count(*) over () from hosts where host <> '' and 2 * n_block > n
+), links as (
+    select host as src, translate(unnest(regexp_extract_all(html, '{link}', 1)), {lower}) as dst from named where host <> ''
+), both_ways as (
+    select 'trust' as kind, src, dst, count(*) as links from links where src <> dst group by all
+    union all select 'distrust', dst, src, count(*) from links where src <> dst group by all
+), edges as (select kind, src, dst, links::double / sum(links) over (partition by kind, src) as share from both_ways),
+r0 as (select kind, host, 0.15 * share as rank from seeds){rounds},
+ranks as (
+    select host, coalesce(sum(rank) filter (kind = 'trust'), 0) as trust, coalesce(sum(rank) filter (kind = 'distrust'), 0) as distrust
+    from r{URL_ROUNDS} group by host
+)
+select page_id, f.host, path, rule, coalesce(verdict, case when coalesce(distrust, 0) > coalesce(trust, 0) then 'block' else 'allow' end) as verdict
+from firsts f left join ranks r on r.host = f.host
+"""
+
+
 def op5_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").withColumn("junk", 1 - F.col("quality"))
     scored = toxicity_chain(documents(spark, sf_dir), labels, ["junk", "toxic"])
@@ -77,6 +140,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_packing": op2_packing,
+    "op4_url_trust": op4_url_trust,
     "op5_toxicity_chain": op5_toxicity_chain,
     "op6_decontaminate": op6_decontaminate,
     "op7_near_duplicates": op7_near_duplicates,
@@ -100,6 +164,7 @@ with d as (
 select doc_id, n_bytes, shard, cast(depth as int) as depth, cast(shard_bytes as bigint) as shard_bytes, shard_rows
 from depths join sizes on shard = substr(bits, 1, k) and k = depth
 """,
+    "op4_url_trust": _url_sql(),
     "op8_line_dedup": r"""
 with lines as (
     select doc_id, generate_subscripts(parts, 1) as i, unnest(parts) as line
