@@ -11,6 +11,7 @@ from kithscope.llm.frames import documents
 from kithscope.llm.op10_substring_dedup import dedup_substrings
 from kithscope.llm.op1_sharding import shard_documents
 from kithscope.llm.op2_packing import pack
+from kithscope.llm.op3_disclosure import KINDS, TERM, find_disclosures, written
 from kithscope.llm.op4_url_trust import LINK_HOST, judge_urls
 from kithscope.llm.op5_toxicity_chain import toxicity_chain
 from kithscope.llm.op6_decontaminate import find_benchmark
@@ -39,6 +40,16 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(documents(spark, sf_dir))
 
 
+def op3_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_disclosures(documents(spark, sf_dir))
+    return found.select(
+        "doc_id",
+        *(F.size(k).cast("long").alias(f"n_{k}") for k in KINDS),
+        F.sha2(written(KINDS), 256).alias("base_sha256"),
+        written([*KINDS, TERM]).alias("spans"),
+    )
+
+
 URL_RULES = [
     ("allow", "com", "/"),
     ("block", "example.com", "/en/"),
@@ -140,6 +151,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_packing": op2_packing,
+    "op3_disclosure": op3_disclosure,
     "op4_url_trust": op4_url_trust,
     "op5_toxicity_chain": op5_toxicity_chain,
     "op6_decontaminate": op6_decontaminate,
