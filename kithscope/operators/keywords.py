@@ -14,13 +14,13 @@ def searched_keywords(searches: DataFrame) -> DataFrame:
     return searches.select("keyword").distinct()
 
 
-def latest_pages(searches: DataFrame) -> DataFrame:
-    """Newest page per keyword and whether more can follow. A null cursor ends a keyword; an empty
-    cursor does not. ``max_by`` keeps the null cursor of the newest page."""
+def latest_pages(searches: DataFrame, keys: tuple[str, ...] = ("keyword",)) -> DataFrame:
+    """Newest page per keyword (or other ``keys``) and whether more can follow. A null cursor ends a keyword; an
+    empty cursor does not. ``max_by`` keeps the null cursor of the newest page."""
     newest = F.max_by(F.struct("next_page", "query_at"), "page").alias("last")
-    grouped = searches.groupBy("keyword").agg(F.max("page").alias("page"), newest)
+    grouped = searches.groupBy(*keys).agg(F.max("page").alias("page"), newest)
     return grouped.select(
-        "keyword", "page", F.col("last.next_page").alias("next_page"), F.col("last.query_at").alias("query_at"),
+        *keys, "page", F.col("last.next_page").alias("next_page"), F.col("last.query_at").alias("query_at"),
         F.col("last.next_page").isNotNull().alias("has_more"),
     )
 

@@ -15,14 +15,15 @@ from kithscope.operators.lookups import by_handle
 
 
 def latest(rows: DataFrame, keys: list[str], order: Column) -> DataFrame:
-    """Last row per key, combined on the map side."""
+    """Last row per key, combined on the map side. A row without order counts as the first."""
     rest = [c for c in rows.columns if c not in keys]
-    return rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), order).alias("_r")).select(*keys, "_r.*").select(*rows.columns)
+    return rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(order.isNotNull(), order)).alias("_r")).select(*keys, "_r.*").select(*rows.columns)
 
 
 def earliest(rows: DataFrame, keys: list[str], order: Column) -> DataFrame:
+    """First row per key, combined on the map side. A row without order counts as the last."""
     rest = [c for c in rows.columns if c not in keys]
-    return rows.groupBy(*keys).agg(F.min_by(F.struct(*rest), order).alias("_r")).select(*keys, "_r.*").select(*rows.columns)
+    return rows.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(order.isNull(), order)).alias("_r")).select(*keys, "_r.*").select(*rows.columns)
 
 
 def append_once(existing: Column, added: Column) -> Column:

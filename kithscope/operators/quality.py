@@ -70,13 +70,31 @@ def too_long(df: DataFrame, limits: dict[str, int]) -> DataFrame:
     return df.filter(broken)
 
 
-def quarantine(profiles: DataFrame, created_at: str = "created_at") -> DataFrame:
-    """Every row with ``reject_reason`` (null when fine): a handle already taken by a smaller id, or a
-    creation date that cannot be read. The owner of a handle is a map-side minimum."""
-    owners = profiles.groupBy("handle").agg(F.min("twitter_id").alias("_owner"))
-    taken = F.col("twitter_id") != F.col("_owner")
-    reason = F.when(taken, "handle_taken").when(F.col(created_at).isNull(), "bad_created_at")
-    return profiles.join(owners, "handle").withColumn("reject_reason", reason).drop("_owner")
+def quarantine(profiles: DataFrame, created_at: str = "created_at", stored: DataFrame | None = None) -> DataFrame:
+    """Every row with ``reject_reason`` (null when fine): no id, no handle, a creation date that cannot be
+    read, or a handle that another account owns. No row is lost.
+
+    A handle belongs to the account that ``stored`` (twitter_id, handle) has it for, else to the smallest id
+    of the rows that are otherwise fine. Ids are numbers in text: the shorter is smaller. Owners are
+    map-side minima, and of ``stored`` only the handles of the rows are looked at.
+    """
+    number = F.struct(F.length("twitter_id").alias("digits"), F.col("twitter_id"))
+    fine = F.col("twitter_id").isNotNull() & F.col("handle").isNotNull() & F.col(created_at).isNotNull()
+    owners = profiles.filter(fine).groupBy("handle").agg(F.min(number).alias("_first"))
+    if stored is None:
+        owners = owners.select("handle", F.col("_first.twitter_id").alias("_owner"))
+    else:
+        held = stored.join(profiles.select("handle").distinct(), "handle", "left_semi")
+        held = held.groupBy("handle").agg(F.min(number).alias("_held"))
+        owner = F.coalesce(F.col("_held.twitter_id"), F.col("_first.twitter_id"))
+        owners = owners.join(held, "handle", "full").select("handle", owner.alias("_owner"))
+    reason = (
+        F.when(F.col("twitter_id").isNull(), "no_id")
+        .when(F.col("handle").isNull(), "no_handle")
+        .when(F.col(created_at).isNull(), "bad_created_at")
+        .when(F.col("twitter_id") != F.col("_owner"), "handle_taken")
+    )
+    return profiles.join(owners, "handle", "left").withColumn("reject_reason", reason).drop("_owner")
 
 
 def validate_leads(leads: DataFrame, profiles: DataFrame, labels: DataFrame) -> DataFrame:

@@ -75,9 +75,13 @@ def _(w):
     return windowed(w, 7)
 
 
+ODD_USERS = [("900000001", None), ("900000002", "taken"), ("900000003", "taken"), ("90000001", "taken")]
+
+
 def landed_pages(w: Workspace) -> str:
-    """Search pages of all accounts as JSON lines: a keyword per market segment, 20 accounts a page, and
-    one page without keyword and one broken line per keyword."""
+    """Search pages of all accounts as JSON lines: a keyword per market segment, 20 accounts a page. For each
+    keyword also page 0 from a second platform, again, without keyword, without time, a broken line and the empty page that
+    ends it; and a page with accounts that must be rejected. In several files."""
     users = raw_users(w).withColumn("keyword", F.col("user.professional.category")[0]["name"])
     ranked = F.array_sort(F.collect_list(F.struct("k", "user")))
     # Twenty consecutive ids form a page, so what is collected for one is bounded.
@@ -87,10 +91,26 @@ def landed_pages(w: Workspace) -> str:
         F.concat(F.lit("c"), F.col("page").cast("string")).alias("cursor"),
     )
     lines = pages.select(F.to_json(F.struct(*pages.columns)).alias("value"))
-    keyless = pages.filter(F.col("page") == 0).select(F.to_json(F.struct("page", "data", "cursor")).alias("value"))
-    broken = pages.filter(F.col("page") == 0).select(F.lit('{"keyword": "cut').alias("value"))
+    first = pages.filter(F.col("page") == 0)
+    as_lines = lambda df: df.select(F.to_json(F.struct(*df.columns)).alias("value"))
+    end = first.withColumns({"page": F.lit(1_000_000), "query_at": F.lit("2002-01-01").cast("timestamp"), "data": F.filter("data", lambda u: F.lit(False))})
+    template = raw_users(w).filter("k = 1").select("user")
+    changed = [F.col("user").withField("rest_id", F.lit(i)).withField("legacy.screen_name", F.lit(h)) for i, h in ODD_USERS]
+    odd = template.select(F.array(*changed).alias("data"))
+    odd = odd.select(F.lit("odd").alias("keyword"), F.lit(0).alias("page"), F.timestamp_seconds(F.lit(999_999_999)).alias("query_at"), F.lit("twitter").alias("platform"), "data", F.lit("c").alias("cursor"))
+    more = [
+        as_lines(first.withColumn("platform", F.lit("bluesky"))),
+        as_lines(first),
+        as_lines(first.drop("keyword")),
+        as_lines(first.drop("query_at")),
+        as_lines(end.drop("cursor")),
+        as_lines(odd),
+        first.select(F.lit('{"keyword": "cut').alias("value")),
+    ]
     path = scratch_path(w.spark, "landing")
-    lines.unionByName(keyless).unionByName(broken).write.text(path)
+    for part in more:
+        lines = lines.unionByName(part)
+    lines.repartition(4).write.text(path)
     return path
 
 
@@ -111,13 +131,57 @@ def _(w):
     stats = store.stats.read().select("twitter_id", "followers")
     queued = store.queue.read().select("twitter_id", F.lit(True).alias("q"))
     joined = store.profiles.read().join(stats, "twitter_id").join(queued, "twitter_id", "left")
-    return joined.select(
+    return joined.filter("handle <> 'taken'").select(
         "twitter_id", "handle", "human_score", "likely_is", "followers", F.array_join("got_by_keywords", ";").alias("keywords"),
         F.coalesce("q", F.lit(False)).alias("queued"),
     )
 
 
-@catalog.query("t5_dead_letters")
+LANDED = """select *, 'c' || page as cursor from (select cast(twitter_id as bigint) as k, twitter_id, category as keyword,
+ cast(floor(cast(twitter_id as bigint)/20) as bigint) as page, created_at from user_profiles join user_stats using (twitter_id)) t"""
+
+
+@catalog.query(
+    "t1_searches",
+    """select keyword, page, 'twitter' as platform, count(*) as items, 'c' || page as next_page,
+      case when page=0 then 0 else count(created_at) end as new_profiles from landed group by keyword, page
+    union all select keyword, page, 'bluesky', count(*), 'c0', count(created_at) from landed where page=0 group by keyword, page
+    union all select distinct keyword, 1000000, 'twitter', 0, null, 0 from landed where page=0
+    union all select 'odd', 0, 'twitter', 4, 'c', 1""",
+    landed=LANDED,
+)
+def _(w):
+    return ingested(w).searches.read().select("keyword", "page", "platform", "items", "next_page", "new_profiles")
+
+
+@catalog.query(
+    "t1_keywords",
+    """select twitter_id, keyword, case when page=0 then least(substr(md5('bluesky|' || keyword || '|0'), 1, 16), substr(md5('twitter|' || keyword || '|0'), 1, 16))
+      else substr(md5('twitter|' || keyword || '|' || page), 1, 16) end as search_id from landed where created_at is not null
+    union all select '90000001', 'odd', substr(md5('twitter|odd|0'), 1, 16)""",
+    landed=LANDED,
+)
+def _(w):
+    return ingested(w).keywords.read().select("twitter_id", "keyword", "search_id")
+
+
+@catalog.query(
+    "t1_rejected",
+    """select 'bad_created_at' as reject_reason, count(*) + 2 * count(*) filter (page=0) as n from landed where created_at is null having count(*) > 0
+    union all select 'no_handle', 1 union all select 'handle_taken', 2""",
+    landed=LANDED,
+)
+def _(w):
+    store = ingested(w)
+    return w.spark.read.parquet(f"{store.root}/rejected").groupBy("reject_reason").agg(row_count().alias("n"))
+
+
+@catalog.query(
+    "t5_dead_letters",
+    """select v as verdict, n from (select count(distinct keyword) as n from landed where page=0) t,
+    (values ('failed: broken json'), ('failed: missing keyword'), ('failed: missing time')) as x(v)""",
+    landed=LANDED,
+)
 def _(w):
     store = ingested(w)
     side = w.spark.read.parquet(f"{store.root}/dead_letters")

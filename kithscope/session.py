@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession:
-    """Session for tests and single-machine benchmarks. A cluster brings its own."""
+def local_session(cores: str = "*", shuffle_partitions: int = 8, scratch: str = "/tmp/kithscope") -> SparkSession:
+    """Session for tests and single-machine benchmarks, with ``scratch`` as its shared folder. A cluster brings its own."""
     return (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("kithscope")
@@ -19,28 +18,18 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        .config("spark.checkpoint.dir", scratch)
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .getOrCreate()
     )
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach: the cluster's ``spark.checkpoint.dir``.
-
-    Only a local master may fall back to a temporary folder; on a cluster such a folder
-    would be lost with its machine, so the missing setting is an error there.
+    """Folder every executor can reach, found the same way under any master: ``spark.checkpoint.dir``, else the
+    context's checkpoint folder, else a folder in the warehouse, which is shared by its nature.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    root = tempfile.mkdtemp(prefix="kithscope-")
-    spark.sparkContext.setCheckpointDir(root)
-    return root
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return root or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

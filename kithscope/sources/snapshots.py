@@ -1,81 +1,113 @@
-"""Versioned parquet tables that a merge can update without rewriting everything.
+"""Parquet tables that grow by deltas: a merge writes the rows it changed, never the rest.
 
-A table is split into a fixed number of hash buckets. A merge reads only the buckets its incoming rows
-touch, writes them below a new version folder and then appends to a manifest which version holds each
-bucket. Readers follow the manifest, so they never see half a merge, and a failed run leaves only
-unreferenced files. A merge may carry a tag (a stream batch id): a tag seen before changes nothing.
+Every merge appends one version folder, split by hash bucket of the first key, with the new state of the keys it was
+given. Readers take the newest row of each key over all versions since the last compaction; ``compact`` writes that as one
+version and removes the older folders. A version counts once the manifest names it, so readers never see half a merge.
+A merge may carry a tag (a stream batch id): a tag seen before changes nothing. One writer at a time: a merge that
+finds another version committed meanwhile is refused.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.errors import AnalysisException
 
 Merge = Callable[[DataFrame, DataFrame], DataFrame]
-
-
-MANIFEST = "bucket int, version int, tag string"
+MANIFEST = "version int, tag string, whole boolean"
+ROWS_PER_FILE = 1_000_000
 
 
 class SnapshotTable:
-    def __init__(self, spark: SparkSession, root: str, schema: str, keys: list[str], buckets: int = 64, slots: int = 8):
-        self.spark, self.root, self.schema, self.keys = spark, root.rstrip("/"), schema, keys
-        self.buckets, self.slots = buckets, slots
+    def __init__(self, spark: SparkSession, root: str, schema: str, keys: list[str], buckets: int = 64):
+        self.spark, self.root, self.schema, self.keys, self.buckets = spark, root.rstrip("/"), schema, keys, buckets
 
-    def _with_bucket(self, df: DataFrame) -> DataFrame:
+    def _bucket(self):
         # The first key alone places a row, so tables that share it keep their rows in equal buckets.
-        return df.withColumn("bucket", F.pmod(F.xxhash64(self.keys[0]), F.lit(self.buckets)).cast("int"))
+        return F.pmod(F.xxhash64(self.keys[0]), F.lit(self.buckets)).cast("int")
 
-    def _manifest(self) -> DataFrame | None:
+    def _manifest(self) -> list:
+        """One small row per merge since the last compaction."""
         try:
-            return self.spark.read.schema(MANIFEST).json(f"{self.root}/manifest")
+            entries = self.spark.read.schema(MANIFEST).json(f"{self.root}/manifest").orderBy("version").collect()
         except AnalysisException:  # nothing merged yet
-            return None
-
-    def _held(self) -> dict[int, int]:
-        """Newest version per bucket; never more rows than buckets."""
-        manifest = self._manifest()
-        if manifest is None:
-            return {}
-        return {r.bucket: r.version for r in manifest.groupBy("bucket").agg(F.max("version").alias("version")).collect()}
+            return []
+        whole = max((e.version for e in entries if e.whole), default=0)
+        return [e for e in entries if e.version >= whole]
 
     def version(self) -> int:
-        return max(self._held().values(), default=0)
+        return max((e.version for e in self._manifest()), default=0)
 
     def applied(self, tag: str) -> bool:
-        manifest = self._manifest()
-        return manifest is not None and bool(manifest.filter(F.col("tag") == tag).take(1))
-
-    def _read(self, held: dict[int, int]) -> DataFrame:
-        paths = [f"{self.root}/data/v={version}/bucket={bucket}" for bucket, version in sorted(held.items())]
-        if not paths:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(*paths)
+        try:
+            tags = self.spark.read.schema(MANIFEST).json(f"{self.root}/manifest")
+        except AnalysisException:
+            return False
+        return bool(tags.filter(F.col("tag") == tag).take(1))
+
+    def _read(self, entries: list, buckets: list[int] | None = None) -> DataFrame:
+        empty = self.spark.createDataFrame([], self.schema)
+        if not entries:
+            return empty
+        paths = [f"{self.root}/data/v={e.version}" for e in entries]
+        rows = self.spark.read.schema(f"{self.schema}, v int, bucket int").option("basePath", f"{self.root}/data").parquet(*paths)
+        if buckets is not None:
+            rows = rows.filter(F.col("bucket").isin(buckets))
+        if len(entries) == 1:
+            return rows.select(*empty.columns)
+        rest = [c for c in empty.columns if c not in self.keys]
+        newest = rows.groupBy(*self.keys).agg(F.max_by(F.struct(*rest), "v").alias("_r"))
+        return newest.select(*self.keys, "_r.*").select(*empty.columns)
 
     def read(self) -> DataFrame:
-        return self._read(self._held())
+        return self._read(self._manifest())
+
+    def read_for(self, rows: DataFrame) -> DataFrame:
+        """The stored rows in the buckets that the first key of ``rows`` touches."""
+        return self._read(self._manifest(), self._touched(rows))
+
+    def _touched(self, rows: DataFrame) -> list[int]:
+        # One small integer per bucket comes back, never data.
+        return sorted(r.b for r in rows.select(self._bucket().alias("b")).distinct().collect())
+
+    def _commit(self, rows: DataFrame, seen: int, tag: str | None, whole: bool) -> int:
+        version = seen + 1
+        # A bucket may be large: its rows go to as many files as its share of all rows asks for.
+        parts = rows.withColumn("bucket", self._bucket())
+        slot = F.pmod(F.xxhash64(*self.keys, F.lit("slot")), F.lit(8))
+        writer = parts.repartition(F.col("bucket"), slot).write.option("maxRecordsPerFile", ROWS_PER_FILE)
+        writer.mode("overwrite").partitionBy("bucket").parquet(f"{self.root}/data/v={version}")
+        if self.version() != seen:
+            raise RuntimeError(f"another writer has changed {self.root}")
+        entry = self.spark.createDataFrame([(version, tag, whole)], MANIFEST)
+        entry.coalesce(1).write.mode("append").json(f"{self.root}/manifest")
+        return version
 
     def merge(self, incoming: DataFrame, resolve: Merge, tag: str | None = None) -> int:
-        """Replace the touched buckets by ``resolve(stored, incoming)``; returns the current version."""
-        held = self._held()
-        current = max(held.values(), default=0)
+        """Append ``resolve(stored, incoming)`` for the keys of ``incoming``; returns the current version."""
+        entries = self._manifest()
+        seen = max((e.version for e in entries), default=0)
         if tag is not None and self.applied(tag):
-            return current
-        # One small integer per bucket comes back, never data.
-        touched = sorted(r.bucket for r in self._with_bucket(incoming).select("bucket").distinct().collect())
+            return seen
+        touched = self._touched(incoming)
         if not touched:
-            return current
-        version = current + 1
-        stored = self._read({b: held[b] for b in touched if b in held})
-        merged = self._with_bucket(resolve(stored, incoming))
-        # A bucket may be large, so its rows go to a fixed number of slots by full key: tasks stay even
-        # under a hot first key, and a bucket never gets more files than it has slots.
-        slot = F.pmod(F.xxhash64(*self.keys, F.lit("slot")), F.lit(self.slots))
-        shuffled = merged.repartition(F.col("bucket"), slot)
-        shuffled.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.root}/data/v={version}")
-        entries = self.spark.createDataFrame([(b, version, tag) for b in touched], MANIFEST)
-        entries.coalesce(1).write.mode("append").json(f"{self.root}/manifest")
+            return seen
+        same = [F.col(f"_{k}").eqNullSafe(F.col(k)) for k in self.keys]
+        keys = incoming.select(*(F.col(k).alias(f"_{k}") for k in self.keys)).distinct()
+        stored = self._read(entries, touched).join(keys, same, "left_semi")
+        return self._commit(resolve(stored, incoming), seen, tag, whole=False)
+
+    def compact(self) -> int:
+        """All rows as one version; folders of older versions go. Readers that began before may have to begin again."""
+        entries = self._manifest()
+        seen = max((e.version for e in entries), default=0)
+        if len(entries) < 2:
+            return seen
+        version = self._commit(self._read(entries), seen, None, whole=True)
+        jvm = self.spark._jvm
+        for e in entries:
+            path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/data/v={e.version}")
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
         return version

@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from kithscope.functions.authenticity import score_accounts
 from kithscope.functions.bands import QUEUE_GATE
 from kithscope.functions.times import parse_created_at
-from kithscope.operators.accounts import fill_missing_stats, flatten_profile, flatten_stats
+from kithscope.operators.accounts import fill_missing_stats, flatten_profile, flatten_stats, page_fingerprint
 from kithscope.operators.keywords import latest_pages
 from kithscope.operators.merges import insert_absent, upsert_latest, upsert_profiles
 from kithscope.operators.quality import quarantine
@@ -36,6 +36,10 @@ KEYWORD_DDL = "twitter_id string, keyword string, search_id string, added_at tim
 QUEUE_DDL = "twitter_id string, handle string, added_at timestamp"
 
 
+DEFAULT_PLATFORM = "twitter"
+SEARCH_KEYS = ["keyword", "page", "platform"]
+
+
 @dataclass
 class Store:
     """The tables one ingest writes. Side tables are append-only, one folder per batch."""
@@ -52,7 +56,7 @@ class Store:
         self.stats = self._table("user_stats", STATS_DDL, ["twitter_id"])
         self.keywords = self._table("user_keywords", KEYWORD_DDL, ["twitter_id", "keyword"])
         self.queue = self._table("profiles_to_score", QUEUE_DDL, ["twitter_id"])
-        self.searches = self._table("api_search_usage", SEARCH_DDL, ["keyword", "page"])
+        self.searches = self._table("api_search_usage", SEARCH_DDL, SEARCH_KEYS)
 
     def write_side(self, name: str, df: DataFrame, batch_id: int) -> None:
         # Overwriting the folder of one batch makes a repeated batch harmless.
@@ -60,14 +64,17 @@ class Store:
 
 
 def sort_messages(pages: DataFrame, searches: DataFrame) -> DataFrame:
-    """``verdict`` per page: failed (no keyword or broken JSON), skipped (keyword fully paged), ok.
-    One bad page never stops the others."""
-    ended = latest_pages(searches).filter(~F.col("has_more")).select("keyword", F.col("page").alias("_last"))
-    joined = pages.join(ended, "keyword", "left")
+    """``verdict`` per page: failed (broken JSON, or without keyword, page, time or data), skipped (keyword fully
+    paged on that platform), ok. One bad page never stops the others."""
+    pages = pages.withColumn("platform", F.coalesce("platform", F.lit(DEFAULT_PLATFORM)))
+    ended = latest_pages(searches, ("platform", "keyword")).filter(~F.col("has_more"))
+    joined = pages.join(ended.select("platform", "keyword", F.col("page").alias("_last")), ["platform", "keyword"], "left")
     missing = F.col("keyword").isNull() | (F.trim("keyword") == "")
     verdict = (
         F.when(F.col(CORRUPT).isNotNull(), "failed: broken json")
         .when(missing, "failed: missing keyword")
+        .when(F.col("page").isNull(), "failed: missing page")
+        .when(F.col("query_at").isNull(), "failed: missing time")
         .when(F.col("data").isNull(), "failed: no data")
         .when(F.col("page") > F.col("_last"), "skipped: fully paged")
         .otherwise("ok")
@@ -79,12 +86,13 @@ def ingest_batch(pages: DataFrame, batch_id: int, store: Store, as_of) -> None:
     """One micro-batch: set-based merges, the same whether it runs once or again after a failure."""
     tag = f"batch-{batch_id}"
     judged = sort_messages(pages, store.searches.read())
-    refused = judged.filter(F.col("verdict") != "ok").select("keyword", "page", "query_at", CORRUPT, "verdict")
+    refused = judged.filter(F.col("verdict") != "ok").select("platform", "keyword", "page", "query_at", CORRUPT, "verdict")
     store.write_side("dead_letters", refused, batch_id)
 
     good = judged.filter(F.col("verdict") == "ok").drop("verdict", CORRUPT)
-    search_id = F.substring(F.md5(F.concat_ws("|", "keyword", F.col("page").cast("string"))), 1, 16)
-    users = explode_users(good.withColumn("search_id", search_id))
+    search_id = F.substring(F.md5(F.concat_ws("|", "platform", "keyword", F.col("page").cast("string"))), 1, 16)
+    good = good.withColumn("search_id", search_id)
+    users = explode_users(good)
     user = F.col("user")
     profile, counters = flatten_profile(user), flatten_stats(user)
     context = ["keyword", "page", "query_at", "platform", "search_id"]
@@ -94,7 +102,7 @@ def ingest_batch(pages: DataFrame, batch_id: int, store: Store, as_of) -> None:
     wide = rows.select("*", *[F.col(f"stats.{c}").alias(c) for c in inputs])
     parsed = wide.withColumnRenamed("created_at", "created_text").withColumn("created_at", parse_created_at(F.col("created_text")))
     scored = score_accounts(fill_missing_stats(parsed), as_of).drop(*inputs)
-    checked = quarantine(scored)
+    checked = quarantine(scored, stored=store.profiles.read().select("twitter_id", "handle"))
     # Used by every merge below, so the parsed and scored batch is written once and read back.
     staged = f"{store.root}/staging/batch_id={batch_id}"
     checked.write.mode("overwrite").parquet(staged)
@@ -103,18 +111,18 @@ def ingest_batch(pages: DataFrame, batch_id: int, store: Store, as_of) -> None:
     hits = hits.filter(F.col("reject_reason").isNull()).drop("reject_reason")
 
     # New accounts per page: first page of the batch that shows an account no earlier batch stored.
-    firsts = hits.groupBy("twitter_id").agg(F.min_by(F.struct("keyword", "page"), F.struct("query_at", "keyword", "page")).alias("f"))
+    firsts = hits.groupBy("twitter_id").agg(F.min_by(F.struct(*SEARCH_KEYS), F.struct("query_at", *SEARCH_KEYS)).alias("f"))
     unseen = firsts.join(store.profiles.read().select("twitter_id"), "twitter_id", "left_anti")
-    new = unseen.groupBy("f.keyword", "f.page").agg(F.count(F.lit(1)).alias("new_profiles"))
-    per_page = users.groupBy("keyword", "page", "search_id", "query_at", "platform", "ids_hash", "cursor").agg(
-        F.count(F.lit(1)).alias("items")
-    )
-    log = per_page.join(new, ["keyword", "page"], "left").select(
+    new = unseen.groupBy("f.keyword", "f.page", "f.platform").agg(F.count(F.lit(1)).alias("new_profiles"))
+    # Every fetched page is logged, also one without accounts: the last page of a keyword may be empty.
+    handles = F.transform("data", lambda u: u["legacy"]["screen_name"])
+    per_page = good.withColumns({"ids_hash": page_fingerprint(handles), "items": F.size("data").cast("bigint")})
+    log = per_page.join(new, SEARCH_KEYS, "left").select(
         "keyword", "page", F.col("search_id").alias("id"), "ids_hash", "items", F.col("cursor").alias("next_page"),
         F.coalesce("new_profiles", F.lit(0)).alias("new_profiles"), "query_at", "platform",
     )
     # The search log goes first: its counts must be taken before the profiles are stored.
-    store.searches.merge(log, lambda old, inc: insert_absent(old, inc, ["keyword", "page"], F.col("query_at")), tag)
+    store.searches.merge(log, lambda old, inc: insert_absent(old, inc, SEARCH_KEYS, F.col("query_at")), tag)
 
     incoming = hits.select(
         "twitter_id", "handle", "name", "bio", F.col("created_text").alias("created_at"), "follower_count", "can_dm",
@@ -124,7 +132,7 @@ def ingest_batch(pages: DataFrame, batch_id: int, store: Store, as_of) -> None:
     stats = hits.select("stats.*", F.col("query_at").alias("updated_at"))
     store.stats.merge(stats, lambda old, inc: upsert_latest(old, inc, ["twitter_id"], "updated_at"), tag)
     words = hits.select("twitter_id", "keyword", "search_id", F.col("query_at").alias("added_at"))
-    store.keywords.merge(words, lambda old, inc: insert_absent(old, inc, ["twitter_id", "keyword"], F.col("added_at")), tag)
+    store.keywords.merge(words, lambda old, inc: insert_absent(old, inc, ["twitter_id", "keyword"], F.struct("added_at", "search_id")), tag)
     above = hits.filter(F.col("human_score") > QUEUE_GATE).select("twitter_id", "handle", F.col("query_at").alias("added_at"))
     store.queue.merge(above, lambda old, inc: insert_absent(old, inc, ["twitter_id"], F.col("added_at")), tag)
 
