@@ -14,7 +14,7 @@ MICROS_PER_DAY = 86_400_000_000
 
 def parse_created_at(text: Column) -> Column:
     """Platform text or ISO text to a timestamp without zone (UTC); null when neither fits."""
-    platform = F.try_to_timestamp(F.substring(text, 5, 26), F.lit(PLATFORM_FORMAT))
+    platform = F.try_to_timestamp(F.substring(text, F.lit(5), F.length(text)), F.lit(PLATFORM_FORMAT))
     iso = text.try_cast("timestamp")
     return F.coalesce(platform, iso).cast("timestamp_ntz")
 

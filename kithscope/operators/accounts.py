@@ -79,43 +79,15 @@ def page_fingerprint(handles: Column) -> Column:
     return F.substring(F.md5(F.array_join(handles, ",")), 1, 16)
 
 
-# Semantic tags by keyword, one entry per tag set.
-SEMANTIC_TAGS = [
-    (("#academia", "#credentials"),
-     ("professor", "phd", "postdoc", "lecturer", "academic", "faculty", "tenure", "emeritus")),
-    (("#academia", "#research"),
-     ("researcher", "scientist", "scholar", "principal investigator", "research fellow", "doctoral candidate",
-      "research associate")),
-    (("#academia", "#social-science"),
-     ("sociologist", "anthropologist", "psychologist", "political scientist", "economist", "geographer",
-      "demographer")),
-    (("#academia", "#health", "#medical"),
-     ("epidemiologist", "public health researcher", "health services research", "clinical researcher",
-      "bioethicist", "medical anthropology", "health policy", "psychiatry", "neuroscience", "immunologist",
-      "oncologist")),
-    (("#industry", "#applied-research"),
-     ("pharma", "biotech researcher", "UX researcher", "market researcher", "policy analyst")),
-    (("#credentials", "#publications"),
-     ("peer reviewed", "published author", "grant funded", "NIH funded", "NSF funded", "h-index")),
-    (("#academia", "#qualitative"),
-     ("ethnography", "grounded theory", "narrative inquiry", "discourse analysis", "thematic analysis",
-      "case study research", "interpretive research")),
-    (("#academia", "#humanities"),
-     ("philosopher", "historian", "literary scholar", "cultural studies", "gender studies",
-      "postcolonial studies", "media studies", "science studies", "STS researcher")),
-    (("#academia", "#interdisciplinary"),
-     ("bioinformatician", "education researcher", "curriculum studies", "higher education")),
-]
-
-
-def tag_table(spark, mapping=SEMANTIC_TAGS) -> DataFrame:
+def tag_table(spark, mapping: list[tuple[tuple[str, ...], tuple[str, ...]]]) -> DataFrame:
+    """Mapping of (tags, keywords) pairs as a table; a longer one is read from a file of these columns."""
     rows = [(keyword, list(tags)) for tags, keywords in mapping for keyword in keywords]
     return spark.createDataFrame(rows, "keyword string, new_tags array<string>")
 
 
 def assign_tags(keyword_stats: DataFrame, tags: DataFrame) -> DataFrame:
-    """Replace the tags of mapped keywords; the others keep theirs. The tag table is a fixed word list."""
-    joined = keyword_stats.join(F.broadcast(tags), "keyword", "left")
+    """Replace the tags of mapped keywords; the others keep theirs."""
+    joined = keyword_stats.join(tags, "keyword", "left")
     return joined.withColumn("semantic_tags", F.coalesce("new_tags", "semantic_tags")).drop("new_tags")
 
 
@@ -123,24 +95,14 @@ def untagged(keyword_stats: DataFrame) -> DataFrame:
     return keyword_stats.filter(F.col("semantic_tags").isNull() | (F.size("semantic_tags") == 0)).select("keyword")
 
 
-# Alias and full name of each labeler.
-MODEL_NAMES = [
-    ("claude-haiku-4.5", "claude-haiku-4-5-20251001"),
-    ("claude-sonnet-4.5", "claude-sonnet-4-20250514"),
-    ("claude-opus-4.5", "claude-opus-4-5-20251101"),
-    ("gemini-flash-2.0", "gemini-2.0-flash"),
-    ("gemini-flash-1.5", "gemini-1.5-flash"),
-    ("meta-maverick-17b", "meta-llama/llama-4-maverick-17b-128e-instruct"),
-]
-
-
-def model_table(spark, names=MODEL_NAMES) -> DataFrame:
+def model_table(spark, names: list[tuple[str, str]]) -> DataFrame:
+    """Alias and full name of each labeler."""
     return spark.createDataFrame(names, "alias string, full_name string")
 
 
 def canonical_model(labels: DataFrame, models: DataFrame, column: str = "scored_by") -> DataFrame:
-    """Aliases become full names; unknown names stay. The registry is a fixed short list."""
-    joined = labels.join(F.broadcast(models), F.col(column) == F.col("alias"), "left")
+    """Aliases become full names; unknown names stay."""
+    joined = labels.join(models, F.col(column) == F.col("alias"), "left")
     return joined.withColumn(column, F.coalesce("full_name", column)).drop("alias", "full_name")
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 import time
 from collections.abc import Callable, Iterator
 
@@ -48,9 +49,9 @@ def system_prompt(audience: DataFrame, template: str = SYSTEM_TEMPLATE) -> DataF
         "{target}": F.col("targetProfile"), "{sector}": F.upper("sector"), "{context}": F.col("domainContext"),
         "{high}": bullets("highSignals"), "{low}": bullets("lowSignals"), "{{": F.lit("{"), "}}": F.lit("}"),
     }
-    text: Column = F.lit(template)
-    for place, value in places.items():
-        text = F.replace(text, F.lit(place), value)
+    # Cut once, then joined: a value that looks like a place stays as it is.
+    cuts = re.split("(" + "|".join(map(re.escape, places)) + ")", template)
+    text = F.concat(*(places.get(c, F.lit(c)) for c in cuts if c))
     return audience.select("*", text.alias("system_prompt"))
 
 
@@ -61,16 +62,14 @@ def pack_batches(work: DataFrame, size: int, shards: int) -> DataFrame:
     return placed.groupBy(*BATCH_KEY).agg(F.array_sort(F.collect_list(profile)).alias("profiles"))
 
 
-def user_prompts(work: DataFrame, size: int, shards: int) -> DataFrame:
-    """Prompt text per batch: the count and a flat table of its profiles."""
+def user_prompts(work: DataFrame, size: int, shards: int, opening: str = "Accounts to judge: %d\n\n") -> DataFrame:
+    """Prompt text per batch: ``opening`` with the count, and a flat table of its profiles."""
     placed = sharded_batches(work, "twitter_id", size, shards)
     rows = F.array_sort(F.collect_list(F.struct("position", profile_line().alias("line"))))
     packed = placed.groupBy(*BATCH_KEY).agg(rows.alias("rows"))
     n = F.size("rows")
     table = F.concat_ws("\n", header_line(n), F.transform("rows", lambda r: r["line"]))
-    prompt = F.concat(
-        F.lit("Label the following "), n.cast("string"), F.lit(" Twitter profiles:\n\n```toon\n"), table, F.lit("\n```")
-    )
+    prompt = F.concat(F.format_string(opening, n), F.lit("```toon\n"), table, F.lit("\n```"))
     return packed.select(*BATCH_KEY, n.cast("bigint").alias("size"), prompt.alias("user_prompt"))
 
 

@@ -105,16 +105,12 @@ def balance_classes(rows: DataFrame, key: str, label: str, seed: str, true_share
 
     The class counts are one row; each row is kept or not by its own hash, so nothing is sorted.
     """
-    counts = rows.groupBy(label).agg(row_count().alias("n"))
-    whole = Window.partitionBy(F.lit(1))
-    n_true = F.sum(F.when(F.col(label), F.col("n")).otherwise(0)).over(whole)
-    n_false = F.sum(F.when(F.col(label), 0).otherwise(F.col("n"))).over(whole)
-    ratio = F.lit((1 - true_share) / true_share)
-    keep = F.when(F.col(label), F.least(F.lit(1.0), n_false / (n_true * ratio))).otherwise(
-        F.least(F.lit(1.0), n_true * ratio / n_false)
-    )
-    rates = counts.select(label, keep.alias("_keep"))
-    return rows.join(rates, label).filter(unit_hash(F.col(key), F.lit(seed)) < F.col("_keep")).drop("_keep")
+    counts = rows.agg(F.count(F.when(F.col(label), 1)).alias("t"), F.count(F.when(~F.col(label), 1)).alias("f")).first()
+    wanted = counts["t"] * (1 - true_share) / true_share
+    keep_true = min(1.0, counts["f"] / wanted) if wanted else 1.0
+    keep_false = min(1.0, wanted / counts["f"]) if counts["f"] else 1.0
+    keep = F.when(F.col(label), F.lit(keep_true)).when(~F.col(label), F.lit(keep_false))
+    return rows.filter(unit_hash(F.col(key), F.lit(seed)) < keep)
 
 
 def out_of_domain(keywords: DataFrame, profiles: DataFrame, foreign: list[str], n: int, seed: str) -> DataFrame:

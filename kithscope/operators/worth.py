@@ -48,9 +48,10 @@ def fit_worth(rows: DataFrame, label: str = "label", features: tuple[str, ...] =
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.functions import vector_to_array
 
-    totals = rows.groupBy(label).agg(row_count().alias("_n"))
-    weights = totals.withColumn("_weight", F.sum("_n").over(Window.partitionBy(F.lit(1))) / (2 * F.col("_n")))
-    weighted = rows.join(weights.select(label, "_weight"), label)
+    # Two counts come back: a join on the label would send all rows of a class to one task.
+    totals = rows.agg(row_count().alias("n"), count_if(F.col(label) == 1).alias("ones")).first()
+    ones, zeros = max(1, totals["ones"]), max(1, totals["n"] - totals["ones"])
+    weighted = rows.withColumn("_weight", F.when(F.col(label) == 1, totals["n"] / (2 * ones)).otherwise(totals["n"] / (2 * zeros)))
     ready = VectorAssembler(inputCols=list(features), outputCol="_features").transform(weighted)
     model = LogisticRegression(featuresCol="_features", labelCol=label, weightCol="_weight", regParam=0.01).fit(ready)
     scored = model.transform(ready).withColumn("p", vector_to_array("probability")[1])

@@ -29,7 +29,17 @@ def audience(w: Workspace) -> DataFrame:
     )
 
 
-@catalog.query("l3_system_prompts")
+def _prompt_sql() -> str:
+    """The template with its places replaced; given texts hold no place themselves."""
+    template = "'" + label_batches.SYSTEM_TEMPLATE.replace("'", "''") + "'"
+    low = "'- brand account' || chr(10) || '- no bio'"
+    for place, value in {"{target}": "p_type", "{sector}": "'INDUSTRY'", "{context}": "'People who buy parts.'", "{high}": "brands", "{low}": low, "{{": "'{'", "}}": "'}'"}.items():
+        template = f"replace({template}, '{place}', {value})"
+    return f"""select p_type as "targetProfile", {template} as system_prompt from (select p_type,
+      string_agg('- ' || p_brand, chr(10) order by p_brand) as brands from (select distinct p_type, p_brand from part) t group by 1) u"""
+
+
+@catalog.query("l3_system_prompts", _prompt_sql())
 def _(w):
     return label_batches.system_prompt(audience(w)).select("targetProfile", "system_prompt")
 

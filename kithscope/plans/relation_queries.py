@@ -293,6 +293,17 @@ def _(w):
     return keywords.pick_keywords(stats.withColumn("still_valid", F.lit(True)), w.searches, "day-1")
 
 
+@catalog.query(
+    "k5_pick_valid_keywords",
+    """select keyword, profiles_found from (select keyword, count(*) as profiles_found from user_keywords
+    where keyword<>'@customers' group by 1) s left join latest_pages p using (keyword)
+    where coalesce(p.has_more, true) and length(keyword)=8 order by md5(keyword || '|day-1'), keyword limit 5""",
+)
+def _(w):
+    stats = w.user_keywords.filter(F.col("keyword") != CURATED).groupBy("keyword").agg(row_count().alias("profiles_found"))
+    return keywords.pick_keywords(stats.withColumn("still_valid", F.length("keyword") == 8), w.searches, "day-1")
+
+
 @catalog.query(
     "u9_resume_points",
     """select k.keyword, coalesce(p.page+1, 0) as page, p.next_page as cursor,

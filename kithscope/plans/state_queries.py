@@ -70,6 +70,21 @@ def _(w):
     return picked.select("twitter_id", r6(F.col("final_score")).alias("final_score"))
 
 
+@catalog.query(
+    "k6_page_sizes",
+    """select n // 25 as full_pages, case when n % 25 > 0 then n % 25 end as rest, n as accounts from (select count(*) as n from user_profiles) t""",
+)
+def _(w):
+    # One shard holds all rows here, so that pages are full but for the last; sizes come from the batches themselves.
+    batched = sampling.sharded_batches(w.user_profiles.select("twitter_id"), "twitter_id", 25, 1)
+    pages = batched.groupBy("batch_no").agg(row_count().alias("n"), F.countDistinct("twitter_id").alias("ids"), F.max("position").alias("last"))
+    good = pages.filter((F.col("n") == F.col("ids")) & (F.col("last") == F.col("n") - 1))
+    return good.agg(
+        F.count(F.when(F.col("n") == 25, 1)).alias("full_pages"), F.max(F.when(F.col("n") < 25, F.col("n"))).alias("rest"),
+        F.sum("n").alias("accounts"),
+    )
+
+
 @catalog.query("b1_sharded_batches")
 def _(w):
     batched = sampling.sharded_batches(w.user_profiles, "twitter_id", 25, 8)
@@ -203,6 +218,26 @@ def _(w):
     return parsed.select("batch_no", "item.handle", "item.label", "item.reason")
 
 
+@catalog.query(
+    "s5_label_files",
+    """select b.batch_no, s.scored_by, b.handle, s.label, s.reason from batches b join profile_scores s using (twitter_id)""",
+    batches=BATCHES.replace(" where p.bio is not null", ""),
+)
+def _(w):
+    # All labels of all accounts, bio or not, as one file per batch and model; beside them a broken and an empty one.
+    rows = lookups.with_followers(w.user_profiles, w.user_stats).select("twitter_id", "handle", "followers")
+    placed = sampling.numbered_batches(rows, [F.col("followers").desc(), F.col("handle")], 30)
+    keyed = placed.join(w.profile_scores.select("twitter_id", "scored_by", "label", "reason"), "twitter_id")
+    texts = batch_files.label_json(keyed, ["batch", "scored_by"], "position")
+    path = scratch_path(w.spark, "label-files")
+    odd = w.spark.createDataFrame([(-1, "model-a", "[{broken"), (-2, "model-a", "")], "batch bigint, scored_by string, text string")
+    texts.select("batch", "scored_by", "text").unionByName(odd).write.partitionBy("batch", "scored_by").text(path)
+    found = w.spark.read.option("wholetext", True).schema("value string, batch bigint, scored_by string").text(path)
+    items = F.explode(F.from_json(F.trim("value"), batch_files.LABEL_ITEMS_DDL, {"mode": "PERMISSIVE"})).alias("item")
+    parsed = found.select(F.col("batch").alias("batch_no"), "scored_by", items).filter("batch_no >= 0")
+    return parsed.select("batch_no", "scored_by", "item.handle", "item.label", "item.reason")
+
+
 @catalog.query(
     "s10_profile_set_lines",
     """select 'Brand#1' as keyword, '[' || count(*) || ']{handle,name,bio,category,followers}:' as head, count(*) as n
@@ -380,6 +415,27 @@ def _(w):
     return merged.agg(row_count().alias("queued"), F.count(F.when(F.col("origin") == "incoming", 1)).alias("added"))
 
 
+@catalog.query(
+    "u4_queue_rows",
+    """select twitter_id, handle, added_at, case when cast(twitter_id as bigint)%4=0 then 'incoming' else 'stored' end as origin from queue""",
+)
+def _(w):
+    k = F.col("twitter_id").cast("bigint")
+    stored = w.queue.filter(k % 4 != 0).withColumn("origin", F.lit("stored"))
+    return merges.insert_absent(stored, w.queue.withColumn("origin", F.lit("incoming")), ["twitter_id"], F.col("added_at"))
+
+
+@catalog.query(
+    "u5_label_rows",
+    """select twitter_id, scored_by, case when scored_by='model-c' then not label else label end as label from profile_scores""",
+)
+def _(w):
+    stored = w.profile_scores.filter(F.col("scored_by") != "model-c")
+    incoming = w.profile_scores.withColumn("label", ~F.col("label"))
+    merged = merges.insert_absent(stored, incoming, ["twitter_id", "scored_by"], F.col("scored_at"))
+    return merged.select("twitter_id", "scored_by", "label")
+
+
 @catalog.query(
     "u5_insert_labels",
     """select count(*) filter (where scored_by='model-c') as labeled, count(*) filter (where scored_by<>'model-c') as skipped
