@@ -40,6 +40,39 @@ def _(w):
     return stored.select("twitter_id", "keyword")
 
 
+def delivered_events(w: Workspace, files: int = 4) -> DataFrame:
+    """The events again as a stream of several files in order of time, one a micro-batch; the first file comes twice."""
+    path = scratch_path(w.spark, "event-files")
+    rows = w.raw("events").select(
+        F.col("user_id").cast("string").alias("twitter_id"), F.col("event_type").alias("keyword"), F.col("ts").cast("timestamp").alias("seen_at"),
+        F.col("event_id").alias("seq"),
+    )
+    ends = rows.agg(F.unix_micros(F.min("seen_at")).alias("lo"), F.unix_micros(F.max("seen_at")).alias("hi")).first()
+    width = max(1, (ends["hi"] - ends["lo"]) // files + 1)
+    part = F.floor((F.unix_micros("seen_at") - F.lit(ends["lo"])) / width)
+    for name, wanted in [*((f"{i}", i) for i in range(files)), ("again", 0)]:
+        rows.filter(part == wanted).coalesce(1).write.parquet(f"{path}/{name}")
+    return w.spark.readStream.schema(windows.HIT).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(path)
+
+
+@catalog.query("t2_repeats_over_batches", "select distinct cast(user_id as varchar) as twitter_id, event_type as keyword from events")
+def _(w):
+    unique = windows.drop_repeats(delivered_events(w), "seen_at", "3650 days")
+    return run_to_table(w, unique.writeStream, "repeats", windows.HIT).select("twitter_id", "keyword")
+
+
+@catalog.query(
+    "t3_firsts_over_batches",
+    """select cast(user_id as varchar) as twitter_id, event_type as keyword, event_id as seq from (select *,
+    row_number() over (partition by user_id order by ts, event_id) as seen from events) t where seen=1""",
+)
+def _(w):
+    path = scratch_path(w.spark, "firsts")
+    query = windows.follow_firsts(delivered_events(w), path, scratch_path(w.spark, "firsts-state")).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return w.spark.read.schema(f"{windows.HIT}, batch_id bigint").parquet(path).select("twitter_id", "keyword", "seq")
+
+
 @catalog.query(
     "t3_first_seen",
     """select keyword, d, count(*) as new_profiles from (select event_type as keyword, date_trunc('day', ts) as d,

@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -57,6 +58,27 @@ def first_seen_stream(hits: DataFrame, ttl_ms: int | None = None) -> DataFrame:
     return thinned.groupBy("twitter_id").applyInPandasWithState(decide, HIT, "seen boolean", "append", timeout)
 
 
+def follow_firsts(hits: DataFrame, path: str, checkpoint: str):
+    """First hit of each account as a table below ``path``, from a stream of ``hits``, without any Python per account.
+
+    Each micro-batch takes the earliest hit per account (map-side combined) and keeps the accounts no earlier batch has
+    stored. The folder of a batch is overwritten, and only folders of smaller batches count as earlier, so a repeated batch gives the same rows.
+    """
+
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        rest = F.struct("keyword", "seen_at", "seq")
+        first = batch.groupBy("twitter_id").agg(F.min_by(rest, F.struct("seen_at", "seq")).alias("r")).select("twitter_id", "r.*")
+        try:
+            stored = spark.read.schema(f"{HIT}, batch_id bigint").parquet(path)
+        except AnalysisException:  # nothing stored yet
+            stored = spark.createDataFrame([], f"{HIT}, batch_id bigint")
+        known = stored.filter(F.col("batch_id") < batch_id).select("twitter_id")
+        first.join(known, "twitter_id", "left_anti").write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    return hits.writeStream.option("checkpointLocation", checkpoint).foreachBatch(keep)
+
+
 def yield_by_window(searches: DataFrame, length: str = "7 days", slide: str = "1 day", delay: str = "1 day") -> DataFrame:
     """New accounts per keyword and event-time window; a window is given out when the watermark passes it."""
     window = F.window("query_at", length, slide)
