@@ -112,16 +112,30 @@ def test_first_seen_over_several_batches(spark, tmp_path):
     assert len(got) == len({r[0] for r in rows})
 
 
-def page(keyword, number, users, cursor="c"):
+def test_follow_firsts_over_several_batches_and_again(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for part in range(3):
+        lines = [json.dumps({"twitter_id": str(i % 7 + part), "keyword": f"k{part}", "seen_at": f"2024-01-0{part + 1}T00:00:0{i % 10}Z", "seq": i}) for i in range(9)]
+        (tmp_path / "in" / f"{part}.json").write_text("\n".join(lines))
+    stream = spark.readStream.schema(windows.HIT).option("maxFilesPerTrigger", 1).json(str(tmp_path / "in"))
+    query = windows.follow_firsts(stream, str(tmp_path / "out"), str(tmp_path / "cp")).trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert len(query.recentProgress) >= 3
+    got = {r.twitter_id: (r.keyword, r.batch_id) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert got == {str(i): ("k0" if i < 7 else f"k{i - 6}", max(0, i - 6)) for i in range(9)}
+
+
+def page(keyword, number, users, cursor="c", platform="twitter", handle="h{}", query_at=True):
     data = [
         {"rest_id": str(u), "is_blue_verified": False, "professional": None,
-         "legacy": {"screen_name": f"h{u}", "name": f"N{u}", "description": "bio", "created_at": "Wed Oct 10 20:19:24 +0000 2018",
+         "legacy": {"screen_name": handle and handle.format(u), "name": f"N{u}", "description": "bio", "created_at": "Wed Oct 10 20:19:24 +0000 2018",
                     "location": "", "followers_count": 300, "friends_count": 200, "statuses_count": 1500, "favourites_count": 900,
                     "listed_count": 3, "media_count": 10, "can_dm": None, "verified": False, "default_profile": False,
                     "default_profile_image": False, "possibly_sensitive": False}}
         for u in users
     ]
-    body = {"keyword": keyword, "page": number, "query_at": f"2024-01-0{number + 1}T00:00:00Z", "platform": "twitter", "data": data, "cursor": cursor}
+    at = f"2024-01-0{number + 1}T00:00:00Z" if query_at else None
+    body = {"keyword": keyword, "page": number, "query_at": at, "platform": platform, "data": data, "cursor": cursor}
     return json.dumps({k: v for k, v in body.items() if v is not None})
 
 
@@ -149,6 +163,54 @@ def test_ingest_twice_equals_once(spark, tmp_path):
     assert before == after
 
 
+def test_no_page_or_account_is_lost(spark, tmp_path):
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    store = ingest.Store(spark, str(tmp_path / "store"), buckets=4)
+    run = lambda: ingest.start_ingest(spark, str(landing), store, str(tmp_path / "cp"), "2024-02-01 00:00:00").awaitTermination()
+    first = [page("a", 0, range(3)), page("a", 1, [], None), page("a", 0, [1, 5], platform="bluesky"), page("a", 2, [6], query_at=False), page("b", 0, [7], handle=None)]
+    (landing / "1.json").write_text("\n".join(first))
+    run()
+    (landing / "2.json").write_text("\n".join([page("a", 2, [8]), page("b", 1, [10, 9], handle="same"), page("b", 2, [2000], handle="h1"), page("a", 1, [11], platform="bluesky")]))
+    run()
+    searches = {(r.platform, r.keyword, r.page): (r["items"], r.next_page) for r in store.searches.read().collect()}
+    assert searches == {
+        ("twitter", "a", 0): (3, "c"), ("twitter", "a", 1): (0, None), ("bluesky", "a", 0): (2, "c"), ("twitter", "b", 0): (1, "c"),
+        ("twitter", "b", 1): (2, "c"), ("twitter", "b", 2): (1, "c"), ("bluesky", "a", 1): (1, "c"),
+    }
+    dead = sorted(r.verdict for r in spark.read.parquet(f"{store.root}/dead_letters").collect())
+    assert dead == ["failed: missing time", "skipped: fully paged"]
+    rejected = sorted((r.twitter_id, r.reject_reason) for r in spark.read.parquet(f"{store.root}/rejected").collect())
+    assert rejected == [("10", "handle_taken"), ("2000", "handle_taken"), ("7", "no_handle")]
+    stored = {r.twitter_id for r in store.profiles.read().collect()}
+    assert stored == {"0", "1", "2", "5", "9", "11"}
+    # Each account on a good page is stored or rejected.
+    assert stored | {i for i, _ in rejected} == {str(i) for i in (0, 1, 2, 5, 7, 10, 9, 2000, 11)}
+
+
+def test_a_small_merge_writes_only_its_rows_and_compaction_keeps_the_newest(spark, tmp_path):
+    schema = "twitter_id string, v int"
+    table = SnapshotTable(spark, str(tmp_path / "t"), schema, ["twitter_id"], buckets=4)
+    replace = lambda old, inc: merges.upsert_latest(old, inc, ["twitter_id"], "v")
+    table.merge(spark.range(20_000).selectExpr("cast(id as string) twitter_id", "0 v"), replace, "b0")
+    batch = spark.range(0, 25_000, 50).selectExpr("cast(id as string) twitter_id", "1 v")
+    assert table.merge(batch, replace, "b1") == 2
+    assert spark.read.parquet(str(tmp_path / "t" / "data" / "v=2")).count() == 500
+    before = rows_of(table.read())
+    assert len(before) == 20_100 and table.compact() == 3
+    assert rows_of(table.read()) == before and not (tmp_path / "t" / "data" / "v=2").exists()
+    assert table.merge(batch, replace, "b1") == 3
+    assert {r.v for r in table.read_for(batch).join(batch.select("twitter_id"), "twitter_id").collect()} == {1}
+
+
+def test_rows_without_a_time_lose_no_fields(spark):
+    schema = "k string, a int, at int"
+    rows = spark.createDataFrame([("x", 1, None), ("y", 2, None), ("y", 3, 5)], schema)
+    empty = spark.createDataFrame([], schema)
+    assert rows_of(merges.upsert_latest(empty, rows, ["k"], "at")) == rows_of(spark.createDataFrame([("x", 1, None), ("y", 3, 5)], schema))
+    assert rows_of(merges.insert_absent(empty, rows, ["k"], F.col("at"))) == rows_of(spark.createDataFrame([("x", 1, None), ("y", 3, 5)], schema))
+
+
 def ingest_schema():
     from kithscope.schemas import SEARCH_PAGE_WITH_REQUEST
 
