@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from kithscope.session import cut_lineage
 
+BROADCAST_ROWS = 100_000  # a few megabytes
 LOCAL_INDEX_BITS = 33  # monotonically_increasing_id keeps the row index in the low 33 bits
 
 
@@ -16,7 +17,8 @@ def global_row_number(df: DataFrame, order: list[Column], within: list[str] | No
     Rows are range-partitioned on the full sort key, so one huge group spreads over many tasks. The
     sorted rows are checkpointed once: the number of a row depends on partition sizes, which must not
     change when an executor is lost. Offsets come from one count per (group, partition) - a table no
-    longer than groups x partitions - and are joined back; AQE broadcasts it only when it is small.
+    longer than groups x partitions. It is counted, and broadcast up to ``BROADCAST_ROWS``, so that the rows
+    stay where they are; a longer one is joined by a shuffle.
     ``order`` must be a total order.
     """
     within = within or []
@@ -34,6 +36,8 @@ def global_row_number(df: DataFrame, order: list[Column], within: list[str] | No
     offsets = blocks.select(
         *within, "_part", "_start", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")
     )
+    if offsets.count() <= BROADCAST_ROWS:
+        offsets = F.broadcast(offsets)
     numbered = placed.join(offsets, [*within, "_part"])
     rank = F.col("_before") + F.col("_pos") - F.col("_start") + 1
     return numbered.withColumn(name, rank.cast("bigint")).select(*df.columns, name)

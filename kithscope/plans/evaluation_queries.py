@@ -31,6 +31,11 @@ def marked(w: Workspace) -> DataFrame:
     return ranking.curated_finals(w.profiles, w.profile_scores, w.user_keywords, CURATED)
 
 
+def ranked(w: Workspace) -> DataFrame:
+    """Final scores of all accounts, narrow and computed once: ranks look at them two or three times."""
+    return w.once(marked(w).select("twitter_id", "handle", "final_score", "has_llm", "is_curated"), "finals")
+
+
 def numbered(w: Workspace) -> DataFrame:
     return label_stats.numbered_labels(w.profile_scores, w.profiles)
 
@@ -137,7 +142,7 @@ def _(w):
     select *, cume_dist() over (order by final_score desc) * 100 as share from finals where has_llm) t where is_curated""",
 )
 def _(w):
-    return rounded(ranking.curated_top_share(marked(w)), "final_score", "top_share").drop("handle")
+    return rounded(ranking.curated_top_share(ranked(w)), "final_score", "top_share").drop("handle")
 
 
 @catalog.query(
@@ -165,7 +170,7 @@ def _(w):
     order by final_score) + 1e-9, 6) as cdf from finals where has_llm""",
 )
 def _(w):
-    scored = marked(w).filter(F.col("has_llm"))
+    scored = ranked(w).filter(F.col("has_llm"))
     return rounded(ranking.empirical_cdf(scored, "is_curated", "final_score"), "final_score", "cdf").drop("n")
 
 
@@ -409,7 +414,7 @@ def _(w):
     ranks=RANKS,
 )
 def _(w):
-    return rounded(evaluation.rank_report(marked(w)), "mean_top_share", "median_top_share")
+    return rounded(evaluation.rank_report(ranked(w)), "mean_top_share", "median_top_share")
 
 
 @catalog.query(

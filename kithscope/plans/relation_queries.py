@@ -171,7 +171,7 @@ STATS_SQL = """select s.keyword, coalesce(f.n, 0) as profiles_found, round(coale
 
 
 def stats_of(w: Workspace) -> DataFrame:
-    return keywords.keyword_stats(w.searches, w.user_keywords, w.scores, w.profile_scores)
+    return keywords.keyword_stats(w.searches, w.keyword_table, w.scores, w.profile_scores)
 
 
 @catalog.query("a1_keyword_stats", STATS_SQL)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from kithscope.functions.authenticity import score_accounts
 from kithscope.functions.bands import QUEUE_GATE
 from kithscope.schemas import GIVEN_TABLES
+from kithscope.session import scratch_path
 
 AS_OF = "2001-07-15 00:00:00"
 CURATED = "@customers"
@@ -28,6 +29,12 @@ class Workspace:
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.schema(GIVEN_TABLES[name]).parquet(f"{self.sf_dir}/{name}.parquet")
 
+    def once(self, df: DataFrame, label: str) -> DataFrame:
+        """``df`` written to the shared folder and read back, for inputs a plan would otherwise compute several times."""
+        path = scratch_path(self.spark, label)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
     @cached_property
     def user_stats(self) -> DataFrame:
         """Counters per account. Line items are summed per order before the join, so the join and the
@@ -136,6 +143,11 @@ class Workspace:
         )
         return found.unionByName(curated)
 
+    @cached_property
+    def keyword_table(self) -> DataFrame:
+        """``user_keywords`` computed once, for plans that need it more than once."""
+        return self.once(self.user_keywords, "keyword-hits")
+
     @cached_property
     def profile_scores(self) -> DataFrame:
         """Latest label per (account, model). ``max_by`` keeps one row per key already on the map side,
@@ -183,7 +195,7 @@ class Workspace:
             .groupBy(F.col("f.keyword").alias("keyword"), F.col("f.d").alias("d"))
             .agg(F.count(F.lit(1)).alias("new_profiles"))
         )
-        tags = self.user_keywords.filter(F.col("keyword") != CURATED)
+        tags = self.keyword_table.filter(F.col("keyword") != CURATED)
         year = F.date_trunc("year", F.col("added_at"))
         by_year = tags.groupBy("keyword", year.alias("d")).agg(
             F.count(F.lit(1)).alias("items"), F.min("added_at").alias("query_at")
