@@ -56,3 +56,11 @@ def test_first_per_key(spark):
     got = {r.g: r.id for r in first_per_key(df, ["g"], [F.col("t").desc(), F.col("id")]).collect()}
     want = {g: min((r for r in rows if r[0] == g), key=lambda r: (-r[1], r[2]))[2] for g in {r[0] for r in rows}}
     assert got == want
+
+
+def test_row_numbers_do_not_shuffle_the_rows_again(spark):
+    df = spark.range(5000).select((F.col("id") % 3).cast("string").alias("g"), F.col("id").alias("v"))
+    ranked = global_row_number(df, [F.col("v")], ["g"])
+    plan = ranked._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" in plan
+    assert sorted((r.g, r.v, r.rn) for r in ranked.collect()) == sorted((str(i % 3), i, i // 3 + 1) for i in range(5000))
