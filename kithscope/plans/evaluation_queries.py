@@ -14,6 +14,7 @@ from kithscope.operators.ordering import first_per_key
 from kithscope.plans.account_queries import AUDIENCE_SQL, labels_with_some_audience
 from kithscope.plans.catalog import Catalog
 from kithscope.plans.workspace import CURATED, Workspace
+from kithscope.session import scratch_path
 from kithscope.sources import exports
 
 catalog = Catalog()
@@ -92,6 +93,20 @@ def _(w):
     return exports.high_score_rows(with_followers(finals(w), w.user_stats))
 
 
+@catalog.query(
+    "s7_high_score_file",
+    """select handle, cell as bio, followers, format('{:.4f}', final_score) as score, coalesce(likely_is, 'Unknown') as is_likely,
+    keywords as tags from export where has_llm and final_score >= 0.6""",
+    export=EXPORT,
+)
+def _(w):
+    path = scratch_path(w.spark, "high-scores")
+    exports.write_ranked(exports.high_score_rows(with_followers(finals(w), w.user_stats)), path, exports.HIGH_HEADER, "score")
+    names = ["handle", "bio", "followers", "score", "is_likely", "tags"]
+    rows = exports.read_ranked(w.spark, path, exports.HIGH_HEADER).toDF(*names)
+    return rows.withColumn("followers", F.col("followers").cast("bigint"))
+
+
 @catalog.query(
     "s8_low_score_export",
     """select handle, cell as bio, followers, format('{:.4f}', final_score) as final_score, format('{:.4f}', human_score) as has_score,

@@ -12,6 +12,7 @@ from kithscope.plans.account_queries import trim_sql
 from kithscope.plans.catalog import Catalog
 from kithscope.plans.evaluation_queries import marked
 from kithscope.plans.workspace import Workspace
+from kithscope.session import scratch_path
 
 catalog = Catalog()
 
@@ -200,6 +201,23 @@ def _(w):
     return label_batches.review_queue(reviewed(w)).select("handle")
 
 
+@catalog.query(
+    "l12_training_lines",
+    """select 'handle: ' || handle as handle_line, scored_by, case when label then '1.00' when not label then '0.00' else '0.50' end as score, reason
+    from profile_scores join user_profiles using (twitter_id)""",
+)
+def _(w):
+    full = w.user_profiles.join(w.user_stats.select("twitter_id", "followers", "created_at"), "twitter_id")
+    path = scratch_path(w.spark, "training")
+    label_batches.jsonl(label_batches.instruction_rows(w.profile_scores, full, ["model-a", "model-b", "model-c"])).write.text(path)
+    lines = w.spark.read.schema("instruction string, output string").json(path)
+    answer = F.from_json("output", "handle string, score string, reason string")
+    return lines.select(
+        F.regexp_extract("instruction", "\n(handle: [^\n]*)", 1).alias("handle_line"),
+        F.regexp_extract("instruction", r"\(Scored by model: ([^)]*)\)$", 1).alias("scored_by"), answer["score"].alias("score"), answer["reason"].alias("reason"),
+    )
+
+
 @catalog.query(
     "l12_instruction_rows",
     """select twitter_id, scored_by, 'handle: ' || handle as handle_line, length(coalesce(bio, '')) as bio_length,

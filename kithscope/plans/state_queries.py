@@ -131,6 +131,16 @@ def _(w):
     )
 
 
+@catalog.query(
+    "s13_master_file",
+    f"select '  ' || handle || ', null, \"\"' as value from (select handle {PICK} order by handle limit 600) t",
+)
+def _(w):
+    path = scratch_path(w.spark, "master")
+    exports.master_lines(sampling.hand_pick(w.profile_scores, w.user_profiles, w.user_stats, w.user_keywords, CURATED)).write.text(path)
+    return w.spark.read.text(path)
+
+
 ONE_LINE = "regexp_replace(coalesce({0}, ''), '[' || chr(10) || chr(13) || ']+', ' ', 'g')"
 
 
@@ -268,6 +278,21 @@ def _(w):
     return lines.groupBy("batch").agg(F.max("size").alias("size"), F.sum(followers).alias("followers"))
 
 
+@catalog.query(
+    "s11_batch_lines",
+    "select batch_no as batch, count(*) as size, sum(followers)::bigint as followers from batches group by 1",
+    batches=BATCHES.replace(" where p.bio is not null", ""),
+)
+def _(w):
+    full = lookups.with_followers(w.user_profiles, w.user_stats).select("twitter_id", "handle", "name", "bio", "category", "followers")
+    placed = sampling.numbered_batches(full, [F.col("followers").desc(), F.col("handle")], 30)
+    path = scratch_path(w.spark, "batch-lines")
+    batch_files.write_batch_lines(batch_files.batch_text(placed, ["batch"], "position"), path)
+    read = w.spark.read.schema("batch bigint, size bigint, text string").json(path)
+    lines = read.select("batch", "size", F.explode(F.split("text", "\n")).alias("line")).filter(~F.col("line").startswith("["))
+    return lines.groupBy("batch").agg(F.max("size").alias("size"), F.sum(F.regexp_extract("line", r",(\d+)$", 1).cast("bigint")).alias("followers"))
+
+
 @catalog.query(
     "j9_batch_labels",
     """select b.batch_no, b.handle, s.label, s.reason from batches b join profile_scores s using (twitter_id)

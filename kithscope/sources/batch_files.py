@@ -92,6 +92,11 @@ def write_batches(texts: DataFrame, path: str, key: str = "batch") -> None:
     texts.select(key, F.col("text").alias("value")).write.mode("errorifexists").partitionBy(key).text(path)
 
 
+def write_batch_lines(texts: DataFrame, path: str) -> None:
+    """All batches as JSON lines, many to a file: a folder for each would be far too many for a large set."""
+    texts.write.mode("errorifexists").json(path)
+
+
 def profile_set_lines(df: DataFrame, keyword: Column) -> DataFrame:
     """Lines of an unlimited profile set, most followers first, to be written per keyword.
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kithscope.functions.text import csv_cell, fixed_decimals, label_word, one_line
@@ -49,7 +49,16 @@ def label_rows(labels: DataFrame) -> DataFrame:
 def write_ranked(df: DataFrame, path: str, header: list[str], by: str) -> None:
     """Range-sorted parts, highest score first; the part order is the global order."""
     ordered = df.repartitionByRange(F.col(by).desc()).sortWithinPartitions(F.col(by).desc(), "handle")
-    ordered.toDF(*header).write.mode("errorifexists").option("header", True).option("quote", '"').option("escape", '"').csv(path)
+    writer = ordered.toDF(*header).write.mode("errorifexists").option("header", True)
+    # Blanks at the ends of a cell are part of it.
+    writer = writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+    writer.option("quote", '"').option("escape", '"').csv(path)
+
+
+def read_ranked(spark: SparkSession, path: str, header: list[str]) -> DataFrame:
+    """The rows of such files as text columns of the given names."""
+    schema = ", ".join(f"`{name}` string" for name in header)
+    return spark.read.schema(schema).option("header", True).option("enforceSchema", False).option("escape", '"').option("multiLine", True).csv(path)
 
 
 def master_lines(df: DataFrame) -> DataFrame:
