@@ -9,10 +9,11 @@ from pyspark.sql.streaming import DataStreamWriter
 from kithscope.functions.numbers import row_count
 from kithscope.plans.account_queries import raw_users
 from kithscope.plans.catalog import Catalog
-from kithscope.plans.workspace import Workspace
+from kithscope.plans.relation_queries import mixed_case_handles
+from kithscope.plans.workspace import CURATED, Workspace
 from kithscope.schemas import GIVEN_TABLES
 from kithscope.session import scratch_path
-from kithscope.streaming import ingest, windows
+from kithscope.streaming import ingest, jobs, windows
 
 catalog = Catalog()
 
@@ -209,6 +210,91 @@ def _(w):
     return w.spark.read.parquet(f"{store.root}/rejected").groupBy("reject_reason").agg(row_count().alias("n"))
 
 
+def filled(w: Workspace) -> ingest.Store:
+    """A store that holds the given accounts, keyword hits and searches."""
+    store = ingest.Store(w.spark, scratch_path(w.spark, "store"), buckets=8)
+    first = lambda old, inc: inc
+    at = F.lit("2000-01-01").cast("timestamp")
+    profiles = w.profiles.join(w.user_stats.select("twitter_id", F.col("followers").alias("follower_count"), F.col("created_at").cast("string").alias("created_at")), "twitter_id")
+    profiles = profiles.withColumns({"got_by_keywords": F.lit(None).cast("array<string>"), "updated_at": at})
+    store.profiles.merge(profiles.select(*store.profiles.columns()), first)
+    hits = w.user_keywords.filter("keyword <> '@customers'").withColumns({"search_id": F.lit("s"), "added_at": at})
+    store.keywords.merge(hits.select(*store.keywords.columns()), first)
+    searches = w.searches.withColumns({"id": F.lit("s"), "ids_hash": F.lit("h"), "platform": F.lit("twitter"), "query_at": F.col("query_at").cast("timestamp")})
+    store.searches.merge(searches.select(*store.searches.columns()), first)
+    return store
+
+
+def as_labels(w: Workspace) -> DataFrame:
+    return w.profile_scores.withColumns({"audience": F.lit("v1"), "scored_at": F.col("scored_at").cast("timestamp")})
+
+
+@catalog.query(
+    "l8_stored_labels",
+    "select twitter_id, scored_by, case when scored_by='model-c' then not label else label end as label, reason from profile_scores",
+)
+def _(w):
+    store = ingest.Store(w.spark, scratch_path(w.spark, "store"), buckets=8)
+    jobs.save_labels(store, as_labels(w).filter("scored_by <> 'model-c'"), "run-1")
+    jobs.save_labels(store, as_labels(w).withColumn("label", ~F.col("label")), "run-2")
+    jobs.save_labels(store, as_labels(w).withColumn("label", F.lit(None).cast("boolean")), "run-2")
+    return store.labels.read().select("twitter_id", "scored_by", "label", "reason")
+
+
+@catalog.query(
+    "l9_stored_relabels",
+    "select twitter_id, scored_by, case when scored_by='model-a' then not label else label end as label from profile_scores",
+)
+def _(w):
+    store = ingest.Store(w.spark, scratch_path(w.spark, "store"), buckets=8)
+    jobs.save_labels(store, as_labels(w), "run-1")
+    later = as_labels(w).filter("scored_by = 'model-a'").withColumns({"label": ~F.col("label"), "scored_at": F.lit("2024-01-01").cast("timestamp")})
+    jobs.save_labels(store, later, "run-2", again=True)
+    return store.labels.read().select("twitter_id", "scored_by", "label")
+
+
+@catalog.query(
+    "u7_stored_keyword_stats",
+    """select s.keyword, case when length(s.keyword)=8 then '#kept' else '' end as tags, coalesce(f.n, 0) as profiles_found,
+    round(coalesce(f.mean, 0e0), 3) as avg_human_score, round(case when l.rated > 0 then l.liked*1e0/l.rated else 0e0 end, 3) as label_rate,
+    p.has_more as still_valid, s.pages_searched from (select keyword, max(page) as pages_searched from searches group by 1) s
+    left join (select keyword, count(*) as n, avg(human_score) as mean from user_keywords join scores using (twitter_id) group by 1) f using (keyword)
+    left join (select keyword, count(label) as rated, count(*) filter (where label) as liked
+      from user_keywords join profile_scores using (twitter_id) group by 1) l using (keyword)
+    left join latest_pages p using (keyword)""",
+)
+def _(w):
+    store = filled(w)
+    jobs.save_labels(store, as_labels(w), "labels")
+    known = w.searches.filter(F.length("keyword") == 8).select("keyword").distinct().withColumn("semantic_tags", F.array(F.lit("#kept")))
+    rest = {c: F.lit(None) for c in store.keyword_stats.columns() if c not in ("keyword", "semantic_tags")}
+    empty = w.spark.createDataFrame([], store.keyword_stats.schema)
+    before = known.withColumns(rest).select(*(F.col(f.name).cast(f.dataType) for f in empty.schema))
+    store.keyword_stats.merge(before, lambda old, inc: inc, "seed")
+    jobs.refresh_keyword_stats(store, F.lit("2024-01-02").cast("timestamp"), "day-1")
+    rows = store.keyword_stats.read()
+    return rows.select(
+        "keyword", F.array_join("semantic_tags", ",").alias("tags"), "profiles_found", F.col("avg_human_score").cast("double").alias("avg_human_score"),
+        F.col("label_rate").cast("double").alias("label_rate"), "still_valid", "pages_searched",
+    )
+
+
+@catalog.query(
+    "u10_stored_curated",
+    """select 'keyword' as kind, twitter_id from wanted join user_profiles p on lower(p.handle)=lower(wanted.handle)
+    union all select 'queue', twitter_id from wanted join user_profiles p on lower(p.handle)=lower(wanted.handle)""",
+    wanted="""select case when c_custkey%3=0 then upper(h) when c_custkey%13=1 then 'no_' || h else h end as handle
+      from (select c_custkey, lower(replace(c_name,'#','_')) as h from customer) t""",
+)
+def _(w):
+    store = filled(w)
+    at = F.lit("2024-01-03").cast("timestamp")
+    for _again in range(2):
+        jobs.save_curated(store, mixed_case_handles(w).select("handle"), CURATED, at, "curated")
+    tagged = store.keywords.read().filter(F.col("keyword") == CURATED).select(F.lit("keyword").alias("kind"), "twitter_id")
+    return tagged.unionByName(store.queue.read().select(F.lit("queue").alias("kind"), "twitter_id"))
+
+
 @catalog.query(
     "t5_dead_letters",
     """select v as verdict, n from (select count(distinct keyword) as n from landed where page=0) t,

@@ -37,6 +37,9 @@ class SnapshotTable:
         whole = max((e.version for e in entries if e.whole), default=0)
         return [e for e in entries if e.version >= whole]
 
+    def columns(self) -> list[str]:
+        return self.spark.createDataFrame([], self.schema).columns
+
     def version(self) -> int:
         return max((e.version for e in self._manifest()), default=0)
 

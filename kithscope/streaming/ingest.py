@@ -33,6 +33,12 @@ SEARCH_DDL = (
     " query_at timestamp, platform string"
 )
 KEYWORD_DDL = "twitter_id string, keyword string, search_id string, added_at timestamp"
+LABEL_DDL = "twitter_id string, scored_by string, label boolean, reason string, scored_at timestamp, audience string"
+KEYWORD_STATS_DDL = (
+    "keyword string, semantic_tags array<string>, profiles_found bigint, avg_human_score decimal(4,3), label_rate decimal(4,3),"
+    " still_valid boolean, pages_searched bigint, high_quality_count bigint, low_quality_count bigint,"
+    " first_search_at timestamp, last_search_at timestamp, updated_at timestamp"
+)
 QUEUE_DDL = "twitter_id string, handle string, added_at timestamp"
 
 
@@ -42,7 +48,7 @@ SEARCH_KEYS = ["keyword", "page", "platform"]
 
 @dataclass
 class Store:
-    """The tables one ingest writes. Side tables are append-only, one folder per batch."""
+    """The seven tables: five that an ingest writes, labels and keyword statistics. Side tables are append-only, one folder per batch."""
 
     spark: SparkSession
     root: str
@@ -56,6 +62,8 @@ class Store:
         self.stats = self._table("user_stats", STATS_DDL, ["twitter_id"])
         self.keywords = self._table("user_keywords", KEYWORD_DDL, ["twitter_id", "keyword"])
         self.queue = self._table("profiles_to_score", QUEUE_DDL, ["twitter_id"])
+        self.labels = self._table("profile_scores", LABEL_DDL, ["twitter_id", "scored_by"])
+        self.keyword_stats = self._table("keyword_stats", KEYWORD_STATS_DDL, ["keyword"])
         self.searches = self._table("api_search_usage", SEARCH_DDL, SEARCH_KEYS)
 
     def write_side(self, name: str, df: DataFrame, batch_id: int) -> None:
