@@ -146,11 +146,12 @@ def without_windows(texts: DataFrame, length: int) -> DataFrame:
                         words = itertools.compress(words, stay[w.words.first[i] : w.words.first[i + 1]].tolist())
                     kept.append(b" ".join(words))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(lo, hi - lo), pa.array(n_words), pa.array(n_removed), pa.array(kept, pa.binary()).cast(pa.string())],
-                    names=["doc_id", "n_words", "n_removed", "kept"],
+                    [batch.column("id_key").slice(lo, hi - lo), pa.array(n_words), pa.array(n_removed), pa.array(kept, pa.binary()).cast(pa.string())],
+                    names=["id_key", "n_words", "n_removed", "kept"],
                 )
 
-    return texts.select("doc_id", "text", "known", "is_copy").mapInArrow(run, "doc_id long, n_words long, n_removed long, kept string")
+    done = texts.select("id_key", "text", "known", "is_copy").mapInArrow(run, "id_key long, n_words long, n_removed long, kept string")
+    return done.select(F.nullif("id_key", F.lit(LOWEST)).alias("doc_id"), "n_words", "n_removed", "kept")
 
 
 def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, length: int = 20, first: int = 10) -> DataFrame:
@@ -158,9 +159,9 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     if length <= first or length % first or (length // first) & (length // first - 1):
         raise ValueError("length must be first times 2, 4, 8, ...")
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    keyed = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
-    # Every pass joins this frame on id_key, so that one exchange of the texts serves them all.
-    keyed = keyed.select("doc_id", F.coalesce("doc_id", F.lit(LOWEST)).alias("id_key"), F.xxhash64("text").alias("text_key"), "text")
+    # Every pass joins all columns of this frame on id_key, so that one exchange of the texts serves them all.
+    keyed = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LOWEST)).alias("id_key"), text.alias("text"))
+    keyed = keyed.select("id_key", F.xxhash64("text").alias("text_key"), "text")
     marks = keyed.select("id_key", "text_key", F.hash("text").alias("text_mark"))
     texts = marks.groupBy("text_key", "text_mark").agg(F.min("id_key").alias("least"), F.max("id_key").alias("most")).filter("least < most")
     copies = marks.join(texts, ["text_key", "text_mark"]).filter("id_key > least").select("id_key", F.col("text_key").alias("copy_key")).distinct()
