@@ -62,10 +62,13 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -60, 60)))
 
 
-def fit_linear(doc: np.ndarray, feature: np.ndarray, earlier: np.ndarray, label: np.ndarray, use: np.ndarray, steps: int = 80, min_docs: int = 8, ridge: float = 3e-4) -> Linear:
-    """Logistic regression on the documents of ``use``, both classes weighing the same, by Adam on the full sample.
+def fit_linear(
+    doc: np.ndarray, feature: np.ndarray, earlier: np.ndarray, label: np.ndarray, use: np.ndarray, steps: int = 150, min_docs: int = 12, lasso: float = 1e-3, ridge: float = 1e-4
+) -> Linear:
+    """Logistic regression on the documents of ``use``, both classes weighing the same, by proximal Adam steps on the full sample.
 
-    Features of fewer than ``min_docs`` documents keep weight 0: they could only be learned by heart.
+    Features of fewer than ``min_docs`` documents keep weight 0 (they could only be learned by heart), and ``lasso`` sets those to
+    0 that say little, so that long documents do not add up noise.
     """
     size = 1 << BITS
     weight = np.where(use, np.where(label == 1, 0.5 / max(1, (use & (label == 1)).sum()), 0.5 / max(1, (use & (label == 0)).sum())), 0.0)
@@ -83,7 +86,9 @@ def fit_linear(doc: np.ndarray, feature: np.ndarray, earlier: np.ndarray, label:
         slope = np.concatenate([np.bincount(feature, weights=error[doc], minlength=n) + ridge * x[:n], error @ earlier, [error.sum()]])
         first = 0.9 * first + 0.1 * slope
         second = 0.99 * second + 0.01 * slope**2
-        x -= 0.1 * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-4)
+        rate = 0.1 / (np.sqrt(second / (1 - 0.99**step)) + 1e-3)
+        x -= rate * first / (1 - 0.9**step)
+        x[:n] = np.sign(x[:n]) * np.maximum(np.abs(x[:n]) - lasso * rate[:n], 0)
     weights = np.zeros(size)
     weights[names] = x[:n]
     return Linear(weights, float(x[-1]), x[n : n + m].copy())
@@ -171,7 +176,7 @@ def toxicity_chain(
     text_col: str = "text",
     label_id: str = "doc_id",
     *,
-    most_per_pattern: int = 1500,
+    most_per_pattern: int = 3000,
     folds: int = 3,
 ) -> DataFrame:
     """Probabilities of each category for each document; ``categories`` are 0/1 columns of ``labels`` in the order of the chain."""
