@@ -18,6 +18,7 @@ HEADLINE = [
     "e1_curated_report", "e2_rank_report", "l1_label_work_list", "l6_checked_responses", "u1_upsert_profiles",
     "u3_insert_keywords", "k4_stratified_sample", "b2_numbered_batches", "q7_validate_leads", "s7_high_score_export",
     "p1_flatten_profiles", "p3_normalize_text", "m1_audience_similarity", "t3_first_seen", "t4_weekly_yield",
+    "t1_ingest", "t3_firsts_over_batches", "u7_stored_keyword_stats",
 ]
 
 
