@@ -6,10 +6,14 @@ every task, and boilerplate that a large share of documents holds weighs little)
 in one with the probability of their weighted Jaccard similarity; four samples make a band. Documents that agree in
 a band are compared exactly, and those of similarity ``threshold`` or more are linked. Classes are the components of links.
 
-Copies of one word sequence are one node throughout. A bucket of a band is never expanded into all pairs: in each round a few
-hubs (1, 2, 4, ... per bucket, picked by ``min``) meet all members that are not yet in their class; then they leave the
-bucket. A pair of one bucket is thus either compared or already in one class when the rounds end, so no link between classes is
-lost and nothing is capped.
+Copies of one word sequence are one node throughout. Documents that share a long passage fall into one bucket without being
+similar; a bucket of more than ``LARGE`` nodes is therefore split by prefix: with shingles in one order, rarest first, two documents can
+only reach the threshold if they share one of the first shingles, up to where the rest weighs less than ``threshold`` of the
+whole. That loses no pair. A bucket is never expanded into all pairs either: in the first round its smallest node, the hub, meets
+all members and leaves. Buckets that are still large and hold several classes are then compared in blocks, which give back
+at most one link per node; in small ones hubs go on, 4, 16, ... per bucket and round, until all members are of one class or have been hubs.
+A pair of one bucket is thus compared, or excluded by its prefixes, or already in one class when the rounds end: no link between
+classes is lost and nothing is capped.
 
 Cases: documents of fewer than five words have one shingle, all their words; null or empty texts and texts of
 blanks are classes of their own; ties take the smallest id; a null id is the smallest; repeated rows share a
@@ -18,9 +22,11 @@ class; an empty table gives an empty table; extra columns are carried whatever t
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,6 +39,8 @@ from kithscope.llm.frames import carried, stored
 LOWEST = -(1 << 63)
 FREQUENCY_BITS = 16
 VARIATES_BITS = 16
+LARGE = 32
+BLOCK = 256
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -160,32 +168,106 @@ def weighted_jaccard(weights: np.ndarray, a: tuple[np.ndarray, np.ndarray], b: t
     return float(both / (wa.sum() + wb.sum() - both)) if len(wa) and len(wb) else 0.0
 
 
-def verified(pairs: DataFrame, keyed: DataFrame, nodes: DataFrame, weights: np.ndarray, size: int, threshold: float) -> DataFrame:
-    """The (a, b) of ``pairs`` of nodes whose texts have a similarity of ``threshold`` or more."""
-    shared = keyed.sparkSession.sparkContext.broadcast(weights)
+def tokens_of(shingle: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """A shingle that occurs n times as n tokens that differ in the low bits: then minima of counts are plain intersections."""
+    nth = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    top = np.uint64(64 - FREQUENCY_BITS)
+    whole = np.repeat(shingle, count)
+    return np.where(nth == 0, whole, ((whole >> top) << top) | (mix(whole + nth.astype(np.uint64) * GOLDEN) >> np.uint64(FREQUENCY_BITS)))
+
+
+def token_sets(texts: DataFrame, size: int) -> DataFrame:
+    """(node, large, tokens): the sorted tokens of each text, as 64-bit numbers."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi, part in slices(batch.column("text")):
+                doc, shingle, count, _ = shingles(part, size)
+                first = np.searchsorted(doc, np.arange(hi - lo + 1))
+                packed = [np.sort(tokens_of(shingle[a:b], count[a:b])).tobytes() for a, b in itertools.pairwise(first)]
+                rows = batch.slice(lo, hi - lo)
+                yield pa.RecordBatch.from_arrays([rows.column("node"), rows.column("large"), pa.array(packed, pa.binary())], names=["node", "large", "tokens"])
+
+    return texts.select("node", "large", "text").mapInArrow(run, "node long, large boolean, tokens binary")
+
+
+def verified(pairs: DataFrame, sets: DataFrame, weights: np.ndarray, threshold: float) -> DataFrame:
+    """The (a, b) of ``pairs`` of nodes whose token sets have a similarity of ``threshold`` or more."""
+    shared = pairs.sparkSession.sparkContext.broadcast(weights)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last: tuple[int | None, tuple | None] = (None, None)
         for batch in batches:
             keep = np.zeros(batch.num_rows, dtype=bool)
-            ids = batch.column("a").to_pylist()
-            for i in range(batch.num_rows):
-                sets = []
-                for side in ("text_a", "text_b"):
-                    if side == "text_a" and last[0] == ids[i]:
-                        sets.append(last[1])
-                        continue
-                    (_, _, texts), = slices(batch.column(side).slice(i, 1))
-                    _, shingle, count, _ = shingles(texts, size)
-                    sets.append((shingle, count))
-                last = (ids[i], sets[0])
-                keep[i] = weighted_jaccard(shared.value, *sets) >= threshold
+            for i, (a, b) in enumerate(zip(batch.column("set_a"), batch.column("set_b"), strict=True)):
+                a, b = (np.frombuffer(x.as_buffer(), dtype=np.uint64) for x in (a, b))
+                both = np.intersect1d(a, b, assume_unique=True)
+                wa, wb, wo = (shared.value[_bucket(x)].sum(dtype=np.float64) for x in (a, b, both))
+                keep[i] = wo >= threshold * (wa + wb - wo)
             yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(keep)) for c in ("a", "b")], names=["a", "b"])
 
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "id_key", "text_key"), "node")
-    texts = keyed.select("id_key", "text_key", "text").join(wanted, ["id_key", "text_key"]).select("node", "text").dropDuplicates(["node"])
-    sided = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b").join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
-    return sided.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
+    sided = pairs.join(sets.select(F.col("node").alias("b"), F.col("tokens").alias("set_b")), "b").join(sets.select(F.col("node").alias("a"), F.col("tokens").alias("set_a")), "a")
+    return sided.select("a", "b", "set_a", "set_b").mapInArrow(run, "a long, b long")
+
+
+def similar_in_blocks(live: DataFrame, sets: DataFrame, weights: np.ndarray, threshold: float) -> DataFrame:
+    """Links (a, b) that join up all similar nodes of each bucket of ``live`` (bucket, node, n), whatever its size.
+
+    A bucket's nodes are dealt into blocks of about ``BLOCK``; each two blocks meet in one small group, which compares all its
+    nodes at once (a product of matrices) and gives back no more links than it has nodes.
+    """
+    shared = live.sparkSession.sparkContext.broadcast(weights)
+
+    def compare(group: pd.DataFrame) -> pd.DataFrame:
+        lists = [np.frombuffer(x, dtype=np.uint64) for x in group["tokens"]]
+        n, nodes = len(lists), group["node"].to_numpy()
+        owner = np.repeat(np.arange(n), [len(x) for x in lists])
+        names, token, count = np.unique(np.concatenate(lists), return_inverse=True, return_counts=True)
+        weight = shared.value[_bucket(names)].astype(np.float64)
+        whole = np.bincount(owner, weights=weight[token], minlength=n)
+        both = np.zeros((n, n))
+        common = np.flatnonzero(count > 1)
+        column = np.full(len(names), -1)
+        for lo in range(0, len(common), 4096):
+            part = common[lo : lo + 4096]
+            column[:] = -1
+            column[part] = np.arange(len(part))
+            here = column[token] >= 0
+            x = np.zeros((n, len(part)))
+            x[owner[here], column[token[here]]] = np.sqrt(weight[token[here]])
+            both += x @ x.T
+        near = both >= (threshold - 1e-9) * (whole[:, None] + whole[None, :] - both)
+        # A spanning forest says as much as all links.
+        label, out = np.arange(n), []
+        for i in range(n):
+            for j in np.flatnonzero(near[i, :i] & (label[:i] != label[i])):
+                if label[i] != label[j]:
+                    out.append((min(nodes[i], nodes[j]), max(nodes[i], nodes[j])))
+                    label[label == label[i]] = label[j]
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+    blocks = F.ceil(F.col("n") / BLOCK)
+    own = live.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("node"), "blocks"))
+    dealt = own.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    dealt = dealt.filter("blocks = 1 or own <> other").select("bucket", "node", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    # Two blocks that meet are compared within themselves too.
+    return dealt.join(sets.select("node", "tokens"), "node").groupBy("bucket", "i", "j").applyInPandas(compare, "a long, b long")
+
+
+def prefixes(sets: DataFrame, weights: np.ndarray, threshold: float) -> DataFrame:
+    """(bucket, node): the first tokens of each set, rarest first, without which it cannot be similar to another."""
+    shared = sets.sparkSession.sparkContext.broadcast(weights)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for node, packed in zip(batch.column("node"), batch.column("tokens"), strict=True):
+                token = np.frombuffer(packed.as_buffer(), dtype=np.uint64)
+                rarity = shared.value[_bucket(token)].astype(np.float64)
+                order = np.lexsort((token, -rarity))
+                rest = np.cumsum(rarity[order][::-1])[::-1]  # from this token on
+                keep = token[order][rest >= (threshold - 1e-6) * rest[0]]
+                yield pa.RecordBatch.from_arrays([signed(keep), pa.array(np.full(len(keep), node.as_py()))], names=["bucket", "node"])
+
+    return sets.select("node", "tokens").mapInArrow(run, "bucket long, node long")
 
 
 def near_duplicates(
@@ -210,27 +292,43 @@ def near_duplicates(
     nodes = stored(nodes.select("node", "least.id_key", "least.text_key", "bands"), "nodes")
 
     members = nodes.select("node", F.explode("bands").alias("bucket"))
-    shared = members.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
-    members = stored(members.join(shared, "bucket").select("bucket", "node"), "members")
+    sizes = members.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
+    members = stored(members.join(sizes, "bucket").select("bucket", "node", (F.col("n") > LARGE).alias("large")), "members")
+    by_node = members.groupBy("node").agg(F.max("large").alias("large"))
+    # Token sets of all nodes that share a bucket are made once, not in every round.
+    wanted = nodes.select("node", "id_key", "text_key").join(by_node, "node")
+    texts = keyed.select("id_key", "text_key", "text").join(wanted, ["id_key", "text_key"]).select("node", "large", "text")
+    sets = stored(token_sets(texts, shingle_words).dropDuplicates(["node"]), "token-sets")
+    split = prefixes(sets.filter("large"), weights, threshold)
+    shared = split.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
+    members = stored(members.filter("not large").select("bucket", "node").unionByName(split.join(shared, "bucket").select("bucket", "node")), "members")
     labels = stored(members.select("node").distinct().withColumn("label", F.col("node")), "labels")
-    hubs_per_bucket = 1
-    while True:
+
+    def unsettled(members: DataFrame, labels: DataFrame) -> DataFrame:
+        """(bucket, node, label, n): members of the buckets that hold more than one class, n of them."""
         live = members.join(labels, "node")
-        mixed = live.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("bucket")
-        live = stored(live.join(mixed, "bucket").select("bucket", "node", "label"), "live")
-        if live.isEmpty():
-            break
+        mixed = live.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n")).filter("lo < hi")
+        return stored(live.join(mixed.select("bucket", "n"), "bucket").select("bucket", "node", "label", "n"), "live")
+
+    def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+        ends = [labels.select(F.col("node").alias(x), F.col("label").alias(f"label_{x}")) for x in ("a", "b")]
+        between = links.join(ends[0], "a").join(ends[1], "b").select(F.col("label_a").alias("a"), F.col("label_b").alias("b"))
+        return merge_labels(labels, between.filter("a <> b"))
+
+    hubs_per_bucket, step = 1, 0
+    while not (live := unsettled(members, labels)).isEmpty():
+        if step == 1:  # what the first hubs have not settled in large buckets is compared in blocks
+            links = similar_in_blocks(live.filter(F.col("n") > LARGE), sets, weights, threshold)
+            labels = merged(labels, stored(links, "links"))
+            live = live.filter(F.col("n") <= LARGE).drop("label").join(labels, "node")
         slot = F.pmod(F.xxhash64("node", F.lit(hubs_per_bucket)), F.lit(hubs_per_bucket))
         hubs = live.groupBy("bucket", slot.alias("slot")).agg(F.min(F.struct("node", "label")).alias("hub")).select("bucket", "hub.*")
         hubs = stored(hubs, "hubs")
         meeting = live.join(hubs.select("bucket", F.col("node").alias("hub"), F.col("label").alias("hub_label")), "bucket").filter("label <> hub_label")
         pairs = meeting.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-        links = stored(verified(stored(pairs, "pairs"), keyed, nodes, weights, shingle_words, threshold), "links")
-        ends = [labels.select(F.col("node").alias(x), F.col("label").alias(f"label_{x}")) for x in ("a", "b")]
-        between = links.join(ends[0], "a").join(ends[1], "b").select(F.col("label_a").alias("a"), F.col("label_b").alias("b"))
-        labels = merge_labels(labels, between)
+        labels = merged(labels, stored(verified(stored(pairs, "pairs"), sets, weights, threshold), "links"))
         members = live.select("bucket", "node").join(hubs.select("bucket", "node"), ["bucket", "node"], "left_anti")
-        hubs_per_bucket *= 2
+        hubs_per_bucket, step = 4 * hubs_per_bucket, step + 1
 
     placed = nodes.select("node", "id_key", "text_key").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     leaders = placed.groupBy("label").agg(least.alias("leader"))
