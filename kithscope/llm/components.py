@@ -8,21 +8,24 @@ from pyspark.sql import functions as F
 from kithscope.llm.frames import stored
 
 
-def merge_labels(labels: DataFrame, links: DataFrame, most_rounds: int = 64) -> DataFrame:
-    """``labels`` (node, label) joined up by ``links`` (a, b) between labels; a label is the smallest node of its component.
+def merge_labels(labels: DataFrame, links: DataFrame, most_rounds: int = 200) -> DataFrame:
+    """``labels`` (node, label) joined up by ``links`` (a, b) between labels: linked labels become one of them.
 
-    Each round points every label at the smallest label it is linked to, moves nodes and links along and drops links
-    within one label. A round at least halves the labels that can still move down, so rounds grow with the
-    logarithm of a component's size. Aggregates are ``min`` (combined map-side), so a hub of many links is no hot group.
+    In each round every label moves to the one of least hash among itself and those it is linked to; links move along and
+    those within one label go. Hashes change from round to round, so a constant share of the labels is expected to go in
+    each, also along paths, and rounds grow with the logarithm of a component's size. A label's least neighbour is combined
+    map-side, so a hub of many links is no hot group.
     """
-    for _ in range(most_rounds):
-        both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        step = both.groupBy(F.col("a").alias("label")).agg(F.least(F.min("b"), F.first("a")).alias("to"))
-        step = stored(step.filter("to < label"), "labels-step")
-        if step.isEmpty():
+    for step in range(most_rounds):
+        links = links.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        links = stored(links, "links")
+        if links.isEmpty():
             return labels
-        labels = stored(labels.join(step, "label", "left").select("node", F.coalesce("to", "label").alias("label")), "labels")
-        a, b = step.select(F.col("label").alias("a"), F.col("to").alias("to_a")), step.select(F.col("label").alias("b"), F.col("to").alias("to_b"))
-        moved = links.join(a, "a", "left").join(b, "b", "left").select(F.coalesce("to_a", "a").alias("a"), F.coalesce("to_b", "b").alias("b"))
-        links = stored(moved.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links")
+        both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        order = lambda c: F.xxhash64(c, F.lit(step))
+        least = both.groupBy(F.col("a").alias("label")).agg(F.min_by("b", order("b")).alias("to"))
+        moves = stored(least.filter(order("to") < order("label")), "moves")
+        labels = stored(labels.join(moves, "label", "left").select("node", F.coalesce("to", "label").alias("label")), "labels")
+        a, b = moves.select(F.col("label").alias("a"), F.col("to").alias("to_a")), moves.select(F.col("label").alias("b"), F.col("to").alias("to_b"))
+        links = links.join(a, "a", "left").join(b, "b", "left").select(F.coalesce("to_a", "a").alias("a"), F.coalesce("to_b", "b").alias("b"))
     raise RuntimeError("links do not settle")
