@@ -9,6 +9,7 @@ finds another version committed meanwhile is refused.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
@@ -50,19 +51,26 @@ class SnapshotTable:
             return False
         return bool(tags.filter(F.col("tag") == tag).take(1))
 
-    def _read(self, entries: list, buckets: list[int] | None = None) -> DataFrame:
-        empty = self.spark.createDataFrame([], self.schema)
-        if not entries:
-            return empty
-        paths = [f"{self.root}/data/v={e.version}" for e in entries]
-        rows = self.spark.read.schema(f"{self.schema}, v int, bucket int").option("basePath", f"{self.root}/data").parquet(*paths)
+    def _version(self, version: int, buckets: list[int] | None) -> DataFrame | None:
+        """One version's rows, of some buckets only if asked; their folders are no columns, whatever the table's are called."""
+        path = f"{self.root}/data/v={version}"
         if buckets is not None:
-            rows = rows.filter(F.col("bucket").isin(buckets))
-        if len(entries) == 1:
-            return rows.select(*empty.columns)
-        rest = [c for c in empty.columns if c not in self.keys]
-        newest = rows.groupBy(*self.keys).agg(F.max_by(F.struct(*rest), "v").alias("_r"))
-        return newest.select(*self.keys, "_r.*").select(*empty.columns)
+            path += f"/bucket={{{','.join(map(str, buckets))}}}"
+        try:
+            return self.spark.read.schema(self.schema).option("recursiveFileLookup", True).parquet(path)
+        except AnalysisException:  # none of these buckets in this version
+            return None
+
+    def _read(self, entries: list, buckets: list[int] | None = None) -> DataFrame:
+        columns = self.columns()
+        found = [(e.version, rows) for e in entries if (rows := self._version(e.version, buckets)) is not None]
+        if not found:
+            return self.spark.createDataFrame([], self.schema)
+        if len(found) == 1:
+            return found[0][1]
+        tagged = [rows.select(*self.keys, F.struct(*columns).alias("_row"), F.lit(version).alias("_version")) for version, rows in found]
+        newest = functools.reduce(DataFrame.unionByName, tagged).groupBy(*self.keys).agg(F.max_by("_row", "_version").alias("_row"))
+        return newest.select("_row.*")
 
     def read(self) -> DataFrame:
         return self._read(self._manifest())
