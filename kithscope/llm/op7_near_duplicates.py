@@ -1,10 +1,12 @@
 """Near-duplicate classes by improved consistent weighted sampling.
 
 A document is the weighted set of its five-word shingles; a shingle weighs its count in the document times its inverse document
-frequency, which is counted over all documents in a table of hashed shingles of fixed size (so it can be handed to
-every task, and boilerplate that a large share of documents holds weighs little). Samples are drawn so that two documents agree
+frequency, which is counted over all distinct word sequences in a table of hashed shingles of fixed size (so it can be handed to
+every task). Copies count once, and no weight is more than ``SPREAD`` times another, so that shingles of a large group of near copies
+are not outweighed by the few that an edit changes. Samples are drawn so that two documents agree
 in one with the probability of their weighted Jaccard similarity; four samples make a band. Documents that agree in
-a band are compared exactly, and those of similarity ``threshold`` or more are linked. Classes are the components of links.
+a band are compared exactly, and those whose weighted or plain similarity is ``threshold`` or more are linked: weights add
+links to those of plain shingle counts and take none away. Classes are the components of links.
 
 Copies of one word sequence are one node throughout. Documents that share a long passage fall into one bucket without being
 similar; a bucket of more than ``LARGE`` nodes is therefore split by prefix: with shingles in one order, rarest first, two documents can
@@ -42,6 +44,8 @@ VARIATES_BITS = 16
 LARGE = 32
 BLOCK = 256
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
+#: Largest weight over smallest. A pair of plain similarity 0.8 then has a weighted one of 0.76 at least.
+SPREAD = 1.25
 
 
 def shingles(texts: Texts, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -70,21 +74,33 @@ def _bucket(shingle: np.ndarray) -> np.ndarray:
 
 
 def document_frequencies(texts: DataFrame, size: int) -> tuple[np.ndarray, int]:
-    """In how many documents each bucket of shingles occurs, and the number of documents with any. A table of fixed size."""
+    """In how many distinct word sequences each bucket of shingles occurs, and their number. A table of fixed size."""
     n_buckets = 1 << FREQUENCY_BITS
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, docs = np.zeros(n_buckets, dtype=np.int64), 0
+    def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, _, part in slices(batch.column("text")):
-                doc, shingle, _, _ = shingles(part, size)
+                doc, shingle, _, content = shingles(part, size)
                 key = np.unique((doc << FREQUENCY_BITS) | _bucket(shingle))
-                seen += np.bincount(key & (n_buckets - 1), minlength=n_buckets)
-                docs += len(np.unique(doc))
+                has, first = np.unique(key >> FREQUENCY_BITS, return_index=True)
+                buckets = (key & (n_buckets - 1)).astype("<u2").tobytes()
+                ends = 2 * np.append(first, len(key))
+                # Copies within a slice go at once, others where they meet.
+                _, once = np.unique(content[has], return_index=True)
+                packed = [buckets[ends[i] : ends[i + 1]] for i in once]
+                yield pa.RecordBatch.from_arrays([signed(content[has][once]), pa.array(packed, pa.binary())], names=["node", "buckets"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen, docs = np.zeros(n_buckets, dtype=np.int64), 0
+        for batch in batches:
+            for packed in batch.column("buckets"):
+                seen[np.frombuffer(packed.as_buffer(), dtype="<u2")] += 1
+            docs += batch.num_rows
         full = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(full, -1)), pa.array(np.append(seen[full], docs))], names=["bucket", "n"])
 
-    counted = texts.select("text").mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
+    once = texts.select("text").mapInArrow(held, "node long, buckets binary").dropDuplicates(["node"]).select("buckets")
+    counted = once.mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
     table = np.zeros(n_buckets, dtype=np.int64)
     known = counted[counted["bucket"] >= 0]
     table[known["bucket"].to_numpy(dtype=np.int64)] = known["n"].to_numpy(dtype=np.int64)
@@ -92,8 +108,10 @@ def document_frequencies(texts: DataFrame, size: int) -> tuple[np.ndarray, int]:
 
 
 def shingle_weights(table: np.ndarray, n_docs: int) -> np.ndarray:
-    """Inverse document frequency by bucket, as single precision."""
-    return np.log1p((1 + n_docs) / (1 + table)).astype(np.float32)
+    """Inverse document frequency by bucket, as single precision, none less than the largest in use by more than ``SPREAD``."""
+    weights = np.log1p((1 + n_docs) / (1 + table))
+    top = weights[table > 0].max(initial=0.0) or 1.0
+    return np.clip(weights, top / SPREAD, top).astype(np.float32)
 
 
 class WeightedSampler:
@@ -161,11 +179,16 @@ def signatures(keyed: DataFrame, weights: np.ndarray, size: int, bands: int, row
 
 
 def weighted_jaccard(weights: np.ndarray, a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
-    """Similarity of two documents as (distinct shingles, counts)."""
-    wa, wb = (x[1] * weights[_bucket(x[0])].astype(float) for x in (a, b))
+    """Similarity of two documents as (distinct shingles, counts): the larger of the weighted and the plain one."""
+    if not len(a[0]) or not len(b[0]):
+        return 0.0
     _, ia, ib = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
-    both = np.minimum(wa[ia], wb[ib]).sum()
-    return float(both / (wa.sum() + wb.sum() - both)) if len(wa) and len(wb) else 0.0
+
+    def similarity(wa: np.ndarray, wb: np.ndarray) -> float:
+        both = np.minimum(wa[ia], wb[ib]).sum()
+        return float(both / (wa.sum() + wb.sum() - both))
+
+    return max(similarity(*(x[1] * weights[_bucket(x[0])].astype(float) for x in (a, b))), similarity(a[1], b[1]))
 
 
 def tokens_of(shingle: np.ndarray, count: np.ndarray) -> np.ndarray:
@@ -202,7 +225,7 @@ def verified(pairs: DataFrame, sets: DataFrame, weights: np.ndarray, threshold:
                 a, b = (np.frombuffer(x.as_buffer(), dtype=np.uint64) for x in (a, b))
                 both = np.intersect1d(a, b, assume_unique=True)
                 wa, wb, wo = (shared.value[_bucket(x)].sum(dtype=np.float64) for x in (a, b, both))
-                keep[i] = wo >= threshold * (wa + wb - wo)
+                keep[i] = wo >= threshold * (wa + wb - wo) or len(both) >= threshold * (len(a) + len(b) - len(both))
             yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(keep)) for c in ("a", "b")], names=["a", "b"])
 
     sided = pairs.join(sets.select(F.col("node").alias("b"), F.col("tokens").alias("set_b")), "b").join(sets.select(F.col("node").alias("a"), F.col("tokens").alias("set_a")), "a")
@@ -223,8 +246,8 @@ def similar_in_blocks(live: DataFrame, sets: DataFrame, weights: np.ndarray, thr
         owner = np.repeat(np.arange(n), [len(x) for x in lists])
         names, token, count = np.unique(np.concatenate(lists), return_inverse=True, return_counts=True)
         weight = shared.value[_bucket(names)].astype(np.float64)
-        whole = np.bincount(owner, weights=weight[token], minlength=n)
-        both = np.zeros((n, n))
+        whole, sizes = np.bincount(owner, weights=weight[token], minlength=n), np.bincount(owner, minlength=n)
+        both, shared_tokens = np.zeros((n, n)), np.zeros((n, n))
         common = np.flatnonzero(count > 1)
         column = np.full(len(names), -1)
         for lo in range(0, len(common), 4096):
@@ -233,9 +256,11 @@ def similar_in_blocks(live: DataFrame, sets: DataFrame, weights: np.ndarray, thr
             column[part] = np.arange(len(part))
             here = column[token] >= 0
             x = np.zeros((n, len(part)))
-            x[owner[here], column[token[here]]] = np.sqrt(weight[token[here]])
-            both += x @ x.T
+            x[owner[here], column[token[here]]] = 1
+            shared_tokens += x @ x.T
+            both += (x * weight[part]) @ x.T
         near = both >= (threshold - 1e-9) * (whole[:, None] + whole[None, :] - both)
+        near |= shared_tokens >= (threshold - 1e-9) * (sizes[:, None] + sizes[None, :] - shared_tokens)
         # A spanning forest says as much as all links.
         label, out = np.arange(n), []
         for i in range(n):
@@ -253,18 +278,19 @@ def similar_in_blocks(live: DataFrame, sets: DataFrame, weights: np.ndarray, thr
     return dealt.join(sets.select("node", "tokens"), "node").groupBy("bucket", "i", "j").applyInPandas(compare, "a long, b long")
 
 
-def prefixes(sets: DataFrame, weights: np.ndarray, threshold: float) -> DataFrame:
-    """(bucket, node): the first tokens of each set, rarest first, without which it cannot be similar to another."""
-    shared = sets.sparkSession.sparkContext.broadcast(weights)
+def prefixes(sets: DataFrame, table: np.ndarray, weights: np.ndarray, threshold: float) -> DataFrame:
+    """(bucket, node): the first tokens of each set, rarest first, without which it cannot be similar to another, weighted or plain."""
+    shared = sets.sparkSession.sparkContext.broadcast((table, weights))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequency, weights = shared.value
         for batch in batches:
             for node, packed in zip(batch.column("node"), batch.column("tokens"), strict=True):
                 token = np.frombuffer(packed.as_buffer(), dtype=np.uint64)
-                rarity = shared.value[_bucket(token)].astype(np.float64)
-                order = np.lexsort((token, -rarity))
-                rest = np.cumsum(rarity[order][::-1])[::-1]  # from this token on
-                keep = token[order][rest >= (threshold - 1e-6) * rest[0]]
+                order = np.lexsort((token, frequency[_bucket(token)]))
+                weight = weights[_bucket(token[order])].astype(np.float64)
+                rest, left = np.cumsum(weight[::-1])[::-1], np.arange(len(token), 0, -1)  # from this token on
+                keep = token[order][(rest >= (threshold - 1e-6) * rest[0]) | (left >= (threshold - 1e-6) * left[0])]
                 yield pa.RecordBatch.from_arrays([signed(keep), pa.array(np.full(len(keep), node.as_py()))], names=["bucket", "node"])
 
     return sets.select("node", "tokens").mapInArrow(run, "bucket long, node long")
@@ -284,7 +310,8 @@ def near_duplicates(
     """(row, doc_id, id_key, text_key, class_id, is_first) per document; ``class_id`` is the smallest id of its class."""
     keys = {"id_key": F.coalesce("doc_id", F.lit(LOWEST)), "text_key": F.xxhash64(F.coalesce("text", F.lit("")))}
     keyed = carried(docs, id_col, text_col, carry).withColumns(keys)
-    weights = shingle_weights(*document_frequencies(keyed, shingle_words))
+    table, n_docs = document_frequencies(keyed, shingle_words)
+    weights = shingle_weights(table, n_docs)
     signed_docs = stored(signatures(keyed, weights, shingle_words, bands, rows), "signatures")
     with_words = signed_docs.filter("node is not null")
     least = F.min(F.struct("id_key", "text_key"))
@@ -299,7 +326,7 @@ def near_duplicates(
     wanted = nodes.select("node", "id_key", "text_key").join(by_node, "node")
     texts = keyed.select("id_key", "text_key", "text").join(wanted, ["id_key", "text_key"]).select("node", "large", "text")
     sets = stored(token_sets(texts, shingle_words).dropDuplicates(["node"]), "token-sets")
-    split = prefixes(sets.filter("large"), weights, threshold)
+    split = prefixes(sets.filter("large"), table, weights, threshold)
     shared = split.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
     members = stored(members.filter("not large").select("bucket", "node").unionByName(split.join(shared, "bucket").select("bucket", "node")), "members")
     labels = stored(members.select("node").distinct().withColumn("label", F.col("node")), "labels")

@@ -262,6 +262,31 @@ def test_near_duplicate_classes_are_those_of_all_pairs(spark):
     assert near_duplicates(frame(spark, [])).count() == 0
 
 
+def test_a_hot_group_of_copies_and_edits_links_as_by_plain_shingles(spark):
+    base = prose(30, 104).split(" ")
+    edits = [" ".join("changed" + str(k) if j == 10 * k + 5 else w for j, w in enumerate(base)) for k in range(10)]
+    # 300 copies of the base and its edits (95 of 105 shingles are the same), edits without their base, and many other texts.
+    other = prose(31, 104).split(" ")
+    pairs = [" ".join(f"new{k}" if j == 20 * k + 30 else w for j, w in enumerate(other)) for k in range(3)]
+    texts = [" ".join(base)] * 300 + edits * 30 + pairs + [prose(1000 + i, 60) for i in range(300)]
+    seen = sorted(set(texts))
+    plain = {t: {tuple(t.split(" ")[k : k + 5]) for k in range(len(t.split(" ")) - 4)} for t in seen}
+    label = {t: t for t in seen}
+    for a in seen:
+        for b in seen:
+            if label[a] != label[b] and len(plain[a] & plain[b]) >= 0.8 * len(plain[a] | plain[b]):
+                label = {t: label[a] if x == label[b] else x for t, x in label.items()}
+    least = {}
+    for i, t in enumerate(texts):
+        least.setdefault(label[t], i)
+    got = near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).select("doc_id", "class_id").collect()
+    assert {r["doc_id"]: r["class_id"] for r in got} == {i: least[label[t]] for i, t in enumerate(texts)}
+    assert len(least) == 302
+    once = document_frequencies(spark.createDataFrame([(t,) for t in seen], "text string"), 5)
+    many = document_frequencies(spark.createDataFrame([(t,) for t in texts], "text string").repartition(5), 5)
+    assert once[1] == many[1] == len(seen) and (once[0] == many[0]).all()
+
+
 def test_linked_labels_become_one_also_along_paths(spark):
     links = [(i, i + 1) for i in range(0, 99)] + [(150, n) for n in range(100, 150)] + [(199, 198)]
     labels = spark.createDataFrame([(n, n) for n in range(200)], "node long, label long")
