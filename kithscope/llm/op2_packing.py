@@ -27,17 +27,19 @@ _TOKENIZERS: dict[tuple[str, str | None], ByteTokenizer] = {}
 class ByteTokenizer:
     """Ids of a byte-level BPE tokenizer, little-endian unsigned 32-bit.
 
-    ``path`` is the tokenizer's file. With ``ranks_path``, the same vocabulary as ranks, Latin-1 texts take a three times faster
-    encoder that gives the same ids; others, for which character tables of libraries may differ, always take the first.
+    ``path`` is the tokenizer's file, and ids are what it gives without special tokens put around the text. With ``ranks_path``, the
+    same vocabulary as ranks, Latin-1 texts take a three times faster encoder that gives the same ids; others, for which character
+    tables of libraries may differ, and texts that hold an added token of the file, which ranks do not know, always take the first.
     """
 
     def __init__(self, path: str, ranks_path: str | None = None, pattern: str | None = None) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.fast = None
-        if ranks_path:
+        # A normalizer could make an added token of other characters.
+        if ranks_path and (self.tokenizer.normalizer is None or not self.added):
             import tiktoken
 
             with open(ranks_path, "rb") as f:
@@ -45,7 +47,7 @@ class ByteTokenizer:
             self.fast = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
     def ids(self, text: str) -> bytes:
-        if self.fast is not None:
+        if self.fast is not None and not any(token in text for token in self.added):
             try:
                 text.encode("latin-1")
             except UnicodeEncodeError:

@@ -112,6 +112,19 @@ def test_the_fast_encoder_gives_the_same_ids():
     assert [fast.ids(t) for t in odd] == [plain.ids(t) for t in odd]
 
 
+def test_ids_are_those_of_the_plain_tokenizer_file():
+    from tokenizers import Tokenizer
+
+    file = Tokenizer.from_file(TOKENS)
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>é", "中 <|endoftext|> 文", "<|endoftext", "a b <|ENDOFTEXT|>"]
+    expected = [file.encode(t, add_special_tokens=False).ids for t in texts]
+    assert expected[0] == [64, 220, 50256, 275]
+    for options in ({}, RANKS):
+        encoder = ByteTokenizer(TOKENS, **options)
+        assert [np.frombuffer(encoder.ids(t), dtype="<u4").tolist() for t in texts] == expected
+        assert (encoder.fast is not None) == bool(options)
+
+
 def test_the_packer_takes_the_tightest_bin_and_closes_the_fullest():
     packer = Packer(10, 2, 0)
     assert [packer.place(n) for n in (6, 7, 3)] == [(0, 0), (1, 0), (1, 7)]
