@@ -24,6 +24,8 @@ from kithscope.llm.frames import stored
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Host of a link with one, scheme or not.
 LINK_HOST = r"""(?i)href\s*=\s*["']?(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s>]+)"""
+#: Rounds between two stored tables of ranks.
+STORE_EVERY = 3
 Rule = tuple[str, str, str]
 """(verdict, host, path), verdict allow or block."""
 
@@ -52,24 +54,32 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return found.groupBy("src", "dst").agg(F.count("*").alias("links"))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, damping: float, rounds: int) -> DataFrame:
-    """(kind, host, rank) after ``rounds`` of r = (1 - damping) x seed share + damping x what linking hosts hand on.
+def propagate(edges: DataFrame, seeds: DataFrame, damping: float, tolerance: float) -> DataFrame:
+    """(kind, host, rank) of r = (1 - damping) x seed share + damping x what linking hosts hand on, to within ``tolerance``.
 
-    ``edges`` is (kind, src, dst, share), shares of one source summing to 1; ``seeds`` is (kind, host, share).
+    ``edges`` is (kind, src, dst, share), shares of one source summing to 1; ``seeds`` is (kind, host, share). Ranks only grow from
+    round to round. Rounds end when over ``STORE_EVERY`` of them no host was reached and none grew by more than ``tolerance``
+    of its own rank, however small that is.
     """
-    start = seeds.select("kind", "host", ((1 - damping) * F.col("share")).alias("rank"))
+    start = stored(seeds.select("kind", "host", ((1 - damping) * F.col("share")).alias("rank")), "ranks")
     ranks = start
-    for step in range(1, rounds + 1):
-        handed = edges.join(ranks.withColumnRenamed("host", "src"), ["kind", "src"])
-        handed = handed.select("kind", F.col("dst").alias("host"), (damping * F.col("share") * F.col("rank")).alias("rank"))
-        ranks = start.unionByName(handed).groupBy("kind", "host").agg(F.sum("rank").alias("rank"))
-        if step % 3 == 0:
-            ranks = stored(ranks, "ranks")
-    return ranks
+    while True:
+        last = ranks
+        for _ in range(STORE_EVERY):
+            handed = edges.join(ranks.withColumnRenamed("host", "src"), ["kind", "src"])
+            handed = handed.select("kind", F.col("dst").alias("host"), (damping * F.col("share") * F.col("rank")).alias("rank"))
+            ranks = start.unionByName(handed).groupBy("kind", "host").agg(F.sum("rank").alias("rank"))
+        ranks = stored(ranks, "ranks")
+        before = last.withColumnRenamed("rank", "before")
+        moved = ranks.join(before, ["kind", "host"], "left").filter(
+            F.col("before").isNull() | (F.col("rank") - F.col("before") > tolerance * F.col("rank"))
+        )
+        if moved.isEmpty():
+            return ranks
 
 
 def judge_urls(
-    pages: DataFrame, rules: list[Rule], id_col: str = "page_id", url_col: str = "url", html_col: str = "html", *, damping: float = 0.85, rounds: int = 10
+    pages: DataFrame, rules: list[Rule], id_col: str = "page_id", url_col: str = "url", html_col: str = "html", *, damping: float = 0.85, tolerance: float = 1e-9
 ) -> DataFrame:
     """(page_id, host, path, rule, verdict, trust, distrust) per page."""
     host, path = host_and_path(F.col(url_col))
@@ -92,7 +102,7 @@ def judge_urls(
     both = stored(both, "edges")
     out = both.groupBy("kind", "src").agg(F.sum("links").alias("all"))
     shares = stored(both.join(out, ["kind", "src"]).select("kind", "src", "dst", (F.col("links") / F.col("all")).alias("share")), "edge-shares")
-    ranks = propagate(shares, seeds, damping, rounds).groupBy("host").agg(
+    ranks = propagate(shares, seeds, damping, tolerance).groupBy("host").agg(
         *(F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("rank"))), F.lit(0.0)).alias(k) for k in ("trust", "distrust"))
     )
     judged = hosts.select("host").join(ranks, "host", "left").join(fitting, "host", "left")

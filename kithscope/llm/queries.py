@@ -57,11 +57,12 @@ URL_RULES = [
     ("block", "net", "/es/"),
     ("block", "net", "/fr/"),
 ]
+#: Rounds of the SQL only. The operator goes on until ranks are settled; the given pages have no links that take more.
 URL_ROUNDS = 10
 
 
 def op4_url_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = judge_urls(spark.read.parquet(f"{sf_dir}/pages.parquet"), URL_RULES, damping=0.85, rounds=URL_ROUNDS)
+    judged = judge_urls(spark.read.parquet(f"{sf_dir}/pages.parquet"), URL_RULES, damping=0.85)
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 

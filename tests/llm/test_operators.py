@@ -204,6 +204,31 @@ def test_distrust_flows_back_along_links_and_trust_forward(spark):
     assert trust["friend2.org"]["trust"] == pytest.approx(0.5 * 0.15 * 0.85**2) and trust["farm.org"]["trust"] == 0
 
 
+def test_distrust_reaches_the_far_end_of_a_chain_and_ranks_settle(spark):
+    link = lambda *hosts: "".join(f"<a href='https://{h}/x'>" for h in hosts)
+    # c0 -> c1 -> ... -> c13 -> spam.net, and a ring x <-> y that both seeds feed, where mass goes round for long.
+    out = {f"c{i}.org": [f"c{i + 1}.org"] if i < 13 else ["spam.net"] for i in range(14)}
+    out |= {"good.com": ["x.org"], "x.org": ["y.org"], "y.org": ["x.org", "x.org", "x.org", "spam.net"], "spam.net": []}
+    pages = [(k, f"http://{h}/es/1", link(*to)) for k, (h, to) in enumerate(out.items())]
+    rows = judge_urls(spark.createDataFrame(pages, "page_id long, url string, html string"), [("allow", "com", "/"), ("block", "net", "/es/")]).collect()
+    got = {r["host"]: r for r in rows}
+    assert all(got[f"c{i}.org"]["verdict"] == "block" and got[f"c{i}.org"]["trust"] == 0 for i in range(14))
+
+    def settled(links, seed):
+        rank = dict.fromkeys(out, 0.0)
+        for _ in range(1000):
+            new = {h: 0.15 * (h == seed) for h in out}
+            for src, to in links.items():
+                for dst in to:
+                    new[dst] += 0.85 * rank[src] / len(to)
+            rank = new
+        return rank
+
+    back = {h: [src for src, to in out.items() for dst in to if dst == h] for h in out}
+    for kind, expected in (("trust", settled(out, "good.com")), ("distrust", settled(back, "spam.net"))):
+        assert {h: r[kind] for h, r in got.items()} == pytest.approx(expected, rel=1e-7, abs=0)
+
+
 def test_the_chain_learns_on_held_out_documents(spark):
     def text(i):
         return prose(1000 + i, 40) + (" vilest" if i % 3 == 0 else "") + (" junkyard junkyard" if i % 5 == 0 else "")
