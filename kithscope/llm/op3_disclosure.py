@@ -1,16 +1,20 @@
 """Personal data by information-theoretic sanitisation, in DataFrame and SQL functions only.
 
-Addresses, numbers and the like are found by pattern; they are the protected entities. Terms that stand near an entity can still
-reveal it after it is gone. How strongly is estimated from the whole corpus: with co documents that hold the term near the entity,
-PMI = ln(co N / (df(entity) df(term))), against the entity's information content IC = ln(N / df(entity)). A term with PMI of
-at least ``generalise_at`` x IC is generalised (letters become x, digits 0), of at least ``remove_at`` x IC removed; it takes
-``min_support`` documents to tell. Near is within ``context`` code points, cut at whole terms.
+Addresses, numbers and the like are found by pattern; they are the protected entities. Terms of the same documents can still
+reveal an entity after it is gone. How strongly is estimated from the whole corpus: with co documents that hold the term and the entity,
+wherever they stand, PMI = ln(co N / (df(entity) df(term))), against the entity's information content IC = ln(N / df(entity)). A term
+with PMI of at least ``generalise_at`` x IC for some entity is generalised (letters become x, digits 0), of at least ``remove_at`` x IC
+removed, wherever it occurs in any document; it takes ``min_support`` documents to tell, so an entity of fewer judges no terms. Terms are
+words outside the entities' own spans.
+
+Since co is at most df(entity), only terms of df(term) <= df(entity) (N / df(entity))^(1 - ``generalise_at``) can be judged; others are
+left out before entities and terms of a document meet, and no judgement is lost.
 
 Patterns run only over texts that hold their telling characters, and never backtrack into what they have read, so long
 texts take linear time. Entities and terms are counted with map-side combining; a group is never gathered, only the spans of one document.
 
 Cases: a null or empty text has no spans; matches that fail their check (number range, checksum, number of digits) are dropped
-without a retry; repeated rows get the same spans; of terms judged for several entities the strongest judgement counts; an
+without a retry; repeated rows get the same spans; of the judgements of a term for several entities the strongest counts; an
 empty table gives an empty table; extra columns are ignored; texts are searched whole.
 """
 
@@ -19,6 +23,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kithscope.llm.frames import stored
+
+LOWEST = -(1 << 63)
 KINDS = ["email", "ip", "card", "phone"]
 TERM = "term"
 # The patterns, with possessive repeats; \G admits a start right behind the last match.
@@ -31,6 +38,7 @@ PATTERNS = {
 WORTH = {"email": r"@", "ip": r"[0-9]\.[0-9]++\.[0-9]", "card": r"[0-9](?:[ -]?[0-9]){12}", "phone": r"\+[0-9]"}
 TERM_PATTERN = r"[\p{L}\p{N}]{3,}+"
 _CHUNK = 256
+FILTER_BITS = 24
 
 
 def _seam(df: DataFrame, keep: list[str], **columns: Column) -> DataFrame:
@@ -64,81 +72,109 @@ def _sums_before(steps: str) -> Column:
         ))""")
 
 
-def _spans(kind: str, found: str, gaps: str, starts: str) -> Column:
-    """Spans of ``found`` matches that pass their check, with the text around them."""
-    whole = F.transform(
-        F.col(found),
-        lambda v, i: F.struct(
-            F.get(starts, i).alias("start"),
-            (F.get(starts, i) + F.length(v)).alias("end"),
-            v.alias("value"),
-            F.get(gaps, i).getField("tail").alias("left"),
-            F.get(gaps, i + 1).getField("head").alias("right"),
-        ),
-    )
+def _spans(kind: str, found: str, starts: str) -> Column:
+    """Spans of ``found`` matches that pass their check."""
+    whole = F.transform(F.col(found), lambda v, i: F.struct(F.get(starts, i).alias("start"), (F.get(starts, i) + F.length(v)).alias("end"), v.alias("value")))
     return F.filter(whole, lambda s: _valid(kind, s.getField("value")))
 
 
-def base_spans(texts: DataFrame, keep: list[str], context: int) -> DataFrame:
-    """``keep`` columns and, per kind, an array of (start, end, value, left, right); ``texts`` has a column text, not null."""
-    found, gaps = {}, {}
-    for k in KINDS:
-        worth = F.col("text").rlike(WORTH[k])
-        pieces = F.split("text", PATTERNS[k], -1)
-        found[f"found_{k}"] = F.when(worth, F.regexp_extract_all("text", F.lit(PATTERNS[k]), 0)).otherwise(F.array().cast("array<string>"))
-        gap = F.transform(pieces, lambda x: F.struct(F.length(x).cast("long").alias("n"), F.right(x, F.lit(context)).alias("tail"), F.left(x, F.lit(context)).alias("head")))
-        gaps[f"gaps_{k}"] = F.when(worth, gap).otherwise(F.array().cast("array<struct<n:bigint,tail:string,head:string>>"))
-    df = _seam(texts, keep, **found, **gaps)
-    keep_more = [*keep, *found, *gaps]
-    steps = {f"steps_{k}": F.zip_with(f"found_{k}", F.slice(f"gaps_{k}", 1, F.greatest(F.size(f"found_{k}"), F.lit(0))), lambda v, g: g.getField("n") + F.length(v)) for k in KINDS}
-    df = _seam(df, keep_more, **steps)
+def _starts(df: DataFrame, keep: list[str], names: list[str]) -> DataFrame:
+    """``keep``, found_NAME and before_NAME per name: where the matches in found_NAME start, gaps_NAME being the lengths between them."""
+    keep = [*keep, *(f"found_{k}" for k in names)]
+    gaps = [f"gaps_{k}" for k in names]
+    steps = {f"steps_{k}": F.zip_with(f"found_{k}", F.slice(f"gaps_{k}", 1, F.greatest(F.size(f"found_{k}"), F.lit(0))), lambda v, g: g + F.length(v)) for k in names}
+    df = _seam(df, [*keep, *gaps], **steps)
     before = {
-        f"before_{k}": F.when(F.size(f"found_{k}") > 0, F.zip_with(_sums_before(f"steps_{k}"), F.slice(f"gaps_{k}", 1, F.size(f"found_{k}")), lambda b, g: b + g.getField("n"))).otherwise(
+        f"before_{k}": F.when(F.size(f"found_{k}") > 0, F.zip_with(_sums_before(f"steps_{k}"), F.slice(f"gaps_{k}", 1, F.size(f"found_{k}")), lambda b, g: b + g)).otherwise(
             F.array().cast("array<bigint>")
         )
-        for k in KINDS
+        for k in names
     }
-    df = _seam(df, keep_more, **before)
-    return _seam(df, keep, **{k: _spans(k, f"found_{k}", f"gaps_{k}", f"before_{k}") for k in KINDS})
-
-
-def _terms(text: Column, context: int, left: bool, anchor: Column) -> Column:
-    """(term, start, end) of the whole terms of a stretch of text that ends (``left``) or starts at ``anchor``."""
-    pieces, words = F.split(text, TERM_PATTERN, -1), F.regexp_extract_all(text, F.lit(TERM_PATTERN), 0)
-    offset = anchor - F.length(text) if left else anchor
-    at = lambda i: F.aggregate(F.slice(pieces, 1, i + 1), F.lit(0), lambda a, x: a + F.length(x)) + F.aggregate(F.slice(words, 1, i), F.lit(0), lambda a, x: a + F.length(x))
-    spans = F.transform(words, lambda v, i: F.struct(F.lower(v).alias("term"), (offset + at(i)).alias("start"), (offset + at(i) + F.length(v)).alias("end")))
-    # A term at the far edge of a full stretch may go on outside it.
-    edge = (lambda s: s.getField("start") > offset) if left else (lambda s: s.getField("end") < offset + F.length(text))
-    return F.when(F.length(text) < context, spans).otherwise(F.filter(spans, edge))
-
-
-def nearby_terms(based: DataFrame, context: int) -> DataFrame:
-    """(doc_id, text_key, entity, term, start, end): one row per term near an entity. ``based`` comes from ``base_spans``."""
-    def entities(kind: str) -> Column:
-        name = lambda s: F.concat(F.lit(f"{kind}:"), F.lower(s.getField("value"))).alias("entity")
-        return F.transform(kind, lambda s: F.struct(name(s), *(s.getField(f).alias(f) for f in ("start", "end", "left", "right"))))
-
-    all_ = F.concat(*map(entities, KINDS))
-    one = based.select("doc_id", "text_key", F.explode(all_).alias("s")).select("doc_id", "text_key", "s.*")
-    near = F.concat(_terms(F.col("left"), context, True, F.col("start")), _terms(F.col("right"), context, False, F.col("end")))
-    return one.select("doc_id", "text_key", "entity", F.explode(near).alias("t")).select("doc_id", "text_key", "entity", "t.*")
-
-
-def judged_terms(texts: DataFrame, near: DataFrame, min_support: int, generalise_at: float, remove_at: float) -> DataFrame:
-    """(entity, term, action) of the terms that disclose too much. ``texts`` has all documents, one row each."""
-    held = near.select("doc_id", "text_key", "entity", "term").distinct()
-    pairs = held.groupBy("entity", "term").agg(F.count("*").alias("co")).filter(F.col("co") >= min_support)
-    entities = near.select("doc_id", "text_key", "entity").distinct().groupBy("entity").agg(F.count("*").alias("df_entity"))
-    words = texts.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM_PATTERN), 0))).alias("term"))
-    counts = words.groupBy("term").agg(F.count("*").alias("df_term"))
-    n = texts.agg(F.count("*")).first()[0]
-    both = pairs.join(entities, "entity").join(counts, "term")
-    information = F.log(F.lit(float(max(n, 1))) / F.col("df_entity"))
-    pmi = F.log(F.col("co") * float(max(n, 1)) / (F.col("df_entity") * F.col("df_term")))
-    both = both.withColumn("share", F.when(information > 0, pmi / information).otherwise(0.0))
+    return _seam(df, keep, **before)
+
+
+def _gaps(text: str, pattern: str) -> Column:
+    return F.transform(F.split(text, pattern, -1), lambda x: F.length(x).cast("long"))
+
+
+def base_spans(texts: DataFrame, keep: list[str]) -> DataFrame:
+    """``keep`` columns and, per kind, an array of (start, end, value); ``texts`` has a column text, not null."""
+    found, gaps = {}, {}
+    for k in KINDS:
+        worth = F.col("text").rlike(WORTH[k])
+        found[f"found_{k}"] = F.when(worth, F.regexp_extract_all("text", F.lit(PATTERNS[k]), 0)).otherwise(F.array().cast("array<string>"))
+        gaps[f"gaps_{k}"] = F.when(worth, _gaps("text", PATTERNS[k])).otherwise(F.array().cast("array<bigint>"))
+    df = _starts(_seam(texts, keep, **found, **gaps), keep, KINDS)
+    return _seam(df, keep, **{k: _spans(k, f"found_{k}", f"before_{k}") for k in KINDS})
+
+
+def with_rest(based: DataFrame, keep: list[str]) -> DataFrame:
+    """``keep`` and ``rest``: the text with blanks in place of its entities, so that places stay the same."""
+    all_ = F.sort_array(F.concat(*(F.transform(k, lambda s: F.struct(s.getField("start").alias("start"), s.getField("end").alias("end"))) for k in KINDS)))
+    df = _seam(based, [*dict.fromkeys([*keep, "text"])], marks=all_)
+    cut = lambda a, b: F.substring("text", (a + 1).cast("int"), (b - a).cast("int"))
+
+    def step(acc: Column, s: Column) -> Column:
+        at, end = acc.getField("at"), s.getField("end")
+        start = F.greatest(at, s.getField("start"))
+        more = F.struct(end.alias("at"), F.concat(acc.getField("out"), F.array(cut(at, start), F.repeat(F.lit(" "), (end - start).cast("int")))).alias("out"))
+        return F.when(end > at, more).otherwise(acc)
+
+    zero = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("out"))
+    done = F.aggregate("marks", zero, step, lambda acc: F.concat(F.array_join(acc.getField("out"), ""), F.substring("text", (acc.getField("at") + 1).cast("int"), F.length("text"))))
+    return _seam(df, keep, rest=F.when(F.size("marks") > 0, done).otherwise(F.col("text")))
+
+
+def held_terms(texts: DataFrame) -> DataFrame:
+    """(id_key, text_key, entities, terms) per document, distinct ones."""
+    keep = ["id_key", "text_key"]
+    entities = F.array_distinct(F.concat(*(F.transform(k, lambda s, k=k: F.concat(F.lit(f"{k}:"), F.lower(s.getField("value")))) for k in KINDS)))
+    named = _seam(base_spans(texts, [*keep, "text"]), [*keep, "text", *KINDS], entities=entities)
+    rest = with_rest(named, [*keep, "entities"])
+    words = F.transform(F.regexp_extract_all("rest", F.lit(TERM_PATTERN), 0), F.lower)
+    return rest.select(*keep, "entities", F.array_distinct(words).alias("terms"))
+
+
+def placed_terms(texts: DataFrame) -> DataFrame:
+    """(id_key, text_key, term, start, end): one row per term outside entities."""
+    keep = ["id_key", "text_key"]
+    rest = with_rest(base_spans(texts, [*keep, "text"]), keep)
+    df = _starts(_seam(rest, keep, found_terms=F.regexp_extract_all("rest", F.lit(TERM_PATTERN), 0), gaps_terms=_gaps("rest", TERM_PATTERN)), keep, ["terms"])
+    start = lambda i: F.get("before_terms", i)
+    places = F.transform("found_terms", lambda v, i: F.struct(F.lower(v).alias("term"), start(i).alias("start"), (start(i) + F.length(v)).alias("end")))
+    return df.select(*keep, F.inline(places))
+
+
+def maybe_in(placed: DataFrame, judged: DataFrame) -> DataFrame:
+    """``placed`` without most of the terms that are not in ``judged``, by a bit per hash in a table of fixed size."""
+    hash_ = F.pmod(F.xxhash64("term"), F.lit(1 << FILTER_BITS))
+    bits = judged.select(hash_.alias("h")).groupBy(F.shiftright("h", 6).alias("slot")).agg(F.bit_or(F.expr("shiftleft(1L, cast(h & 63 as int))")).alias("bits"))
+    met = placed.withColumn("h", hash_).withColumn("slot", F.shiftright("h", 6)).join(stored(bits, "judged-bits"), "slot")
+    return met.filter(F.expr("getbit(bits, cast(h & 63 as int)) = 1")).drop("h", "slot", "bits")
+
+
+def judged_terms(held: DataFrame, min_support: int, generalise_at: float, remove_at: float) -> DataFrame:
+    """(term, action) of the terms that disclose too much, with the strongest action. ``held`` has all documents."""
+    keys = ["id_key", "text_key"]
+    n = float(max(held.count(), 1))
+    # Repeated rows hold an entity once.
+    entities = stored(held.select(*keys, F.explode("entities").alias("entity")).distinct(), "entities")
+    known = entities.groupBy("entity").agg(F.count("*").alias("df_entity")).filter(F.col("df_entity") >= min_support)
+    limit = F.col("df_entity") * F.pow(F.lit(n) / F.col("df_entity"), F.lit(1 - generalise_at)) * (1 + 1e-9)
+    known = stored(entities.join(known.withColumn("most", limit), "entity"), "known-entities")
+    most = known.agg(F.max("most")).first()[0]
+    if most is None:
+        return known.select(F.col("entity").alias("term"), F.lit("").alias("action"))
+    counts = held.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("df_term")).filter(F.col("df_term").between(min_support, most))
+    with_known = held.select(*keys, "terms").join(known.select(*keys).distinct(), keys, "left_semi")
+    terms = with_known.select(*keys, F.explode("terms").alias("term")).distinct().join(counts, "term")
+    pairs = known.join(terms, keys).filter("df_term <= most").groupBy("entity", "df_entity", "term", "df_term").agg(F.count("*").alias("co")).filter(F.col("co") >= min_support)
+    information = F.log(F.lit(n) / F.col("df_entity"))
+    pmi = F.log(F.col("co") * n / (F.col("df_entity") * F.col("df_term")))
+    both = pairs.withColumn("share", F.when(information > 0, pmi / information).otherwise(0.0))
     action = F.when(F.col("share") >= remove_at, "remove").otherwise("generalise")
-    return both.filter(F.col("share") >= generalise_at).select("entity", "term", action.alias("action"))
+    # 'remove' sorts behind 'generalise': the larger action is the stronger.
+    return both.filter(F.col("share") >= generalise_at).groupBy("term").agg(F.max(action).alias("action"))
 
 
 def find_disclosures(
@@ -146,23 +182,24 @@ def find_disclosures(
     id_col: str = "doc_id",
     text_col: str = "text",
     *,
-    context: int = 60,
     min_support: int = 2,
     generalise_at: float = 0.75,
     remove_at: float = 0.9,
 ) -> DataFrame:
     """(doc_id, text_key, text, email, ip, card, phone, terms): spans of each kind, in order; ``terms`` with their action."""
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    texts = texts.withColumn("text_key", F.xxhash64("text"))
-    based = base_spans(texts, ["doc_id", "text_key", "text"], context)
-    near = nearby_terms(base_spans(texts, ["doc_id", "text_key"], context), context)
-    flagged = near.join(judged_terms(texts, near, min_support, generalise_at, remove_at), ["entity", "term"])
-    # 'remove' sorts behind 'generalise': the larger action is the stronger.
-    flagged = flagged.groupBy("doc_id", "text_key", "start", "end").agg(F.max("action").alias("action"))
-    terms = flagged.groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_list(F.struct("start", "end", "action"))).alias("terms"))
-    joined = based.join(terms.withColumnRenamed("doc_id", "term_doc").withColumnRenamed("text_key", "term_text"), F.col("doc_id").eqNullSafe(F.col("term_doc")) & (F.col("text_key") == F.col("term_text")), "left")
-    plain = lambda k: F.transform(k, lambda s: F.struct(s.getField("start").alias("start"), s.getField("end").alias("end")))
-    return joined.select("doc_id", "text_key", "text", *(plain(k).alias(k) for k in KINDS), F.coalesce("terms", F.array().cast("array<struct<start:bigint,end:bigint,action:string>>")).alias("terms"))
+    texts = texts.select("doc_id", F.coalesce("doc_id", F.lit(LOWEST)).alias("id_key"), F.xxhash64("text").alias("text_key"), "text")
+    held = stored(held_terms(texts), "held-terms")
+    judged = stored(judged_terms(held, min_support, generalise_at, remove_at), "judged-terms")
+    keys = ["id_key", "text_key"]
+    placed = placed_terms(texts)
+    # Only terms that may be judged are dealt out, to meet the judgements themselves.
+    flagged = maybe_in(placed, judged).join(judged, "term")
+    terms = flagged.groupBy(*keys).agg(F.sort_array(F.collect_set(F.struct("start", "end", "action"))).alias("terms"))
+    based = base_spans(texts, ["doc_id", *keys, "text"])
+    plain = lambda k: F.transform(k, lambda s: F.struct(s.getField("start").alias("start"), s.getField("end").alias("end"))).alias(k)
+    joined = based.select("doc_id", *keys, "text", *map(plain, KINDS)).join(terms, keys, "left")
+    return joined.select("doc_id", "text_key", "text", *KINDS, F.coalesce("terms", F.array().cast("array<struct<start:bigint,end:bigint,action:string>>")).alias("terms"))
 
 
 def written(found: list[str]) -> Column:

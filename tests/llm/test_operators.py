@@ -177,6 +177,38 @@ def test_terms_that_give_an_entity_away_go(spark):
     assert all(clean[i] == texts[i] for i in range(5, 65))
 
 
+def test_terms_are_counted_and_flagged_over_whole_documents(spark):
+    import itertools
+    import re
+
+    far = " and so on the the " * 10
+    texts = [f"Agent Zanzibar{'' if i else ' zanzibar'} {prose(700 + i, 8)} {far} boss@corp.example.com and corp" for i in range(4)]
+    texts += ["the zanzibar stands alone and the mail is gone", "single sally writes to one@only.example.com", None, "the corp"]
+    texts += [f"the and so on {prose(800 + i, 15)}" for i in range(60)]
+    docs = [(i, t) for i, t in enumerate(texts)]
+    terms, entities = [], []
+    for text in texts:
+        mails = [m.span() for m in re.finditer(ENTITY["email"], text or "")]
+        rest = "".join(" " if any(a <= i < b for a, b in mails) else c for i, c in enumerate(text or ""))
+        terms.append([(m.group().lower(), m.start(), m.end()) for m in re.finditer(r"[^\W_]{3,}", rest)])
+        entities.append({text[a:b].lower() for a, b in mails})
+    n, df, dfe, co = len(texts), collections.Counter(), collections.Counter(), collections.Counter()
+    for t, e in zip(terms, entities, strict=True):
+        df.update({x for x, *_ in t})
+        dfe.update(e)
+        co.update(itertools.product(e, {x for x, *_ in t}))
+    action = {}
+    for (e, t), c in co.items():
+        share = math.log(c * n / (dfe[e] * df[t])) / math.log(n / dfe[e])
+        if c >= 2 and share >= 0.75:
+            action[t] = max(action.get(t, ""), "remove" if share >= 0.9 else "generalise")
+    found = disclosure.find_disclosures(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    got = {r["doc_id"]: [tuple(s) for s in r["terms"]] for r in found}
+    assert got == {i: [(a, b, action[x]) for x, a, b in t if x in action] for i, t in enumerate(terms)}
+    assert {"zanzibar", "agent"} <= set(action) and "sally" not in action
+    assert [s[:2] for s in got[0]][:3] == [(0, 5), (6, 14), (15, 23)] and got[4] == [(4, 12, action["zanzibar"])]
+
+
 def test_distrust_flows_back_along_links_and_trust_forward(spark):
     link = lambda *hosts: "".join(f"<a href='https://{h}/x'>" for h in hosts)
     pages = [
