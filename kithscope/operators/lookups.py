@@ -59,15 +59,18 @@ def in_list_order(wanted: DataFrame, profiles: DataFrame) -> DataFrame:
     return joined.withColumn("found", F.col("twitter_id").isNotNull())
 
 
-def batch_labels(batches: DataFrame, labels: DataFrame) -> DataFrame:
-    """Batch profiles with the label of the same batch; the last label of a repeated handle wins."""
+def batch_labels(batches: DataFrame, labels: DataFrame, *more_keys: str) -> DataFrame:
+    """Batch profiles with the label of the same batch; the last label of a repeated handle wins.
+
+    With ``more_keys`` (a model, say) of ``labels`` there is one row per value of them, which is in the result.
+    """
     keyed = labels.withColumn("_key", F.lower("handle"))
-    last = keyed.groupBy("batch_no", "_key").agg(
+    last = keyed.groupBy("batch_no", *more_keys, "_key").agg(
         F.max_by(F.struct("label", "reason"), "pos").alias("_last")
     )
     left = batches.withColumn("_key", F.lower("handle"))
     joined = left.join(last, ["batch_no", "_key"])
-    return joined.select(*batches.columns, F.col("_last.label").alias("label"), F.col("_last.reason").alias("reason"))
+    return joined.select(*batches.columns, *more_keys, F.col("_last.label").alias("label"), F.col("_last.reason").alias("reason"))
 
 
 def without_batched(handles: DataFrame, batches: DataFrame) -> DataFrame:

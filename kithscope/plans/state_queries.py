@@ -209,6 +209,28 @@ def _(w):
     return batch_files.read_batches(w.spark, path)
 
 
+ALL_BATCHES = BATCHES.replace(" where p.bio is not null", "").replace("p.bio,", "coalesce(p.bio, '') as bio,")
+
+
+def all_batch_profiles(w: Workspace) -> DataFrame:
+    """Batches of all accounts; one without a bio has an empty one."""
+    full = lookups.with_followers(w.user_profiles.withColumn("bio", F.coalesce("bio", F.lit(""))), w.user_stats)
+    rows = full.select("twitter_id", "handle", "name", "bio", "category", "followers")
+    return sampling.numbered_batches(rows, [F.col("followers").desc(), F.col("handle")], 30)
+
+
+@catalog.query(
+    "s4_whole_tables",
+    f"select batch_no, handle, name, {trim_sql(ONE_LINE.format('bio'))} as bio, category, followers from batches",
+    batches=ALL_BATCHES,
+)
+def _(w):
+    path = scratch_path(w.spark, "whole-batches")
+    batch_files.write_batches(batch_files.batch_text(all_batch_profiles(w), ["batch"], "position"), path)
+    # An empty cell is read as a missing value.
+    return batch_files.read_batches(w.spark, path).withColumn("bio", F.coalesce("bio", F.lit("")))
+
+
 def labelled_batches(w: Workspace) -> DataFrame:
     own = w.profile_scores.filter(F.col("scored_by") == "model-a").select("twitter_id", "label", "reason")
     return batch_profiles(w).join(own, "twitter_id")
@@ -309,6 +331,21 @@ def _(w):
     return lookups.batch_labels(profiles, items)
 
 
+@catalog.query(
+    "j9_whole_labels",
+    """select b.batch_no, b.handle, s.scored_by, s.label, s.reason from batches b join profile_scores s using (twitter_id)""",
+    batches=ALL_BATCHES,
+)
+def _(w):
+    placed = all_batch_profiles(w)
+    labels = w.profile_scores.select("twitter_id", "scored_by", "label", "reason")
+    texts = batch_files.label_json(placed.join(labels, "twitter_id"), ["batch", "scored_by"], "position")
+    items = texts.select(
+        F.col("batch").alias("batch_no"), "scored_by", F.posexplode(F.from_json("text", batch_files.LABEL_ITEMS_DDL)).alias("pos", "item")
+    ).select("batch_no", "scored_by", "pos", F.upper("item.handle").alias("handle"), "item.label", "item.reason")
+    return lookups.batch_labels(placed.select(F.col("batch").alias("batch_no"), "handle"), items, "scored_by")
+
+
 # --- sets and arrays ---------------------------------------------------------------------------------
 
 @catalog.query(

@@ -7,11 +7,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from kithscope.operators import merges, sampling
+from kithscope.plans.registry import all_queries
 from kithscope.plans.workspace import Workspace
 from kithscope.sources.snapshots import SnapshotTable
 from kithscope.sources.tables import write_bucketed
 from kithscope.streaming import ingest, windows
-from tests.conftest import SMALL
+from tests.conftest import MEDIUM, SMALL
 
 PROFILE = "twitter_id string, name string, got_by_keywords array<string>, updated_at int"
 HIT = "twitter_id string, name string, keyword string, updated_at int"
@@ -215,3 +216,11 @@ def ingest_schema():
     from kithscope.schemas import SEARCH_PAGE_WITH_REQUEST
 
     return f"{SEARCH_PAGE_WITH_REQUEST}, _corrupt_record string"
+
+
+def test_whole_batches_hold_all_accounts_and_all_models(spark):
+    w = Workspace(spark, MEDIUM)
+    tables = all_queries()["s4_whole_tables"](spark, MEDIUM)
+    assert tables.count() == w.user_profiles.count() and tables.filter("bio = ''").count() == w.user_profiles.filter("coalesce(bio, '') = ''").count() > 0
+    labels = all_queries()["j9_whole_labels"](spark, MEDIUM)
+    assert labels.count() == w.profile_scores.count() and labels.select("scored_by").distinct().count() == 3
