@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from kithscope.llm.frames import documents
 from kithscope.llm.op10_substring_dedup import dedup_substrings
+from kithscope.llm.op11_whitening import whiten
+from kithscope.llm.op12_hard_negatives import mine_hard_negatives
+from kithscope.llm.op13_embedding_duplicates import near_embeddings
 from kithscope.llm.op1_sharding import shard_documents
 from kithscope.llm.op2_packing import pack
 from kithscope.llm.op3_disclosure import KINDS, TERM, find_disclosures, written
@@ -149,6 +152,28 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_substrings(documents(spark, sf_dir), length=20).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+
+
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    white = whiten(embeddings(spark, sf_dir), components=16, scale=64)
+    each = white.select("vec_id", "n", "deviation", "explained", "identity_error", F.posexplode("whitened").alias("at", "whitened"))
+    return each.select(
+        "vec_id", (F.col("at") + 1).cast("int").alias("component"), "n", F.col("deviation").cast("long").alias("deviation"), "whitened",
+        F.get("explained", F.col("at")).alias("explained"), "identity_error",
+    )
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine_hard_negatives(embeddings(spark, sf_dir).withColumn("label", moved), lambda c: c % 100 == 0, n_positives=5, n_negatives=10, low=30, high=90, scale=256)
+
+
+def op13_embedding_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_embeddings(embeddings(spark, sf_dir), threshold=0.93).select("vec_id", "n_links", "component_id", "kept")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_packing": op2_packing,
@@ -160,6 +185,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_quality_votes": op9_quality_votes,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_whitening": op11_whitening,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_embedding_duplicates": op13_embedding_duplicates,
 }
 SQL: dict[str, str] = {
     "op1_sharding": f"""
