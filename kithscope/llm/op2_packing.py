@@ -3,7 +3,10 @@
 Each document is tokenized whole and ends with one separator id. A document longer than a sequence is cut, its first piece takes
 the remainder. Pieces go to the open bin with the least room that is enough for them, which a bitset keyed by free space finds in
 one step; when too many bins are open, the fullest closes first. Each task packs its own documents as they stream by (within an
-Arrow batch longer pieces go first), so there is no shuffle and memory does not grow with the input.
+Arrow batch longer pieces go first), so documents are not shuffled and memory does not grow with the input: a task holds the pieces of its open bins.
+
+What a task leaves in bins that are less full than ``full_enough`` it hands out without a place, ``most_open`` bins at most. Those pieces alone are
+dealt to few tasks, one for ``REST_IDS`` ids, and packed again in the same way, so that the number of sequences hangs little on that of tasks.
 
 Cases: a null or empty text is one separator id; repeated rows are packed each; an empty table gives no pieces; extra
 columns are ignored; a text of any length is tokenized whole.
@@ -20,7 +23,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kithscope.llm.frames import stored
+
 PIECES = "doc_id long, piece int, start long, length long, ids binary, sequence_id long, offset long"
+NAMES = [c.split()[0] for c in PIECES.split(", ")]
+REST_IDS = 1 << 23
+SECOND = 1 << 62
+"""Sequences of the second packing are numbered from here."""
+
 _TOKENIZERS: dict[tuple[str, str | None], ByteTokenizer] = {}
 
 
@@ -72,6 +82,7 @@ class Packer:
         self.free_sizes = 0
         self.bins: list[list[int]] = [[] for _ in range(capacity + 1)]
         self.n_open = 0
+        self.closed: list[int] = []
 
     def place(self, length: int) -> tuple[int, int]:
         """(bin, offset in it) for a piece of 1 to ``capacity`` ids."""
@@ -84,8 +95,14 @@ class Packer:
             self.next_bin += 1
         if free > length:
             self._open(bin_, free - length)
+        else:
+            self.closed.append(bin_)
         return bin_, self.capacity - free
 
+    def left_over(self, full_enough: int) -> set[int]:
+        """The open bins that hold fewer ids."""
+        return {b for free in range(self.capacity - full_enough + 1, self.capacity + 1) for b in self.bins[free]}
+
     def _take(self, free: int) -> int:
         bin_ = self.bins[free].pop()
         if not self.bins[free]:
@@ -98,7 +115,32 @@ class Packer:
         self.free_sizes |= 1 << free
         self.n_open += 1
         if self.n_open > self.most_open:
-            self._take((self.free_sizes & -self.free_sizes).bit_length() - 1)
+            self.closed.append(self._take((self.free_sizes & -self.free_sizes).bit_length() - 1))
+
+
+Piece = tuple[int | None, int, int, int, bytes]
+"""doc_id, piece, start, length, ids."""
+
+
+def _rows(pieces: list[tuple]) -> Iterator[pa.RecordBatch]:
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64()]
+    for lo in range(0, len(pieces), 2000):
+        columns = zip(*pieces[lo : lo + 2000], strict=True)
+        yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)], names=NAMES)
+
+
+def _place_all(groups: Iterator[list[Piece]], packer: Packer, full_enough: int) -> Iterator[pa.RecordBatch]:
+    """Rows of all pieces. A bin's rows go out when it closes; those of bins less full than ``full_enough`` come last, without a place."""
+    held: dict[int, list[tuple]] = {}
+    for pieces in groups:
+        for piece in sorted(pieces, key=lambda p: -p[3]):
+            bin_, offset = packer.place(piece[3])
+            held.setdefault(bin_, []).append((*piece, bin_, offset))
+        yield from _rows([row for b in packer.closed for row in held.pop(b)])
+        packer.closed.clear()
+    rest = packer.left_over(full_enough)
+    yield from _rows([row for b, rows in held.items() if b not in rest for row in rows])
+    yield from _rows([(*row[:5], None, None) for b in rest for row in held[b]])
 
 
 def pack(
@@ -112,40 +154,39 @@ def pack(
     capacity: int = 2048,
     separator: int = 0,
     most_open: int = 8192,
+    full_enough: int | None = None,
 ) -> DataFrame:
-    """One row per piece: its ids (little-endian unsigned 32-bit), place in its document and place in its sequence."""
+    """One row per piece: its ids (little-endian unsigned 32-bit), place in its document and place in its sequence.
+
+    ``full_enough`` ids (98 of a hundred places, if not given) are what a sequence needs to be left as it is when a task ends.
+    """
+    enough = capacity - capacity // 50 if full_enough is None else full_enough
+    spread = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = _tokenizer(tokenizer_path, ranks_path, pattern)
-        packer = Packer(capacity, most_open, TaskContext.get().partitionId() << 40)
         end = np.array([separator], dtype="<u4").tobytes()
-        for batch in batches:
+
+        def cut(batch: pa.RecordBatch) -> list[Piece]:
             pieces = []
-            for row, text in enumerate(batch.column("text")):
+            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
                 ids = tokenizer.ids(text.as_py() or "") + end
                 n = len(ids) // 4
                 at = n % capacity or capacity
-                pieces.append((row, 0, 0, at, ids[: 4 * at]))
+                pieces.append((doc, 0, 0, at, ids[: 4 * at]))
                 for k in range(n // capacity if at < capacity else n // capacity - 1):
-                    pieces.append((row, k + 1, at, capacity, ids[4 * at : 4 * (at + capacity)]))
+                    pieces.append((doc, k + 1, at, capacity, ids[4 * at : 4 * (at + capacity)]))
                     at += capacity
-            pieces.sort(key=lambda p: -p[3])
-            placed = [packer.place(p[3]) for p in pieces]
-            columns = list(zip(*pieces, strict=True)) if pieces else [()] * 5
-            bins = list(zip(*placed, strict=True)) if placed else [(), ()]
-            for lo in range(0, len(pieces), 2000):
-                cut = slice(lo, lo + 2000)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("doc_id").take(pa.array(columns[0][cut], pa.int64())),
-                        pa.array(columns[1][cut], pa.int32()),
-                        pa.array(columns[2][cut], pa.int64()),
-                        pa.array(columns[3][cut], pa.int64()),
-                        pa.array(columns[4][cut], pa.binary()),
-                        pa.array(bins[0][cut], pa.int64()),
-                        pa.array(bins[1][cut], pa.int64()),
-                    ],
-                    names=[c.split()[0] for c in PIECES.split(", ")],
-                )
-
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, PIECES)
+            return pieces
+
+        yield from _place_all(map(cut, batches), Packer(capacity, most_open, TaskContext.get().partitionId() << 40), enough)
+
+    def second(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces = (list(zip(*(b.column(c).to_pylist() for c in NAMES[:5]), strict=True)) for b in batches)
+        yield from _place_all(pieces, Packer(capacity, most_open, SECOND + (TaskContext.get().partitionId() << 40)), 0)
+
+    # Written once: tokenizing is most of the work, and both packings read it.
+    placed = stored(spread.mapInArrow(first, PIECES), "pieces")
+    rest = placed.filter("sequence_id is null")
+    left = rest.agg(F.sum("length")).first()[0] or 0
+    return placed.filter("sequence_id is not null").unionByName(rest.repartition(1 + left // REST_IDS).mapInArrow(second, PIECES))

@@ -1,5 +1,6 @@
 import collections
 import math
+import random
 import zlib
 
 import numpy as np
@@ -8,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kithscope.llm import op3_disclosure as disclosure
+from kithscope.llm import op7_near_duplicates
 from kithscope.llm.arrays import BLANK, HASH, find_lines, find_words, slices
 from kithscope.llm.components import merge_labels
 from kithscope.llm.op1_sharding import shard_documents, shard_rows
@@ -19,6 +21,7 @@ from kithscope.llm.op7_near_duplicates import document_frequencies, keep_first,
 from kithscope.llm.op8_line_dedup import PerfectHash, dedup_lines, drop_repeated_lines
 from kithscope.llm.op9_quality_votes import fit_votes, keep_good, quality_votes
 from kithscope.llm.op10_substring_dedup import dedup_substrings
+from tests.conftest import MEDIUM
 from tests.llm.fixtures import ALNUM, WORD, frame, linked, lower, prose, sample, sha
 
 tokens = pytest.importorskip("public_tokenizers")
@@ -125,6 +128,37 @@ def test_ids_are_those_of_the_plain_tokenizer_file():
         assert (encoder.fast is not None) == bool(options)
 
 
+@pytest.mark.parametrize("tasks", [1, 8, 64])
+def test_the_number_of_sequences_hangs_little_on_the_tasks(spark, tasks):
+    docs = spark.read.parquet(f"{MEDIUM}/documents.parquet").repartition(tasks)
+    lengths = collections.Counter()
+    for r in pack(docs, TOKENS, **RANKS).select("sequence_id", "length").collect():
+        lengths[r["sequence_id"]] += r["length"]
+    assert max(lengths.values()) <= 2048
+    assert len(lengths) <= -(-sum(lengths.values()) // 2048) + 2
+
+
+def test_pieces_go_where_a_plain_best_fit_puts_them():
+    rng = np.random.default_rng(4)
+    packer, room = Packer(100, 50, 0), {}
+    for n in rng.integers(1, 101, 2000).tolist():
+        fitting = sorted((free, b) for b, free in room.items() if free >= n)
+        bin_, offset = packer.place(n)
+        if fitting:
+            assert room[bin_] == fitting[0][0] == 100 - offset
+        else:
+            assert bin_ not in room and offset == 0
+        room[bin_] = room.get(bin_, 100) - n
+        if not room[bin_]:
+            del room[bin_]
+        elif len(room) > 50:
+            fullest = min(room.values())
+            gone = [b for b in packer.closed if room.get(b) == fullest]
+            assert len(gone) == 1
+            del room[gone[0]]
+        packer.closed.clear()
+
+
 def test_the_packer_takes_the_tightest_bin_and_closes_the_fullest():
     packer = Packer(10, 2, 0)
     assert [packer.place(n) for n in (6, 7, 3)] == [(0, 0), (1, 0), (1, 7)]
@@ -357,6 +391,47 @@ def test_a_hot_group_of_copies_and_edits_links_as_by_plain_shingles(spark):
     assert once[1] == many[1] == len(seen) and (once[0] == many[0]).all()
 
 
+def test_a_large_group_around_the_threshold_links_as_by_all_pairs(spark, monkeypatch):
+    """Near copies whose similarities to each other lie on both sides of 0.8, in several blocks."""
+    monkeypatch.setattr(op7_near_duplicates, "BLOCK", 60)
+    rng = random.Random(9)
+    base = prose(40, 60).split(" ")
+    texts = []
+    for i in range(240):
+        words = list(base)
+        for k in range(rng.randint(1, 2)):
+            words[rng.randrange(60)] = f"edit{i}x{k}"
+        texts.append(" ".join(words))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(8)
+    weights = shingle_weights(*document_frequencies(docs.select("text"), 5))
+    sets = []
+    for t in texts:
+        ((_, _, part),) = slices(pa.array([t]))
+        sets.append(shingles(part, 5)[1])
+    names, place, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    common = np.flatnonzero(count > 1)
+    column = np.full(len(names), -1)
+    column[common] = np.arange(len(common))
+    x = np.zeros((len(sets), len(common)))
+    here = column[place] >= 0
+    x[owner[here], column[place[here]]] = 1
+    near = np.zeros((len(sets), len(sets)), dtype=bool)
+    for w in (np.ones(len(names)), weights[(names >> np.uint64(48)).astype(int)].astype(float)):
+        both, whole = (x * w[common]) @ x.T, np.bincount(owner, weights=w[place], minlength=len(sets))
+        near |= both >= 0.8 * (whole[:, None] + whole[None, :] - both)
+    np.fill_diagonal(near, True)
+    assert 0.02 < near.mean() < 0.8
+    label = np.arange(len(sets))
+    while True:
+        least = np.where(near, label[None, :], len(sets)).min(axis=1)
+        if (least == label).all():
+            break
+        label = np.minimum(label, least)
+    got = {r["doc_id"]: r["class_id"] for r in near_duplicates(docs).select("doc_id", "class_id").collect()}
+    assert [got[i] for i in range(len(texts))] == label.tolist()
+
+
 def test_linked_labels_become_one_also_along_paths(spark):
     links = [(i, i + 1) for i in range(0, 99)] + [(150, n) for n in range(100, 150)] + [(199, 198)]
     labels = spark.createDataFrame([(n, n) for n in range(200)], "node long, label long")
