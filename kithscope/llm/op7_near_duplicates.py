@@ -13,7 +13,7 @@ similar; a bucket of more than ``LARGE`` nodes is therefore split by prefix: wit
 only reach the threshold if they share one of the first shingles, up to where the rest weighs less than ``threshold`` of the
 whole. That loses no pair. A bucket is never expanded into all pairs either: in the first round its smallest node, the hub, meets
 all members and leaves. Buckets that are still large and hold several classes are then compared in blocks, which give back
-at most one link per node; in small ones hubs go on, 4, 16, ... per bucket and round, until all members are of one class or have been hubs.
+at most one link per node; members of one large class lie in blocks of their own, which do not meet each other; in small ones hubs go on, 4, 16, ... per bucket and round, until all members are of one class or have been hubs.
 A pair of one bucket is thus compared, or excluded by its prefixes, or already in one class when the rounds end: no link between
 classes is lost and nothing is capped.
 
@@ -30,9 +30,8 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from kithscope.llm.arrays import BLANK, HASH, LOWER, Texts, Words, find_words, mix, signed, slices, windows
 from kithscope.llm.components import merge_labels
@@ -42,7 +41,7 @@ LOWEST = -(1 << 63)
 FREQUENCY_BITS = 16
 VARIATES_BITS = 16
 LARGE = 32
-BLOCK = 256
+BLOCK = 1024
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 #: Largest weight over smallest. A pair of plain similarity 0.8 then has a weighted one of 0.76 at least.
 SPREAD = 1.25
@@ -233,10 +232,11 @@ def verified(pairs: DataFrame, sets: DataFrame, weights: np.ndarray, threshold:
 
 
 def similar_in_blocks(live: DataFrame, sets: DataFrame, weights: np.ndarray, threshold: float) -> DataFrame:
-    """Links (a, b) that join up all similar nodes of each bucket of ``live`` (bucket, node, n), whatever its size.
+    """Links (a, b) that join up all similar nodes of each bucket of ``live`` (bucket, node, label), whatever its size.
 
-    A bucket's nodes are dealt into blocks of about ``BLOCK``; each two blocks meet in one small group, which compares all its
-    nodes at once (a product of matrices) and gives back no more links than it has nodes.
+    A bucket's nodes are dealt into blocks of about ``BLOCK``, those of a class of that size or more into blocks of their own; each two
+    blocks, but for two of one class, meet in one small group, which compares all its nodes at once (a product of matrices) and
+    gives back no more links than it has nodes.
     """
     shared = live.sparkSession.sparkContext.broadcast(weights)
 
@@ -270,10 +270,18 @@ def similar_in_blocks(live: DataFrame, sets: DataFrame, weights: np.ndarray, thr
                     label[label == label[i]] = label[j]
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
-    blocks = F.ceil(F.col("n") / BLOCK)
-    own = live.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("node"), "blocks"))
-    dealt = own.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    dealt = dealt.filter("blocks = 1 or own <> other").select("bucket", "node", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    sized = live.withColumn("of_label", F.count("*").over(Window.partitionBy("bucket", "label")))
+    pure = F.when(F.col("of_label") >= BLOCK, F.col("label"))
+    sized = sized.withColumn("pure", pure).withColumn("of_block", F.count("*").over(Window.partitionBy("bucket", "pure")))
+    slot = F.pmod(F.xxhash64("node"), F.ceil(F.col("of_block") / BLOCK))
+    placed = sized.select("bucket", "node", F.struct(F.coalesce("pure", F.lit(LOWEST)).alias("class"), slot.alias("slot")).alias("block"))
+    # One entry for about BLOCK nodes. A block of one class needs no other block of that class.
+    blocks = placed.groupBy("bucket").agg(F.collect_set("block").alias("blocks"))
+    apart = lambda b: (b["class"] != F.col("block")["class"]) | ((b["class"] == LOWEST) & (b != F.col("block")))
+    dealt = placed.join(blocks, "bucket").withColumn("others", F.filter("blocks", apart))
+    alone = F.when((F.size("others") == 0) & (F.col("block")["class"] == LOWEST), F.array("block")).otherwise(F.col("others"))
+    dealt = dealt.select("bucket", "node", "block", F.explode(alone).alias("other"))
+    dealt = dealt.select("bucket", "node", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
     # Two blocks that meet are compared within themselves too.
     return dealt.join(sets.select("node", "tokens"), "node").groupBy("bucket", "i", "j").applyInPandas(compare, "a long, b long")
 
