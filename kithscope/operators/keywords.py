@@ -25,8 +25,8 @@ def latest_pages(searches: DataFrame, keys: tuple[str, ...] = ("keyword",)) -> D
     )
 
 
-def fully_paged(searches: DataFrame) -> DataFrame:
-    return latest_pages(searches).filter(~F.col("has_more")).select("keyword", "page")
+def fully_paged(searches: DataFrame, keys: tuple[str, ...] = ("keyword",)) -> DataFrame:
+    return latest_pages(searches, keys).filter(~F.col("has_more")).select(*keys, "page")
 
 
 def keyword_stats(
@@ -149,13 +149,14 @@ def pool_for_platform(stats: DataFrame, status: DataFrame, platform: str) -> Dat
     return stats.join(valid, "keyword").select("keyword")
 
 
-def resume_points(searches: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Next page of each wanted keyword; a fully paged keyword is refused."""
-    last = latest_pages(searches).select("keyword", F.col("page").alias("_page"), "next_page", "has_more")
-    joined = wanted.join(last, "keyword", "left")
+def resume_points(searches: DataFrame, wanted: DataFrame, keys: tuple[str, ...] = ("keyword",)) -> DataFrame:
+    """Next page of each wanted keyword; a fully paged keyword is refused. With ``platform`` among the ``keys`` every platform has
+    pages of its own, and the last page of one neither ends nor moves another."""
+    last = latest_pages(searches, keys).select(*keys, F.col("page").alias("_page"), "next_page", "has_more")
+    joined = wanted.join(last, list(keys), "left")
     seen = F.col("_page").isNotNull()
     return joined.select(
-        "keyword",
+        *keys,
         F.when(seen, F.col("_page") + 1).otherwise(F.lit(0)).cast("bigint").alias("page"),
         F.col("next_page").alias("cursor"),
         F.when(seen & ~F.col("has_more"), "fully_paged").otherwise("ready").alias("status"),

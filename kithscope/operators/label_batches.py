@@ -15,7 +15,7 @@ from kithscope.functions.numbers import count_if, row_count
 from kithscope.functions.text import strip_code_fence
 from kithscope.operators.lookups import WORK_COLUMNS
 from kithscope.operators.merges import insert_absent, insert_counts, upsert_counts, upsert_latest
-from kithscope.operators.sampling import sharded_batches
+from kithscope.operators.sampling import shard_count, sharded_batches
 from kithscope.session import scratch_path
 from kithscope.sources.batch_files import header_line, profile_line
 
@@ -55,14 +55,14 @@ def system_prompt(audience: DataFrame, template: str = SYSTEM_TEMPLATE) -> DataF
     return audience.select("*", text.alias("system_prompt"))
 
 
-def pack_batches(work: DataFrame, size: int, shards: int) -> DataFrame:
+def pack_batches(work: DataFrame, size: int, shards: int | None = None) -> DataFrame:
     """One row per batch with its profiles; a batch never holds more than ``size``."""
     placed = sharded_batches(work, "twitter_id", size, shards)
     profile = F.struct("position", *WORK_COLUMNS)
     return placed.groupBy(*BATCH_KEY).agg(F.array_sort(F.collect_list(profile)).alias("profiles"))
 
 
-def user_prompts(work: DataFrame, size: int, shards: int, opening: str = "Accounts to judge: %d\n\n") -> DataFrame:
+def user_prompts(work: DataFrame, size: int, shards: int | None = None, opening: str = "Accounts to judge: %d\n\n") -> DataFrame:
     """Prompt text per batch: ``opening`` with the count, and a flat table of its profiles."""
     placed = sharded_batches(work, "twitter_id", size, shards)
     rows = F.array_sort(F.collect_list(F.struct("position", profile_line().alias("line"))))
@@ -86,6 +86,16 @@ def signal_labeler(profiles: list[dict], model: str, audience: dict) -> str:
     return json.dumps(answers, ensure_ascii=False)
 
 
+def signal_labels(work: DataFrame, model: str, audience: dict) -> DataFrame:
+    """The labels of :func:`signal_labeler` as one projection, for work lists that need no plug-in."""
+    bio = F.lower("bio")
+    any_of = lambda words: F.exists(F.array(*[F.lit(w) for w in words]), lambda w: F.contains(bio, w))
+    good, bad = any_of(audience["highSignals"]), any_of(audience["lowSignals"])
+    label = F.when(~(good & bad), good)
+    reason = F.when(label.isNull(), "mixed signals").when(label, "has a positive signal").otherwise("no positive signal")
+    return work.select("twitter_id", "handle", label.alias("label"), reason.alias("reason"), F.lit(model).alias("scored_by"))
+
+
 def run_labeler(
     packed: DataFrame, labeler: Labeler, model: str, audience: dict, parallel: int = 32, per_second: float | None = None
 ) -> DataFrame:
@@ -158,7 +168,7 @@ def match_labels(items: DataFrame, batch_profiles: DataFrame, keys: list[str]) -
 
 
 def label_accounts(
-    work: DataFrame, labeler: Labeler, model: str, audience: dict, size: int = 25, shards: int = 32, **run: object
+    work: DataFrame, labeler: Labeler, model: str, audience: dict, size: int = 25, shards: int | None = None, **run: object
 ) -> tuple[DataFrame, DataFrame]:
     """Labels and answers for a whole work list. Both are written once to the shared folder: a labeler may
     answer differently when asked again, so nothing after this may ask it a second time."""
@@ -166,6 +176,7 @@ def label_accounts(
     work_path, answer_path = scratch_path(spark, "work"), scratch_path(spark, "answers")
     work.write.parquet(work_path)
     stored_work = spark.read.parquet(work_path)
+    shards = shards or shard_count(stored_work)
     run_labeler(pack_batches(stored_work, size, shards), labeler, model, audience, **run).write.parquet(answer_path)
     answers = spark.read.parquet(answer_path)
     placed = sharded_batches(stored_work, "twitter_id", size, shards)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kithscope.session import cut_lineage
+from kithscope.session import cut_lineage, scratch_path
 
 BROADCAST_ROWS = 100_000  # a few megabytes
 LOCAL_INDEX_BITS = 33  # monotonically_increasing_id keeps the row index in the low 33 bits
@@ -36,6 +36,10 @@ def global_row_number(df: DataFrame, order: list[Column], within: list[str] | No
     offsets = blocks.select(
         *within, "_part", "_start", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")
     )
+    # Written once: they are counted and joined.
+    path = scratch_path(df.sparkSession, "offsets")
+    offsets.write.parquet(path)
+    offsets = df.sparkSession.read.schema(offsets.schema).parquet(path)
     if offsets.count() <= BROADCAST_ROWS:
         offsets = F.broadcast(offsets)
     numbered = placed.join(offsets, [*within, "_part"])
@@ -43,6 +47,45 @@ def global_row_number(df: DataFrame, order: list[Column], within: list[str] | No
     return numbered.withColumn(name, rank.cast("bigint")).select(*df.columns, name)
 
 
+FEW = 10_000
+
+
+def bottom_k(df: DataFrame, order: Column, key: str, n: int, step: int = 3, few: int = FEW) -> DataFrame:
+    """The ``n`` rows that are first by the text ``order``, then by the unique ``key``; rows stay in their partitions.
+
+    Up to ``few`` rows come from Spark's own ordered limit, which holds ``n`` rows in one task. Beyond, the cut-off is found first: rows are counted by
+    the first ``step`` characters, whole prefixes are taken while they fit, and only the prefix at the border is looked at further, until it has
+    ``few`` rows or less. Its last row wanted is the cut-off, and one filter gives the result, whatever ``n`` is.
+    """
+    if n <= few:
+        return df.orderBy(order, key).limit(max(0, n))
+    spark = df.sparkSession
+    path = scratch_path(spark, "order")
+    df.select(order.alias("o"), F.col(key).alias("k")).write.parquet(path)
+    narrow = spark.read.parquet(path)
+    prefix, left = "", n
+    while True:
+        inside = narrow.filter(F.col("o").startswith(prefix))
+        part = F.substring("o", len(prefix) + 1, step)
+        # As many small rows come back as there are prefixes of a few characters.
+        counts = inside.groupBy(part.alias("p")).agg(F.count(F.lit(1)).alias("n")).orderBy("p").collect()
+        border = None
+        for c in counts:
+            if c["n"] >= left:
+                border = c
+                break
+            left -= c["n"]
+        if border is None:
+            return df
+        ended = len(border["p"]) < step
+        prefix += border["p"]
+        if ended or border["n"] <= few:
+            break
+    last = narrow.filter(F.col("o") == prefix if ended else F.col("o").startswith(prefix)).orderBy("o", "k").limit(left)
+    cut = last.agg(F.max(F.struct("o", "k")).alias("m")).first()["m"]
+    return df.filter((order < F.lit(cut["o"])) | ((order == F.lit(cut["o"])) & (F.col(key) <= F.lit(cut["k"]))))
+
+
 def rolling_mean(
     df: DataFrame, value: str, order: list[Column], within: str, rows: int, name: str, block: int = 100_000
 ) -> DataFrame:

@@ -12,11 +12,12 @@ from pyspark.sql import functions as F
 from kithscope.functions.numbers import row_count, seeded_order, unit_hash
 from kithscope.operators.accounts import labelable
 from kithscope.operators.lookups import with_followers, without_keyword
-from kithscope.operators.ordering import first_per_key, global_row_number
+from kithscope.operators.ordering import bottom_k, first_per_key, global_row_number
 
 
 def random_sample(df: DataFrame, key: str, n: int, seed: str) -> DataFrame:
-    return df.orderBy(seeded_order(seed, F.col(key)), key).limit(n)
+    """``n`` rows in the order of md5; ``key`` is unique. A sample of any size leaves its rows where they are."""
+    return bottom_k(df, seeded_order(seed, F.col(key)), key, n)
 
 
 def stratified_sample(
@@ -24,28 +25,21 @@ def stratified_sample(
 ) -> DataFrame:
     """Accounts labelled true against the others, one row per account inside each stratum.
 
-    An account may be in both strata. Missing true rows are filled from the other stratum, so the sizes
-    are found in the plan: rows of both strata are cut to ``total``, numbered (at most ``total`` rows
-    each), and the allowed count of the other stratum depends on how many true rows there were.
+    An account may be in both strata. Missing true rows are filled from the other stratum, so that one is sized by a count
+    of the first. Neither is ever gathered: both are cut off by :func:`bottom_k`.
     """
     usable = labelable(profiles).select("twitter_id", "handle", "name", "bio", "category")
     joined = labels.select("twitter_id", "scored_by", "label", "reason").join(usable, "twitter_id")
     order = seeded_order(seed, F.col("twitter_id"), F.col("scored_by"))
-    target = int(total * true_share)
 
-    def stratum(rows: DataFrame, name: str, cap: int) -> DataFrame:
-        one = first_per_key(rows, ["twitter_id"], [order, F.col("scored_by")])
-        top = random_sample(one, "twitter_id", cap, seed + name).withColumn("stratum", F.lit(name))
-        place = Window.partitionBy("stratum").orderBy(seeded_order(seed + name, F.col("twitter_id")), "twitter_id")
-        return top.withColumn("place", F.row_number().over(place))
+    def stratum(rows: DataFrame, name: str) -> DataFrame:
+        return first_per_key(rows, ["twitter_id"], [order, F.col("scored_by")]).withColumn("stratum", F.lit(name))
 
-    good = stratum(joined.filter(F.col("label")), "true", target)
-    rest = stratum(joined.filter(F.col("label").isNull() | ~F.col("label")), "other", total)
-    both = good.unionByName(rest)
-    counted = both.withColumn("n_true", F.count(F.when(F.col("stratum") == "true", 1)).over(Window.partitionBy(F.lit(1))))
-    allowed = F.when(F.col("stratum") == "true", F.lit(target)).otherwise(F.lit(total) - F.col("n_true"))
-    picked = counted.filter(F.col("place") <= allowed).drop("place", "n_true", "scored_by")
-    return with_followers(picked, stats)
+    good = stratum(joined.filter(F.col("label")), "true")
+    rest = stratum(joined.filter(F.col("label").isNull() | ~F.col("label")), "other")
+    n_true = min(int(total * true_share), good.count())
+    picked = random_sample(good, "twitter_id", n_true, f"{seed}true").unionByName(random_sample(rest, "twitter_id", total - n_true, f"{seed}other"))
+    return with_followers(picked.drop("scored_by"), stats)
 
 
 def hand_pick(
@@ -58,20 +52,29 @@ def hand_pick(
     rows = usable.join(labels.select("twitter_id"), "twitter_id", "left_semi")
     rows = first_per_key(without_keyword(rows, keywords, curated), ["handle"], [F.col("twitter_id")])
     order = F.col("handle") if seed is None else seeded_order(seed, F.col("handle"))
-    picked = rows.orderBy(order, "handle").limit(n)
+    picked = bottom_k(rows, order, "handle", n)
     return with_followers(picked, stats).select("twitter_id", "handle", "name", "bio", "category", "followers")
 
 
-def sharded_batches(df: DataFrame, key: str, size: int, shards: int) -> DataFrame:
+ROWS_PER_SHARD = 200_000
+
+
+def shard_count(df: DataFrame, rows_per_shard: int = ROWS_PER_SHARD) -> int:
+    return max(1, -(-df.count() // rows_per_shard))
+
+
+def sharded_batches(df: DataFrame, key: str, size: int, shards: int | None = None, rows_per_shard: int = ROWS_PER_SHARD) -> DataFrame:
     """Batches of at most ``size`` rows without any global order.
 
-    Rows hash into ``shards`` on their unique key and are numbered inside a shard, so the shards - and
-    not one task - do the numbering. Choose ``shards`` so that one holds a comfortable number of rows.
+    Rows go by the md5 of their unique key into shards and are numbered inside a shard, so the shards - and not one task - do the
+    numbering. Without ``shards`` their number follows from a count of the rows, so that one holds about ``rows_per_shard``.
     """
-    placed = df.withColumn("shard", F.pmod(F.xxhash64(key), F.lit(shards)))
+    shards = shards or shard_count(df, rows_per_shard)
+    shard = F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 8), 16, 10).cast("bigint") % F.lit(shards)
+    placed = df.withColumn("shard", shard)
     within = Window.partitionBy("shard").orderBy(key)
     number = F.floor((F.row_number().over(within) - 1) / size)
-    return placed.withColumns({"batch_no": number, "position": (F.row_number().over(within) - 1) % size})
+    return placed.withColumns({"batch_no": number, "position": ((F.row_number().over(within) - 1) % size).cast("bigint")})
 
 
 def numbered_batches(df: DataFrame, order: list[Column], size: int, first: int = 1) -> DataFrame:
@@ -100,6 +103,11 @@ def split_by_class(rows: DataFrame, key: str, seed: str, train: float = 0.8) ->
     return rows.withColumn("part", F.when(unit_hash(F.col(key), F.lit(seed)) < F.lit(train), "train").otherwise("test"))
 
 
+def with_folds(rows: DataFrame, key: str, label: str, k: int, seed: str) -> DataFrame:
+    """``fold`` of 0 to k - 1 by the hash of key and class: every class falls into all folds evenly, and a row keeps its fold."""
+    return rows.withColumn("fold", F.floor(unit_hash(F.col(key), F.col(label), F.lit(seed)) * k).cast("int"))
+
+
 def balance_classes(rows: DataFrame, key: str, label: str, seed: str, true_share: float = 0.3) -> DataFrame:
     """Thin the larger class by hash so that true rows make up about ``true_share``.
 

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kithscope.functions.bands import WORTH_TIERS, worth_tier
 from kithscope.functions.numbers import count_if, row_count, share, sigmoid
+from kithscope.operators.sampling import with_folds
+from kithscope.session import scratch_path
 
 # Published weights and cut-off. The intercept was never published and is a parameter.
 WEIGHTS = {"cos_sim": 6.09, "activity": 2.98, "bio_quality": 0.17}
@@ -42,21 +46,66 @@ def worth_probability(intercept: float) -> Column:
     return sigmoid(z)
 
 
+def _assembled(rows: DataFrame, features: tuple[str, ...]) -> DataFrame:
+    from pyspark.ml.feature import VectorAssembler
+
+    return VectorAssembler(inputCols=list(features), outputCol="_features").transform(rows)
+
+
+def score_worth(model, rows: DataFrame, features: tuple[str, ...] = tuple(WEIGHTS)) -> DataFrame:
+    from pyspark.ml.functions import vector_to_array
+
+    scored = model.transform(_assembled(rows, features))
+    return scored.select(*rows.columns, vector_to_array("probability")[1].alias("probability"))
+
+
 def fit_worth(rows: DataFrame, label: str = "label", features: tuple[str, ...] = tuple(WEIGHTS)):
     """Logistic model with balanced class weights. Returns the model and the rows with ``probability``."""
     from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.functions import vector_to_array
 
     # Two counts come back: a join on the label would send all rows of a class to one task.
     totals = rows.agg(row_count().alias("n"), count_if(F.col(label) == 1).alias("ones")).first()
     ones, zeros = max(1, totals["ones"]), max(1, totals["n"] - totals["ones"])
     weighted = rows.withColumn("_weight", F.when(F.col(label) == 1, totals["n"] / (2 * ones)).otherwise(totals["n"] / (2 * zeros)))
-    ready = VectorAssembler(inputCols=list(features), outputCol="_features").transform(weighted)
-    model = LogisticRegression(featuresCol="_features", labelCol=label, weightCol="_weight", regParam=0.01).fit(ready)
-    scored = model.transform(ready).withColumn("p", vector_to_array("probability")[1])
-    kept = scored.select(*rows.columns, F.col("p").alias("probability"))
-    return model, kept
+    model = LogisticRegression(featuresCol="_features", labelCol=label, weightCol="_weight", regParam=0.01).fit(_assembled(weighted, features))
+    return model, score_worth(model, rows, features)
+
+
+def out_of_fold(
+    rows: DataFrame, key: str, label: str = "label", features: tuple[str, ...] = tuple(WEIGHTS), k: int = 5, seed: str = "fold"
+) -> tuple[list, DataFrame]:
+    """The ``k`` models and all rows with ``fold`` and ``probability``, which is that of the one model fitted without the row's fold.
+
+    ``label`` is 0 or 1. The rows are written once: every model reads them several times.
+    """
+    spark = rows.sparkSession
+    path = scratch_path(spark, "folds")
+    with_folds(rows, key, label, k, seed).write.parquet(path)
+    placed = spark.read.parquet(path)
+    models = [fit_worth(placed.filter(F.col("fold") != f), label, features)[0] for f in range(k)]
+    parts = [score_worth(model, placed.filter(F.col("fold") == f), features) for f, model in enumerate(models)]
+    return models, functools.reduce(DataFrame.unionByName, parts)
+
+
+def fold_thresholds(scored: DataFrame, label: str = "label", beta: float = 2.0) -> DataFrame:
+    """Rows, positives and best cut-off by F-beta of each fold, and (fold -1) of all together; scores are of unseen rows.
+
+    Rows are counted per fold and hundredth first, so the running sums of a fold go over at most 101 rows.
+    """
+    both = scored.withColumn("fold", F.explode(F.array("fold", F.lit(-1))))
+    step = F.floor(F.col("probability") * 100) / 100
+    counted = both.groupBy("fold", step.alias("cutoff")).agg(count_if(F.col(label) == 1).alias("tp"), row_count().alias("n"))
+    above = Window.partitionBy("fold").orderBy(F.col("cutoff").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    whole = Window.partitionBy("fold")
+    sums = counted.select(
+        "fold", "cutoff", F.sum("tp").over(above).alias("found"), F.sum("n").over(above).alias("picked"),
+        F.sum("tp").over(whole).alias("positives"), F.sum("n").over(whole).alias("n"),
+    )
+    # F-beta from counts: (1 + b2) tp / (b2 * positives + picked).
+    b2 = beta * beta
+    f = F.try_divide((1 + b2) * F.col("found"), b2 * F.col("positives") + F.col("picked"))
+    best = sums.groupBy("fold").agg(F.max_by(F.struct("n", "positives", F.col("cutoff").alias("threshold")), F.struct(F.coalesce(f, F.lit(0.0)), -F.col("cutoff"))).alias("b"))
+    return best.select("fold", "b.*")
 
 
 def threshold_scores(scored: DataFrame, label: str = "label", beta: float = 2.0) -> DataFrame:
@@ -98,6 +147,22 @@ def nearest_similarity(vectors: DataFrame, column: str, centres: list[list[float
     return vectors.withColumn("cos_sim", F.greatest(*scores) if len(scores) > 1 else scores[0])
 
 
+def centroid_table(spark, centres: list[list[float]]) -> DataFrame:
+    """(centre, centroid): a fitted model as a table to store."""
+    return spark.createDataFrame([(i, c) for i, c in enumerate(centres)], "centre int, centroid array<double>")
+
+
+def nearest_centroid(vectors: DataFrame, column: str, table: DataFrame) -> DataFrame:
+    """Every vector with the ``centre`` of the stored table that it is nearest to, the first of several, and the cosine to it.
+
+    The table has a few rows; they enter the plan as one scalar subquery.
+    """
+    whole = table.agg(F.array_sort(F.collect_list(F.struct("centre", "centroid"))).alias("t")).scalar()
+    options = F.transform(F.col("_table"), lambda t: F.struct(cosine(F.col(column), t["centroid"]).alias("cos_sim"), (-t["centre"]).alias("minus")))
+    best = vectors.withColumn("_table", whole).withColumn("_best", F.array_max(options))
+    return best.withColumns({"centre": -F.col("_best.minus"), "cos_sim": F.col("_best.cos_sim")}).drop("_table", "_best")
+
+
 def priority_queue(scored: DataFrame, n: int) -> DataFrame:
     """Accounts above the lowest tier, most probable first."""
     lowest = min(cut for cut, _ in WORTH_TIERS)

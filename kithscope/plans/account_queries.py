@@ -30,6 +30,11 @@ def trim_sql(x: str) -> str:
     return f"regexp_replace({x}, '^{EDGE}|{EDGE}$', '', 'g')"
 
 
+def cell_sql(x: str) -> str:
+    t = trim_sql(f"regexp_replace({x}, '[\\n\\r]+', ' ', 'g')")
+    return f"""case when regexp_matches({t}, '[,"\\t]') then '"' || replace({t}, '"', '""') || '"' else {t} end"""
+
+
 def clean_sql(x: str) -> str:
     return trim_sql(f"""regexp_replace({x}, '[\\\\"'',\\x00-\\x1F\\x7F]', '', 'g')""")
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from kithscope.functions.bands import label_to_number
 from kithscope.functions.numbers import r6, seeded_order
 from kithscope.functions.text import preview
-from kithscope.operators import evaluation, label_stats, ranking
+from kithscope.operators import evaluation, label_stats, ranking, sketches
 from kithscope.operators.lookups import keywords_of_model, with_followers
 from kithscope.operators.ordering import first_per_key
 from kithscope.plans.account_queries import AUDIENCE_SQL, labels_with_some_audience
@@ -118,6 +118,35 @@ def _(w):
     return exports.low_score_rows(with_followers(finals(w), w.user_stats))
 
 
+@catalog.query(
+    "s8_low_score_file",
+    """select handle, cell as bio, followers, format('{:.4f}', final_score) as final_score, format('{:.4f}', human_score) as has_score,
+    case when has_llm then format('{:.4f}', avg_llm) else '' end as avg_llm, case when has_llm then 'true' else 'false' end as has_llm,
+    coalesce(likely_is, 'Unknown') as is_likely, keywords as tags from export where final_score < 0.5""",
+    export=EXPORT,
+)
+def _(w):
+    path = scratch_path(w.spark, "low-scores")
+    exports.write_ranked(exports.low_score_rows(with_followers(finals(w), w.user_stats)), path, exports.LOW_HEADER, "final_score")
+    names = ["handle", "bio", "followers", "final_score", "has_score", "avg_llm", "has_llm", "is_likely", "tags"]
+    rows = exports.read_ranked(w.spark, path, exports.LOW_HEADER).toDF(*names)
+    return rows.withColumn("followers", F.col("followers").cast("bigint"))
+
+
+@catalog.query(
+    "s9_label_files",
+    """select k.keyword || '/' || s.scored_by as file, p.handle, coalesce(p.bio, '') as bio, s.label, s.reason
+    from user_keywords k join user_profiles p using (twitter_id) join profile_scores s using (twitter_id) where k.keyword in ('Brand#1', '@customers')""",
+)
+def _(w):
+    """Both kinds of keywords, all models, accounts without a bio as well."""
+    hits = w.user_keywords.filter(F.col("keyword").isin("Brand#1", CURATED)).select("twitter_id", "keyword")
+    joined = w.user_profiles.join(hits, "twitter_id").join(w.profile_scores, "twitter_id")
+    path = scratch_path(w.spark, "label-csv")
+    exports.write_labels(exports.label_rows(joined.withColumn("file", F.concat_ws("/", "keyword", "scored_by")), "file"), path, "file")
+    return exports.read_labels(w.spark, path, "file")
+
+
 @catalog.query(
     "s9_label_export",
     """select p.handle, p.bio, case when s.label is null then 'null' when s.label then 'true' else 'false' end as label, s.reason
@@ -312,6 +341,55 @@ def _(w):
     return label_stats.unique_keywords(w.user_keywords)
 
 
+BOUGHT = """select p_brand as keyword, cast(o_orderdate as date) as day, o_custkey, l_extendedprice as price from orders join lineitem on l_orderkey=o_orderkey
+ join part on p_partkey=l_partkey"""
+
+
+@catalog.query(
+    "a16_sketched_keywords",
+    """select keyword, count(*) as n, count(distinct o_custkey) as accounts, true as accounts_close, true as median_close from bought
+    where day between date '1993-01-01' and date '1996-12-31' group by 1""",
+    bought=BOUGHT,
+)
+def _(w):
+    """Sketches per keyword and day are stored, those of four years united, and held against exact counts."""
+    lines = w.raw("lineitem").select("l_orderkey", "l_partkey", F.col("l_extendedprice").alias("price"))
+    orders = w.raw("orders").select("o_orderkey", F.col("o_custkey").cast("string").alias("twitter_id"), F.col("o_orderdate").cast("date").alias("day"))
+    brands = w.raw("part").select("p_partkey", F.col("p_brand").alias("keyword"))
+    rows = orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey")).join(brands, F.col("l_partkey") == F.col("p_partkey"))
+    stored = w.once(sketches.daily_sketches(rows, ["keyword"], "day", "twitter_id", "price"), "sketches")
+    years = F.col("day").between(F.lit("1993-01-01").cast("date"), F.lit("1996-12-31").cast("date"))
+    united = sketches.united(stored.filter(years), ["keyword"]).select("keyword", F.col("accounts").alias("estimate"), F.col("quantile").alias("median"))
+    united = w.once(united, "united")
+    ranked = rows.filter(years).join(united, "keyword").groupBy("keyword").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("twitter_id").alias("accounts"), F.max("estimate").alias("estimate"),
+        F.count(F.when(F.col("price") < F.col("median"), 1)).alias("below"), F.count(F.when(F.col("price") <= F.col("median"), 1)).alias("up_to"),
+    )
+    return ranked.select(
+        "keyword", "n", "accounts", sketches.close_count(F.col("estimate"), F.col("accounts")).alias("accounts_close"),
+        sketches.close_rank(F.col("below"), F.col("up_to"), F.col("n")).alias("median_close"),
+    )
+
+
+@catalog.query(
+    "e1_sketched_report",
+    """select is_curated, count(*) as n, true as accounts_close, true as median_close from finals where has_llm group by 1""",
+)
+def _(w):
+    """Median of the curated and of the general accounts from sketches of each platform."""
+    scored = w.once(marked(w).filter("has_llm").select("twitter_id", "platform", "is_curated", "final_score"), "scored")
+    stored = w.once(sketches.daily_sketches(scored, ["is_curated"], "platform", "twitter_id", "final_score"), "sketches")
+    united = w.once(sketches.united(stored, ["is_curated"]).select("is_curated", F.col("accounts").alias("estimate"), F.col("quantile").alias("median")), "united")
+    ranked = scored.join(united, "is_curated").groupBy("is_curated").agg(
+        F.count(F.lit(1)).alias("n"), F.max("estimate").alias("estimate"), F.count(F.when(F.col("final_score") < F.col("median"), 1)).alias("below"),
+        F.count(F.when(F.col("final_score") <= F.col("median"), 1)).alias("up_to"),
+    )
+    return ranked.select(
+        "is_curated", "n", sketches.close_count(F.col("estimate"), F.col("n")).alias("accounts_close"),
+        sketches.close_rank(F.col("below"), F.col("up_to"), F.col("n")).alias("median_close"),
+    )
+
+
 @catalog.query(
     "a17_keyword_means",
     """with m as (select keyword, avg(llm) as mean, count(*) as n from user_keywords join numbered_labels using (twitter_id)

@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 from kithscope.functions.numbers import r6, row_count
 from kithscope.functions.text import latin_share, strip_code_fence
 from kithscope.operators import label_batches, lookups, sampling, worth
-from kithscope.plans.account_queries import trim_sql
+from kithscope.plans.account_queries import cell_sql, trim_sql
 from kithscope.plans.catalog import Catalog
 from kithscope.plans.evaluation_queries import marked
-from kithscope.plans.workspace import Workspace
+from kithscope.plans.workspace import CURATED, Workspace
 from kithscope.session import scratch_path
+from kithscope.sources.delimited import read_audience
 
 catalog = Catalog()
 
@@ -49,9 +50,20 @@ def work(w: Workspace) -> DataFrame:
     return lookups.label_work_list(w.profiles, w.user_stats, w.queue, w.profile_scores, "rules", limit=None)
 
 
-@catalog.query("l4_user_prompts")
+PROMPT_ROWS = f"""select q.twitter_id, '  ' || {cell_sql("p.handle")} || ',' || {cell_sql("p.name")} || ',' || {cell_sql("p.bio")} || ',' || coalesce({cell_sql("p.category")}, 'null') || ',' ||
+ coalesce(followers, 0) as line from queue q join user_profiles p using (twitter_id) left join user_stats using (twitter_id) where p.bio<>'' and p.name<>''"""
+
+
+@catalog.query(
+    "l4_user_prompts",
+    """select shard, batch_no, count(*) as size, 'Accounts to judge: ' || count(*) || chr(10) || chr(10) || '```toon' || chr(10) || '[' || count(*) || ']{handle,name,bio,category,followers}:' || chr(10)
+    || string_agg(line, chr(10) order by twitter_id) || chr(10) || '```' as user_prompt from (select *, (row_number() over (partition by shard order by twitter_id) - 1) // 25 as batch_no
+    from (select *, cast('0x' || substring(md5(twitter_id), 1, 8) as bigint) % (select greatest(1, (count(*) + 99) // 100) from prompt_rows) as shard from prompt_rows) t) u group by 1, 2""",
+    prompt_rows=PROMPT_ROWS,
+)
 def _(w):
-    return label_batches.user_prompts(work(w), 25, 8)
+    rows = work(w)
+    return label_batches.user_prompts(rows, 25, sampling.shard_count(rows, 100))
 
 
 @catalog.query(
@@ -71,16 +83,16 @@ def _(w):
     return w.raw("documents").select("doc_id", strip_code_fence(fenced).alias("clean"))
 
 
-def responses(w: Workspace) -> DataFrame:
-    """Answers of one model for batches of 25 ids, every seventh broken in one of seven ways."""
-    own = w.profile_scores.filter(F.col("scored_by") == "model-a")
+def responses(w: Workspace, *models: str) -> DataFrame:
+    """Answers of the models for batches of 25 ids, every seventh broken in one of seven ways."""
+    own = w.profile_scores.filter(F.col("scored_by").isin(*models or ["model-a"]))
     rows = own.join(w.user_profiles.select("twitter_id", "handle"), "twitter_id")
     batch = F.floor(F.col("twitter_id").cast("bigint") / 25)
     way = F.when(F.col("batch") % 7 == 0, F.floor(F.col("batch") / 7) % 7).otherwise(-1)
     reason = F.when(F.col("way") == 6, F.repeat(F.lit("x"), 600)).otherwise(F.col("reason"))
     item = F.struct(F.upper("handle").alias("handle"), "label", reason.alias("reason"))
     # At most 25 items form an answer.
-    packed = rows.withColumn("batch", batch).withColumn("way", way).groupBy("batch", "way").agg(F.collect_list(item).alias("items"))
+    packed = rows.withColumn("batch", batch).withColumn("way", way).groupBy("batch", "way", "scored_by").agg(F.collect_list(item).alias("items"))
     stranger = F.array(F.struct(F.lit("nobody").alias("handle"), F.lit(True).alias("label"), F.lit("?").alias("reason")))
     items = F.when(F.col("way") == 4, F.concat("items", stranger)).when(F.col("way") == 5, F.concat("items", "items")).otherwise(F.col("items"))
     body = F.to_json(items, {"ignoreNullFields": "false"})
@@ -91,7 +103,7 @@ def responses(w: Workspace) -> DataFrame:
         .when(F.col("way") == 3, F.replace(body, F.lit('"reason":'), F.lit('"why":')))
         .otherwise(body)
     )
-    return packed.select("batch", text.alias("response"))
+    return packed.select("batch", "scored_by", text.alias("response"))
 
 
 PARSED = """select twitter_id, handle, label, case when way=6 then repeat('x', 500) else reason end as reason, unnest(range(case when way=5 then 2 else 1 end)) as copy
@@ -116,6 +128,28 @@ def _(w):
     return label_batches.response_errors(responses(w))
 
 
+MODELS = ["model-a", "model-b", "model-c"]
+ALL_PARSED = PARSED.replace(" where scored_by='model-a'", "").replace("select twitter_id, handle,", "select twitter_id, scored_by, handle,")
+
+
+@catalog.query("l6_all_responses", "select twitter_id, scored_by, handle, label, reason from parsed", parsed=ALL_PARSED)
+def _(w):
+    keys = ["batch", "scored_by"]
+    items = label_batches.parse_responses(responses(w, *MODELS), keys)
+    batch = F.floor(F.col("twitter_id").cast("bigint") / 25).alias("batch")
+    own = w.user_profiles.select(batch, F.explode(F.array(*[F.lit(m) for m in MODELS])).alias("scored_by"), "twitter_id", "handle")
+    return label_batches.match_labels(items, own, keys).select("twitter_id", "scored_by", "handle", "label", "reason")
+
+
+@catalog.query(
+    "l6_all_response_errors",
+    """select count(*) as batches, 0 as failed, count(*) filter (where way in (1, 2, 3)) as refused from (select distinct b, scored_by,
+    case when b%7=0 then (b//7)%7 else -1 end as way from (select scored_by, cast(twitter_id as bigint)//25 as b from profile_scores) t) u""",
+)
+def _(w):
+    return label_batches.response_errors(responses(w, *MODELS))
+
+
 SIGNALS = {"highSignals": ["the ", "und "], "lowSignals": ["que ", "http"]}
 RULES = """select p.twitter_id, p.handle, case when (contains(lower(bio), 'the ') or contains(lower(bio), 'und '))
   and (contains(lower(bio), 'que ') or contains(lower(bio), 'http')) then null
@@ -131,6 +165,15 @@ def _(w):
     return labels.select("twitter_id", "handle", "label")
 
 
+@catalog.query(
+    "l7_signal_columns",
+    """select twitter_id, handle, label, case when label is null then 'mixed signals' when label then 'has a positive signal' else 'no positive signal' end as reason from rules""",
+    rules=RULES,
+)
+def _(w):
+    return label_batches.signal_labels(work(w), "rules", SIGNALS).drop("scored_by")
+
+
 @catalog.query(
     "l8_save_labels",
     """select count(*) filter (where twitter_id not in (select twitter_id from stored)) as labeled,
@@ -201,6 +244,45 @@ def _(w):
     return label_batches.review_queue(reviewed(w)).select("handle")
 
 
+ALL_REVIEW = REVIEW.replace(" where s.scored_by='model-a'", "").replace("select p.handle, s.label,", "select s.scored_by, p.handle, s.label,")
+
+
+def all_reviewed(w: Workspace) -> DataFrame:
+    model = w.profile_scores.select("twitter_id", "scored_by", "label").join(w.user_profiles.select("twitter_id", "handle"), "twitter_id")
+    return label_batches.review_set(model, hand_labels(w))
+
+
+@catalog.query(
+    "l11_all_totals",
+    """select count(*) as total, count(*) filter (where reviewed) as labeled, count(*) filter (where reviewed and human_label) as n_true,
+    count(*) filter (where reviewed and not human_label) as n_false, count(*) filter (where reviewed and human_label is null) as n_null,
+    count(*) filter (where reviewed and human_label is not distinct from label) as agree from review""",
+    review=ALL_REVIEW,
+)
+def _(w):
+    return label_batches.review_totals(all_reviewed(w))
+
+
+@catalog.query("l11_all_queue", "select scored_by, handle from review where not reviewed", review=ALL_REVIEW)
+def _(w):
+    return label_batches.review_queue(all_reviewed(w)).select("scored_by", "handle")
+
+
+@catalog.query(
+    "s15_audience_config",
+    """select p_type as "targetProfile", 'industry' as sector, string_agg(p_brand, ';' order by p_brand) as signals, 'People who buy parts.' as "domainContext"
+    from (select distinct p_type, p_brand from part) t group by 1""",
+)
+def _(w):
+    """All audiences written as one document each and loaded again."""
+    path = scratch_path(w.spark, "audiences")
+    rows = audience(w)
+    texts = rows.select(F.md5("targetProfile").alias("name"), F.to_json(F.struct(*rows.columns)).alias("value"))
+    texts.write.partitionBy("name").text(path)
+    loaded = read_audience(w.spark, path)
+    return loaded.select("targetProfile", "sector", F.array_join("highSignals", ";").alias("signals"), "domainContext")
+
+
 @catalog.query(
     "l12_training_lines",
     """select 'handle: ' || handle as handle_line, scored_by, case when label then '1.00' when not label then '0.00' else '0.50' end as score, reason
@@ -307,6 +389,29 @@ def _(w):
     return worth.best_cutoff(worth.threshold_scores(scored))
 
 
+LABELLED = "select twitter_id, cast(audience_label = 0 as int) as label from worthy"
+
+
+@catalog.query(
+    "m10_folds",
+    """select cast(floor((cast(('0x' || substring(md5(twitter_id || '|' || label || '|fold'), 1, 8)) as bigint) / 4294967296e0) * 5) as int) as fold, label, count(*) as n
+    from labelled group by 1, 2""",
+    labelled=LABELLED,
+    **WORTH_VIEWS,
+)
+def _(w):
+    rows = worth_rows(w).select("twitter_id", (F.col("audience_label") == 0).cast("int").alias("label"))
+    return sampling.with_folds(rows, "twitter_id", "label", 5, "fold").groupBy("fold", "label").agg(row_count().alias("n"))
+
+
+@catalog.query("m2_out_of_fold")
+def _(w):
+    """Cut-off of each fold and (fold -1) of all rows, from scores of models that have not seen the row."""
+    rows = worth_rows(w).withColumn("label", (F.col("audience_label") == 0).cast("int"))
+    _models, scored = worth.out_of_fold(rows.select("twitter_id", "cos_sim", "activity", "bio_quality", "label"), "twitter_id")
+    return worth.fold_thresholds(scored)
+
+
 @catalog.query(
     "m3_latin_share",
     "select doc_id, round(case when text<>'' then length(regexp_replace(text, '[^A-Za-z]', '', 'g'))*1e0/length(text) else 0e0 end + 1e-9, 6) as latin from documents",
@@ -375,6 +480,32 @@ def _(w):
     return worth.recall_report(rows).withColumn("rate", r6(F.col("rate")))
 
 
+CENTRES = """select label as centre, list(m order by i) as centroid from (select label, i, avg(x) as m from (select label, unnest(cast(embedding as double[])) as x,
+ unnest(range(64)) as i from embeddings) t group by label, i) u group by label"""
+
+
+@catalog.query(
+    "m9_label_centroids",
+    """select vec_id, centre, round(cos_sim, 5) as cos_sim from (select *, row_number() over (partition by vec_id order by round(cos_sim, 9) desc, centre) as rn from (
+    select e.vec_id, c.centre, list_cosine_similarity(cast(e.embedding as double[]), c.centroid) as cos_sim from embeddings e, centres c) t) u where rn=1""",
+    centres=CENTRES,
+)
+def _(w):
+    """The mean vector of each label as a stored model, and every vector's nearest."""
+    means = [F.avg(F.element_at("embedding", i + 1).cast("double")) for i in range(DIMENSIONS)]
+    table = w.once(w.raw("embeddings").groupBy(F.col("label").alias("centre")).agg(F.array(*means).alias("centroid")), "centroids")
+    near = worth.nearest_centroid(w.raw("embeddings").select("vec_id", "embedding"), "embedding", table)
+    return near.select("vec_id", "centre", F.round("cos_sim", 5).alias("cos_sim"))
+
+
+@catalog.query("m9_stored_centroids")
+def _(w):
+    """Three k-means centres of the audience, fitted once, stored, and joined to by the scoring."""
+    vectors = w.raw("embeddings")
+    fitted = worth.centroid_table(w.spark, worth.fit_centroids(vectors.filter(F.col("label") == 0), "embedding", 3))
+    return worth.nearest_centroid(vectors.select("vec_id", "embedding"), "embedding", w.once(fitted, "k-means")).drop("embedding")
+
+
 @catalog.query("m9_nearest_centroid")
 def _(w):
     vectors = w.raw("embeddings")
@@ -382,6 +513,48 @@ def _(w):
     return worth.nearest_similarity(vectors, "embedding", centres).select("vec_id", "cos_sim")
 
 
+@catalog.query(
+    "m6_label_worth_rate",
+    """select day, round(sum(w) over r / sum(n) over r + 1e-9, 6) as worth_rate from (select cast(scored_at as date) as day, count(*) as n,
+    count(*) filter (where probability >= 0.33) as w from worthy join profile_scores using (twitter_id) group by 1) t
+    window r as (order by day range between interval 6 days preceding and current row)""",
+    **WORTH_VIEWS,
+)
+def _(w):
+    """Share of the accounts labelled in the last seven days that the worth model had found worth it."""
+    rows = worth_rows(w).select("twitter_id", "worth").join(w.profile_scores.select("twitter_id", "scored_at"), "twitter_id")
+    return worth.rolling_worth_rate(rows, "scored_at").withColumn("worth_rate", r6(F.col("worth_rate")))
+
+
+@catalog.query(
+    "m8_worth_recall",
+    """with f as (select y.platform, y.probability >= 0.33 as worth, k.is_curated, y.twitter_id in (select cast(doc_id as varchar) from labels where quality=1) as hand_picked
+      from worthy y left join keyword_sets k using (twitter_id)),
+    g as (select 'curated' as group_name, worth from f where is_curated union all select 'hand_picked', worth from f where hand_picked
+      union all select 'platform:' || platform, worth from f union all select 'all', worth from f)
+    select group_name, count(*) as n, count(*) filter (where worth) as found, round(count(*) filter (where worth)*1e0/count(*) + 1e-9, 6) as rate
+    from g group by 1""",
+    **WORTH_VIEWS,
+)
+def _(w):
+    """Recall of the worth model itself."""
+    good = w.raw("labels").filter(F.col("quality") == 1).select(F.col("doc_id").cast("string").alias("twitter_id"), F.lit(True).alias("h"))
+    curated = w.user_keywords.filter(F.col("keyword") == CURATED).select("twitter_id", F.lit(True).alias("c"))
+    rows = worth_rows(w).join(good, "twitter_id", "left").join(curated, "twitter_id", "left")
+    rows = rows.withColumns({"is_curated": F.coalesce("c", F.lit(False)), "hand_picked": F.coalesce("h", F.lit(False))})
+    return worth.recall_report(rows).withColumn("rate", r6(F.col("rate")))
+
+
+@catalog.query(
+    "m10_all_models",
+    """select label, part, count(*) as n from (select label, case when (cast(('0x' || substring(md5(twitter_id || '/' || scored_by || '|split'), 1, 8)) as bigint) / 4294967296e0) < 0.8 then 'train' else 'test' end as part
+    from profile_scores where label is not null) t group by 1, 2""",
+)
+def _(w):
+    rows = w.profile_scores.filter(F.col("label").isNotNull()).withColumn("key", F.concat_ws("/", "twitter_id", "scored_by"))
+    return sampling.split_by_class(rows, "key", "split").groupBy("label", "part").agg(row_count().alias("n"))
+
+
 UNIT = "(cast(('0x' || substring(md5({0}), 1, 8)) as bigint) / 4294967296e0)"
 
 

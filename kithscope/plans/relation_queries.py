@@ -314,6 +314,25 @@ def _(w):
     return keywords.resume_points(w.searches, w.user_keywords.select("keyword").distinct())
 
 
+PLATFORM_PAGES = """select keyword, 'twitter' as platform, page, next_page from searches union all
+ select keyword, 'bluesky', page, case when page < 1 then next_page end from searches where page < 2"""
+
+
+@catalog.query(
+    "u9_resume_by_platform",
+    """with p as (select *, row_number() over (partition by keyword, platform order by page desc) as rn from platform_pages)
+    select k.keyword, k.platform, coalesce(p.page+1, 0) as page, p.next_page as cursor, case when p.page is not null and p.next_page is null then 'fully_paged' else 'ready' end as status
+    from (select distinct keyword, unnest(['twitter', 'bluesky', 'other']) as platform from user_keywords) k left join p on p.keyword=k.keyword and p.platform=k.platform and p.rn=1""",
+    platform_pages=PLATFORM_PAGES,
+)
+def _(w):
+    """A second platform whose second page is its last, and one never searched."""
+    first = w.searches.withColumn("platform", F.lit("twitter"))
+    second = w.searches.filter("page < 2").withColumns({"platform": F.lit("bluesky"), "next_page": F.when(F.col("page") < 1, F.col("next_page"))})
+    wanted = w.user_keywords.select("keyword").distinct().withColumn("platform", F.explode(F.array(*[F.lit(p) for p in ("twitter", "bluesky", "other")])))
+    return keywords.resume_points(first.unionByName(second), wanted, ("keyword", "platform"))
+
+
 @catalog.query("q5_fully_paged", "select keyword, page from latest_pages where not has_more")
 def _(w):
     return keywords.fully_paged(w.searches)

@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kithscope.functions.numbers import r6, row_count
-from kithscope.operators import lookups, merges, quality, sampling
-from kithscope.plans.account_queries import trim_sql
+from kithscope.functions.numbers import r6, row_count, seeded_order
+from kithscope.operators import keywords, lookups, merges, quality, sampling
+from kithscope.operators.ordering import bottom_k
+from kithscope.plans.account_queries import cell_sql, trim_sql
 from kithscope.plans.catalog import Catalog
 from kithscope.plans.evaluation_queries import marked
 from kithscope.plans.relation_queries import mixed_case_handles
 from kithscope.plans.workspace import CURATED, Workspace
 from kithscope.schemas import UNIQUE_KEYS
 from kithscope.session import scratch_path
-from kithscope.sources import batch_files, delimited, exports
+from kithscope.sources import batch_files, delimited, exports, tables
 
 catalog = Catalog()
 
@@ -32,6 +35,17 @@ def _(w):
     return lookups.with_followers(picked, w.user_stats).select("handle", "name", "bio", "category", "followers")
 
 
+@catalog.query(
+    "k3_half_of_all",
+    """select twitter_id, handle from (select *, row_number() over (order by md5(twitter_id || '|half'), twitter_id) as place, count(*) over () as n from user_profiles) t
+    where place <= n // 2""",
+)
+def _(w):
+    """A sample of half of the table, cut off in place."""
+    rows = w.user_profiles.select("twitter_id", "handle")
+    return bottom_k(rows, seeded_order("half", F.col("twitter_id")), "twitter_id", rows.count() // 2, few=100)
+
+
 STRATA = """select s.*, p.handle, row_number() over (partition by s.twitter_id, case when s.label then 'true' else 'other' end
    order by md5(s.twitter_id || '|' || s.scored_by || '|5'), s.scored_by) as one, case when s.label then 'true' else 'other' end as stratum
  from profile_scores s join user_profiles p using (twitter_id) where p.bio<>'' and p.name<>''"""
@@ -51,6 +65,20 @@ def _(w):
     return picked.select("twitter_id", "handle", "stratum", "label", "reason")
 
 
+@catalog.query(
+    "k4_large_strata",
+    """with n as (select count(*) // 2 as total from user_profiles), t as (select *, row_number() over (order by md5(twitter_id || '|7true'), twitter_id) as place from strata where one=1 and stratum='true'),
+    o as (select *, row_number() over (order by md5(twitter_id || '|7other'), twitter_id) as place from strata where one=1 and stratum='other'),
+    m as (select least(cast(floor(total * 0.3e0) as bigint), (select count(*) from t)) as n_true, total from n)
+    select twitter_id, handle, stratum, label, reason from t, m where place <= n_true
+    union all select twitter_id, handle, stratum, label, reason from o, m where place <= total - n_true""",
+    strata=STRATA.replace("|5'", "|7'"),
+)
+def _(w):
+    picked = sampling.stratified_sample(w.profile_scores, w.user_profiles, w.user_stats, total=w.user_profiles.count() // 2, seed="7")
+    return picked.select("twitter_id", "handle", "stratum", "label", "reason")
+
+
 @catalog.query("k6_all_pages", "select count(*) as accounts, 25 as size, count(*) filter (where bio is null) as no_bio from user_profiles")
 def _(w):
     batched = sampling.sharded_batches(w.user_profiles, "twitter_id", 25, 8)
@@ -75,8 +103,8 @@ def _(w):
     """select n // 25 as full_pages, case when n % 25 > 0 then n % 25 end as rest, n as accounts from (select count(*) as n from user_profiles) t""",
 )
 def _(w):
-    # One shard holds all rows here, so that pages are full but for the last; sizes come from the batches themselves.
-    batched = sampling.sharded_batches(w.user_profiles.select("twitter_id"), "twitter_id", 25, 1)
+    # Numbered over all rows by range, so that pages are full but for the last; sizes come from the batches themselves.
+    batched = sampling.numbered_batches(w.user_profiles.select("twitter_id"), [F.col("twitter_id")], 25, first=0).withColumnRenamed("batch", "batch_no")
     pages = batched.groupBy("batch_no").agg(row_count().alias("n"), F.countDistinct("twitter_id").alias("ids"), F.max("position").alias("last"))
     good = pages.filter((F.col("n") == F.col("ids")) & (F.col("last") == F.col("n") - 1))
     return good.agg(
@@ -85,12 +113,31 @@ def _(w):
     )
 
 
-@catalog.query("b1_sharded_batches")
+SHARD_ROWS = 100
+SHARDED = f"""select *, cast('0x' || substring(md5(twitter_id), 1, 8) as bigint) % (select greatest(1, (count(*) + {SHARD_ROWS - 1}) // {SHARD_ROWS}) from user_profiles) as shard from user_profiles"""
+
+
+@catalog.query(
+    "b1_sharded_batches",
+    """select shard, batch_no, count(*) as size, max(place) as last_position from (select shard, (row_number() over s - 1) // 25 as batch_no, (row_number() over s - 1) % 25 as place
+    from sharded window s as (partition by shard order by twitter_id)) t group by 1, 2""",
+    sharded=SHARDED,
+)
 def _(w):
-    batched = sampling.sharded_batches(w.user_profiles, "twitter_id", 25, 8)
+    batched = sampling.sharded_batches(w.user_profiles, "twitter_id", 25, rows_per_shard=SHARD_ROWS)
     return batched.groupBy("shard", "batch_no").agg(row_count().alias("size"), F.max("position").alias("last_position"))
 
 
+@catalog.query(
+    "k6_pages_by_shard",
+    """select twitter_id, shard, (row_number() over s - 1) // 25 as batch_no, (row_number() over s - 1) % 25 as position from sharded
+    window s as (partition by shard order by twitter_id)""",
+    sharded=SHARDED,
+)
+def _(w):
+    return sampling.sharded_batches(w.user_profiles.select("twitter_id"), "twitter_id", 25, rows_per_shard=SHARD_ROWS)
+
+
 @catalog.query(
     "b2_numbered_batches",
     """select twitter_id, 1 + cast(floor((rn-1)/30) as bigint) as batch, (rn-1)%30 as position from
@@ -185,6 +232,23 @@ def _(w):
     return delimited.read_progress(w.spark, path)
 
 
+@catalog.query(
+    "s14_all_hand_labels",
+    """select s.scored_by, lower(p.handle) as handle, s.label, s.reason, case when s.label then 'human' when not s.label then 'entity' end as class
+    from profile_scores s join user_profiles p using (twitter_id)""",
+)
+def _(w):
+    """A store per model, written and read back."""
+    path = scratch_path(w.spark, "progress")
+    kind = F.when(F.col("label"), "human").when(~F.col("label"), "entity")
+    rows = w.once(w.profile_scores.join(w.user_profiles, "twitter_id").select("scored_by", "handle", "label", "reason", kind.alias("class")), "labelled")
+    parts = []
+    for model in ("model-a", "model-b", "model-c"):
+        delimited.write_progress(rows.filter(F.col("scored_by") == model), f"{path}/{model}")
+        parts.append(delimited.read_progress(w.spark, f"{path}/{model}").withColumn("scored_by", F.lit(model)))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 def batch_profiles(w: Workspace) -> DataFrame:
     full = lookups.with_followers(w.user_profiles.filter(F.col("bio").isNotNull()), w.user_stats)
     rows = full.select("twitter_id", "handle", "name", "bio", "category", "followers")
@@ -231,6 +295,59 @@ def _(w):
     return batch_files.read_batches(w.spark, path).withColumn("bio", F.coalesce("bio", F.lit("")))
 
 
+def dialect_files(w: Workspace) -> str:
+    """All batches as files of three dialects by number: padded commas, plain names over commas, tabs. Every tenth declares a row too many."""
+    rows = w.once(all_batch_profiles(w), "all-batches")
+    padded, plain, tabs = (batch_files.profile_line(indent, sep) for indent, sep in (("  ", ", "), ("", ","), ("  ", "\t")))
+    dialect = F.col("batch") % 3
+    line = F.when(dialect == 0, padded).when(dialect == 1, plain).otherwise(tabs)
+    n = F.size("rows") + F.when(F.col("batch") % 10 == 9, 1).otherwise(0)
+    head = F.when(dialect == 1, F.lit("handle,name,bio,category,followers")).otherwise(batch_files.header_line(n, "customers"))
+    # A batch holds at most 30 rows.
+    packed = rows.groupBy("batch").agg(F.array_sort(F.collect_list(F.struct("position", line.alias("line")))).alias("rows"))
+    texts = packed.select("batch", F.concat_ws("\n", head, F.transform("rows", lambda r: r["line"])).alias("text"))
+    path = scratch_path(w.spark, "dialects")
+    batch_files.write_batches(texts, path)
+    return path
+
+
+@catalog.query(
+    "s4_dialect_tables",
+    f"""select batch_no, handle, name, {trim_sql(ONE_LINE.format('bio'))} as bio, category, followers from batches where batch_no % 10 <> 9 or batch_no % 3 = 1""",
+    batches=ALL_BATCHES,
+)
+def _(w):
+    return batch_files.read_tables(w.spark, dialect_files(w))[0]
+
+
+@catalog.query(
+    "s4_refused_tables",
+    """select batch_no, count(*) + 1 as declared, count(*) as found, 'row count' as reason from batches where batch_no % 10 = 9 and batch_no % 3 <> 1 group by 1""",
+    batches=ALL_BATCHES,
+)
+def _(w):
+    return batch_files.read_tables(w.spark, dialect_files(w))[1].drop("file")
+
+
+@catalog.query(
+    "j9_label_files",
+    """select b.batch_no, b.handle, s.scored_by, case when s.scored_by = 'model-b' then not s.label else s.label end as label, s.reason
+    from batches b join profile_scores s using (twitter_id)""",
+    batches=ALL_BATCHES,
+)
+def _(w):
+    """Label files of all batches and models through the reader; in those of one model every handle stands twice and the last label counts."""
+    placed = w.once(all_batch_profiles(w), "all-batches")
+    rows = placed.join(w.profile_scores.select("twitter_id", "scored_by", "label", "reason"), "twitter_id").withColumn("handle", F.upper("handle"))
+    again = rows.filter("scored_by = 'model-b'").withColumns({"position": F.col("position") + 1000, "label": ~F.col("label")})
+    texts = batch_files.label_json(rows.unionByName(again), ["batch", "scored_by"], "position")
+    odd = w.spark.createDataFrame([(-1, "model-a", "[{broken"), (-2, "model-a", ""), (-3, "model-a", '{"handle": "x"}')], "batch bigint, scored_by string, text string")
+    path = scratch_path(w.spark, "label-files")
+    texts.select("scored_by", "batch", "text").unionByName(odd.select("scored_by", "batch", "text")).write.partitionBy("scored_by", "batch").text(path)
+    items = batch_files.read_label_arrays(w.spark, path, "scored_by")
+    return lookups.batch_labels(placed.select(F.col("batch").alias("batch_no"), "handle"), items, "scored_by")
+
+
 def labelled_batches(w: Workspace) -> DataFrame:
     own = w.profile_scores.filter(F.col("scored_by") == "model-a").select("twitter_id", "label", "reason")
     return batch_profiles(w).join(own, "twitter_id")
@@ -288,6 +405,24 @@ def _(w):
     )
 
 
+SET_ROWS = f"""select keyword, handle, coalesce(followers, 0) as followers, '  ' || {cell_sql("handle")} || ',' || {cell_sql("name")} || ',' || {cell_sql("bio")} || ',' ||
+ coalesce({cell_sql("category")}, 'null') || ',' || coalesce(followers, 0) as line from user_keywords join user_profiles using (twitter_id) left join user_stats using (twitter_id) where bio<>''"""
+
+
+@catalog.query(
+    "s10_ordered_sets",
+    """select keyword, place, md5(line) as line from (select keyword, row_number() over (partition by keyword order by followers desc, handle) as place, line from set_rows
+    union all select keyword, 0, '[' || count(*) || ']{handle,name,bio,category,followers}:' from set_rows group by keyword) t""",
+    set_rows=SET_ROWS,
+)
+def _(w):
+    """The sets of all keywords, most followers first, read back in the order in which lines stand in the files."""
+    rows = lookups.with_followers(w.user_profiles.filter("bio <> ''"), w.user_stats).join(w.user_keywords.select("twitter_id", "keyword"), "twitter_id")
+    path = scratch_path(w.spark, "sets")
+    batch_files.write_profile_sets(batch_files.profile_set_lines(rows, F.col("keyword")), path)
+    return batch_files.read_profile_sets(w.spark, path).select("keyword", "place", F.md5("value").alias("line"))
+
+
 @catalog.query(
     "s11_batch_files",
     "select batch_no as batch, count(*) as size, sum(followers)::bigint as followers from batches group by 1",
@@ -315,6 +450,18 @@ def _(w):
     return lines.groupBy("batch").agg(F.max("size").alias("size"), F.sum(F.regexp_extract("line", r",(\d+)$", 1).cast("bigint")).alias("followers"))
 
 
+@catalog.query(
+    "s11_batch_cells",
+    f"select batch_no, position, handle, name, {trim_sql(ONE_LINE.format('bio'))} as bio, category, followers from batches",
+    batches=ALL_BATCHES,
+)
+def _(w):
+    """Many batches to a file, every cell compared."""
+    path = scratch_path(w.spark, "batch-lines")
+    batch_files.write_batch_lines(batch_files.batch_text(all_batch_profiles(w), ["batch"], "position"), path)
+    return batch_files.read_batch_lines(w.spark, path)
+
+
 @catalog.query(
     "j9_batch_labels",
     """select b.batch_no, b.handle, s.label, s.reason from batches b join profile_scores s using (twitter_id)
@@ -640,6 +787,38 @@ def _(w):
     )
 
 
+SEVEN = """select 'user_profiles' as name, count(*) as n from user_profiles union all select 'user_stats', count(*) from user_stats
+    union all select 'user_keywords', count(*) from user_keywords union all select 'profile_scores', count(*) from profile_scores
+    union all select 'api_search_usage', count(*) from searches union all select 'profiles_to_score', count(*) from queue
+    union all select 'keyword_stats', count(distinct keyword) from searches"""
+
+
+def seven_tables(w: Workspace) -> dict[str, DataFrame]:
+    stats = keywords.keyword_stats(w.searches, w.keyword_table, w.scores, w.profile_scores)
+    return {
+        "user_profiles": w.user_profiles, "user_stats": w.user_stats, "user_keywords": w.user_keywords, "profile_scores": w.profile_scores,
+        "api_search_usage": w.searches, "profiles_to_score": w.queue, "keyword_stats": stats,
+    }
+
+
+@catalog.query("q6_seven_tables", SEVEN)
+def _(w):
+    return quality.table_counts(seven_tables(w))
+
+
+@catalog.query("s2_seven_tables", SEVEN.replace("count(*) as n", "count(*) as n, count(*) as keys").replace("count(*) from", "count(*), count(*) from").replace("count(distinct keyword) from", "count(distinct keyword), count(distinct keyword) from"))
+def _(w):
+    """All seven stored and read by their schemas: rows, and rows with a key of their own."""
+    root = scratch_path(w.spark, "tables")
+    parts = []
+    for name, df in seven_tables(w).items():
+        df.write.parquet(f"{root}/{name}")
+        keys = ["keyword", "page"] if name == "api_search_usage" else UNIQUE_KEYS[name]
+        rows = tables.read_table(w.spark, root, name)
+        parts.append(rows.agg(row_count().alias("n"), F.count_distinct(F.struct(*keys)).alias("keys")).select(F.lit(name).alias("name"), "n", "keys"))
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
 def leads(w: Workspace) -> DataFrame:
     k = F.col("twitter_id").cast("bigint")
     stored = w.profiles.filter(F.col("human_score").isNotNull()).join(w.user_stats.select("twitter_id", "followers"), "twitter_id")

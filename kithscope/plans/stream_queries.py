@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from kithscope.functions.numbers import row_count
+from kithscope.operators import history
+from kithscope.operators.merges import curated_totals
 from kithscope.plans.account_queries import raw_users
 from kithscope.plans.catalog import Catalog
+from kithscope.plans.evaluation_queries import HISTORY, label_history
 from kithscope.plans.relation_queries import mixed_case_handles
 from kithscope.plans.workspace import CURATED, Workspace
 from kithscope.schemas import GIVEN_TABLES
@@ -41,37 +44,83 @@ def _(w):
     return stored.select("twitter_id", "keyword")
 
 
-def delivered_events(w: Workspace, files: int = 4) -> DataFrame:
-    """The events again as a stream of several files in order of time, one a micro-batch; the first file comes twice."""
-    path = scratch_path(w.spark, "event-files")
+PART = "(epoch_us(ts) - (select min(epoch_us(ts)) from events)) // greatest(1, (select (max(epoch_us(ts)) - min(epoch_us(ts))) // 4 + 1 from events))"
+
+
+def quarters(w: Workspace) -> DataFrame:
+    """Events as hits with ``part``, the quarter of the whole time they lie in."""
     rows = w.raw("events").select(
         F.col("user_id").cast("string").alias("twitter_id"), F.col("event_type").alias("keyword"), F.col("ts").cast("timestamp").alias("seen_at"),
         F.col("event_id").alias("seq"),
     )
     ends = rows.agg(F.unix_micros(F.min("seen_at")).alias("lo"), F.unix_micros(F.max("seen_at")).alias("hi")).first()
-    width = max(1, (ends["hi"] - ends["lo"]) // files + 1)
-    part = F.floor((F.unix_micros("seen_at") - F.lit(ends["lo"])) / width)
-    for name, wanted in [*((f"{i}", i) for i in range(files)), ("again", 0)]:
-        rows.filter(part == wanted).coalesce(1).write.parquet(f"{path}/{name}")
-    return w.spark.readStream.schema(windows.HIT).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(path)
+    width = max(1, (ends["hi"] - ends["lo"]) // 4 + 1)
+    return rows.withColumn("part", F.expr(f"(unix_micros(seen_at) - {ends['lo']}) div {width}"))
+
+
+def deliver(w: Workspace, start, label: str, deliveries: list[DataFrame], schema: str = windows.HIT) -> str:
+    """Runs a stream over deliveries that land one after the other, each written by as many tasks as its rows have.
+
+    ``start`` (stream, folder of results, checkpoint) gives a stream writer. The stream stops after every delivery and goes on from its
+    checkpoint with the next, so each is a micro-batch of its own.
+    """
+    landing, out, state = (scratch_path(w.spark, f"{label}-{kind}") for kind in ("landing", "out", "state"))
+    for k, rows in enumerate(deliveries):
+        rows.write.parquet(f"{landing}/{k}")
+        stream = w.spark.readStream.schema(schema).option("recursiveFileLookup", True).parquet(landing)
+        start(stream, out, state).trigger(availableNow=True).start().awaitTermination()
+    return out
+
+
+def as_delivered(w: Workspace, order: list[int]) -> list[DataFrame]:
+    rows = quarters(w)
+    return [rows.filter(F.col("part") == k).drop("part") for k in order]
 
 
 @catalog.query("t2_repeats_over_batches", "select distinct cast(user_id as varchar) as twitter_id, event_type as keyword from events")
 def _(w):
-    unique = windows.drop_repeats(delivered_events(w), "seen_at", "3650 days")
-    return run_to_table(w, unique.writeStream, "repeats", windows.HIT).select("twitter_id", "keyword")
+    def start(stream, out, state):
+        unique = windows.drop_repeats(stream, "seen_at", "3650 days")
+        return unique.writeStream.format("parquet").option("path", out).option("checkpointLocation", state)
+
+    # The first delivery comes twice.
+    out = deliver(w, start, "repeats", as_delivered(w, [0, 1, 2, 3, 0]))
+    return w.spark.read.schema(windows.HIT).parquet(out).select("twitter_id", "keyword")
+
+
+FIRSTS = """select cast(user_id as varchar) as twitter_id, event_type as keyword, event_id as seq from (select *,
+    row_number() over (partition by user_id order by ts, event_id) as seen from events) t where seen=1"""
+
+
+@catalog.query("t3_firsts_over_batches", FIRSTS)
+def _(w):
+    out = deliver(w, windows.follow_firsts, "firsts", as_delivered(w, [0, 1, 2, 3, 0]))
+    return windows.read_firsts(w.spark, out).select("twitter_id", "keyword", "seq")
+
+
+@catalog.query("t3_firsts_in_any_order", FIRSTS)
+def _(w):
+    out = deliver(w, windows.follow_firsts, "firsts", as_delivered(w, [2, 3, 1, 2, 0]))
+    return windows.read_firsts(w.spark, out).select("twitter_id", "keyword", "seq")
 
 
 @catalog.query(
-    "t3_firsts_over_batches",
-    """select cast(user_id as varchar) as twitter_id, event_type as keyword, event_id as seq from (select *,
-    row_number() over (partition by user_id order by ts, event_id) as seen from events) t where seen=1""",
+    "t3_first_seen_again",
+    """with gaps as (select *, ts - lag(ts) over (partition by user_id order by ts, event_id) as gap from events),
+    runs as (select *, sum(case when gap is null or gap > interval 8 hours then 1 else 0 end) over (partition by user_id order by ts, event_id) as run from gaps),
+    firsts as (select *, row_number() over (partition by user_id, run order by ts, event_id) as rn, count(*) over (partition by user_id, run) as hits,
+      max(ts) over (partition by user_id, run) + interval 8 hours as until from runs)
+    select cast(user_id as varchar) as twitter_id, event_type as keyword, event_id as seq, hits, until from firsts
+    where rn = 1 and until <= (select max(ts) from events) - interval 1 day""",
 )
 def _(w):
-    path = scratch_path(w.spark, "firsts")
-    query = windows.follow_firsts(delivered_events(w), path, scratch_path(w.spark, "firsts-state")).trigger(availableNow=True).start()
-    query.awaitTermination()
-    return w.spark.read.schema(f"{windows.HIT}, batch_id bigint").parquet(path).select("twitter_id", "keyword", "seq")
+    def start(stream, out, state):
+        firsts = windows.first_seen_sessions(stream, "8 hours", "1 day")
+        return firsts.writeStream.format("parquet").outputMode("append").option("path", out).option("checkpointLocation", state)
+
+    out = deliver(w, start, "sessions", as_delivered(w, [0, 1, 2, 3]))
+    rows = w.spark.read.schema(f"{windows.HIT}, hits bigint, until timestamp").parquet(out)
+    return rows.select("twitter_id", "keyword", "seq", "hits", F.col("until").cast("timestamp_ntz").alias("until"))
 
 
 @catalog.query(
@@ -109,6 +158,61 @@ def _(w):
     return windowed(w, 7)
 
 
+SEARCH = "seq bigint, keyword string, query_at timestamp, new_profiles bigint"
+# Every fiftieth row of the first quarter, and every hundredth of the third, lands only before the last quarter.
+HELD_BACK = "((part = 0 and event_id % 50 = 0) or (part = 2 and event_id % 100 = 1))"
+LATE_VIEWS = {
+    "parts": f"select *, {PART} as part from events",
+    "held": f"select *, {HELD_BACK} as back from parts",
+    "lates": """select *, back and ts < (select max(ts) from held where part < 3 and not back) - interval 1 day as is_late from held""",
+}
+
+
+def followed_yield(w: Workspace, length: str) -> str:
+    rows = quarters(w).select("part", "seq", "keyword", F.col("seen_at").alias("query_at"), (F.col("seq") % 3).alias("new_profiles"))
+    back = F.expr(HELD_BACK.replace("event_id", "seq"))
+    given = [rows.filter((F.col("part") == k) & ~back) for k in range(3)] + [rows.filter(back), rows.filter("part = 3")]
+    follow = lambda stream, out, state: windows.follow_yield(stream, out, state, length, "1 day", "1 day")
+    return deliver(w, follow, "yield", [df.drop("part") for df in given], SEARCH)
+
+
+@catalog.query(
+    "t4_late_rows",
+    "select event_id as seq, event_type as keyword, ts as query_at, event_id % 3 as new_profiles from lates where is_late",
+    **LATE_VIEWS,
+)
+def _(w):
+    rows = windows.read_late(w.spark, followed_yield(w, "7 days"), SEARCH)
+    return rows.select("seq", "keyword", F.col("query_at").cast("timestamp_ntz").alias("query_at"), "new_profiles")
+
+
+@catalog.query(
+    "t4_yield_over_batches",
+    """select w as window_start, w + interval 7 days as window_end, event_type as keyword, count(*) as searches, cast(sum(event_id % 3) as bigint) as new_profiles,
+    w + interval 7 days <= (select max(ts) from events) - interval 1 day as closed from (select *, unnest(range(0, 7)) as back_days from lates where not is_late) e,
+    lateral (select date_trunc('day', ts) - back_days * interval 1 day as w) x group by 1, 2, 3""",
+    **LATE_VIEWS,
+)
+def _(w):
+    rows = windows.read_yield(w.spark, followed_yield(w, "7 days"))
+    return rows.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
+
+
+@catalog.query(
+    "t4_rows_in_and_out",
+    "select count(*) as rows_in, count(*) filter (where not is_late) as in_windows, count(*) filter (where is_late) as late from lates",
+    **LATE_VIEWS,
+)
+def _(w):
+    """Windows of one day hold each row once, so rows in are rows in windows and late ones."""
+    path = followed_yield(w, "1 day")
+    held = windows.read_yield(w.spark, path).agg(F.sum("searches").alias("in_windows"))
+    late = windows.read_late(w.spark, path, SEARCH).agg(row_count().alias("late"))
+    marks = w.spark.read.schema(windows.MARK).parquet(f"{path}/marks").agg(F.sum("n_rows").alias("rows_in"))
+    one = F.lit(1).alias("k")
+    return marks.select("*", one).join(held.select("*", one), "k").join(late.select("*", one), "k").drop("k")
+
+
 ODD_USERS = [("900000001", None), ("900000002", "taken"), ("900000003", "taken"), ("90000001", "taken")]
 
 
@@ -171,6 +275,24 @@ def _(w):
     )
 
 
+@catalog.query(
+    "t1_ingest_over_batches",
+    """select twitter_id, handle, human_score, likely_is, followers, category as keywords, human_score > 0.65 as queued
+    from profiles join user_stats using (twitter_id) where human_score is not null""",
+)
+def _(w):
+    """One file a micro-batch; pages come again in later files."""
+    store, landing = ingest.Store(w.spark, scratch_path(w.spark, "store"), buckets=8), landed_pages(w)
+    ingest.start_ingest(w.spark, landing, store, scratch_path(w.spark, "ingest"), w.as_of, files_per_batch=1).awaitTermination()
+    stats = store.stats.read().select("twitter_id", "followers")
+    queued = store.queue.read().select("twitter_id", F.lit(True).alias("q"))
+    joined = store.profiles.read().join(stats, "twitter_id").join(queued, "twitter_id", "left")
+    return joined.filter("handle <> 'taken'").select(
+        "twitter_id", "handle", "human_score", "likely_is", "followers", F.array_join("got_by_keywords", ";").alias("keywords"),
+        F.coalesce("q", F.lit(False)).alias("queued"),
+    )
+
+
 LANDED = """select *, 'c' || page as cursor from (select cast(twitter_id as bigint) as k, twitter_id, category as keyword,
  cast(floor(cast(twitter_id as bigint)/20) as bigint) as page, created_at from user_profiles join user_stats using (twitter_id)) t"""
 
@@ -253,6 +375,76 @@ def _(w):
     return store.labels.read().select("twitter_id", "scored_by", "label")
 
 
+LOGS = """select twitter_id, scored_by, label, scored_at, audience from (select *, row_number() over (partition by twitter_id, scored_by, scored_at
+ order by seq desc, l_partkey desc) as rn from history) t where rn=1"""
+LOG_VIEWS = {"history": HISTORY, "logs": LOGS}
+TIMES = ["1994-01-01", "1996-07-01", "1998-06-01"]
+
+
+def label_log(w: Workspace) -> DataFrame:
+    """The log after the labels of both audience versions were saved, the second run twice, and a first-wins run that finds all known."""
+    last = F.max_by(F.struct("label", "audience"), "scored_at").alias("r")
+    rows = label_history(w).groupBy("twitter_id", "scored_by", F.col("scored_at.l_shipdate").alias("at")).agg(last)
+    rows = rows.select(
+        "twitter_id", F.col("scored_by").cast("string").alias("scored_by"), "r.label", F.lit("line").alias("reason"),
+        F.col("at").cast("timestamp").alias("scored_at"), "r.audience",
+    )
+    store = ingest.Store(w.spark, scratch_path(w.spark, "store"), buckets=8)
+    for version in ("v0", "v1", "v1"):
+        jobs.save_labels(store, rows.filter(F.col("audience") == version), f"run-{version}", again=True)
+    jobs.save_labels(store, rows.withColumn("label", ~F.col("label")), "run-first")
+    return store.label_log.read()
+
+
+@catalog.query(
+    "e6_labels_at",
+    f"""select twitter_id, cast(scored_by as varchar) as scored_by, asked_at, label, audience from (select l.*, asked_at, row_number() over (partition by twitter_id, scored_by, asked_at
+    order by scored_at desc) as rn from logs l, (values {', '.join(f"(timestamp '{t}')" for t in TIMES)}) v(asked_at) where scored_at <= asked_at) t where rn=1""",
+    **LOG_VIEWS,
+)
+def _(w):
+    times = [F.lit(f"{t} 00:00:00").cast("timestamp") for t in TIMES]
+    held = history.held_at(label_log(w), times, history.LABEL_KEYS, "scored_at")
+    return held.select(*history.LABEL_KEYS, F.col("asked_at").cast("timestamp_ntz").alias("asked_at"), "label", "audience")
+
+
+@catalog.query(
+    "e6_label_validity",
+    """select twitter_id, cast(scored_by as varchar) as scored_by, label, scored_at as valid_from,
+    lead(scored_at) over (partition by twitter_id, scored_by order by scored_at) as valid_to from logs""",
+    **LOG_VIEWS,
+)
+def _(w):
+    rows = history.validity(label_log(w), history.LABEL_KEYS, "scored_at")
+    return rows.select(*history.LABEL_KEYS, "label", *(F.col(c).cast("timestamp_ntz").alias(c) for c in ("valid_from", "valid_to")))
+
+
+@catalog.query(
+    "e6_label_when_ordered",
+    """select o_orderkey, label, audience from (select r.o_orderkey, l.label, l.audience, row_number() over (partition by r.o_orderkey order by l.scored_at desc nulls last) as rn
+    from orders r left join logs l on l.twitter_id=cast(r.o_custkey as varchar) and l.scored_by=r.o_orderkey%3 and l.scored_at <= r.o_orderdate) t where rn=1""",
+    **LOG_VIEWS,
+)
+def _(w):
+    """The label that a model had given an account when it placed an order."""
+    requests = w.raw("orders").select(
+        "o_orderkey", F.col("o_custkey").cast("string").alias("twitter_id"), (F.col("o_orderkey") % 3).cast("string").alias("scored_by"),
+        F.col("o_orderdate").cast("timestamp").alias("asked_at"),
+    )
+    return history.as_of(requests, label_log(w), history.LABEL_KEYS, "asked_at", "scored_at").select("o_orderkey", "label", "audience")
+
+
+@catalog.query(
+    "u10_totals",
+    """select count(*) as total, count(p.twitter_id) as success, count(*) filter (where p.human_score > 0.55) as humans
+    from wanted w left join profiles p on lower(p.handle)=lower(w.handle)""",
+    wanted="""select case when c_custkey%3=0 then upper(h) when c_custkey%13=1 then 'no_' || h else h end as handle
+      from (select c_custkey, lower(replace(c_name,'#','_')) as h from customer) t""",
+)
+def _(w):
+    return curated_totals(jobs.save_curated(filled(w), mixed_case_handles(w).select("handle"), CURATED, F.lit("2024-01-03").cast("timestamp"), "curated"))
+
+
 @catalog.query(
     "u7_stored_keyword_stats",
     """select s.keyword, case when length(s.keyword)=8 then '#kept' else '' end as tags, coalesce(f.n, 0) as profiles_found,

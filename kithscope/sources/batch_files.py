@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kithscope.functions.text import table_cell, trim_all
+from kithscope.operators.ordering import global_row_number
 from kithscope.schemas import LABEL_ITEMS_DDL
 
 COLUMNS = ["handle", "name", "bio", "category", "followers"]
@@ -37,6 +38,68 @@ def read_batches(spark: SparkSession, path: str, delimiter: str = ",") -> DataFr
     ).filter(F.col("handle").isNotNull())
 
 
+TABLE_HEAD = r"^\s*\w*\[(\d+)\]\{([^}]*)\}:\s*$"
+PLAIN_HEAD = r"^\s*handle\s*[,\t]"
+MOST_COLUMNS = 16
+
+
+def _facts(lines: DataFrame) -> DataFrame:
+    """One row per file: its columns, separator, declared and found rows, and why it cannot be trusted, if so."""
+    counted, plain = F.col("line").rlike(TABLE_HEAD), F.col("line").rlike(PLAIN_HEAD)
+    head = counted | plain
+    tabs = F.length("line") - F.length(F.replace("line", F.lit("\t"), F.lit("")))
+    facts = lines.groupBy("file").agg(
+        F.count(F.when(head, 1)).alias("heads"),
+        F.max(F.when(counted, F.regexp_extract("line", TABLE_HEAD, 1).try_cast("bigint"))).alias("declared"),
+        F.max(F.when(counted, F.regexp_extract("line", TABLE_HEAD, 2)).when(plain, F.col("line"))).alias("columns"),
+        F.count(F.when(~head, 1)).alias("found"),
+        F.min(F.when(~head, tabs)).alias("tabs"),
+    )
+    columns = F.transform(F.split("columns", "[,\t]"), trim_all)
+    facts = facts.withColumn("columns", columns)
+    # A header may list its columns with commas over rows that tabs divide: the rows decide.
+    sep = F.when(F.col("tabs") >= F.size("columns") - 1, "\t").otherwise(",")
+    reason = (
+        F.when(F.col("heads") == 0, "no header")
+        .when(F.col("heads") > 1, "several headers")
+        .when(~F.array_contains("columns", "handle") | (F.size("columns") > MOST_COLUMNS), "other columns")
+        .when(F.col("declared") != F.col("found"), "row count")
+    )
+    return facts.select("file", "columns", sep.alias("sep"), "declared", "found", reason.alias("reason"))
+
+
+def _numbered_file(file: Column) -> Column:
+    return F.regexp_extract(file, r"batch[-=](\d+)", 1).try_cast("bigint")
+
+
+def read_tables(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Profiles of all table files below ``path``, each in its own dialect, and the files that were refused.
+
+    A file has a header ``name[N]{columns}:`` or one of column names alone; rows are divided by commas (padded or not) or by tabs. Both
+    are found per file, combined map-side; a file with no header, two of them, unknown columns or another number of
+    rows than it declares is refused as a whole.
+    """
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.regexp_replace("value", "\r$", "").alias("line"))
+    lines = lines.filter(trim_all(F.col("line")) != "")
+    facts = _facts(lines)
+    refused = facts.filter("reason is not null").select(_numbered_file(F.col("file")).alias("batch_no"), "file", "declared", "found", "reason")
+    good = facts.filter("reason is null").select("file", "columns", "sep")
+    body = lines.filter(~F.col("line").rlike(TABLE_HEAD) & ~F.col("line").rlike(PLAIN_HEAD)).join(good, "file")
+    ddl = ", ".join(f"c{i} string" for i in range(MOST_COLUMNS))
+    options = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true"}
+    bare = F.ltrim("line")
+    by = lambda sep: F.from_csv(bare, ddl, {"sep": sep, **options})
+    row = F.when(F.col("sep") == "\t", by("\t")).otherwise(by(","))
+    cells = body.withColumn("row", row).withColumn("cells", F.array(*[F.col(f"row.c{i}") for i in range(MOST_COLUMNS)]))
+    cell = lambda name: F.coalesce(trim_all(F.try_element_at("cells", F.nullif(F.array_position("columns", name), F.lit(0)).cast("int"))), F.lit(""))
+    rows = cells.select(
+        _numbered_file(F.col("file")).alias("batch_no"), cell("handle").alias("handle"), cell("name").alias("name"), cell("bio").alias("bio"),
+        F.when(cell("category") != "null", cell("category")).alias("category"),
+        F.coalesce(F.regexp_extract(cell("followers"), r"^\d+", 0).try_cast("bigint"), F.lit(0)).alias("followers"),
+    ).filter("handle <> ''")
+    return rows, refused
+
+
 def batch_sizes(spark: SparkSession, path: str) -> DataFrame:
     """Row count each file declares in its header against the rows it holds."""
     lines = spark.read.text(path).select(F.input_file_name().alias("file"), trim_all(F.col("value")).alias("line"))
@@ -46,23 +109,25 @@ def batch_sizes(spark: SparkSession, path: str) -> DataFrame:
     return lines.groupBy("file").agg(declared.alias("declared"), found.alias("found"))
 
 
-def read_label_arrays(spark: SparkSession, path: str) -> DataFrame:
-    """Label files ``haiku-NN.json`` or ``haiku.NN.json``; empty, invalid or non-array files give no rows.
+def read_label_arrays(spark: SparkSession, path: str, *folders: str) -> DataFrame:
+    """Label files ``haiku-NN.json`` or ``haiku.NN.json``, or folders ``batch=NN``; empty, invalid or non-array files give no rows.
 
-    ``pos`` is the place in the array, so that the last of several labels for one handle can win.
+    ``pos`` is the place in the array, so that the last of several labels for one handle can win. Columns that
+    stand in names of ``folders`` (``scored_by=...``) are kept.
     """
     files = spark.read.text(path, wholetext=True).select(
-        F.regexp_extract(F.input_file_name(), r"[-.](\d+)\.json", 1).try_cast("bigint").alias("batch_no"),
+        F.regexp_extract(F.input_file_name(), r"(?:[-.](?=\d+\.json)|batch=)(\d+)", 1).try_cast("bigint").alias("batch_no"),
+        *folders,
         F.from_json(trim_all(F.col("value")), LABEL_ITEMS_DDL).alias("items"),
     )
-    rows = files.filter(F.col("items").isNotNull()).select("batch_no", F.posexplode("items").alias("pos", "item"))
-    return rows.select("batch_no", "pos", "item.handle", "item.label", "item.reason")
+    rows = files.filter(F.col("items").isNotNull()).select("batch_no", *folders, F.posexplode("items").alias("pos", "item"))
+    return rows.select("batch_no", *folders, "pos", "item.handle", "item.label", "item.reason")
 
 
-def profile_line(indent: str = "  ") -> Column:
+def profile_line(indent: str = "  ", sep: str = ",") -> Column:
     cells = [table_cell(F.coalesce(F.col(c), F.lit(""))) for c in ("handle", "name", "bio")]
     category = F.coalesce(table_cell(F.col("category")), F.lit("null"))
-    return F.concat(F.lit(indent), F.concat_ws(",", *cells, category, F.col("followers").cast("string")))
+    return F.concat(F.lit(indent), F.concat_ws(sep, *cells, category, F.col("followers").cast("string")))
 
 
 def header_line(count: Column, name: str = "", columns: str = "handle,name,bio,category,followers") -> Column:
@@ -97,6 +162,20 @@ def write_batch_lines(texts: DataFrame, path: str) -> None:
     texts.write.mode("errorifexists").json(path)
 
 
+def read_batch_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Profiles of such files with the place of each in its batch."""
+    texts = spark.read.schema("batch bigint, size bigint, text string").json(path)
+    lines = texts.select(F.col("batch").alias("batch_no"), F.posexplode(F.split("text", "\n")).alias("pos", "line")).filter("pos > 0")
+    ddl = ", ".join(f"{name} string" for name in COLUMNS)
+    row = F.from_csv(F.ltrim("line"), ddl, {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "true"})
+    cells = lines.withColumn("row", row)
+    text = lambda name: F.coalesce(trim_all(F.col(f"row.{name}")), F.lit(""))
+    return cells.select(
+        "batch_no", (F.col("pos") - 1).cast("bigint").alias("position"), text("handle").alias("handle"), text("name").alias("name"), text("bio").alias("bio"),
+        _cell("category").alias("category"), F.col("row.followers").try_cast("bigint").alias("followers"),
+    )
+
+
 def profile_set_lines(df: DataFrame, keyword: Column) -> DataFrame:
     """Lines of an unlimited profile set, most followers first, to be written per keyword.
 
@@ -117,3 +196,16 @@ def write_profile_sets(lines: DataFrame, path: str) -> None:
     order = [F.col("keyword"), F.col("part"), F.col("followers").desc(), F.col("handle")]
     sorted_lines = lines.repartitionByRange(*order).sortWithinPartitions(*order)
     sorted_lines.select("keyword", "value").write.mode("errorifexists").partitionBy("keyword").text(path)
+
+
+def read_profile_sets(spark: SparkSession, path: str) -> DataFrame:
+    """(keyword, place, value): the lines of all sets in the order in which they stand, place 0 the header.
+
+    The order is that of part files and of lines in them; numbers come from :func:`global_row_number`, so a large set is numbered by many tasks.
+    """
+    lines = spark.read.text(path).select(
+        "keyword", "value", F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1).cast("int").alias("part"),
+        F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"),
+    )
+    numbered = global_row_number(lines, [F.col(c) for c in ("part", "block", "line")], ["keyword"], "n")
+    return numbered.select("keyword", (F.col("n") - 1).alias("place"), "value")

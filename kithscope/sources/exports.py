@@ -42,8 +42,8 @@ def low_score_rows(final: DataFrame, maximum: float = 0.5) -> DataFrame:
     )
 
 
-def label_rows(labels: DataFrame) -> DataFrame:
-    return labels.select("handle", "bio", label_word(F.col("label")).alias("label"), "reason")
+def label_rows(labels: DataFrame, *keys: str) -> DataFrame:
+    return labels.select(*keys, "handle", "bio", label_word(F.col("label")).alias("label"), "reason")
 
 
 def write_ranked(df: DataFrame, path: str, header: list[str], by: str) -> None:
@@ -56,9 +56,26 @@ def write_ranked(df: DataFrame, path: str, header: list[str], by: str) -> None:
 
 
 def read_ranked(spark: SparkSession, path: str, header: list[str]) -> DataFrame:
-    """The rows of such files as text columns of the given names."""
+    """The rows of such files as text columns of the given names. The format knows no null: an empty cell, quoted or not, is an empty text."""
     schema = ", ".join(f"`{name}` string" for name in header)
-    return spark.read.schema(schema).option("header", True).option("enforceSchema", False).option("escape", '"').option("multiLine", True).csv(path)
+    reader = spark.read.schema(schema).option("header", True).option("enforceSchema", False).option("escape", '"').option("multiLine", True)
+    return reader.csv(path).select(*(F.coalesce(F.col(f"`{name}`"), F.lit("")).alias(name) for name in header))
+
+
+def write_labels(df: DataFrame, path: str, keyword: str = "keyword") -> None:
+    """Label rows in one folder per keyword, handles in order; every part has the header."""
+    ordered = df.repartitionByRange(keyword, "handle").sortWithinPartitions(keyword, "handle")
+    named = ordered.select(keyword, *(F.col(c) for c in LABEL_HEADER))
+    writer = named.write.mode("errorifexists").option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+    writer.option("quote", '"').option("escape", '"').partitionBy(keyword).csv(path)
+
+
+def read_labels(spark: SparkSession, path: str, keyword: str = "keyword") -> DataFrame:
+    """Rows of the label files of all keywords. ``label`` is true, false or null (uncertain), empty cells are empty texts."""
+    schema = ", ".join([*(f"{name} string" for name in LABEL_HEADER), f"{keyword} string"])
+    reader = spark.read.schema(schema).option("header", True).option("enforceSchema", False).option("escape", '"').option("multiLine", True)
+    text = {c: F.coalesce(c, F.lit("")) for c in LABEL_HEADER if c != "label"}
+    return reader.csv(path).withColumns({**text, "label": F.col("label").try_cast("boolean")})
 
 
 def master_lines(df: DataFrame) -> DataFrame:

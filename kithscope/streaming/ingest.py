@@ -48,7 +48,7 @@ SEARCH_KEYS = ["keyword", "page", "platform"]
 
 @dataclass
 class Store:
-    """The seven tables: five that an ingest writes, labels and keyword statistics. Side tables are append-only, one folder per batch."""
+    """The seven tables: five that an ingest writes, labels and keyword statistics; beside the labels their log. Side tables are append-only, one folder per batch."""
 
     spark: SparkSession
     root: str
@@ -63,6 +63,7 @@ class Store:
         self.keywords = self._table("user_keywords", KEYWORD_DDL, ["twitter_id", "keyword"])
         self.queue = self._table("profiles_to_score", QUEUE_DDL, ["twitter_id"])
         self.labels = self._table("profile_scores", LABEL_DDL, ["twitter_id", "scored_by"])
+        self.label_log = self._table("profile_score_log", LABEL_DDL, ["twitter_id", "scored_by", "scored_at"])
         self.keyword_stats = self._table("keyword_stats", KEYWORD_STATS_DDL, ["keyword"])
         self.searches = self._table("api_search_usage", SEARCH_DDL, SEARCH_KEYS)
 

@@ -6,17 +6,30 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kithscope.operators.keywords import keyword_stats
-from kithscope.operators.merges import insert_absent, load_curated, upsert_keyword_stats, upsert_latest
+from kithscope.operators.merges import earliest, insert_absent, load_curated, upsert_keyword_stats, upsert_latest
+from kithscope.session import scratch_path
 from kithscope.streaming.ingest import Store
 
 LABEL_KEYS = ["twitter_id", "scored_by"]
 
 
 def save_labels(store: Store, fresh: DataFrame, tag: str | None = None, again: bool = False) -> int:
-    """Labels into ``profile_scores``: the first of an account and model stays, or the latest wins if ``again``."""
+    """Labels into ``profile_scores``: the first of an account and model stays, or the latest wins if ``again``.
+
+    Every label that takes effect goes to the append-only log first, so that the log of a run that broke off is complete when it is repeated.
+    """
+    path = scratch_path(store.spark, "labels")
+    fresh.select(*store.labels.columns()).write.parquet(path)
+    fresh = store.spark.read.schema(store.labels.schema).parquet(path)
+    first = lambda old, inc: insert_absent(old, inc, LABEL_KEYS, F.col("scored_at"))
+    logged = fresh
+    if not again:
+        known = store.labels.read_for(fresh).select(*LABEL_KEYS)
+        logged = earliest(fresh.join(known, LABEL_KEYS, "left_anti"), LABEL_KEYS, F.col("scored_at"))
+    store.label_log.merge(logged, lambda old, inc: insert_absent(old, inc, [*LABEL_KEYS, "scored_at"], F.col("scored_at")), tag)
     if again:
         return store.labels.merge(fresh, lambda old, inc: upsert_latest(old, inc, LABEL_KEYS, "scored_at"), tag)
-    return store.labels.merge(fresh, lambda old, inc: insert_absent(old, inc, LABEL_KEYS, F.col("scored_at")), tag)
+    return store.labels.merge(fresh, first, tag)
 
 
 def refresh_keyword_stats(store: Store, at: Column, tag: str | None = None) -> int:
@@ -25,7 +38,10 @@ def refresh_keyword_stats(store: Store, at: Column, tag: str | None = None) -> i
     fresh = keyword_stats(store.searches.read(), store.keywords.read(), scores, store.labels.read())
     columns = store.keyword_stats.columns()
     fresh = fresh.withColumns({"semantic_tags": F.array().cast("array<string>"), "updated_at": at}).select(*columns)
-    return store.keyword_stats.merge(fresh, upsert_keyword_stats, tag)
+    # A merge looks at its rows three times.
+    path = scratch_path(store.spark, "keyword-stats")
+    fresh.write.parquet(path)
+    return store.keyword_stats.merge(store.spark.read.schema(fresh.schema).parquet(path), upsert_keyword_stats, tag)
 
 
 def save_curated(store: Store, handles: DataFrame, curated: str, at: Column, tag: str | None = None) -> DataFrame:
