@@ -153,14 +153,15 @@ def centroid_table(spark, centres: list[list[float]]) -> DataFrame:
 
 
 def nearest_centroid(vectors: DataFrame, column: str, table: DataFrame) -> DataFrame:
-    """Every vector with the ``centre`` of the stored table that it is nearest to, the first of several, and the cosine to it.
+    """Every vector with the ``centre`` of the stored table that it is nearest to, the first of several, and the cosine to it; both are null for a vector
+    of zeros.
 
     The table has a few rows; they enter the plan as one scalar subquery.
     """
     whole = table.agg(F.array_sort(F.collect_list(F.struct("centre", "centroid"))).alias("t")).scalar()
     options = F.transform(F.col("_table"), lambda t: F.struct(cosine(F.col(column), t["centroid"]).alias("cos_sim"), (-t["centre"]).alias("minus")))
     best = vectors.withColumn("_table", whole).withColumn("_best", F.array_max(options))
-    return best.withColumns({"centre": -F.col("_best.minus"), "cos_sim": F.col("_best.cos_sim")}).drop("_table", "_best")
+    return best.withColumns({"centre": F.when(F.col("_best.cos_sim").isNotNull(), -F.col("_best.minus")), "cos_sim": F.col("_best.cos_sim")}).drop("_table", "_best")
 
 
 def priority_queue(scored: DataFrame, n: int) -> DataFrame:
