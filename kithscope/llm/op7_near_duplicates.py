@@ -41,7 +41,7 @@ LOWEST = -(1 << 63)
 FREQUENCY_BITS = 16
 VARIATES_BITS = 16
 LARGE = 32
-BLOCK = 1024
+BLOCK = 512
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 #: Largest weight over smallest. A pair of plain similarity 0.8 then has a weighted one of 0.76 at least.
 SPREAD = 1.25
@@ -247,7 +247,7 @@ def similar_in_blocks(live: DataFrame, sets: DataFrame, weights: np.ndarray, thr
         names, token, count = np.unique(np.concatenate(lists), return_inverse=True, return_counts=True)
         weight = shared.value[_bucket(names)].astype(np.float64)
         whole, sizes = np.bincount(owner, weights=weight[token], minlength=n), np.bincount(owner, minlength=n)
-        both, shared_tokens = np.zeros((n, n)), np.zeros((n, n))
+        both, shared_tokens = np.zeros((n, n)), np.zeros((n, n), dtype=np.float32)
         common = np.flatnonzero(count > 1)
         column = np.full(len(names), -1)
         for lo in range(0, len(common), 4096):
@@ -257,7 +257,9 @@ def similar_in_blocks(live: DataFrame, sets: DataFrame, weights: np.ndarray, thr
             here = column[token] >= 0
             x = np.zeros((n, len(part)))
             x[owner[here], column[token[here]]] = 1
-            shared_tokens += x @ x.T
+            # Counts are exact in single precision.
+            single = x.astype(np.float32)
+            shared_tokens += single @ single.T
             both += (x * weight[part]) @ x.T
         near = both >= (threshold - 1e-9) * (whole[:, None] + whole[None, :] - both)
         near |= shared_tokens >= (threshold - 1e-9) * (sizes[:, None] + sizes[None, :] - shared_tokens)
