@@ -174,6 +174,8 @@ def op13_embedding_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_embeddings(embeddings(spark, sf_dir), threshold=0.93).select("vec_id", "n_links", "component_id", "kept")
 
 
+USABLE = "len(embedding) > 0 and len(list_filter(embedding, lambda c: c is not null and isfinite(c))) = len(embedding)"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_packing": op2_packing,
@@ -220,5 +222,36 @@ select l.doc_id, count(*) as n_lines, count(*) filter (keeper is not null and ke
     sha256(coalesce(string_agg(line, chr(10) order by i) filter (keeper is null or keeper = l.doc_id), '')) as kept_sha256
 from keyed l left join repeated r on r.k = l.k
 group by l.doc_id
+""",
+    "op12_hard_negatives": f"""
+with usable as (
+    select distinct vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+        list_transform(embedding, lambda c: floor(256 * cast(c as double))) as x
+    from embeddings where vec_id is not null and label is not null and {USABLE}
+), scored as (
+    select a.vec_id as anchor_id, r.vec_id, r.label = a.label as same, cast(list_dot_product(a.x, r.x) as bigint) as score
+    from usable a join usable r on len(a.x) = len(r.x) where a.vec_id % 100 = 0
+), positives as (
+    select anchor_id, vec_id as positive_id, score as positive_score from scored where same and vec_id <> anchor_id
+    qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5
+)
+select anchor_id, positive_id, cast(row_number() over w as int) as rank, vec_id as negative_id, positive_score, score as negative_score
+from positives join scored using (anchor_id)
+where not same and 30 * positive_score <= 100 * score and 100 * score <= 90 * positive_score
+window w as (partition by anchor_id, positive_id order by score desc, vec_id)
+qualify row_number() over w <= 10
+""",
+    "op13_embedding_duplicates": f"""
+with recursive usable as (
+    select vec_id, label, list_transform(embedding, lambda c: cast(c as double)) as x
+    from embeddings where vec_id is not null and label is not null and {USABLE} and list_max(list_transform(embedding, lambda c: abs(c))) > 0
+), links as (
+    select a.vec_id as a, b.vec_id as b from usable a join usable b on a.label = b.label and a.vec_id <> b.vec_id and len(a.x) = len(b.x)
+    where list_cosine_similarity(a.x, b.x) >= 0.93
+), reached(a, b) as (
+    select vec_id, vec_id from embeddings union select r.a, l.b from reached r join links l on l.a = r.b
+), components as (select a, min(b) as component_id from reached group by a)
+select vec_id, (select count(*) from links l where l.a = vec_id) as n_links, component_id, vec_id = component_id as kept
+from embeddings join components on a = vec_id
 """,
 }
