@@ -1,6 +1,7 @@
 """Merges, snapshots and streams: repeats and order of arrival must not matter."""
 
 import json
+import os
 import random
 
 import pytest
@@ -118,6 +119,8 @@ def test_follow_firsts_over_several_batches_and_again(spark, tmp_path):
     for part in range(3):
         lines = [json.dumps({"twitter_id": str(i % 7 + part), "keyword": f"k{part}", "seen_at": f"2024-01-0{part + 1}T00:00:0{i % 10}Z", "seq": i}) for i in range(9)]
         (tmp_path / "in" / f"{part}.json").write_text("\n".join(lines))
+        # Files are delivered in order of their time, and those written within a tick in any order: here the order is meant.
+        os.utime(tmp_path / "in" / f"{part}.json", (1_700_000_000 + part, 1_700_000_000 + part))
     stream = spark.readStream.schema(windows.HIT).option("maxFilesPerTrigger", 1).json(str(tmp_path / "in"))
     query = windows.follow_firsts(stream, str(tmp_path / "out"), str(tmp_path / "cp")).trigger(availableNow=True).start()
     query.awaitTermination()
