@@ -106,7 +106,8 @@ SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, no
 
 @pytest.mark.parametrize("empty", [True, False])
 def test_the_stages_take_nothing_nulls_and_extra_columns(spark, empty):
-    texts = [] if empty else [(1, prose(1, 90) + "."), (1, prose(1, 90) + "."), (None, prose(2, 90) + "."), (3, None), (4, ""), (5, prose(5, 9000) + ".")]
+    given = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SMALL}/documents.parquet").orderBy("doc_id").limit(80).collect()]
+    texts = [] if empty else [*given, *given[:3], (None, given[20][1] + " x"), (300, None), (400, ""), (500, prose(5, 9000) + ".")]
     rows = [(i, t, "en", None, None, 1, "x", "r") for i, t in texts]
     docs = spark.createDataFrame(rows, SCHEMA)
     for name, stage in corpus_pipeline.STAGES[:-1]:
