@@ -11,9 +11,13 @@ links to those of plain shingle counts and take none away. Classes are the compo
 Copies of one word sequence are one node throughout. Documents that share a long passage fall into one bucket without being
 similar; a bucket of more than ``LARGE`` nodes is therefore split by prefix: with shingles in one order, rarest first, two documents can
 only reach the threshold if they share one of the first shingles, up to where the rest weighs less than ``threshold`` of the
-whole. That loses no pair. A bucket is never expanded into all pairs either: in the first round its smallest node, the hub, meets
+whole. That loses no pair. What comes from a shared shingle on also bounds how large a partner can be, its reach: of two similar documents
+the smaller one reaches its own size where they first meet (it is at home there), and each reaches the other. Members that reach
+no home of their bucket, or only homes of their own class, leave it. A bucket is never expanded into all pairs either: in the first round one
+of its homes, the one of the commonest shingles and so the nearest to the middle of a group, is the hub that meets
 all members and leaves. Buckets that are still large and hold several classes are then compared in blocks, which give back
-at most one link per node; members of one large class lie in blocks of their own, which do not meet each other; in small ones hubs go on, 4, 16, ... per bucket and round, until all members are of one class or have been hubs.
+at most one link per node; members of one large class lie in blocks of their own, which do not meet each other, and blocks without
+homes do not either; in small ones hubs go on, 4, 16, ... per bucket and round, until all homes are of one class with all they reach or have been hubs.
 A pair of one bucket is thus compared, or excluded by its prefixes, or already in one class when the rounds end: no link between
 classes is lost and nothing is capped.
 
@@ -30,7 +34,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kithscope.llm.arrays import BLANK, HASH, LOWER, Texts, Words, find_words, mix, signed, slices, windows
@@ -45,6 +49,7 @@ BLOCK = 512
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 #: Largest weight over smallest. A pair of plain similarity 0.8 then has a weighted one of 0.76 at least.
 SPREAD = 1.25
+MEMBER = "bucket long, node long, common long, size double, weight double, reach double, weight_reach double"
 
 
 def shingles(texts: Texts, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -232,10 +237,10 @@ def verified(pairs: DataFrame, sets: DataFrame, weights: np.ndarray, threshold:
 
 
 def similar_in_blocks(live: DataFrame, sets: DataFrame, weights: np.ndarray, threshold: float) -> DataFrame:
-    """Links (a, b) that join up all similar nodes of each bucket of ``live`` (bucket, node, label), whatever its size.
+    """Links (a, b) that join up all similar nodes of each bucket of ``live`` (bucket, node, label, home), whatever its size.
 
     A bucket's nodes are dealt into blocks of about ``BLOCK``, those of a class of that size or more into blocks of their own; each two
-    blocks, but for two of one class, meet in one small group, which compares all its nodes at once (a product of matrices) and
+    blocks, but for two of one class or without homes, meet in one small group, which compares all its nodes at once (a product of matrices) and
     gives back no more links than it has nodes.
     """
     shared = live.sparkSession.sparkContext.broadcast(weights)
@@ -274,14 +279,15 @@ def similar_in_blocks(live: DataFrame, sets: DataFrame, weights: np.ndarray, thr
 
     sized = live.withColumn("of_label", F.count("*").over(Window.partitionBy("bucket", "label")))
     pure = F.when(F.col("of_label") >= BLOCK, F.col("label"))
-    sized = sized.withColumn("pure", pure).withColumn("of_block", F.count("*").over(Window.partitionBy("bucket", "pure")))
+    sized = sized.withColumn("pure", pure).withColumn("of_block", F.count("*").over(Window.partitionBy("bucket", "pure", "home")))
     slot = F.pmod(F.xxhash64("node"), F.ceil(F.col("of_block") / BLOCK))
-    placed = sized.select("bucket", "node", F.struct(F.coalesce("pure", F.lit(LOWEST)).alias("class"), slot.alias("slot")).alias("block"))
-    # One entry for about BLOCK nodes. A block of one class needs no other block of that class.
+    placed = sized.select("bucket", "node", F.struct(F.coalesce("pure", F.lit(LOWEST)).alias("class"), "home", slot.alias("slot")).alias("block"))
+    # One entry for about BLOCK nodes. A block of one class needs no other block of that class, one without homes needs one with.
     blocks = placed.groupBy("bucket").agg(F.collect_set("block").alias("blocks"))
-    apart = lambda b: (b["class"] != F.col("block")["class"]) | ((b["class"] == LOWEST) & (b != F.col("block")))
+    me = F.col("block")
+    apart = lambda b: ((b["class"] != me["class"]) | ((b["class"] == LOWEST) & (b != me))) & (b["home"] | me["home"])
     dealt = placed.join(blocks, "bucket").withColumn("others", F.filter("blocks", apart))
-    alone = F.when((F.size("others") == 0) & (F.col("block")["class"] == LOWEST), F.array("block")).otherwise(F.col("others"))
+    alone = F.when((F.size("others") == 0) & (me["class"] == LOWEST) & me["home"], F.array("block")).otherwise(F.col("others"))
     dealt = dealt.select("bucket", "node", "block", F.explode(alone).alias("other"))
     dealt = dealt.select("bucket", "node", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
     # Two blocks that meet are compared within themselves too.
@@ -289,21 +295,50 @@ def similar_in_blocks(live: DataFrame, sets: DataFrame, weights: np.ndarray, thr
 
 
 def prefixes(sets: DataFrame, table: np.ndarray, weights: np.ndarray, threshold: float) -> DataFrame:
-    """(bucket, node): the first tokens of each set, rarest first, without which it cannot be similar to another, weighted or plain."""
+    """``MEMBER`` rows: the first tokens of each set, rarest first, without which it cannot be similar to another, weighted or plain.
+
+    ``size`` is the set's, ``reach`` the largest that a similar set can have if this token is the first they share:
+    they share at most what follows, and have to share threshold / (1 + threshold) of both sizes together.
+    """
     shared = sets.sparkSession.sparkContext.broadcast((table, weights))
+    times = (1 + threshold) / threshold
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequency, weights = shared.value
         for batch in batches:
             for node, packed in zip(batch.column("node"), batch.column("tokens"), strict=True):
                 token = np.frombuffer(packed.as_buffer(), dtype=np.uint64)
-                order = np.lexsort((token, frequency[_bucket(token)]))
+                seen = frequency[_bucket(token)]
+                order = np.lexsort((token, seen))
                 weight = weights[_bucket(token[order])].astype(np.float64)
-                rest, left = np.cumsum(weight[::-1])[::-1], np.arange(len(token), 0, -1)  # from this token on
-                keep = token[order][(rest >= (threshold - 1e-6) * rest[0]) | (left >= (threshold - 1e-6) * left[0])]
-                yield pa.RecordBatch.from_arrays([signed(keep), pa.array(np.full(len(keep), node.as_py()))], names=["bucket", "node"])
+                rest, left = np.cumsum(weight[::-1])[::-1], np.arange(len(token), 0, -1).astype(np.float64)  # from this token on
+                first = (rest >= (threshold - 1e-6) * rest[0]) | (left >= (threshold - 1e-6) * left[0])
+                keep, n = token[order][first], int(first.sum())
+                same = [pa.array(np.full(n, x)) for x in (node.as_py(), int(seen.mean()), left[0], rest[0])]
+                reach, weight_reach = ((x[first] * times - x[0]) * (1 + 1e-6) + 1e-6 * x[0] for x in (left, rest))
+                yield pa.RecordBatch.from_arrays([signed(keep), *same, pa.array(reach), pa.array(weight_reach)], names=["bucket", "node", "common", "size", "weight", "reach", "weight_reach"])
+
+    return sets.select("node", "tokens").mapInArrow(run, MEMBER)
+
+
+def at_home() -> Column:
+    return (F.col("reach") >= F.col("size")) | (F.col("weight_reach") >= F.col("weight"))
+
 
-    return sets.select("node", "tokens").mapInArrow(run, "bucket long, node long")
+def in_question(live: DataFrame, threshold: float) -> DataFrame:
+    """The rows of ``live`` (``MEMBER`` and label) that reach a home of their bucket and may find one of another class there."""
+    home = at_home()
+    sides = (("size", "reach"), ("weight", "weight_reach"))
+    ends = [f(F.when(F.col(reach) >= F.col(size), F.col(size))).alias(f"{name}_{size}") for size, reach in sides for name, f in (("lo", F.min), ("hi", F.max))]
+    of_home = [f(F.when(home, F.col("label"))).alias(f"{name}_home") for name, f in (("lo", F.min), ("hi", F.max))]
+    of_all = [F.min("label").alias("lo"), F.max("label").alias("hi")]
+    of_bucket = live.groupBy("bucket").agg(*ends, *of_home, *of_all).filter("lo < hi and lo_home is not null")
+    reached = F.lit(False)
+    for size, reach in sides:
+        fits = (F.col(reach) >= F.col(f"lo_{size}")) & (F.col(size) * (threshold - 1e-6) <= F.col(f"hi_{size}"))
+        reached = reached | F.coalesce(fits, F.lit(False))
+    others = (F.col("label") != F.col("lo_home")) | (F.col("label") != F.col("hi_home")) | home
+    return live.join(of_bucket, "bucket").filter(reached & others).select(live.columns)
 
 
 def near_duplicates(
@@ -338,14 +373,16 @@ def near_duplicates(
     sets = stored(token_sets(texts, shingle_words).dropDuplicates(["node"]), "token-sets")
     split = prefixes(sets.filter("large"), table, weights, threshold)
     shared = split.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
-    members = stored(members.filter("not large").select("bucket", "node").unionByName(split.join(shared, "bucket").select("bucket", "node")), "members")
+    # Whoever is in a small bucket is at home there and reaches all.
+    small = members.filter("not large").selectExpr("bucket", "node", "0L common", "0D size", "0D weight", "1D reach", "1D weight_reach")
+    members = stored(small.unionByName(split.join(shared, "bucket")), "members")
     labels = stored(members.select("node").distinct().withColumn("label", F.col("node")), "labels")
 
     def unsettled(members: DataFrame, labels: DataFrame) -> DataFrame:
-        """(bucket, node, label, n): members of the buckets that hold more than one class, n of them."""
-        live = members.join(labels, "node")
-        mixed = live.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n")).filter("lo < hi")
-        return stored(live.join(mixed.select("bucket", "n"), "bucket").select("bucket", "node", "label", "n"), "live")
+        """Members of the buckets that may still link two classes, with their label and the number n of such members."""
+        live = in_question(in_question(members.join(labels, "node"), threshold), threshold)
+        sizes = live.groupBy("bucket").agg(F.count("*").alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi")
+        return stored(live.join(sizes.select("bucket", "n"), "bucket"), "live")
 
     def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
         ends = [labels.select(F.col("node").alias(x), F.col("label").alias(f"label_{x}")) for x in ("a", "b")]
@@ -355,16 +392,20 @@ def near_duplicates(
     hubs_per_bucket, step = 1, 0
     while not (live := unsettled(members, labels)).isEmpty():
         if step == 1:  # what the first hubs have not settled in large buckets is compared in blocks
-            links = similar_in_blocks(live.filter(F.col("n") > LARGE), sets, weights, threshold)
+            links = similar_in_blocks(live.filter(F.col("n") > LARGE).withColumn("home", at_home()), sets, weights, threshold)
             labels = merged(labels, stored(links, "links"))
             live = live.filter(F.col("n") <= LARGE).drop("label").join(labels, "node")
         slot = F.pmod(F.xxhash64("node", F.lit(hubs_per_bucket)), F.lit(hubs_per_bucket))
-        hubs = live.groupBy("bucket", slot.alias("slot")).agg(F.min(F.struct("node", "label")).alias("hub")).select("bucket", "hub.*")
+        measures = ["size", "weight", "reach", "weight_reach"]
+        most_common = F.min(F.struct((-F.col("common")).alias("order"), "node", "label", *measures))
+        hubs = live.filter(at_home()).groupBy("bucket", slot.alias("slot")).agg(most_common.alias("hub")).select("bucket", "hub.*")
         hubs = stored(hubs, "hubs")
-        meeting = live.join(hubs.select("bucket", F.col("node").alias("hub"), F.col("label").alias("hub_label")), "bucket").filter("label <> hub_label")
+        met = hubs.select("bucket", F.col("node").alias("hub"), F.col("label").alias("hub_label"), *(F.col(c).alias(f"hub_{c}") for c in measures))
+        in_reach = "(reach >= hub_size and hub_reach >= size) or (weight_reach >= hub_weight and hub_weight_reach >= weight)"
+        meeting = live.join(met, "bucket").filter("label <> hub_label").filter(in_reach)
         pairs = meeting.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
         labels = merged(labels, stored(verified(stored(pairs, "pairs"), sets, weights, threshold), "links"))
-        members = live.select("bucket", "node").join(hubs.select("bucket", "node"), ["bucket", "node"], "left_anti")
+        members = live.select(members.columns).join(hubs.select("bucket", "node"), ["bucket", "node"], "left_anti")
         hubs_per_bucket, step = 4 * hubs_per_bucket, step + 1
 
     placed = nodes.select("node", "id_key", "text_key").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
