@@ -391,8 +391,9 @@ def test_a_hot_group_of_copies_and_edits_links_as_by_plain_shingles(spark):
     assert once[1] == many[1] == len(seen) and (once[0] == many[0]).all()
 
 
-def test_a_large_group_around_the_threshold_links_as_by_all_pairs(spark, monkeypatch):
-    """Near copies whose similarities to each other lie on both sides of 0.8, in several blocks."""
+@pytest.mark.parametrize("cut", [0, 12])
+def test_a_large_group_around_the_threshold_links_as_by_all_pairs(spark, monkeypatch, cut):
+    """Near copies whose similarities to each other lie on both sides of 0.8, in several blocks, of one length or of many."""
     monkeypatch.setattr(op7_near_duplicates, "BLOCK", 60)
     rng = random.Random(9)
     base = prose(40, 60).split(" ")
@@ -401,7 +402,7 @@ def test_a_large_group_around_the_threshold_links_as_by_all_pairs(spark, monkeyp
         words = list(base)
         for k in range(rng.randint(1, 2)):
             words[rng.randrange(60)] = f"edit{i}x{k}"
-        texts.append(" ".join(words))
+        texts.append(" ".join(words[: 60 - rng.randint(0, cut)]))
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(8)
     weights = shingle_weights(*document_frequencies(docs.select("text"), 5))
     sets = []
