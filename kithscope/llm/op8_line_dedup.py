@@ -1,10 +1,10 @@
 """Line dedup by a sharded minimal perfect hash.
 
 Spark counts in how many documents each distinct line occurs (map-side combined, so a line of a third of all documents
-is no hot group). The lines of at least ``min_docs`` documents are cut into shards by hash; one task per shard builds a
+is no hot group). All distinct lines are cut into shards of about ``SHARD_LINES`` by hash; one task per shard builds a
 minimal perfect hash with arrays of fingerprints, counts and keepers. Documents then probe the arrays: a
-line's hash is sent to its shard, where it streams past the arrays, and only the places of lines to drop come back. A shard whose lines
-occur very often is replicated and its probes are dealt over the replicas.
+line's hash is sent to its shard, where it streams past the arrays; the count found there decides, and only the places of lines to drop
+come back. A shard whose lines occur very often is replicated and its probes are dealt over the replicas.
 
 Cases: a null or empty text is one empty line; lines that repeat within one document count once; a document is a row, so
 repeated rows count each and all rows with the largest doc_id keep the line; a null doc_id is the smallest;
@@ -27,7 +27,6 @@ from kithscope.llm.frames import carried, stored, with_text
 LOWEST = -(1 << 63)
 SHARD_LINES = 50_000
 REPLICA_PROBES = 500_000
-MOST_SHARDS = 1 << 16
 
 
 def line_hashes(texts: Texts, min_chars: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -116,7 +115,7 @@ def _shard(n: int) -> Column:
 ARRAYS = "shard int, probes long, sizes binary, bits binary, fingerprints binary, counts binary, keepers binary"
 
 
-def build_arrays(repeated: DataFrame, shards: int) -> DataFrame:
+def build_arrays(counted: DataFrame, shards: int) -> DataFrame:
     """One row of arrays per shard of (h1, h2, n_docs, keeper). A shard is bounded: ``shards`` follows the number of lines."""
 
     def build(group: pd.DataFrame) -> pd.DataFrame:
@@ -127,27 +126,30 @@ def build_arrays(repeated: DataFrame, shards: int) -> DataFrame:
         arrays = [table.sizes, np.packbits(table.bits), *(group[c].to_numpy()[order] for c in ("h2", "n_docs", "keeper"))]
         return pd.DataFrame([[group["shard"].iloc[0], group["n_docs"].sum(), *(a.tobytes() for a in arrays)]], columns=[c.split()[0] for c in ARRAYS.split(", ")])
 
-    return repeated.withColumn("shard", _shard(shards)).groupBy("shard").applyInPandas(build, ARRAYS)
+    return counted.withColumn("shard", _shard(shards)).groupBy("shard").applyInPandas(build, ARRAYS)
 
 
-def probe(probes: DataFrame, arrays: DataFrame, shards: int) -> DataFrame:
-    """(id_key, text_key, line) of the lines to drop. Rows of a shard stream past its arrays, which come first."""
-    replicas = {r["shard"]: 1 + int(r["probes"]) // REPLICA_PROBES for r in arrays.select("shard", "probes").collect()}
+def probe(probes: DataFrame, arrays: DataFrame, shards: int, min_docs: int) -> DataFrame:
+    """(id_key, text_key, line) of the lines to drop: those counted in ``min_docs`` documents or more, but for the keeper's.
+
+    Rows of a shard stream past its arrays, which come first.
+    """
     spread = F.lit(1)
-    hot = {s: n for s, n in replicas.items() if n > 1}
+    # No more entries than one in REPLICA_PROBES probes.
+    hot = {r["shard"]: 1 + int(r["probes"]) // REPLICA_PROBES for r in arrays.select("shard", "probes").filter(F.col("probes") >= REPLICA_PROBES).collect()}
     if hot:
         spread = F.coalesce(F.element_at(F.create_map(*(F.lit(x) for item in hot.items() for x in item)), F.col("shard")), F.lit(1))
-    blobs = ["sizes", "bits", "fingerprints", "keepers"]
+    blobs = ["sizes", "bits", "fingerprints", "counts", "keepers"]
     places = ["h1", "h2", "id_key", "text_key", "line"]
     left = arrays.withColumn("replica", F.explode(F.sequence(F.lit(0), spread - 1))).select(
         "shard", "replica", F.lit(0).alias("kind"), *blobs, *(F.lit(None).cast("int" if c == "line" else "long").alias(c) for c in places)
     )
     right = probes.withColumn("shard", _shard(shards)).select(
-        "shard", F.pmod(F.xxhash64("id_key", "text_key"), spread).cast("int").alias("replica"), F.lit(1).alias("kind"), *(F.lit(None).cast("binary").alias(c) for c in blobs), *places
+        "shard", F.pmod(F.xxhash64("id_key", "text_key", "line"), spread).cast("int").alias("replica"), F.lit(1).alias("kind"), *(F.lit(None).cast("binary").alias(c) for c in blobs), *places
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, table, fingerprints, keepers = -1, None, None, None
+        shard, table, fingerprints, counts, keepers = -1, None, None, None, None
         for batch in batches:
             shards_, kinds = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("shard", "kind"))
             cuts = np.flatnonzero((shards_[1:] != shards_[:-1]) | (kinds[1:] == 0) | (kinds[:-1] == 0)) + 1
@@ -155,16 +157,16 @@ def probe(probes: DataFrame, arrays: DataFrame, shards: int) -> DataFrame:
                 if lo == hi:
                     continue
                 if kinds[lo] == 0:
-                    sizes, bits, second, keep = (batch.column(c)[int(lo)].as_py() for c in blobs)
+                    sizes, bits, second, docs, keep = (batch.column(c)[int(lo)].as_py() for c in blobs)
                     sizes = np.frombuffer(sizes, dtype=np.int64)
                     table = PerfectHash(sizes, np.unpackbits(np.frombuffer(bits, dtype=np.uint8), count=int(sizes.sum())).astype(bool))
-                    fingerprints, keepers = np.frombuffer(second, dtype=np.int64), np.frombuffer(keep, dtype=np.int64)
+                    fingerprints, counts, keepers = (np.frombuffer(x, dtype=np.int64) for x in (second, docs, keep))
                     shard = shards_[lo]
                 elif shards_[lo] == shard:
                     part = batch.slice(lo, hi - lo)
                     h1, h2, ids = (part.column(c).to_numpy() for c in ("h1", "h2", "id_key"))
                     at = table.find(h1.view(np.uint64) ^ mix(h2.view(np.uint64)))
-                    drop = (at >= 0) & (fingerprints[at] == h2) & (keepers[at] != ids)
+                    drop = (at >= 0) & (fingerprints[at] == h2) & (counts[at] >= min_docs) & (keepers[at] != ids)
                     yield pa.RecordBatch.from_arrays([part.column(c).filter(pa.array(drop)) for c in places[2:]], names=places[2:])
 
     dealt = left.unionByName(right).repartition("shard", "replica").sortWithinPartitions("shard", "replica", "kind")
@@ -191,10 +193,10 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """(row, doc_id, text, n_lines, n_dropped, kept) per document; ``kept`` is the text of the lines that stay."""
     keyed = _keyed(docs, id_col, text_col, carry)
     counted = _hashed(keyed, min_chars, once=True).groupBy("h1", "h2").agg(F.count("*").alias("n_docs"), F.max("id_key").alias("keeper"))
-    repeated = stored(counted.filter(F.col("n_docs") >= min_docs), "lines")
-    shards = min(MOST_SHARDS, 1 + repeated.count() // SHARD_LINES)
-    arrays = stored(build_arrays(repeated, shards), "line-arrays")
-    masks = _masks(probe(_hashed(keyed, min_chars, once=False), arrays, shards))
+    counted = stored(counted, "lines")
+    shards = 1 + counted.count() // SHARD_LINES
+    arrays = stored(build_arrays(counted, shards), "line-arrays")
+    masks = _masks(probe(_hashed(keyed, min_chars, once=False), arrays, shards, min_docs))
     joined = keyed.join(masks, ["id_key", "text_key"], "left")
     text = F.coalesce("text", F.lit(""))
     lines = F.split(text, "\n", -1)
