@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kithscope.llm import op3_disclosure as disclosure
-from kithscope.llm import op7_near_duplicates
+from kithscope.llm import op7_near_duplicates, op8_line_dedup
 from kithscope.llm.arrays import BLANK, HASH, find_lines, find_words, slices
 from kithscope.llm.components import merge_labels
 from kithscope.llm.op1_sharding import shard_documents, shard_rows
@@ -451,7 +451,7 @@ def test_perfect_hash_is_minimal_and_perfect():
     assert PerfectHash.build(keys[:0]).find(keys[:3]).tolist() == [-1, -1, -1]
 
 
-def test_repeated_lines_stay_once(spark):
+def test_repeated_lines_stay_once(spark, monkeypatch):
     rows = sample()
     held = collections.defaultdict(list)
     blank = " \t\n\x0b\x0c\r"
@@ -471,6 +471,11 @@ def test_repeated_lines_stay_once(spark):
     cut = drop_repeated_lines(docs)
     assert cut.columns == docs.columns and cut.filter("text is null").count() == 1
     assert dedup_lines(frame(spark, [])).count() == 0
+    # Many shards, some of them replicated.
+    monkeypatch.setattr(op8_line_dedup, "SHARD_LINES", 5)
+    monkeypatch.setattr(op8_line_dedup, "REPLICA_PROBES", 4)
+    got = dedup_lines(docs).select("doc_id", "n_lines", "n_dropped", "kept").collect()
+    assert by_row(got) == collections.Counter(map(expected, rows))
 
 
 def test_votes_find_the_rule_that_is_wrong():
