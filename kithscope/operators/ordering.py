@@ -31,10 +31,18 @@ def global_row_number(df: DataFrame, order: list[Column], within: list[str] | No
     placed = placed.withColumns(
         {"_part": F.shiftright("_id", LOCAL_INDEX_BITS), "_pos": F.col("_id").bitwiseAND(F.lit((1 << LOCAL_INDEX_BITS) - 1))}
     )
-    blocks = placed.groupBy(*within, "_part").agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_start"))
-    earlier = Window.partitionBy(*within).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    return number_in_blocks(placed, within, ["_part"], "_pos", name).select(*df.columns, name)
+
+
+def number_in_blocks(df: DataFrame, within: list[str], block: list[str], pos: str, name: str) -> DataFrame:
+    """1-based row number inside each ``within`` group of rows that stand in ordered blocks, with places ``pos`` without gaps inside a block.
+
+    ``df`` must give a row the same place whenever it is read.
+    """
+    blocks = df.groupBy(*within, *block).agg(F.count(F.lit(1)).alias("_n"), F.min(pos).alias("_start"))
+    earlier = Window.partitionBy(*within).orderBy(*block).rowsBetween(Window.unboundedPreceding, -1)
     offsets = blocks.select(
-        *within, "_part", "_start", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")
+        *within, *block, "_start", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")
     )
     # Written once: they are counted and joined.
     path = scratch_path(df.sparkSession, "offsets")
@@ -42,9 +50,9 @@ def global_row_number(df: DataFrame, order: list[Column], within: list[str] | No
     offsets = df.sparkSession.read.schema(offsets.schema).parquet(path)
     if offsets.count() <= BROADCAST_ROWS:
         offsets = F.broadcast(offsets)
-    numbered = placed.join(offsets, [*within, "_part"])
-    rank = F.col("_before") + F.col("_pos") - F.col("_start") + 1
-    return numbered.withColumn(name, rank.cast("bigint")).select(*df.columns, name)
+    numbered = df.join(offsets, [*within, *block])
+    rank = F.col("_before") + F.col(pos) - F.col("_start") + 1
+    return numbered.withColumn(name, rank.cast("bigint"))
 
 
 FEW = 10_000

@@ -417,9 +417,13 @@ SET_ROWS = f"""select keyword, handle, coalesce(followers, 0) as followers, '  '
 )
 def _(w):
     """The sets of all keywords, most followers first, read back in the order in which lines stand in the files."""
-    rows = lookups.with_followers(w.user_profiles.filter("bio <> ''"), w.user_stats).join(w.user_keywords.select("twitter_id", "keyword"), "twitter_id")
+    # An account has each keyword once, so what is collected for one is bounded by the number of sets.
+    found = w.user_keywords.groupBy("twitter_id").agg(F.collect_list(F.struct("keyword")).alias("hits"))
+    rows = lookups.with_followers(w.user_profiles.filter("bio <> ''"), w.user_stats).join(found, "twitter_id")
+    lines = w.once(batch_files.shared_set_lines(rows, F.col("hits.keyword")), "set-lines")
     path = scratch_path(w.spark, "sets")
-    batch_files.write_profile_sets(batch_files.profile_set_lines(rows, F.col("keyword")), path)
+    # These sets are only read back, and each holds the whole text of its accounts.
+    batch_files.write_profile_sets(lines, path, compression="gzip")
     return batch_files.read_profile_sets(w.spark, path).select("keyword", "place", F.md5("value").alias("line"))
 
 

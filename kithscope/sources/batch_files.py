@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kithscope.functions.text import table_cell, trim_all
-from kithscope.operators.ordering import global_row_number
+from kithscope.operators.ordering import number_in_blocks
 from kithscope.schemas import LABEL_ITEMS_DDL
 
 COLUMNS = ["handle", "name", "bio", "category", "followers"]
@@ -176,36 +176,55 @@ def read_batch_lines(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+LINES_PER_TASK = 50_000
+
+
 def profile_set_lines(df: DataFrame, keyword: Column) -> DataFrame:
-    """Lines of an unlimited profile set, most followers first, to be written per keyword.
+    """Lines of an unlimited profile set, most followers first, to be written per keyword: one keyword per row of ``df``."""
+    return shared_set_lines(df, F.array(keyword))
+
+
+def shared_set_lines(df: DataFrame, keywords: Column) -> DataFrame:
+    """The same for rows that each stand in the sets of all their ``keywords``: the text of a row is kept once.
 
     The set is not collected: the writer range-sorts the lines and the header is its own small row.
     """
     body = df.select(
-        keyword.alias("keyword"), F.lit(1).alias("part"), F.col("followers").alias("followers"),
+        keywords.alias("keywords"), F.lit(1).alias("part"), F.col("followers").alias("followers"),
         F.col("handle"), profile_line().alias("value"),
     )
-    heads = df.groupBy(keyword.alias("keyword")).agg(F.count(F.lit(1)).alias("n")).select(
-        "keyword", F.lit(0).alias("part"), F.lit(None).cast("bigint").alias("followers"),
+    heads = df.select(F.explode(keywords).alias("keyword")).groupBy("keyword").agg(F.count(F.lit(1)).alias("n")).select(
+        F.array("keyword").alias("keywords"), F.lit(0).alias("part"), F.lit(None).cast("bigint").alias("followers"),
         F.lit(None).cast("string").alias("handle"), header_line(F.col("n")).alias("value"),
     )
     return heads.unionByName(body)
 
 
-def write_profile_sets(lines: DataFrame, path: str) -> None:
-    order = [F.col("keyword"), F.col("part"), F.col("followers").desc(), F.col("handle")]
-    sorted_lines = lines.repartitionByRange(*order).sortWithinPartitions(*order)
-    sorted_lines.select("keyword", "value").write.mode("errorifexists").partitionBy("keyword").text(path)
+def write_profile_sets(lines: DataFrame, path: str, compression: str = "none", lines_per_task: int = LINES_PER_TASK) -> None:
+    """One folder per keyword. Rows are dealt by their order, whatever their keywords, and copied to the sets only in the task that writes them.
+
+    There are as many tasks as the copies ask for, so that those of one task can be sorted in memory.
+    """
+    order = [F.col("part"), F.col("followers").desc(), F.col("handle")]
+    copies = lines.agg(F.sum(F.size("keywords"))).first()[0] or 0
+    dealt = lines.repartitionByRange(max(1, -(-copies // lines_per_task)), *order)
+    spread = dealt.select(F.explode("keywords").alias("keyword"), *order[:1], "followers", "handle", "value")
+    sorted_lines = spread.sortWithinPartitions("keyword", *order)
+    writer = sorted_lines.select("keyword", "value").write.mode("errorifexists")
+    # The level counts for gzip alone.
+    writer = writer.option("compression", compression).option("zlib.compress.level", "BEST_SPEED")
+    writer.partitionBy("keyword").text(path)
 
 
 def read_profile_sets(spark: SparkSession, path: str) -> DataFrame:
     """(keyword, place, value): the lines of all sets in the order in which they stand, place 0 the header.
 
-    The order is that of part files and of lines in them; numbers come from :func:`global_row_number`, so a large set is numbered by many tasks.
+    The order is that of part files, of their blocks and of lines in them. A block is read by one task, so a line is numbered from the
+    first of its block, and the text neither moves nor is written again.
     """
-    lines = spark.read.text(path).select(
+    lines = spark.read.text(path).filter("keyword is not null").select(
         "keyword", "value", F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1).cast("int").alias("part"),
         F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"),
     )
-    numbered = global_row_number(lines, [F.col(c) for c in ("part", "block", "line")], ["keyword"], "n")
+    numbered = number_in_blocks(lines, ["keyword"], ["part", "block"], "line", "n")
     return numbered.select("keyword", (F.col("n") - 1).alias("place"), "value")

@@ -75,6 +75,30 @@ def test_sets_are_read_back_in_written_order(spark, tmp_path):
     assert len(got) == 3
 
 
+@pytest.mark.parametrize("compression", ["none", "gzip"])
+def test_sets_share_their_rows_and_are_numbered_where_they_stand(spark, tmp_path, compression):
+    schema = "keywords array<string>, handle string, name string, bio string, category string, followers bigint"
+    rows = [([f"k{i % 2}", "all"], f"h{i:04d}", "N", "b" * (i % 90), None, (i * 37) % 50) for i in range(600)]
+    lines = batch_files.shared_set_lines(spark.createDataFrame(rows, schema).repartition(5), F.col("keywords"))
+    path = str(tmp_path / "sets")
+    batch_files.write_profile_sets(lines, path, compression, lines_per_task=200)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    try:
+        read = batch_files.read_profile_sets(spark, path)
+        plan = read._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange hash" not in plan and "Exchange range" not in plan and "ExistingRDD" not in plan
+        got = {}
+        for r in read.collect():
+            got.setdefault(r.keyword, {})[r.place] = r.value
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    for keyword, placed in got.items():
+        own = sorted((-r[5], r[1], r[3]) for r in rows if keyword in r[0])
+        want = [f"[{len(own)}]{{handle,name,bio,category,followers}}:", *(f"  {h},N,{b},null,{-f}" for f, h, b in own)]
+        assert [placed[k] for k in range(len(placed))] == want
+    assert sorted(got) == ["all", "k0", "k1"]
+
+
 @pytest.mark.parametrize("name", ["haiku-07.json", "haiku.07.json", "batch=7/part-0.json"])
 def test_label_files_by_either_name(spark, tmp_path, name):
     (tmp_path / name).parent.mkdir(exist_ok=True)
