@@ -389,6 +389,8 @@ def label_log(w: Workspace) -> DataFrame:
         "twitter_id", F.col("scored_by").cast("string").alias("scored_by"), "r.label", F.lit("line").alias("reason"),
         F.col("at").cast("timestamp").alias("scored_at"), "r.audience",
     )
+    # Every run below takes its labels from here.
+    rows = w.once(rows, "label-history")
     store = ingest.Store(w.spark, scratch_path(w.spark, "store"), buckets=8)
     for version in ("v0", "v1", "v1"):
         jobs.save_labels(store, rows.filter(F.col("audience") == version), f"run-{version}", again=True)
@@ -431,7 +433,8 @@ def _(w):
         "o_orderkey", F.col("o_custkey").cast("string").alias("twitter_id"), (F.col("o_orderkey") % 3).cast("string").alias("scored_by"),
         F.col("o_orderdate").cast("timestamp").alias("asked_at"),
     )
-    return history.as_of(requests, label_log(w), history.LABEL_KEYS, "asked_at", "scored_at").select("o_orderkey", "label", "audience")
+    log = label_log(w).select(*history.LABEL_KEYS, "scored_at", "label", "audience")
+    return history.as_of(requests, log, history.LABEL_KEYS, "asked_at", "scored_at").select("o_orderkey", "label", "audience")
 
 
 @catalog.query(

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kithscope.operators.keywords import keyword_stats
-from kithscope.operators.merges import earliest, insert_absent, load_curated, upsert_keyword_stats, upsert_latest
+from kithscope.operators.merges import load_curated, upsert_keyword_stats
 from kithscope.session import scratch_path
 from kithscope.streaming.ingest import Store
 
@@ -18,18 +18,25 @@ def save_labels(store: Store, fresh: DataFrame, tag: str | None = None, again: b
 
     Every label that takes effect goes to the append-only log first, so that the log of a run that broke off is complete when it is repeated.
     """
-    path = scratch_path(store.spark, "labels")
-    fresh.select(*store.labels.columns()).write.parquet(path)
-    fresh = store.spark.read.schema(store.labels.schema).parquet(path)
-    first = lambda old, inc: insert_absent(old, inc, LABEL_KEYS, F.col("scored_at"))
-    logged = fresh
-    if not again:
-        known = store.labels.read_for(fresh).select(*LABEL_KEYS)
-        logged = earliest(fresh.join(known, LABEL_KEYS, "left_anti"), LABEL_KEYS, F.col("scored_at"))
-    store.label_log.merge(logged, lambda old, inc: insert_absent(old, inc, [*LABEL_KEYS, "scored_at"], F.col("scored_at")), tag)
+    if tag is not None and store.label_log.applied(tag) and store.labels.applied(tag):
+        return store.labels.version()
+    at = F.col("scored_at")
+    fresh = fresh.select(*store.labels.columns())
+    if again or store.labels.version():
+        fresh = _kept(store, fresh)
     if again:
-        return store.labels.merge(fresh, lambda old, inc: upsert_latest(old, inc, LABEL_KEYS, "scored_at"), tag)
-    return store.labels.merge(fresh, first, tag)
+        store.label_log.insert(fresh, at, tag)
+        return store.labels.replace(fresh, at, tag)
+    new = _kept(store, store.labels.absent(fresh, at))
+    store.label_log.insert(new, at, tag)
+    return store.labels.insert(new, at, tag)
+
+
+def _kept(store: Store, labels: DataFrame) -> DataFrame:
+    """Labels written once, for merges that look at them several times."""
+    path = scratch_path(store.spark, "labels")
+    labels.write.parquet(path)
+    return store.spark.read.schema(store.labels.schema).parquet(path)
 
 
 def refresh_keyword_stats(store: Store, at: Column, tag: str | None = None) -> int:
@@ -50,7 +57,7 @@ def save_curated(store: Store, handles: DataFrame, curated: str, at: Column, tag
     result = load_curated(handles, profiles, curated)
     found = result.filter(F.col("status") == "success").join(profiles.select("twitter_id", "handle"), "twitter_id")
     words = found.select("twitter_id", "keyword", F.lit(None).cast("string").alias("search_id"), at.alias("added_at")).distinct()
-    store.keywords.merge(words, lambda old, inc: insert_absent(old, inc, ["twitter_id", "keyword"], F.col("added_at")), tag)
+    store.keywords.insert(words, F.col("added_at"), tag)
     queued = found.select("twitter_id", "handle", at.alias("added_at")).distinct()
-    store.queue.merge(queued, lambda old, inc: insert_absent(old, inc, ["twitter_id"], F.col("added_at")), tag)
+    store.queue.insert(queued, F.col("added_at"), tag)
     return result

@@ -120,3 +120,31 @@ def test_the_log_keeps_what_took_effect(spark, tmp_path):
     asked = spark.createDataFrame([("2", "m", at(0), "x"), ("2", "m", at(1), "y"), ("2", "m", at(3.5), "z"), ("9", "m", at(9), "w")], "twitter_id string, scored_by string, t timestamp, label_of string")
     found = history.as_of(asked, log, history.LABEL_KEYS, "t", "scored_at").collect()
     assert {r.label_of: (r.label, r.scored_at) for r in found} == {"x": (None, None), "y": (None, at(1)), "z": (True, at(3)), "w": (None, None)}
+
+
+def test_saved_labels_write_only_what_takes_effect(spark, tmp_path, monkeypatch):
+    store = ingest.Store(spark, str(tmp_path / "s"), buckets=4)
+    make = lambda rows: spark.createDataFrame(rows, LABEL)
+    at = lambda k: START + DAY * k
+    jobs.save_labels(store, make([(str(i), "m", True, "r", at(1), "v0") for i in range(50)] + [(None, "m", True, "r", at(1), "v0")]), "a")
+    jobs.save_labels(store, make([(str(i), "m", False, "r", at(2), "v0") for i in range(51)] + [(None, "m", False, "r", at(2), "v0")]), "b")
+    for table in (store.labels, store.label_log):
+        assert [r.twitter_id for r in spark.read.parquet(f"{table.root}/data/v=2").collect()] == ["50"]
+        assert table.version() == 2 and table.read().count() == 52
+    assert "Aggregate" not in store.label_log.read()._jdf.queryExecution().optimizedPlan().toString()
+    plan = store.queue.read().join(store.labels.read(), "twitter_id", "left_anti")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan
+    # A run that was merged is not even written to be looked at.
+    monkeypatch.setattr(jobs, "scratch_path", lambda *_: pytest.fail("written again"))
+    jobs.save_labels(store, make([("1", "m", None, "r", at(9), "v0")]), "b", again=True)
+    assert store.labels.read().filter("label").count() == 51
+
+
+def test_requests_carry_each_of_their_fields_once(spark):
+    log = spark.createDataFrame([("1", 1, "a"), ("1", 5, "b"), (None, 2, "n")], "k string, at int, v string")
+    asked = spark.createDataFrame([("x", "1", 1), ("y", "1", 9), ("z", "1", 0), ("w", None, 2)], "id string, k string, t int")
+    found = history.as_of(asked, log, ["k"], "t", "at")
+    assert found.columns == ["id", "k", "t", "at", "v"]
+    assert {tuple(r) for r in found.collect()} == {("x", "1", 1, 1, "a"), ("y", "1", 9, 5, "b"), ("z", "1", 0, None, None), ("w", None, 2, 2, "n")}
+    request = next(f for f in found._jdf.queryExecution().analyzed().toString().splitlines() if " AS _request" in f)
+    assert ", k, k#" not in request and ", t, t#" not in request
