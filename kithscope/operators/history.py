@@ -33,9 +33,12 @@ def as_of(requests: DataFrame, log: DataFrame, keys: list[str], asked: str, at:
     comparison of each request with each row.
     """
     fields = [c for c in log.columns if c not in keys]
-    left = requests.select(*keys, F.col(asked).alias("_at"), F.lit(1).alias("_kind"), F.struct(*requests.columns).alias("_request"))
+    more = [c for c in requests.columns if c not in (*keys, asked)]
+    left = requests.select(*keys, F.col(asked).alias("_at"), F.lit(1).alias("_kind"), F.struct(F.lit(True).alias("_own"), *more).alias("_request"))
     right = log.select(*keys, F.col(at).alias("_at"), F.lit(0).alias("_kind"), F.struct(*fields).alias("_row"))
     both = left.unionByName(right, allowMissingColumns=True)
     so_far = Window.partitionBy(*keys).orderBy("_at", "_kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     carried = both.withColumn("_held", F.last("_row", ignorenulls=True).over(so_far)).filter("_kind = 1")
-    return carried.select("_request.*", "_held.*")
+    # Keys and time stand beside the request and are not carried in it again.
+    own = {**{k: F.col(k) for k in keys}, asked: F.col("_at").alias(asked)}
+    return carried.select(*(own.get(c, F.col(f"_request.`{c}`")) for c in requests.columns), "_held.*")
