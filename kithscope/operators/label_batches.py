@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import re
 import time
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -107,20 +107,20 @@ def run_labeler(
     """
     pause = parallel / per_second if per_second else 0.0
 
-    def ask(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            answers = []
-            for shard, batch_no, profiles in zip(frame["shard"], frame["batch_no"], frame["profiles"]):
-                try:
-                    answers.append((shard, batch_no, labeler([dict(p) for p in profiles], model, audience), None))
-                except Exception as error:  # the batch is lost, the job goes on
-                    answers.append((shard, batch_no, None, f"{type(error).__name__}: {error}"))
-                if pause:
-                    time.sleep(pause)
-            yield pd.DataFrame(answers, columns=["shard", "batch_no", "response", "error"])
+    def ask(frame: pd.DataFrame) -> pd.DataFrame:
+        answers = []
+        for shard, batch_no, profiles in zip(frame["shard"], frame["batch_no"], frame["profiles"]):
+            try:
+                answers.append((shard, batch_no, labeler([dict(p) for p in profiles], model, audience), None))
+            except Exception as error:  # the batch is lost, the job goes on
+                answers.append((shard, batch_no, None, f"{type(error).__name__}: {error}"))
+            if pause:
+                time.sleep(pause)
+        return pd.DataFrame(answers, columns=["shard", "batch_no", "response", "error"])
 
     spread = packed.repartition(parallel, *BATCH_KEY)
-    return spread.mapInPandas(ask, "shard bigint, batch_no bigint, response string, error string")
+    # One batch at a time enters Python: frames of many rows would hold the texts of thousands of batches.
+    return spread.groupBy(*BATCH_KEY).applyInPandas(ask, "shard bigint, batch_no bigint, response string, error string")
 
 
 def parse_responses(responses: DataFrame, keys: list[str]) -> DataFrame:
