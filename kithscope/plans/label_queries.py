@@ -385,7 +385,9 @@ def _(w):
 @catalog.query("m2_fitted_model")
 def _(w):
     rows = worth_rows(w).withColumn("label", (F.col("audience_label") == 0).cast("int"))
-    _model, scored = worth.fit_worth(rows.select("twitter_id", "cos_sim", "activity", "bio_quality", "label"))
+    # Read by the counts, the fit and the scores.
+    rows = w.once(rows.select("twitter_id", "cos_sim", "activity", "bio_quality", "label"), "worth-rows")
+    _model, scored = worth.fit_worth(rows)
     return worth.best_cutoff(worth.threshold_scores(scored))
 
 
