@@ -13,6 +13,7 @@ from kithscope.functions.numbers import row_count, seeded_order, unit_hash
 from kithscope.operators.accounts import labelable
 from kithscope.operators.lookups import with_followers, without_keyword
 from kithscope.operators.ordering import bottom_k, first_per_key, global_row_number
+from kithscope.session import scratch_path
 
 
 def random_sample(df: DataFrame, key: str, n: int, seed: str) -> DataFrame:
@@ -29,7 +30,11 @@ def stratified_sample(
     of the first. Neither is ever gathered: both are cut off by :func:`bottom_k`.
     """
     usable = labelable(profiles).select("twitter_id", "handle", "name", "bio", "category")
-    joined = labels.select("twitter_id", "scored_by", "label", "reason").join(usable, "twitter_id")
+    # Chosen by narrow rows, written once: the texts are joined to those that are picked.
+    narrow = labels.select("twitter_id", "scored_by", "label", "reason").join(usable.select("twitter_id").distinct(), "twitter_id", "left_semi")
+    path = scratch_path(labels.sparkSession, "strata")
+    narrow.write.parquet(path)
+    joined = labels.sparkSession.read.schema(narrow.schema).parquet(path)
     order = seeded_order(seed, F.col("twitter_id"), F.col("scored_by"))
 
     def stratum(rows: DataFrame, name: str) -> DataFrame:
@@ -39,7 +44,9 @@ def stratified_sample(
     rest = stratum(joined.filter(F.col("label").isNull() | ~F.col("label")), "other")
     n_true = min(int(total * true_share), good.count())
     picked = random_sample(good, "twitter_id", n_true, f"{seed}true").unionByName(random_sample(rest, "twitter_id", total - n_true, f"{seed}other"))
-    return with_followers(picked.drop("scored_by"), stats)
+    accounts = first_per_key(usable, ["twitter_id"], [F.col("handle")])
+    full = picked.join(accounts, "twitter_id").select("twitter_id", "label", "reason", *accounts.columns[1:], "stratum")
+    return with_followers(full, stats)
 
 
 def hand_pick(
