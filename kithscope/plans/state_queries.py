@@ -798,9 +798,12 @@ SEVEN = """select 'user_profiles' as name, count(*) as n from user_profiles unio
 
 
 def seven_tables(w: Workspace) -> dict[str, DataFrame]:
+    # Tables that others are made from are computed once.
+    w.user_stats, w.profile_scores = w.once(w.user_stats, "stats"), w.once(w.profile_scores, "labels")
+    w.searches = w.once(w.searches, "searches")
     stats = keywords.keyword_stats(w.searches, w.keyword_table, w.scores, w.profile_scores)
     return {
-        "user_profiles": w.user_profiles, "user_stats": w.user_stats, "user_keywords": w.user_keywords, "profile_scores": w.profile_scores,
+        "user_profiles": w.user_profiles, "user_stats": w.user_stats, "user_keywords": w.keyword_table, "profile_scores": w.profile_scores,
         "api_search_usage": w.searches, "profiles_to_score": w.queue, "keyword_stats": stats,
     }
 
