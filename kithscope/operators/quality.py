@@ -78,23 +78,42 @@ def quarantine(profiles: DataFrame, created_at: str = "created_at", stored: Data
     of the rows that are otherwise fine. Ids are numbers in text: the shorter is smaller. Owners are
     map-side minima, and of ``stored`` only the handles of the rows are looked at.
     """
+    owners = _owners(profiles, created_at, stored)
+    reason = _reason(created_at, F.col("twitter_id") != F.col("_owner"))
+    return profiles.join(owners, "handle", "left").withColumn("reject_reason", reason).drop("_owner")
+
+
+def _owners(profiles: DataFrame, created_at: str, stored: DataFrame | None) -> DataFrame:
     number = F.struct(F.length("twitter_id").alias("digits"), F.col("twitter_id"))
     fine = F.col("twitter_id").isNotNull() & F.col("handle").isNotNull() & F.col(created_at).isNotNull()
     owners = profiles.filter(fine).groupBy("handle").agg(F.min(number).alias("_first"))
     if stored is None:
-        owners = owners.select("handle", F.col("_first.twitter_id").alias("_owner"))
-    else:
-        held = stored.join(profiles.select("handle").distinct(), "handle", "left_semi")
-        held = held.groupBy("handle").agg(F.min(number).alias("_held"))
-        owner = F.coalesce(F.col("_held.twitter_id"), F.col("_first.twitter_id"))
-        owners = owners.join(held, "handle", "full").select("handle", owner.alias("_owner"))
-    reason = (
+        return owners.select("handle", F.col("_first.twitter_id").alias("_owner"))
+    held = stored.join(profiles.select("handle").distinct(), "handle", "left_semi")
+    held = held.groupBy("handle").agg(F.min(number).alias("_held"))
+    owner = F.coalesce(F.col("_held.twitter_id"), F.col("_first.twitter_id"))
+    return owners.join(held, "handle", "full").select("handle", owner.alias("_owner"))
+
+
+def _reason(created_at: str, taken: Column) -> Column:
+    return (
         F.when(F.col("twitter_id").isNull(), "no_id")
         .when(F.col("handle").isNull(), "no_handle")
         .when(F.col(created_at).isNull(), "bad_created_at")
-        .when(F.col("twitter_id") != F.col("_owner"), "handle_taken")
+        .when(taken, "handle_taken")
     )
-    return profiles.join(owners, "handle", "left").withColumn("reject_reason", reason).drop("_owner")
+
+
+def taken_handles(profiles: DataFrame, created_at: str = "created_at", stored: DataFrame | None = None) -> DataFrame:
+    """The (twitter_id, handle) of ``profiles`` whose handle another account owns, each once."""
+    pairs = profiles.select("twitter_id", "handle").distinct()
+    return pairs.join(_owners(profiles, created_at, stored), "handle").filter(F.col("twitter_id") != F.col("_owner")).select("twitter_id", "handle")
+
+
+def quarantine_taken(profiles: DataFrame, taken: DataFrame, created_at: str = "created_at") -> DataFrame:
+    """:func:`quarantine` by the pairs that :func:`taken_handles` has found; where they are few, rows stay in place."""
+    marked = profiles.join(taken.withColumn("_taken", F.lit(True)), ["twitter_id", "handle"], "left")
+    return marked.select(*profiles.columns, _reason(created_at, F.col("_taken")).alias("reject_reason"))
 
 
 def validate_leads(leads: DataFrame, profiles: DataFrame, labels: DataFrame) -> DataFrame:

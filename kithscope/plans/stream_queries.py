@@ -216,10 +216,10 @@ def _(w):
 ODD_USERS = [("900000001", None), ("900000002", "taken"), ("900000003", "taken"), ("90000001", "taken")]
 
 
-def landed_pages(w: Workspace) -> str:
+def landed_pages(w: Workspace, files: int | None = None) -> str:
     """Search pages of all accounts as JSON lines: a keyword per market segment, 20 accounts a page. For each
     keyword also page 0 from a second platform, again, without keyword, without time, a broken line and the empty page that
-    ends it; and a page with accounts that must be rejected. In several files."""
+    ends it; and a page with accounts that must be rejected. In several files: as many as asked for, else those of the tasks that make the pages, as gzip."""
     users = raw_users(w).withColumn("keyword", F.col("user.professional.category")[0]["name"])
     ranked = F.array_sort(F.collect_list(F.struct("k", "user")))
     # Twenty consecutive ids form a page, so what is collected for one is bounded.
@@ -248,7 +248,10 @@ def landed_pages(w: Workspace) -> str:
     path = scratch_path(w.spark, "landing")
     for part in more:
         lines = lines.unionByName(part)
-    lines.repartition(4).write.text(path)
+    if files:
+        lines.repartition(files).write.text(path)
+    else:
+        lines.write.option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").text(path)
     return path
 
 
@@ -282,7 +285,7 @@ def _(w):
 )
 def _(w):
     """One file a micro-batch; pages come again in later files."""
-    store, landing = ingest.Store(w.spark, scratch_path(w.spark, "store"), buckets=8), landed_pages(w)
+    store, landing = ingest.Store(w.spark, scratch_path(w.spark, "store"), buckets=8), landed_pages(w, files=4)
     ingest.start_ingest(w.spark, landing, store, scratch_path(w.spark, "ingest"), w.as_of, files_per_batch=1).awaitTermination()
     stats = store.stats.read().select("twitter_id", "followers")
     queued = store.queue.read().select("twitter_id", F.lit(True).alias("q"))

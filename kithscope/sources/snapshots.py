@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kithscope.operators.merges import earliest, latest
+from kithscope.operators.ordering import BROADCAST_ROWS
+from kithscope.session import scratch_path
 
 Merge = Callable[[DataFrame, DataFrame], DataFrame]
 MANIFEST = "version int, tag string, whole boolean, added boolean"
@@ -71,9 +73,15 @@ class SnapshotTable:
     def _versions(self, entries: list, buckets: list[int] | None) -> list[tuple[int, DataFrame]]:
         return [(e.version, rows) for e in entries if (rows := self._version(e.version, buckets)) is not None]
 
-    def _read(self, entries: list, buckets: list[int] | None = None) -> DataFrame:
+    def _matching(self, rows: DataFrame, keys: DataFrame) -> DataFrame:
+        asked = keys.select(*(F.col(k).alias(f"_{k}") for k in self.keys))
+        return rows.join(asked, [F.col(f"_{k}").eqNullSafe(F.col(k)) for k in self.keys], "left_semi")
+
+    def _read(self, entries: list, buckets: list[int] | None = None, keys: DataFrame | None = None) -> DataFrame:
         columns = self.columns()
         found = self._versions(entries, buckets)
+        if keys is not None:
+            found = [(version, self._matching(rows, keys)) for version, rows in found]
         if not found:
             return self._empty()
         # Versions that only added keys, each once, need no look at each other.
@@ -126,9 +134,15 @@ class SnapshotTable:
         touched = self._touched(incoming)
         if not touched:
             return seen
-        same = [F.col(f"_{k}").eqNullSafe(F.col(k)) for k in self.keys]
-        keys = incoming.select(*(F.col(k).alias(f"_{k}") for k in self.keys)).distinct()
-        stored = self._read(entries, touched).join(keys, same, "left_semi")
+        # The stored keys asked for come first, alone: mostly they are few, and whole rows then stay where they are.
+        keys = incoming.select(*self.keys).distinct()
+        known = self._matching(functools.reduce(DataFrame.unionByName, [rows.select(*self.keys) for _version, rows in self._versions(entries, touched)] or [self._empty().select(*self.keys)]), keys)
+        path = scratch_path(self.spark, "known-keys")
+        known.distinct().write.parquet(path)
+        known = self.spark.read.schema(known.schema).parquet(path)
+        if known.count() <= BROADCAST_ROWS:
+            known = F.broadcast(known)
+        stored = self._read(entries, touched, known)
         return self._commit(resolve(stored, incoming), seen, tag, whole=False)
 
     def insert(self, incoming: DataFrame, order: Column, tag: str | None = None) -> int:

@@ -13,8 +13,9 @@ from kithscope.functions.bands import QUEUE_GATE
 from kithscope.functions.times import parse_created_at
 from kithscope.operators.accounts import fill_missing_stats, flatten_profile, flatten_stats, page_fingerprint
 from kithscope.operators.keywords import latest_pages
-from kithscope.operators.merges import insert_absent, upsert_latest, upsert_profiles
-from kithscope.operators.quality import quarantine
+from kithscope.operators.merges import upsert_profiles
+from kithscope.operators.ordering import BROADCAST_ROWS
+from kithscope.operators.quality import quarantine_taken, taken_handles
 from kithscope.sources.search_pages import CORRUPT, explode_users, stream_search_pages
 from kithscope.sources.snapshots import SnapshotTable
 
@@ -111,11 +112,15 @@ def ingest_batch(pages: DataFrame, batch_id: int, store: Store, as_of) -> None:
     wide = rows.select("*", *[F.col(f"stats.{c}").alias(c) for c in inputs])
     parsed = wide.withColumnRenamed("created_at", "created_text").withColumn("created_at", parse_created_at(F.col("created_text")))
     scored = score_accounts(fill_missing_stats(parsed), as_of).drop(*inputs)
-    checked = quarantine(scored, stored=store.profiles.read().select("twitter_id", "handle"))
     # Used by every merge below, so the parsed and scored batch is written once and read back.
     staged = f"{store.root}/staging/batch_id={batch_id}"
-    checked.write.mode("overwrite").parquet(staged)
-    hits = store.spark.read.parquet(staged)
+    scored.write.mode("overwrite").parquet(f"{staged}/rows")
+    hits = store.spark.read.schema(scored.schema).parquet(f"{staged}/rows")
+    # Pairs of id and handle that are refused, mostly few: then the rows with their texts stay where they are.
+    found = taken_handles(hits, stored=store.profiles.read().select("twitter_id", "handle"))
+    found.write.mode("overwrite").parquet(f"{staged}/taken")
+    taken = store.spark.read.schema(found.schema).parquet(f"{staged}/taken")
+    hits = quarantine_taken(hits, F.broadcast(taken) if taken.count() <= BROADCAST_ROWS else taken)
     store.write_side("rejected", hits.filter(F.col("reject_reason").isNotNull()), batch_id)
     hits = hits.filter(F.col("reject_reason").isNull()).drop("reject_reason")
 
@@ -131,7 +136,7 @@ def ingest_batch(pages: DataFrame, batch_id: int, store: Store, as_of) -> None:
         F.coalesce("new_profiles", F.lit(0)).alias("new_profiles"), "query_at", "platform",
     )
     # The search log goes first: its counts must be taken before the profiles are stored.
-    store.searches.merge(log, lambda old, inc: insert_absent(old, inc, SEARCH_KEYS, F.col("query_at")), tag)
+    store.searches.insert(log, F.col("query_at"), tag)
 
     incoming = hits.select(
         "twitter_id", "handle", "name", "bio", F.col("created_text").alias("created_at"), "follower_count", "can_dm",
@@ -139,11 +144,11 @@ def ingest_batch(pages: DataFrame, batch_id: int, store: Store, as_of) -> None:
     )
     store.profiles.merge(incoming, upsert_profiles, tag)
     stats = hits.select("stats.*", F.col("query_at").alias("updated_at"))
-    store.stats.merge(stats, lambda old, inc: upsert_latest(old, inc, ["twitter_id"], "updated_at"), tag)
+    store.stats.replace(stats, F.col("updated_at"), tag)
     words = hits.select("twitter_id", "keyword", "search_id", F.col("query_at").alias("added_at"))
-    store.keywords.merge(words, lambda old, inc: insert_absent(old, inc, ["twitter_id", "keyword"], F.struct("added_at", "search_id")), tag)
+    store.keywords.insert(words, F.struct("added_at", "search_id"), tag)
     above = hits.filter(F.col("human_score") > QUEUE_GATE).select("twitter_id", "handle", F.col("query_at").alias("added_at"))
-    store.queue.merge(above, lambda old, inc: insert_absent(old, inc, ["twitter_id"], F.col("added_at")), tag)
+    store.queue.insert(above, F.col("added_at"), tag)
 
 
 def start_ingest(

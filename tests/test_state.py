@@ -227,3 +227,68 @@ def test_whole_batches_hold_all_accounts_and_all_models(spark):
     assert tables.count() == w.user_profiles.count() and tables.filter("bio = ''").count() == w.user_profiles.filter("coalesce(bio, '') = ''").count() > 0
     labels = all_queries()["j9_whole_labels"](spark, MEDIUM)
     assert labels.count() == w.profile_scores.count() and labels.select("scored_by").distinct().count() == 3
+
+
+def test_refused_handles_are_found_from_pairs_alone(spark):
+    from kithscope.operators.quality import quarantine, quarantine_taken, taken_handles
+
+    rows = [("1", "a", 1), ("22", "a", 1), ("3", "b", 1), ("3", "b", 2), (None, "b", 1), ("4", None, 1), ("5", "c", None), ("6", "c", 1), ("7", "d", 1)]
+    df = spark.createDataFrame(rows, "twitter_id string, handle string, created_at int").withColumn("bio", F.lit("text"))
+    stored = spark.createDataFrame([("9", "d"), ("8", "zz")], "twitter_id string, handle string")
+    for held in (None, stored):
+        taken = taken_handles(df, stored=held)
+        assert {tuple(r) for r in taken.collect()} == {("22", "a"), ("5", "c")} | ({("7", "d")} if held is not None else set())
+        found = quarantine_taken(df, F.broadcast(taken))
+        assert rows_of(found) == rows_of(quarantine(df, stored=held).select(found.columns))
+        assert "SortMergeJoin" not in found._jdf.queryExecution().executedPlan().toString().split("BroadcastExchange")[0]
+
+
+def test_a_merge_reads_whole_only_the_rows_it_is_asked_for(spark, tmp_path):
+    table = SnapshotTable(spark, str(tmp_path / "t"), "twitter_id string, v int", ["twitter_id"], buckets=2)
+    table.merge(spark.range(1000).selectExpr("cast(id as string) twitter_id", "0 v"), lambda old, inc: inc)
+    seen = []
+
+    def resolve(old, inc):
+        seen.append(old._jdf.queryExecution().optimizedPlan().toString())
+        return merges.upsert_latest(old, inc, ["twitter_id"], "v")
+
+    table.merge(spark.createDataFrame([("7", 1), ("x", 1), (None, 1)], "twitter_id string, v int"), resolve)
+    assert "strategy=broadcast" in seen[0]
+    assert {(r.twitter_id, r.v) for r in table.read().filter("v = 1").collect()} == {("7", 1), ("x", 1), (None, 1)} and table.read().count() == 1002
+
+
+def test_batches_go_to_folders_of_several_keys(spark, tmp_path):
+    from kithscope.sources import batch_files
+
+    texts = spark.createDataFrame([(1, "m", "a"), (1, "n", "b"), (2, "m", "c")], "batch int, scored_by string, text string")
+    batch_files.write_batches(texts, str(tmp_path / "b"), "scored_by", "batch")
+    assert {str(p.parent.relative_to(tmp_path / "b")): p.read_text().strip() for p in (tmp_path / "b").rglob("part-*")} == {
+        "scored_by=m/batch=1": "a", "scored_by=n/batch=1": "b", "scored_by=m/batch=2": "c",
+    }
+    with pytest.raises(Exception, match="already exists"):
+        batch_files.write_batches(texts, str(tmp_path / "b"), "scored_by", "batch")
+
+
+def test_strata_are_picked_before_their_texts_are_joined(spark):
+    labels = spark.createDataFrame([(str(i % 40), f"m{i % 3}", i % 2 == 0, "r") for i in range(120)], "twitter_id string, scored_by string, label boolean, reason string")
+    one = [(str(i), f"h{i}", "n", "bio" if i % 5 else "", "c", "twitter", True) for i in range(40)]
+    profiles = spark.createDataFrame(one + one, "twitter_id string, handle string, name string, bio string, category string, platform string, can_dm boolean")
+    stats = spark.createDataFrame([("1", 5)], "twitter_id string, followers int")
+    got = sampling.stratified_sample(labels, profiles, stats, total=20, seed="s")
+    assert got.columns == ["twitter_id", "label", "reason", "handle", "name", "bio", "category", "stratum", "followers"]
+    rows = got.collect()
+    assert len(rows) == 20 == len({(r.twitter_id, r.stratum) for r in rows}) and all(r.bio for r in rows) and sum(r.stratum == "true" for r in rows) == 6
+    # Both strata are cut off by the small rows written for them, which hold no text.
+    relations = [x for x in got._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Relation [" in x]
+    assert len(relations) == 2 and not any("bio" in x for x in relations)
+
+
+def test_a_labeler_process_is_given_one_batch_at_a_time(spark):
+    from kithscope.operators import label_batches
+
+    rows = spark.range(95).select(F.col("id").cast("string").alias("twitter_id"), *(F.lit("x").alias(c) for c in ("handle", "name", "bio", "category")), F.lit(1).alias("followers"))
+    packed = label_batches.pack_batches(rows, 10, 2)
+    answers = label_batches.run_labeler(packed, lambda profiles, model, audience: str(len(profiles)), "m", {}, parallel=3)
+    plan = answers._jdf.queryExecution().optimizedPlan().toString()
+    assert "FlatMapGroupsInPandas" in plan and "MapInPandas [" not in plan.replace("FlatMapGroupsInPandas", "")
+    assert sum(int(r.response) for r in answers.collect()) == 95 and answers.count() == packed.count()
