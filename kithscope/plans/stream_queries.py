@@ -339,11 +339,13 @@ def filled(w: Workspace) -> ingest.Store:
     """A store that holds the given accounts, keyword hits and searches."""
     store = ingest.Store(w.spark, scratch_path(w.spark, "store"), buckets=8)
     first = lambda old, inc: inc
+    # Counters are needed for the scores and beside them.
+    w.user_stats = w.once(w.user_stats, "stats")
     at = F.lit("2000-01-01").cast("timestamp")
     profiles = w.profiles.join(w.user_stats.select("twitter_id", F.col("followers").alias("follower_count"), F.col("created_at").cast("string").alias("created_at")), "twitter_id")
     profiles = profiles.withColumns({"got_by_keywords": F.lit(None).cast("array<string>"), "updated_at": at})
     store.profiles.merge(profiles.select(*store.profiles.columns()), first)
-    hits = w.user_keywords.filter("keyword <> '@customers'").withColumns({"search_id": F.lit("s"), "added_at": at})
+    hits = w.keyword_table.filter("keyword <> '@customers'").withColumns({"search_id": F.lit("s"), "added_at": at})
     store.keywords.merge(hits.select(*store.keywords.columns()), first)
     searches = w.searches.withColumns({"id": F.lit("s"), "ids_hash": F.lit("h"), "platform": F.lit("twitter"), "query_at": F.col("query_at").cast("timestamp")})
     store.searches.merge(searches.select(*store.searches.columns()), first)

@@ -32,11 +32,11 @@ def save_labels(store: Store, fresh: DataFrame, tag: str | None = None, again: b
     return store.labels.insert(new, at, tag)
 
 
-def _kept(store: Store, labels: DataFrame) -> DataFrame:
-    """Labels written once, for merges that look at them several times."""
-    path = scratch_path(store.spark, "labels")
-    labels.write.parquet(path)
-    return store.spark.read.schema(store.labels.schema).parquet(path)
+def _kept(store: Store, rows: DataFrame) -> DataFrame:
+    """Rows written once, for merges that look at them several times."""
+    path = scratch_path(store.spark, "fresh")
+    rows.write.parquet(path)
+    return store.spark.read.schema(rows.schema).parquet(path)
 
 
 def refresh_keyword_stats(store: Store, at: Column, tag: str | None = None) -> int:
@@ -55,7 +55,10 @@ def save_curated(store: Store, handles: DataFrame, curated: str, at: Column, tag
     """Tags and queues the found accounts whatever their score; returns one result row per wanted handle."""
     profiles = store.profiles.read().withColumnRenamed("follower_count", "followers")
     result = load_curated(handles, profiles, curated)
+    if tag is not None and store.keywords.applied(tag) and store.queue.applied(tag):
+        return result
     found = result.filter(F.col("status") == "success").join(profiles.select("twitter_id", "handle"), "twitter_id")
+    found = _kept(store, found.select("twitter_id", "handle", "keyword"))
     words = found.select("twitter_id", "keyword", F.lit(None).cast("string").alias("search_id"), at.alias("added_at")).distinct()
     store.keywords.insert(words, F.col("added_at"), tag)
     queued = found.select("twitter_id", "handle", at.alias("added_at")).distinct()
