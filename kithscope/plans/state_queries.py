@@ -377,10 +377,11 @@ def _(w):
     rows = lookups.with_followers(w.user_profiles, w.user_stats).select("twitter_id", "handle", "followers")
     placed = sampling.numbered_batches(rows, [F.col("followers").desc(), F.col("handle")], 30)
     keyed = placed.join(w.profile_scores.select("twitter_id", "scored_by", "label", "reason"), "twitter_id")
-    texts = batch_files.label_json(keyed, ["batch", "scored_by"], "position")
+    texts = batch_files.label_json(batch_files.by_folder(keyed), ["folder", "batch", "scored_by"], "position")
     path = scratch_path(w.spark, "label-files")
     odd = w.spark.createDataFrame([(-1, "model-a", "[{broken"), (-2, "model-a", "")], "batch bigint, scored_by string, text string")
-    texts.select("batch", "scored_by", "text").unionByName(odd).write.partitionBy("batch", "scored_by").text(path)
+    # A model's folder holds many batches, so that there are fewer folders than with a batch's holding three models.
+    batch_files.write_batches(texts.unionByName(batch_files.by_folder(odd)), path, "scored_by", "batch")
     found = w.spark.read.option("wholetext", True).schema("value string, batch bigint, scored_by string").text(path)
     items = F.explode(F.from_json(F.trim("value"), batch_files.LABEL_ITEMS_DDL, {"mode": "PERMISSIVE"})).alias("item")
     parsed = found.select(F.col("batch").alias("batch_no"), "scored_by", items).filter("batch_no >= 0")

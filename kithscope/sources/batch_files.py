@@ -152,9 +152,29 @@ def label_json(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     return df.groupBy(*keys).agg(rows.alias("rows")).select(*keys, packed.alias("text"))
 
 
-def write_batches(texts: DataFrame, path: str, key: str = "batch") -> None:
-    """One folder per batch number, written in parallel."""
-    texts.select(key, F.col("text").alias("value")).write.mode("errorifexists").partitionBy(key).text(path)
+BATCHES_PER_FOLDER = 32
+# A local file system starts a process for the rights of every new folder, file and checksum file, which takes longer than a small text does.
+# Its plain form keeps no checksum files; other stores are not concerned.
+SMALL_FILES = {"fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem", "fs.file.impl.disable.cache": "true"}
+
+
+def by_folder(df: DataFrame, key: str = "batch") -> DataFrame:
+    """Rows with the ``folder`` that their batch is written below, those of one folder in one task.
+
+    When a write ends, the driver moves a folder of one task as a whole, one of several tasks file by file. Readers list as many
+    folders at a time as there are tasks. Grouped by folder and batch, the rows do not move again. The number of tasks is given, since
+    the time goes by files, and by their bytes Spark would put them all into few.
+    """
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.withColumn("folder", F.floor(F.col(key) / BATCHES_PER_FOLDER)).repartition(tasks, "folder")
+
+
+def write_batches(texts: DataFrame, path: str, *keys: str) -> None:
+    """One file per batch number, or per values of other ``keys``, written in parallel; texts of :func:`by_folder` rows go below their folders."""
+    keys = keys or ("batch",)
+    folders = [c for c in texts.columns if c == "folder"] + list(keys)
+    writer = texts.select(*folders, F.col("text").alias("value")).write.mode("errorifexists").options(**SMALL_FILES)
+    writer.partitionBy(*folders).text(path)
 
 
 def write_batch_lines(texts: DataFrame, path: str) -> None:

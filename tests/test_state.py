@@ -280,3 +280,25 @@ def test_a_labeler_process_is_given_one_batch_at_a_time(spark):
     plan = answers._jdf.queryExecution().optimizedPlan().toString()
     assert "FlatMapGroupsInPandas" in plan and "MapInPandas [" not in plan.replace("FlatMapGroupsInPandas", "")
     assert sum(int(r.response) for r in answers.collect()) == 95 and answers.count() == packed.count()
+
+
+def test_batch_files_of_a_folder_come_from_one_task(spark, tmp_path):
+    from kithscope.sources import batch_files
+
+    models = F.explode(F.array(F.lit("m"), F.lit("n"))).alias("scored_by")
+    rows = spark.range(300).select((F.col("id") / 2).cast("bigint").alias("batch"), models, (F.col("id") % 2).alias("position"), F.concat(F.lit("h"), "id").alias("handle"), F.lit(True).alias("label"), F.lit("r").alias("reason"))
+    texts = batch_files.label_json(batch_files.by_folder(rows), ["folder", "batch", "scored_by"], "position")
+    # As many tasks as a shuffle has, however small the texts, and no second move of the rows.
+    plan = texts._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "REPARTITION_BY_NUM" in plan
+    path = tmp_path / "b"
+    batch_files.write_batches(texts, str(path), "scored_by", "batch")
+    files = [p.relative_to(path).parts for p in path.rglob("part-*")]
+    assert {f[:3] for f in files} == {(f"folder={b // 32}", f"scored_by={m}", f"batch={b}") for b in range(150) for m in "mn"} and len(files) == 300
+    assert len({(f[0], f[3].split("-")[1]) for f in files}) == 5 and not list(path.rglob(".part-*.crc"))
+    got = batch_files.read_label_arrays(spark, str(path), "scored_by")
+    assert rows_of(got.selectExpr("batch_no batch", "scored_by", "pos position", "handle", "label", "reason")) == rows_of(rows.select("batch", "scored_by", "position", "handle", "label", "reason"))
+    batch_files.write_batches(texts.drop("folder"), str(tmp_path / "c"), "scored_by", "batch")
+    assert len(list((tmp_path / "c").glob("scored_by=*/batch=*/part-*"))) == 300
+    with pytest.raises(Exception, match="already exists"):
+        batch_files.write_batches(texts, str(path), "scored_by", "batch")
