@@ -340,10 +340,10 @@ def _(w):
     placed = w.once(all_batch_profiles(w), "all-batches")
     rows = placed.join(w.profile_scores.select("twitter_id", "scored_by", "label", "reason"), "twitter_id").withColumn("handle", F.upper("handle"))
     again = rows.filter("scored_by = 'model-b'").withColumns({"position": F.col("position") + 1000, "label": ~F.col("label")})
-    texts = batch_files.label_json(rows.unionByName(again), ["batch", "scored_by"], "position")
+    texts = batch_files.label_json(batch_files.by_folder(rows.unionByName(again)), ["folder", "batch", "scored_by"], "position")
     odd = w.spark.createDataFrame([(-1, "model-a", "[{broken"), (-2, "model-a", ""), (-3, "model-a", '{"handle": "x"}')], "batch bigint, scored_by string, text string")
     path = scratch_path(w.spark, "label-files")
-    texts.select("scored_by", "batch", "text").unionByName(odd.select("scored_by", "batch", "text")).write.partitionBy("scored_by", "batch").text(path)
+    batch_files.write_batches(texts.unionByName(batch_files.by_folder(odd)), path, "scored_by", "batch")
     items = batch_files.read_label_arrays(w.spark, path, "scored_by")
     return lookups.batch_labels(placed.select(F.col("batch").alias("batch_no"), "handle"), items, "scored_by")
 
