@@ -268,7 +268,7 @@ BATCHES = """select *, 1 + cast(floor((rn-1)/30) as bigint) as batch_no, (rn-1)%
 )
 def _(w):
     path = scratch_path(w.spark, "batches")
-    texts = batch_files.batch_text(batch_profiles(w), ["batch"], "position")
+    texts = batch_files.batch_text(batch_files.by_folder(batch_profiles(w)), ["folder", "batch"], "position")
     batch_files.write_batches(texts, path)
     return batch_files.read_batches(w.spark, path)
 
@@ -290,7 +290,7 @@ def all_batch_profiles(w: Workspace) -> DataFrame:
 )
 def _(w):
     path = scratch_path(w.spark, "whole-batches")
-    batch_files.write_batches(batch_files.batch_text(all_batch_profiles(w), ["batch"], "position"), path)
+    batch_files.write_batches(batch_files.batch_text(batch_files.by_folder(all_batch_profiles(w)), ["folder", "batch"], "position"), path)
     # An empty cell is read as a missing value.
     return batch_files.read_batches(w.spark, path).withColumn("bio", F.coalesce("bio", F.lit("")))
 
@@ -304,8 +304,8 @@ def dialect_files(w: Workspace) -> str:
     n = F.size("rows") + F.when(F.col("batch") % 10 == 9, 1).otherwise(0)
     head = F.when(dialect == 1, F.lit("handle,name,bio,category,followers")).otherwise(batch_files.header_line(n, "customers"))
     # A batch holds at most 30 rows.
-    packed = rows.groupBy("batch").agg(F.array_sort(F.collect_list(F.struct("position", line.alias("line")))).alias("rows"))
-    texts = packed.select("batch", F.concat_ws("\n", head, F.transform("rows", lambda r: r["line"])).alias("text"))
+    packed = batch_files.by_folder(rows).groupBy("folder", "batch").agg(F.array_sort(F.collect_list(F.struct("position", line.alias("line")))).alias("rows"))
+    texts = packed.select("folder", "batch", F.concat_ws("\n", head, F.transform("rows", lambda r: r["line"])).alias("text"))
     path = scratch_path(w.spark, "dialects")
     batch_files.write_batches(texts, path)
     return path
