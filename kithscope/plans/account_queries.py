@@ -44,14 +44,16 @@ def cleaned_sql(x: str) -> str:
 
 
 def raw_users(w: Workspace) -> DataFrame:
-    """Nested account records with the page each one came on: 20 consecutive ids form a page."""
-    joined = w.user_profiles.join(w.user_stats, "twitter_id")
-    user = search_pages.nest_user()
-    return joined.select(
-        F.col("twitter_id").cast("bigint").alias("k"),
-        F.floor(F.col("twitter_id").cast("bigint") / 20).alias("page"),
-        user.alias("user"),
-    )
+    """Nested account records with the page each one came on: 20 consecutive ids form a page.
+
+    Bios are joined last and by page, within which ids are compared: they move once, to where a page is put together.
+    """
+    k = F.col("twitter_id").cast("bigint")
+    accounts = w.accounts.join(w.user_stats, "twitter_id").withColumns({"k": k, "page": F.floor(k / 20)})
+    bios = w.bios.withColumn("bio_page", F.floor(F.col("doc_id") / 20))
+    # As two bounds the ids are no join key beside the page, by which alone the rows are dealt.
+    own = (F.col("page") == F.col("bio_page")) & F.col("k").between(F.col("doc_id"), F.col("doc_id"))
+    return accounts.join(bios, own, "left").select("k", "page", search_pages.nest_user().alias("user"))
 
 
 def raw_pages(w: Workspace) -> DataFrame:

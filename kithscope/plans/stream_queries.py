@@ -232,7 +232,7 @@ def landed_pages(w: Workspace, files: int | None = None) -> str:
     first = pages.filter(F.col("page") == 0)
     as_lines = lambda df: df.select(F.to_json(F.struct(*df.columns)).alias("value"))
     end = first.withColumns({"page": F.lit(1_000_000), "query_at": F.lit("2002-01-01").cast("timestamp"), "data": F.filter("data", lambda u: F.lit(False))})
-    template = raw_users(w).filter("k = 1").select("user")
+    template = raw_users(w).filter("page = 0 and k = 1").select("user")
     changed = [F.col("user").withField("rest_id", F.lit(i)).withField("legacy.screen_name", F.lit(h)) for i, h in ODD_USERS]
     odd = template.select(F.array(*changed).alias("data"))
     odd = odd.select(F.lit("odd").alias("keyword"), F.lit(0).alias("page"), F.timestamp_seconds(F.lit(999_999_999)).alias("query_at"), F.lit("twitter").alias("platform"), "data", F.lit("c").alias("cursor"))

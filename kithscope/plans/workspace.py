@@ -73,19 +73,20 @@ class Workspace:
         )
 
     @cached_property
-    def user_profiles(self) -> DataFrame:
+    def bios(self) -> DataFrame:
+        return self.raw("documents").select("doc_id", F.col("text").alias("bio"))
+
+    def _profiles(self, customers: DataFrame, *bio: str) -> DataFrame:
         k = F.col("c_custkey")
-        bios = self.raw("documents").select("doc_id", F.col("text").alias("bio"))
         places = self.raw("nation").select("n_nationkey", F.col("n_name").alias("location"))
         return (
-            self.raw("customer")
-            .join(bios, k == F.col("doc_id"), "left")
+            customers
             .join(places, F.col("c_nationkey") == F.col("n_nationkey"), "left")
             .select(
                 k.cast("string").alias("twitter_id"),
                 F.lower(F.replace(F.col("c_name"), F.lit("#"), F.lit("_"))).alias("handle"),
                 F.col("c_name").alias("name"),
-                "bio",
+                *bio,
                 "location",
                 F.col("c_mktsegment").alias("category"),
                 F.when(k % 10 == 0, "bluesky").otherwise("twitter").alias("platform"),
@@ -93,6 +94,15 @@ class Workspace:
             )
         )
 
+    @cached_property
+    def user_profiles(self) -> DataFrame:
+        return self._profiles(self.raw("customer").join(self.bios, F.col("c_custkey") == F.col("doc_id"), "left"), "bio")
+
+    @cached_property
+    def accounts(self) -> DataFrame:
+        """The profiles without their bios, the only long texts in them."""
+        return self._profiles(self.raw("customer"))
+
     @cached_property
     def scores(self) -> DataFrame:
         """twitter_id, human_score, likely_is."""

@@ -302,3 +302,34 @@ def test_batch_files_of_a_folder_come_from_one_task(spark, tmp_path):
     assert len(list((tmp_path / "c").glob("scored_by=*/batch=*/part-*"))) == 300
     with pytest.raises(Exception, match="already exists"):
         batch_files.write_batches(texts, str(path), "scored_by", "batch")
+
+
+def test_bios_move_once_to_their_pages(spark, tmp_path):
+    from kithscope.plans.account_queries import raw_pages, raw_users
+    from kithscope.schemas import GIVEN_TABLES
+    from kithscope.sources import search_pages
+
+    given = {
+        "customer": ("c_custkey bigint, c_name string, c_nationkey bigint, c_acctbal double, c_mktsegment string", [(k, f"C#{k}", 1, 5.0, "s") for k in (0, 1, 1, 19, 20, 21, 59, 60, None)]),
+        "documents": ("doc_id bigint, text string", [(0, "a"), (1, "b"), (1, "c"), (20, None), (21, "d"), (39, "e"), (61, "f"), (None, "g")]),
+        "nation": ("n_nationkey bigint, n_name string", [(1, "N")]),
+        "orders": ("o_orderkey bigint, o_custkey bigint", [(1, 1)]),
+        "lineitem": ("l_orderkey bigint, l_quantity double", [(1, 2.0)]),
+    }
+    for name, (ddl, rows) in given.items():
+        found = dict(f.split() for f in GIVEN_TABLES[name].split(", "))
+        df = spark.createDataFrame(rows, ddl)
+        df.select(*(F.col(c).cast(found[c]) for c in df.columns)).write.parquet(str(tmp_path / f"{name}.parquet"))
+    w = Workspace(spark, str(tmp_path))
+    before = w.user_profiles.join(w.user_stats, "twitter_id").select(F.col("twitter_id").cast("bigint").alias("k"), search_pages.nest_user().alias("user"))
+    as_text = lambda df: sorted(r.v for r in df.select(F.to_json(F.struct("k", "user")).alias("v")).collect())
+    assert as_text(raw_users(w)) == as_text(before) and len(as_text(before)) == 14
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = raw_pages(w)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    # What stands above the join with the bios holds no exchange.
+    top = plan[: plan.index("bio_page")].splitlines()
+    assert "Exchange" not in "".join(top[:-1]) and plan.count("Exchange hashpartitioning(bio_page") == 1
