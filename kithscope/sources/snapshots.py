@@ -108,7 +108,7 @@ class SnapshotTable:
         # A bucket may be large: its rows go to as many files as its share of all rows asks for.
         parts = rows.withColumn("bucket", self._bucket())
         slot = F.pmod(F.xxhash64(*self.keys, F.lit("slot")), F.lit(8))
-        writer = parts.repartition(F.col("bucket"), slot).write.option("maxRecordsPerFile", ROWS_PER_FILE)
+        writer = parts.repartition(F.col("bucket"), slot).write.option("maxRecordsPerFile", ROWS_PER_FILE).option("compression", "zstd")
         writer.mode("overwrite").partitionBy("bucket").parquet(f"{self.root}/data/v={version}")
         if self.version() != seen:
             raise RuntimeError(f"another writer has changed {self.root}")

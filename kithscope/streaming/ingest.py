@@ -114,7 +114,7 @@ def ingest_batch(pages: DataFrame, batch_id: int, store: Store, as_of) -> None:
     scored = score_accounts(fill_missing_stats(parsed), as_of).drop(*inputs)
     # Used by every merge below, so the parsed and scored batch is written once and read back.
     staged = f"{store.root}/staging/batch_id={batch_id}"
-    scored.write.mode("overwrite").parquet(f"{staged}/rows")
+    scored.write.mode("overwrite").option("compression", "zstd").parquet(f"{staged}/rows")
     hits = store.spark.read.schema(scored.schema).parquet(f"{staged}/rows")
     # Pairs of id and handle that are refused, mostly few: then the rows with their texts stay where they are.
     found = taken_handles(hits, stored=store.profiles.read().select("twitter_id", "handle"))

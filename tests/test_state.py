@@ -333,3 +333,9 @@ def test_bios_move_once_to_their_pages(spark, tmp_path):
     # What stands above the join with the bios holds no exchange.
     top = plan[: plan.index("bio_page")].splitlines()
     assert "Exchange" not in "".join(top[:-1]) and plan.count("Exchange hashpartitioning(bio_page") == 1
+
+
+def test_stored_tables_are_written_with_zstd(spark, tmp_path):
+    table = SnapshotTable(spark, str(tmp_path / "t"), "twitter_id string, v int", ["twitter_id"], buckets=2)
+    table.insert(spark.createDataFrame([("7", 1)], "twitter_id string, v int"), F.col("v"))
+    assert list((tmp_path / "t" / "data").rglob("*.zstd.parquet")) and not list((tmp_path / "t" / "data").rglob("*.snappy.parquet"))
