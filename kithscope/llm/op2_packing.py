@@ -2,8 +2,8 @@
 
 Each document is tokenized whole and ends with one separator id. A document longer than a sequence is cut, its first piece takes
 the remainder. Pieces go to the open bin with the least room that is enough for them, which a bitset keyed by free space finds in
-one step; when too many bins are open, the fullest closes first. Each task packs its own documents as they stream by (within an
-Arrow batch longer pieces go first), so documents are not shuffled and memory does not grow with the input: a task holds the pieces of its open bins.
+one step; when too many bins are open, the fullest closes first. Each task packs its own documents as they stream by (of
+``GROUP_ROWS`` or ``GROUP_BYTES`` of rows longer pieces go first), so documents are not shuffled and memory does not grow with the input: a task holds the pieces of its open bins.
 
 What a task leaves in bins that are less full than ``full_enough`` it hands out without a place, ``most_open`` bins at most. Those pieces alone are
 dealt to few tasks, one for ``REST_IDS`` ids, and packed again in the same way, so that the number of sequences hangs little on that of tasks.
@@ -15,7 +15,7 @@ columns are ignored; a text of any length is tokenized whole.
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -23,11 +23,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kithscope.llm.frames import stored
+from kithscope.llm.frames import bounded_batches, stored
 
 PIECES = "doc_id long, piece int, start long, length long, ids binary, sequence_id long, offset long"
 NAMES = [c.split()[0] for c in PIECES.split(", ")]
 REST_IDS = 1 << 23
+GROUP_ROWS = 10_000
+GROUP_BYTES = 64 << 20
 SECOND = 1 << 62
 """Sequences of the second packing are numbered from here."""
 
@@ -143,6 +145,19 @@ def _place_all(groups: Iterator[list[Piece]], packer: Packer, full_enough: int)
     yield from _rows([(*row[:5], None, None) for b in rest for row in held[b]])
 
 
+def _together(batches: Iterator[pa.RecordBatch], pieces_of: Callable[[pa.RecordBatch], list[Piece]]) -> Iterator[list[Piece]]:
+    """Pieces of as many batches as make ``GROUP_ROWS`` rows or ``GROUP_BYTES``: how well they pack does not hang on the size of batches."""
+    group, rows, size = [], 0, 0
+    for batch in batches:
+        group += pieces_of(batch)
+        rows, size = rows + batch.num_rows, size + batch.nbytes
+        if rows >= GROUP_ROWS or size >= GROUP_BYTES:
+            yield group
+            group, rows, size = [], 0, 0
+    if group:
+        yield group
+
+
 def pack(
     docs: DataFrame,
     tokenizer_path: str,
@@ -161,6 +176,7 @@ def pack(
     ``full_enough`` ids (98 of a hundred places, if not given) are what a sequence needs to be left as it is when a task ends.
     """
     enough = capacity - capacity // 50 if full_enough is None else full_enough
+    bounded_batches(docs.sparkSession)
     spread = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -179,10 +195,10 @@ def pack(
                     at += capacity
             return pieces
 
-        yield from _place_all(map(cut, batches), Packer(capacity, most_open, TaskContext.get().partitionId() << 40), enough)
+        yield from _place_all(_together(batches, cut), Packer(capacity, most_open, TaskContext.get().partitionId() << 40), enough)
 
     def second(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = (list(zip(*(b.column(c).to_pylist() for c in NAMES[:5]), strict=True)) for b in batches)
+        pieces = _together(batches, lambda b: list(zip(*(b.column(c).to_pylist() for c in NAMES[:5]), strict=True)))
         yield from _place_all(pieces, Packer(capacity, most_open, SECOND + (TaskContext.get().partitionId() << 40)), 0)
 
     # Written once: tokenizing is most of the work, and both packings read it.
