@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kithscope.llm.components import merge_labels
+from kithscope.llm.components import join_roots, merge_labels
 from kithscope.llm.frames import stored
 from kithscope.llm.vectors import matrix, usable
 
@@ -98,19 +98,6 @@ def linked_pairs(a: Side, b: Side, same: bool, threshold: float) -> Iterator[tup
         yield i[keep] + lo, j[keep]
 
 
-def join_roots(roots: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Roots (the least place of each component) once the pairs are joined as well."""
-    while True:
-        a, b = roots[i], roots[j]
-        apart = a != b
-        if not apart.any():
-            return roots
-        i, j, a, b = i[apart], j[apart], a[apart], b[apart]
-        np.minimum.at(roots, np.maximum(a, b), np.minimum(a, b))
-        while not np.array_equal(jumped := roots[roots], roots):
-            roots = jumped
-
-
 MET = pa.schema([("node", pa.int64()), ("links", pa.int64()), ("root", pa.int64())])
 
 

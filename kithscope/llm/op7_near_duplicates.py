@@ -13,13 +13,14 @@ similar; a bucket of more than ``LARGE`` nodes is therefore split by prefix: wit
 only reach the threshold if they share one of the first shingles, up to where the rest weighs less than ``threshold`` of the
 whole. That loses no pair. What comes from a shared shingle on also bounds how large a partner can be, its reach: of two similar documents
 the smaller one reaches its own size where they first meet (it is at home there), and each reaches the other. Members that reach
-no home of their bucket, or only homes of their own class, leave it. A bucket is never expanded into all pairs either: in the first round one
+no home of their bucket, or only homes of their own class, leave it. A large bucket is never expanded into all pairs either: first one
 of its homes, the one of the commonest shingles and so the nearest to the middle of a group, is the hub that meets
-all members and leaves. Buckets that are still large and hold several classes are then compared in blocks, which give back
-at most one link per node; members of one large class lie in blocks of their own, which do not meet each other, and blocks without
-homes do not either; in small ones hubs go on, 4, 16, ... per bucket and round, until all homes are of one class with all they reach or have been hubs.
-A pair of one bucket is thus compared, or excluded by its prefixes, or already in one class when the rounds end: no link between
-classes is lost and nothing is capped.
+all members and leaves. What then still holds several classes is settled in a second and last step. Buckets that are still large are
+compared in blocks, which give back at most one link per node; members of one large class lie in blocks of their own, which do not meet
+each other, and blocks without homes do not either. In the others, of ``LARGE`` members at most, all pairs of different classes within
+reach are compared, each pair once for all buckets it shares.
+A pair of one bucket is thus compared, or excluded by its prefixes, or already in one class: no link between
+classes is lost, nothing is capped, and the number of steps does not hang on the data.
 
 Cases: documents of fewer than five words have one shingle, all their words; null or empty texts and texts of
 blanks are classes of their own; ties take the smallest id; a null id is the smallest; repeated rows share a
@@ -50,6 +51,7 @@ GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 #: Largest weight over smallest. A pair of plain similarity 0.8 then has a weighted one of 0.76 at least.
 SPREAD = 1.25
 MEMBER = "bucket long, node long, common long, size double, weight double, reach double, weight_reach double"
+MEASURES = ["size", "weight", "reach", "weight_reach"]
 
 
 def shingles(texts: Texts, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -325,6 +327,11 @@ def at_home() -> Column:
     return (F.col("reach") >= F.col("size")) | (F.col("weight_reach") >= F.col("weight"))
 
 
+def within_reach(x: str, y: str) -> Column:
+    """Whether two members (structs of ``MEASURES``) can be similar by their sizes or by their weights."""
+    return F.expr(" or ".join(f"({x}.{reach} >= {y}.{size} and {y}.{reach} >= {x}.{size})" for size, reach in (("size", "reach"), ("weight", "weight_reach"))))
+
+
 def in_question(live: DataFrame, threshold: float) -> DataFrame:
     """The rows of ``live`` (``MEMBER`` and label) that reach a home of their bucket and may find one of another class there."""
     home = at_home()
@@ -376,37 +383,34 @@ def near_duplicates(
     # Whoever is in a small bucket is at home there and reaches all.
     small = members.filter("not large").selectExpr("bucket", "node", "0L common", "0D size", "0D weight", "1D reach", "1D weight_reach")
     members = stored(small.unionByName(split.join(shared, "bucket")), "members")
-    labels = stored(members.select("node").distinct().withColumn("label", F.col("node")), "labels")
+    labels = sets.select("node", F.col("node").alias("label"))
 
-    def unsettled(members: DataFrame, labels: DataFrame) -> DataFrame:
-        """Members of the buckets that may still link two classes, with their label and the number n of such members."""
-        live = in_question(in_question(members.join(labels, "node"), threshold), threshold)
-        sizes = live.groupBy("bucket").agg(F.count("*").alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi")
-        return stored(live.join(sizes.select("bucket", "n"), "bucket"), "live")
+    def unsettled(members: DataFrame) -> DataFrame:
+        """Rows of ``members`` (``MEMBER`` and label) in buckets that may still link two classes, with the number n of a bucket's and its hub."""
+        live = in_question(in_question(members, threshold), threshold)
+        most_common = F.min(F.when(at_home(), F.struct((-F.col("common")).alias("order"), "node", *MEASURES)))
+        of_bucket = live.groupBy("bucket").agg(F.count("*").alias("n"), most_common.alias("hub"), F.min("label").alias("lo"), F.max("label").alias("hi"))
+        return stored(live.join(of_bucket.filter("lo < hi").drop("lo", "hi"), "bucket"), "live")
 
     def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
         ends = [labels.select(F.col("node").alias(x), F.col("label").alias(f"label_{x}")) for x in ("a", "b")]
         between = links.join(ends[0], "a").join(ends[1], "b").select(F.col("label_a").alias("a"), F.col("label_b").alias("b"))
         return merge_labels(labels, between.filter("a <> b"))
 
-    hubs_per_bucket, step = 1, 0
-    while not (live := unsettled(members, labels)).isEmpty():
-        if step == 1:  # what the first hubs have not settled in large buckets is compared in blocks
-            links = similar_in_blocks(live.filter(F.col("n") > LARGE).withColumn("home", at_home()), sets, weights, threshold)
-            labels = merged(labels, stored(links, "links"))
-            live = live.filter(F.col("n") <= LARGE).drop("label").join(labels, "node")
-        slot = F.pmod(F.xxhash64("node", F.lit(hubs_per_bucket)), F.lit(hubs_per_bucket))
-        measures = ["size", "weight", "reach", "weight_reach"]
-        most_common = F.min(F.struct((-F.col("common")).alias("order"), "node", "label", *measures))
-        hubs = live.filter(at_home()).groupBy("bucket", slot.alias("slot")).agg(most_common.alias("hub")).select("bucket", "hub.*")
-        hubs = stored(hubs, "hubs")
-        met = hubs.select("bucket", F.col("node").alias("hub"), F.col("label").alias("hub_label"), *(F.col(c).alias(f"hub_{c}") for c in measures))
-        in_reach = "(reach >= hub_size and hub_reach >= size) or (weight_reach >= hub_weight and hub_weight_reach >= weight)"
-        meeting = live.join(met, "bucket").filter("label <> hub_label").filter(in_reach)
-        pairs = meeting.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-        labels = merged(labels, stored(verified(stored(pairs, "pairs"), sets, weights, threshold), "links"))
-        members = live.select(members.columns).join(hubs.select("bucket", "node"), ["bucket", "node"], "left_anti")
-        hubs_per_bucket, step = 4 * hubs_per_bucket, step + 1
+    def linked(pairs: DataFrame) -> DataFrame:
+        """The similar ones of ``pairs`` of members (x, y) within reach of each other, each looked at once."""
+        ends = [f(F.col("x.node"), F.col("y.node")).alias(name) for f, name in ((F.least, "a"), (F.greatest, "b"))]
+        return verified(stored(pairs.filter(within_reach("x", "y")).select(*ends).distinct(), "pairs"), sets, weights, threshold)
+
+    me = F.struct("node", "label", *MEASURES)
+    live = unsettled(members.withColumn("label", F.col("node")))
+    rest = live.filter("node <> hub.node")
+    labels = merged(labels, stored(linked(rest.select(me.alias("x"), F.col("hub").alias("y"))), "links"))
+    live = unsettled(rest.select(members.columns).join(labels, "node"))
+    in_blocks = similar_in_blocks(live.filter(F.col("n") > LARGE).withColumn("home", at_home()), sets, weights, threshold)
+    x, y = (live.filter(F.col("n") <= LARGE).select("bucket", me.alias(end)) for end in ("x", "y"))
+    in_pairs = linked(x.join(y, "bucket").filter("x.node < y.node and x.label <> y.label"))
+    labels = merged(labels, stored(in_blocks.unionByName(in_pairs), "links"))
 
     placed = nodes.select("node", "id_key", "text_key").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     leaders = placed.groupBy("label").agg(least.alias("leader"))

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kithscope.llm import op3_disclosure as disclosure
-from kithscope.llm import op7_near_duplicates, op8_line_dedup
+from kithscope.llm import components, op7_near_duplicates, op8_line_dedup
 from kithscope.llm.arrays import BLANK, HASH, find_lines, find_words, slices
 from kithscope.llm.components import merge_labels
 from kithscope.llm.op1_sharding import shard_documents, shard_rows
@@ -444,6 +444,41 @@ def test_linked_labels_become_one_also_along_paths(spark):
     assert set(range(100)) in parts.values() and set(range(100, 151)) in parts.values() and all(k in v for k, v in parts.items())
 
 
+def recorded(monkeypatch, *modules) -> list[str]:
+    """Names of the tables that ``modules`` write from now on."""
+    written = []
+    for module in modules:
+        monkeypatch.setattr(module, "stored", lambda df, label, f=module.stored: written.append(label) or f(df, label))
+    return written
+
+
+def test_steps_of_near_duplicates_do_not_hang_on_the_data(spark, monkeypatch):
+    """Chains of texts, each similar to the next only: of 56 shingles one edit changes 5 (51 of 61 are shared), two change 10 (46 of 66)."""
+    texts = []
+    for k in range(20):
+        words = prose(500 + k, 60).split(" ")
+        for i in range(10):
+            words = [f"edit{k}x{i}" if j == 6 * i + 3 else w for j, w in enumerate(words)]
+            texts.append(" ".join(words))
+    written = recorded(monkeypatch, op7_near_duplicates, components)
+    got = near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).select("doc_id", "class_id").collect()
+    assert {r["doc_id"]: r["class_id"] for r in got} == {i: i - i % 10 for i in range(200)}
+    assert len(written) <= 17
+
+
+def test_few_links_take_one_step(spark, monkeypatch):
+    links = spark.createDataFrame([(i, i + 1) for i in range(400) if i % 50 != 49] + [(7, 3), (3, 3)], "a long, b long")
+    labels = spark.createDataFrame([(n, n) for n in range(500)], "node long, label long")
+    for few, most in ((components.FEW, 3), (10, 100), (0, 100)):
+        written = recorded(monkeypatch, components)
+        parts = collections.defaultdict(set)
+        for r in merge_labels(labels, links, few=few).collect():
+            parts[r["label"]].add(r["node"])
+        assert sorted(map(sorted, parts.values())) == [list(range(i, i + 50)) for i in range(0, 400, 50)] + [[n] for n in range(400, 500)]
+        assert len(written) <= most
+        monkeypatch.undo()
+
+
 def test_perfect_hash_is_minimal_and_perfect():
     keys = np.unique(np.random.Generator(np.random.PCG64(1)).integers(0, 1 << 63, 20_000, dtype=np.uint64))
     table = PerfectHash.build(keys)
