@@ -420,12 +420,12 @@ def _(w):
     """The sets of all keywords, most followers first, read back in the order in which lines stand in the files."""
     # An account has each keyword once, so what is collected for one is bounded by the number of sets.
     found = w.user_keywords.groupBy("twitter_id").agg(F.collect_list(F.struct("keyword")).alias("hits"))
-    rows = lookups.with_followers(w.user_profiles.filter("bio <> ''"), w.user_stats).join(found, "twitter_id")
+    # The bios come last, so that they move once.
+    bios = w.bios.filter("bio <> ''").select(F.col("doc_id").cast("string").alias("twitter_id"), "bio")
+    rows = lookups.with_followers(w.accounts, w.user_stats).join(found, "twitter_id").join(bios, "twitter_id")
     lines = w.once(batch_files.shared_set_lines(rows, F.col("hits.keyword")), "set-lines")
-    path = scratch_path(w.spark, "sets")
-    # These sets are only read back, and each holds the whole text of its accounts.
-    batch_files.write_profile_sets(lines, path, compression="gzip")
-    return batch_files.read_profile_sets(w.spark, path).select("keyword", "place", F.md5("value").alias("line"))
+    # Each set holds the whole text of its accounts, about twenty times that in all sets. They are only read back, so not all are there at once.
+    return batch_files.read_back_sets(lines, scratch_path(w.spark, "sets"), {"line": F.md5("value")}, compression="gzip")
 
 
 @catalog.query(

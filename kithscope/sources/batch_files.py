@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kithscope.functions.text import table_cell, trim_all
 from kithscope.operators.ordering import number_in_blocks
 from kithscope.schemas import LABEL_ITEMS_DDL
+from kithscope.session import remove
 
 COLUMNS = ["handle", "name", "bio", "category", "followers"]
 HEADER = r"\[(\d+)\]\{[^}]*\}:\s*$"
@@ -225,11 +227,21 @@ def write_profile_sets(lines: DataFrame, path: str, compression: str = "none", l
 
     There are as many tasks as the copies ask for, so that those of one task can be sorted in memory.
     """
-    order = [F.col("part"), F.col("followers").desc(), F.col("handle")]
     copies = lines.agg(F.sum(F.size("keywords"))).first()[0] or 0
-    dealt = lines.repartitionByRange(max(1, -(-copies // lines_per_task)), *order)
-    spread = dealt.select(F.explode("keywords").alias("keyword"), *order[:1], "followers", "handle", "value")
-    sorted_lines = spread.sortWithinPartitions("keyword", *order)
+    _write_dealt(_dealt(lines, copies, lines_per_task), path, compression)
+
+
+def _set_order() -> list[Column]:
+    return [F.col("part"), F.col("followers").desc(), F.col("handle")]
+
+
+def _dealt(lines: DataFrame, copies: int, lines_per_task: int) -> DataFrame:
+    return lines.repartitionByRange(max(1, -(-copies // lines_per_task)), *_set_order())
+
+
+def _write_dealt(dealt: DataFrame, path: str, compression: str) -> None:
+    spread = dealt.select(F.explode("keywords").alias("keyword"), "part", "followers", "handle", "value")
+    sorted_lines = spread.sortWithinPartitions("keyword", *_set_order())
     writer = sorted_lines.select("keyword", "value").write.mode("errorifexists")
     # The level counts for gzip alone.
     writer = writer.option("compression", compression).option("zlib.compress.level", "BEST_SPEED")
@@ -242,9 +254,78 @@ def read_profile_sets(spark: SparkSession, path: str) -> DataFrame:
     The order is that of part files, of their blocks and of lines in them. A block is read by one task, so a line is numbered from the
     first of its block, and the text neither moves nor is written again.
     """
-    lines = spark.read.text(path).filter("keyword is not null").select(
-        "keyword", "value", F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1).cast("int").alias("part"),
-        F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"),
+    return _placed(_standing_lines(spark.read.text(path))).select("keyword", "place", "value")
+
+
+def _standing_lines(lines: DataFrame) -> DataFrame:
+    return lines.filter("keyword is not null").select(
+        "keyword", "value", F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1).cast("int").alias("_part"),
+        F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_line"),
     )
-    numbered = number_in_blocks(lines, ["keyword"], ["part", "block"], "line", "n")
-    return numbered.select("keyword", (F.col("n") - 1).alias("place"), "value")
+
+
+def _placed(standing: DataFrame) -> DataFrame:
+    return number_in_blocks(standing, ["keyword"], ["_part", "_block"], "_line", "_rn").withColumn("place", F.col("_rn") - 1)
+
+
+LEAST_AT_ONCE = 500_000
+TIMES_AT_ONCE = 3  # so often a round holds the text of a row
+
+
+def rounds_of_sets(lines: DataFrame, at_once: int) -> tuple[list[list[str | None]], int]:
+    """All keywords by round, with the lines of the largest one: those of a round have ``at_once`` lines or fewer, or it is one larger set.
+
+    One row per keyword comes to the driver, as many as there are sets.
+    """
+    sizes = lines.select(F.explode("keywords").alias("keyword")).groupBy("keyword").agg(F.count(F.lit(1)).alias("n")).orderBy("keyword").collect()
+    rounds, most, left = [], 0, 0
+    for keyword, n in sizes:
+        if n > left:
+            rounds.append([])
+            left = max(at_once, n)
+            room = left
+        rounds[-1].append(keyword)
+        left -= n
+        most = max(most, room - left)
+    return rounds, most
+
+
+def _only(keywords: str, names: list[str | None]) -> Column:
+    """The elements that are in ``names``."""
+    missing = None in names
+    return F.filter(keywords, lambda k: k.isin([n for n in names if n is not None]) | (k.isNull() if missing else F.lit(False)))
+
+
+def read_back_sets(
+    lines: DataFrame, path: str, columns: dict[str, Column], compression: str = "none",
+    lines_per_task: int = LINES_PER_TASK, at_once: int | None = None,
+) -> DataFrame:
+    """(keyword, place, ``columns``) of all sets: written as :func:`write_profile_sets` does, read as :func:`read_profile_sets` does.
+
+    All sets together hold the text of a row once per keyword, which no disk may have room for. So whole sets are written a round at a time, every
+    line of theirs is read and what ``columns`` make of it stored, and the files go before the next round is written. ``lines`` stay: a set that is
+    to be kept is written from them by :func:`write_profile_sets`. ``at_once`` is the number of lines in a round.
+    """
+    spark = lines.sparkSession
+    rounds, most = rounds_of_sets(lines, at_once or max(LEAST_AT_ONCE, TIMES_AT_ONCE * lines.count()))
+    if not rounds:
+        return lines.select(F.lit("").alias("keyword"), F.lit(0).cast("bigint").alias("place"), *(c.alias(name) for name, c in columns.items())).limit(0)
+    dealt = _dealt(lines, most, lines_per_task)
+    if len(rounds) > 1:
+        # Every round reads them in the order of their partitions. A lost one is dealt again from ``lines``.
+        dealt = dealt.persist(StorageLevel.DISK_ONLY)
+    paths, schema = [], None
+    try:
+        for i, names in enumerate(rounds):
+            sets = f"{path}/round-{i}"
+            _write_dealt(dealt.withColumn("keywords", _only("keywords", names)), sets, compression)
+            # A schema, since a round may have only keywords that look like numbers.
+            standing = _standing_lines(spark.read.schema("value string, keyword string").text(sets))
+            read = standing.select("keyword", "_part", "_block", "_line", *(c.alias(name) for name, c in columns.items()))
+            schema = read.schema
+            paths.append(f"{path}/read-{i}")
+            read.write.option("compression", "zstd").parquet(paths[-1])
+            remove(spark, sets)
+    finally:
+        dealt.unpersist()
+    return _placed(spark.read.schema(schema).parquet(*paths)).select("keyword", "place", *columns)

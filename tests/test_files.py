@@ -1,5 +1,8 @@
 """Exports and table files: written, read back, every odd cell."""
 
+import gzip
+import hashlib
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -99,6 +102,37 @@ def test_sets_share_their_rows_and_are_numbered_where_they_stand(spark, tmp_path
     assert sorted(got) == ["all", "k0", "k1"]
 
 
+def test_sets_that_are_only_read_back_are_never_all_on_disk(spark, tmp_path, monkeypatch):
+    schema = "keywords array<string>, handle string, name string, bio string, category string, followers bigint"
+    rows = [(["all", None, "7" if i % 2 else "007", f"k{i % 5}"], f"h{i:04d}", "N", "b" * (i % 90), None, (i * 37) % 50) for i in range(600)]
+    lines = batch_files.shared_set_lines(spark.createDataFrame(rows, schema).repartition(5), F.col("keywords"))
+    path, seen = tmp_path / "sets", []
+    write = batch_files._write_dealt
+
+    def watched(*args):
+        write(*args)
+        files = [gzip.open(f, "rt") for f in path.rglob("*.txt.gz")]
+        seen.append(sum(len(f.readlines()) for f in files))
+
+    monkeypatch.setattr(batch_files, "_write_dealt", watched)
+    columns = {"line": F.md5("value"), "n": F.length("value")}
+    read = batch_files.read_back_sets(lines, str(path), columns, "gzip", lines_per_task=200, at_once=500)
+    # 601 lines of each of two sets, each alone; then 301, 301 and five times 121.
+    assert sum(seen) == 2 * 601 + 2 * 301 + 5 * 121 and max(seen) == 601 and len(seen) == 6
+    assert not [*path.rglob("*.txt.gz")]
+    got = {}
+    for r in read.collect():
+        got.setdefault(r.keyword, {})[r.place] = (r.line, r.n)
+    assert sorted(got) == ["007", "7", "all", "k0", "k1", "k2", "k3", "k4"]
+    for keyword, placed in got.items():
+        own = sorted((-r[5], r[1], r[3]) for r in rows if keyword in r[0])
+        want = [f"[{len(own)}]{{handle,name,bio,category,followers}}:", *(f"  {h},N,{b},null,{-f}" for f, h, b in own)]
+        assert [placed[k] for k in range(len(placed))] == [(hashlib.md5(v.encode()).hexdigest(), len(v)) for v in want]
+    assert batch_files.read_back_sets(lines, str(tmp_path / "one"), columns, "gzip").exceptAll(read).isEmpty()
+    none = batch_files.read_back_sets(lines.limit(0), str(tmp_path / "none"), columns)
+    assert none.collect() == [] and none.columns == read.columns
+
+
 @pytest.mark.parametrize("name", ["haiku-07.json", "haiku.07.json", "batch=7/part-0.json"])
 def test_label_files_by_either_name(spark, tmp_path, name):
     (tmp_path / name).parent.mkdir(exist_ok=True)
