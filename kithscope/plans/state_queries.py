@@ -420,8 +420,9 @@ def _(w):
     """The sets of all keywords, most followers first, read back in the order in which lines stand in the files."""
     # An account has each keyword once, so what is collected for one is bounded by the number of sets.
     found = w.user_keywords.groupBy("twitter_id").agg(F.collect_list(F.struct("keyword")).alias("hits"))
-    # All joins are by the same key, so that the bios move once at most.
-    bios = w.bios.filter("bio <> ''").select(F.col("doc_id").cast("string").alias("twitter_id"), "bio")
+    # All joins are by the same key, so that the bios move once; those without an account stay where they are if the keys are few enough to broadcast.
+    keys = w.raw("customer").select(F.col("c_custkey").cast("string").alias("twitter_id"))
+    bios = w.bios.filter("bio <> ''").select(F.col("doc_id").cast("string").alias("twitter_id"), "bio").join(keys, "twitter_id", "left_semi")
     rows = lookups.with_followers(w.accounts.join(bios, "twitter_id"), w.user_stats).join(found, "twitter_id")
     lines = w.once(batch_files.shared_set_lines(rows, F.col("hits.keyword")), "set-lines")
     # Each set holds the whole text of its accounts, about twenty times that in all sets. They are only read back, so not all are there at once.
